@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curata.llm import op9_bpe
+from curata.llm import op3_chat, op9_bpe
 
-_MODULES = [op9_bpe]
+_MODULES = [op3_chat, op9_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
