@@ -173,3 +173,11 @@ def as_partitions(df: DataFrame, name: str) -> int:
 
 def empty_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+_SUBSTITUTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
+
+
+def second_values(data: np.ndarray) -> np.ndarray:
+    """Other values for bytes, so that RunHashes over them is a second hash, independent of the first."""
+    return _SUBSTITUTES[data]
