@@ -137,23 +137,27 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Every ASCII character but letters and digits.
+IS_PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word of all texts in the buffer, and offsets of the texts into the words.
 
-    A word is a maximal run of bytes other than white space within one text.
+    A word is a maximal run of bytes that are not in gaps (white space by default) within one text.
     """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_IS_SPACE[data]
+    inside = ~gaps[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     at = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[at] = inside[at]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
-    last = at = offsets[1:][offsets[:-1] < offsets[1:]] - 1
-    ends[last] = inside[at]
+    last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
+    ends[last] = inside[last]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     return start, end, np.searchsorted(start, offsets)
 
