@@ -112,9 +112,11 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row_key"), F.coalesce(text, F.lit("")).alias("text"))
 
 
-def keep_bitmaps(docs: DataFrame, least_docs: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_bitmaps(docs: DataFrame, least_docs: int = 10, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, row_key, n_dropped, keep: a zlib-compressed little-endian bitmap with a 1 for each line that stays.
 
+    keep_first: a key's first line by (document, position) stays, where it would else be dropped everywhere.
+
     Only documents that lose a line have a row; lines beyond the bitmap's end stay.
     """
     small_batches(docs.sparkSession)
@@ -127,7 +129,12 @@ def keep_bitmaps(docs: DataFrame, least_docs: int = 10, doc_id: str = "doc_id",
     # a key that is hot in one partition can go on, cold, in the next
     decided = found.where("not open").join(F.broadcast(waiting.select("h1", "h2").distinct()), ["h1", "h2"], "left_semi").select("h1", "h2").distinct().withColumn("docs", F.lit(least_docs).cast("bigint"))
     over = settled.unionByName(decided).groupBy("h1", "h2").agg(F.max("docs").alias("docs")).where(F.col("docs") >= least_docs).select("h1", "h2")
-    dropped = found.where("not open").select("doc", "row_key", "pos").unionByName(waiting.join(F.broadcast(over), ["h1", "h2"], "left_semi").select("doc", "row_key", "pos"))
+    place = ["doc", "row_key", "pos"]
+    dropped = found.where("not open").select("h1", "h2", *place).unionByName(waiting.join(F.broadcast(over), ["h1", "h2"], "left_semi").select("h1", "h2", *place))
+    if keep_first:
+        first = dropped.groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("f")).select(*(F.col(f"f.{c}").alias(f"f_{c}") for c in place))
+        same = [dropped[c].eqNullSafe(first[f"f_{c}"]) for c in place]
+        dropped = dropped.join(first, same[0] & same[1] & same[2], "left_anti")
     lists = dropped.groupBy("doc", "row_key").agg(F.collect_set("pos").alias("pos"))
 
     def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +160,9 @@ def kept_lines(text: str, keep: bytes | None) -> tuple[str, int]:
     return "\n".join(x for i, x in enumerate(lines) if i >= len(bits) or bits[i]), len(lines)
 
 
-def drop_lines(docs: DataFrame, least_docs: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_lines(docs: DataFrame, least_docs: int = 10, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of docs with the text cleaned, plus n_lines and n_dropped (bigint; in place of any of that name)."""
-    maps = keep_bitmaps(docs, least_docs, doc_id, text).withColumnsRenamed({"doc": "_doc", "row_key": "_row_key", "keep": "_keep", "n_dropped": "_dropped"})
+    maps = keep_bitmaps(docs, least_docs, keep_first, doc_id, text).withColumnsRenamed({"doc": "_doc", "row_key": "_row_key", "keep": "_keep", "n_dropped": "_dropped"})
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*names).withColumn("_key", F.xxhash64(F.coalesce(text, F.lit(""))))
     joined = rows.join(maps, F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_row_key")), "left").drop("_doc", "_row_key", "_key")
