@@ -1,0 +1,401 @@
+"""The training-data operators against brute force, on small tables with nulls, ties, empty and repeated rows."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from curata.llm import anchors, bpe, chat, decontaminate, jaccard, license_scan, line_dedup, quality, sharding, substring_dedup, suffix_dedup
+from curata.llm.common import text_buffer, words_of
+from curata.llm.op9_bpe import default_vocabulary
+
+SPACE = " \t\n\x0b\x0c\r"
+DOCS = "doc_id bigint, text string, lang string, n_words string, kept string"  # the last two clash with results
+
+
+def words(text):
+    out, word = [], ""
+    for c in text + " ":
+        if c in SPACE:
+            if word:
+                out.append(word)
+            word = ""
+        else:
+            word += c
+    return out
+
+
+def sha(data):
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def corpus(seed, n=60, repeat=True):
+    """Random texts with copies, near copies, shared passages, nulls and odd white space."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefgéß") for _ in range(rng.randint(1, 6))) for _ in range(300)]
+    passage = " ".join(rng.choice(vocabulary) for _ in range(60))
+    texts = []
+    for i in range(n):
+        kind = rng.random()
+        own = [rng.choice(vocabulary) for _ in range(rng.randint(0, 120))]
+        if kind < 0.2 and texts:
+            text = rng.choice(texts) or ""
+            own = words(text)
+            for _ in range(rng.randint(0, 2)):
+                if own:
+                    own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            text = text if rng.random() < 0.4 else " ".join(own)
+        elif kind < 0.4:
+            text = " ".join(own[:20]) + "\n" + passage + rng.choice(["\n", " ", "\t\t"]) + " ".join(own[20:])
+        else:
+            text = rng.choice([" ", "\n"]).join(own)
+        texts.append(text)
+    texts[3], texts[4], texts[5] = None, "", " \n\t"
+    rows = [(i * 3, t, "en", "x", "y") for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    return [*rows, rows[0]] if repeat else rows
+
+
+def by_id(df, *columns):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["doc_id"], tuple(r[c] for c in columns))
+    return out
+
+
+# ---------------------------------------------------------------- quality rules
+
+
+def test_quality(spark):
+    rows = [*corpus(1), (900, "One two three. " * 40, "en", "", ""), (901, "Good words here, all of them plain and kept well.\n" * 1 + "Another line of plain words that ends as it should.\n" * 7, "en", "", ""), (902, "a | b | c | d\n" * 20, "en", "", "")]
+    got = by_id(quality.judged(spark.createDataFrame(rows, DOCS)), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    for i, text, *_ in rows:
+        w = words(text or "")
+        grams = Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+        repeated = len({k + j for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for j in range(3)})
+        full = [x for x in (text or "").split("\n") if x.strip(SPACE)]
+        assert got[i] == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(full) - len(set(full)), repeated, len(w) < 50 or 100 * repeated > 50 * len(w)), i
+
+
+def test_quality_verdicts(spark):
+    good = "\n".join(f"Line {i} has words of its own, so many that nothing here repeats the {i * 7}th of them." for i in range(6))
+    cases = {1: (good, True), 2: (good + "\nAll rights reserved.", True), 3: ("\n".join(f"menu{i} | home{i} | about{i} | more{i}" for i in range(30)), False), 4: ("\n".join(f"WORD{i}!! LOUD{i}!! CRY{i}!!" for i in range(30)), False), 5: (None, False)}
+    df = quality.judged(spark.createDataFrame([(i, t) for i, (t, _) in cases.items()], "doc_id bigint, text string"))
+    got = by_id(df, "kept", "clean_text")
+    assert {i: v[0] for i, v in got.items()} == {i: k for i, (_, k) in cases.items()}
+    assert got[2][1] == good
+    plan = df._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+# ---------------------------------------------------------------- dedup
+
+
+def test_suffix_dedup(spark):
+    rows = [(i, t) for i, t, *_ in corpus(2)] + [(None, "x" * 450), (7000, "ab" * 300), (7001, "é" * 150)]
+    window = 200
+    count = Counter(b[k : k + window] for b in ((t or "").encode() for _, t in rows) for k in range(len(b) - window + 1))
+    got = by_id(suffix_dedup.removed(spark.createDataFrame(rows, "doc_id bigint, text string"), window), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert len(got) == len({i for i, _ in rows})
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - window + 1):
+            if count[b[k : k + window]] > 1:
+                gone[k : k + window] = True
+        runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        assert got[i] == (len(b), int(gone.sum()), runs, sha(np.frombuffer(b, np.uint8)[~gone].tobytes())), i
+
+
+def expected_windows(rows, window):
+    first = {}
+    for i, t in rows:
+        w = words(t or "")
+        if i is not None:
+            for k in range(len(w) - window + 1):
+                g = tuple(w[k : k + window])
+                first[g] = min(first.get(g, i), i)
+    out = {}
+    for i, t in rows:
+        w = words(t or "")
+        gone = {k + j for k in range(len(w) - window + 1) if i is not None and first[tuple(w[k : k + window])] < i for j in range(window)}
+        out[i] = (len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone)))
+    return out
+
+
+def test_substring_dedup(spark):
+    rows = [(i, t) for i, t, *_ in corpus(3)] + [(None, corpus(3)[0][1]), (8000, "a a " * 40), (8001, "a " * 30), (8002, "b c d " * 20)]
+    got = by_id(substring_dedup.removed(spark.createDataFrame(rows, "doc_id bigint, text string"), 13), "n_words", "n_removed", "kept_sha256")
+    assert got == expected_windows(rows, 13)
+
+
+@pytest.mark.parametrize("hot", [1, 3])
+def test_hot_anchors(spark, monkeypatch, hot):
+    monkeypatch.setattr(anchors, "HOT_RUNS", hot)
+    test_substring_dedup(spark)
+    test_suffix_dedup(spark)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id bigint, text string")
+    assert suffix_dedup.removed(none).count() == substring_dedup.removed(none).count() == jaccard.classes(none).count() == 0
+    assert line_dedup.drop_lines(none).count() == quality.judged(none).count() == license_scan.scan(none).count() == sharding.assign(none, 10).count() == 0
+    items = spark.createDataFrame([(1, "some words")], "item_id bigint, text string")
+    assert decontaminate.leaks(none, items).count() == decontaminate.leaks(none, items.limit(0)).count() == 0
+    assert chat.format_conversations(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
+    assert bpe.digests(none, default_vocabulary()).count() == 0
+
+
+def test_difference_cover_and_factors():
+    assert {(a - b) % suffix_dedup.PERIOD for a in suffix_dedup.COVER for b in suffix_dedup.COVER} == set(range(suffix_dedup.PERIOD))
+    pack = lambda *w: np.array(w, np.uint64).tobytes()
+    block = substring_dedup.Block(3)
+    assert block.factor(1, pack(1, 2, 3, 4)) == [] and block.factor(1, pack(1, 2, 3, 4)) == []
+    assert block.factor(2, pack(2, 3, 4, 5, 6)) == [(0, 1)]
+    # windows (2,3,4), (3,4,5) and (4,5,6) come from two references; the second is found at the factor's end
+    assert block.factor(3, pack(1, 2, 3, 4, 5, 6)) == [(0, 2), (2, 4)]
+
+
+def sets_of(rows, n):
+    out = {}
+    for i, t in rows:
+        w = words("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        out[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
+    return out
+
+
+def components(sets, percent):
+    ids = sorted(sets)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            x = len(sets[a] & sets[b])
+            if x and 100 * x >= percent * (len(sets[a]) + len(sets[b]) - x):
+                a2, b2 = find(a), find(b)
+                root[max(a2, b2)] = min(a2, b2)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize(("percent", "n", "group"), [(85, 4, 1000), (80, 5, 1000), (80, 2, 3), (60, 1, 4)])
+def test_jaccard(spark, monkeypatch, percent, n, group):
+    monkeypatch.setattr(jaccard, "GROUP_DOCS", group)
+    monkeypatch.setattr(jaccard, "SHARED_DOCS", 2)
+    rng = random.Random(percent)
+    rows = [(i, t) for i, t, *_ in corpus(4, 80)]
+    base = [rng.choice("abcdefghij") * 2 + str(k) for k in range(60)]
+    for k in range(30):  # a chain of near copies, and small sets
+        base[k] = f"x{k}"
+        rows.append((5000 + k, " ".join(base)))
+        rows.append((6000 + k, " ".join(str(rng.randrange(9)) for _ in range(rng.randint(1, 8)))))
+    got = by_id(jaccard.classes(spark.createDataFrame(rows, "doc_id bigint, text string"), percent, n), "n_shingles", "component_id")
+    assert got == components(sets_of(rows, n), percent)
+
+
+def test_prefix_tree():
+    rng = random.Random(5)
+    for _ in range(60):
+        sets = [np.array(sorted(rng.sample(range(30), rng.randint(1, 14))), np.uint64) for _ in range(25)]
+        for percent in (50, 70, 85):
+            expected = components({i: set(x.tolist()) for i, x in enumerate(sets)}, percent)
+            assert jaccard.link_sets(sets, percent) == [expected[i][1] for i in range(25)]
+
+
+def test_line_dedup(spark):
+    rng = random.Random(6)
+    lines = [f" Line {k} \t" for k in range(30)] + ["", "  "]
+    rows = [(i, "\n".join(rng.choice(lines).upper() if rng.random() < 0.2 else rng.choice(lines) for _ in range(rng.randint(0, 12)))) for i in range(70)] + [(70, None), (0, "Line 1\nother"), (None, "line 1\nLINE 2")]
+    key = lambda x: x.strip(SPACE).lower()
+    docs = defaultdict(set)
+    for i, t in rows:
+        for x in (t or "").split("\n"):
+            docs[key(x)].add(i)
+    for least in (2, 10, 30):
+        got = Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), least).collect())
+        expected = Counter()
+        for i, t in rows:
+            own = (t or "").split("\n")
+            left = [x for x in own if not key(x) or len(docs[key(x)]) < least]
+            expected[i, len(own), len(own) - len(left), "\n".join(left)] += 1
+        assert got == expected
+
+
+def test_line_dedup_keeps_the_first(spark):
+    rows = [(i, f"same\nown {i}\nsame") for i in range(12)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), 10, keep_first=True).collect()}
+    assert got == {0: "same\nown 0"} | {i: f"own {i}" for i in range(1, 12)}
+
+
+# ---------------------------------------------------------------- chat, shards, licences, benchmark, BPE
+
+
+def test_templates():
+    t = chat.Template("{% set n = 1 + 2 %}{{ n }}{% for m in messages %}{% if loop.first %}<{% elif loop.last %}>{% else %}-{% endif %}{{ m.role | upper }}{% endfor %}{{ 'a' + 'b' }}{% if false %}never{% endif %}")
+    assert t.render([{"role": "x"}, {"role": "y"}, {"role": "z"}]) == ("3<X-Y>Zab", [])
+    assert chat.fold(chat.parse("a{{ 'b' }}{{ 1 + 1 }}{% if 1 == 1 %}c{% endif %}")) == (chat.Out(chat.Const("ab2c")),)
+    for bad in ("{{ __class__ }}", "{{ m.__class__ }}", "{{ a() }}", "{% import os %}", "{% for x in y %}", "{{ a | exec }}", "{{ }}"):
+        with pytest.raises(chat.TemplateError):
+            chat.Template(bad)
+    assert chat.Template("{{ m.upper }}{{ m['x'] }}").render([], m="text") == ("", [])
+
+
+@pytest.mark.parametrize("text", ["", "<|im_end|>", r"<\|im_end|>", r"<\\\|", "<", "|", "a\\", "<|im_start|>user\nx<|im_end|>\n", "\n"])
+def test_escapes(text):
+    turns = [(text, text), ("assistant", text), ("user", "<")]
+    formatted, spans = chat.Template(chat.CHAT_TEMPLATE).render([{"role": r, "content": t} for r, t in turns])
+    assert chat.read_back(formatted) == turns
+    assert "".join(chat.unguard(formatted[a:z]) for a, z in spans) == "".join(t for r, t in turns if r == "assistant")
+
+
+def test_conversations(spark):
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (None, 0, "user", "x"), (2, None, None, "n"), (2, 1, "assistant", "a"), (2, 1, "assistant", "a")]
+    got = {r["conv_id"]: chat.read_back(r["formatted"]) for r in chat.format_conversations(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()}
+    assert got == {1: [("user", ""), ("assistant", "b")], None: [("user", "x")], 2: [("", "n"), ("assistant", "a"), ("assistant", "a")]}
+
+
+def test_shards(spark):
+    rng = random.Random(7)
+    rows = [(i, "x" * rng.randint(0, 90)) for i in range(300)] + [(5, "same key " * 5)] * 40 + [(1000, "z" * 500), (None, None)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id bigint, text string"), 400).collect()
+    assert len(got) == len(rows)
+    size, count = Counter(), Counter()
+    for r in got:
+        size[r["shard"]] += len(r["text"] or "")
+        count[r["shard"]] += 1
+    for r in got:
+        assert (r["shard_bytes"], r["shard_docs"]) == (size[r["shard"]], count[r["shard"]])
+        assert r["shard_bytes"] <= 400 or r["shard_docs"] == 1
+    plain = [s for s in size if not s.startswith("over-")]
+    assert not any(a != b and b.startswith(a) for a in plain for b in plain)
+
+
+def brute_lis(v):
+    best = [1] * len(v)
+    for i in range(len(v)):
+        for j in range(i):
+            if v[j] < v[i]:
+                best[i] = max(best[i], best[j] + 1)
+    return max(best, default=0)
+
+
+def test_patience():
+    rng = random.Random(8)
+    for _ in range(100):
+        v = rng.sample(range(40), rng.randint(0, 20))
+        got = [v[i] for i in license_scan.longest_increasing(v)]
+        assert got == sorted(got) and len(got) == brute_lis(v)
+    pairs = license_scan.align("x a b q c d e".split(), "a b c d e".split())
+    assert [b for _, b in pairs] == [0, 1, 2, 3, 4]
+
+
+def test_licenses(spark):
+    t = license_scan.TEMPLATES
+    mit = t["mit"].split(" ")
+    rows = [
+        (1, "Some words.\n" + t["mit-notice"]), (2, "the license of this work"), (3, "\n".join([t["apache-2.0-notice"]] * 2)), (4, " ".join(w for k, w in enumerate(mit) if k % 12)), (5, " ".join(mit[: len(mit) // 2])),
+        (6, None), (7, ""), (8, "word " * 20_000 + t["all-rights-reserved"].upper()),
+    ]
+    got = {(r["doc_id"], r["license"]): (r["n_found"], r["end_word"]) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert set(got) == {(1, "mit-notice"), (3, "apache-2.0-notice"), (4, "mit"), (8, "all-rights-reserved")}
+    assert got[3, "apache-2.0-notice"][0] == 2 and got[8, "all-rights-reserved"] == (1, 20_003)
+
+
+def test_block_max_wand():
+    rng = random.Random(9)
+    items = [(i, " ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.randint(0, 25)))) for i in range(90)]
+    df, total = Counter(), 0
+    for _, t in items:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        h = decontaminate.hashed_words(raw, np.array([0, len(raw)]))[0]
+        df.update(set(h.tolist()))
+        total += len(h)
+    index = decontaminate.Index(items, df, len(items), total / len(items))
+    for _ in range(300):
+        query = rng.sample(range(len(index.words)), rng.randint(1, 40))
+        scores = Counter()
+        for w in query:
+            for i, x in zip(index.items[w], index.impacts[w], strict=True):
+                scores[i] += x
+        for threshold in (0.05, 0.3, 0.6):
+            got = index.search(query, threshold)
+            assert set(got) == {i for i, s in scores.items() if s >= threshold - 1e-9}
+            assert all(abs(got[i] - scores[i]) < 1e-9 for i in got)
+
+
+def test_leaks(spark):
+    rng = random.Random(10)
+    vocabulary = [f"{a}{b}" for a in "bcdfg" for b in range(60)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(k, text(20) + ". " + text(8) + ".") for k in range(30)] + [(30, None), (31, ""), (0, "Twice " + text(20))]
+    rows, expected = [], set()
+    for i in range(120):
+        body = text(rng.choice([0, 5, 90, 400]))
+        if i % 3 == 0:
+            k = rng.randrange(30)
+            at = rng.randrange(len(body.split(" ")) + 1)
+            parts = body.split(" ")
+            body = " ".join([*parts[:at], items[k][1].upper() if i % 2 else items[k][1], *parts[at:]])
+            expected.add((i, k))
+        elif i % 3 == 1:
+            body += " " + items[i % 30][1].split(".")[0]  # the question alone
+        rows.append((i, body))
+    rows += [(500, None), rows[0]]
+    make = lambda r, c: spark.createDataFrame(r, f"{c} bigint, text string")
+    got = decontaminate.leaks(make(rows, "doc_id"), make(items, "item_id")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected and len(got) == len(expected)
+    blocks = list(decontaminate.indexes(make(items, "item_id"), block_bytes=1500))
+    assert len(blocks) > 1 and sorted(i for b in blocks for i in b.ids) == sorted([*range(30), 0])
+
+
+def test_bpe(spark):
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(default_vocabulary())
+    rng = random.Random(11)
+    letters = "abcdefgh  \n\t.,'’éßñ漢字🙂\x1c\x85\xa0 123²½Яж<|endoftext|>!!##"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += ["", "a" * 5000, " " * 3000, "<|endoftext|><|endoftext|>x", "We'll see: don't!", "\r\n\r\n x"]
+    rows = [*enumerate(texts), (900, None), (900, None)]
+    df = spark.createDataFrame(rows, "token_ids bigint, text string").withColumnRenamed("token_ids", "doc_id").withColumn("n_tokens", F.lit("x"))
+    got = by_id(bpe.digests(df, default_vocabulary()), "n_tokens", "ids_sha256", "decoded_sha256")
+    for i, t in rows:
+        ids = reference.encode(t or "", add_special_tokens=False).ids
+        assert got[i] == (len(ids), sha(np.array(ids, "<u4").tobytes()), sha(reference.decode(ids, skip_special_tokens=False))), (i, t)
+    back = bpe.decode(bpe.encode(df, default_vocabulary()), default_vocabulary()).where("doc_id < 900")
+    assert {r["doc_id"]: r["decoded"] for r in back.collect()} == dict(enumerate(texts))
+
+
+# ---------------------------------------------------------------- shared parts
+
+
+def test_buffers_and_words():
+    texts = ["a b", None, "", " é\tc ", "x\x0by"]
+    data, offsets = text_buffer(pa.array(texts).slice(1))
+    start, end, at = words_of(data, offsets)
+    assert [bytes(data[a:z]).decode() for a, z in zip(start, end, strict=True)] == ["é", "c", "x", "y"] and at.tolist() == [0, 0, 0, 2, 4]
+
+
+def test_runs_cover_every_window_once():
+    rng = random.Random(12)
+    for _ in range(40):
+        sizes = [rng.randint(0, 60) for _ in range(8)]
+        data = np.array([rng.choice([97, 97, 98]) for _ in range(sum(sizes))], np.uint8)
+        offsets = np.cumsum([0, *sizes])
+        (runs,) = suffix_dedup.byte_runs(20)(data, offsets)
+        covered = [(d, k) for d, a, z in zip(runs.doc, runs.first, runs.end, strict=True) for k in range(a, z)]
+        assert covered == [(d, k) for d in range(8) for k in range(offsets[d], offsets[d + 1] - 19)]
+        # equal windows have equal anchors at equal places
+        where = defaultdict(set)
+        for a, z, at, h in zip(runs.first, runs.end, runs.at, runs.h, strict=True):
+            for k in range(a, z):
+                where[data[k : k + 20].tobytes()].add((at - k, int(h)))
+        assert all(len(v) == 1 for v in where.values())

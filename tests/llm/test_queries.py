@@ -1,0 +1,46 @@
+"""The registered queries of the training-data operators against their SQL, and the pipeline end to end."""
+
+import pytest
+from oracle import both
+
+import corpus_pipeline
+from curata.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query(spark, name):
+    ours, theirs = both(spark, SF, queries.queries()[name], queries.oracle_sql()[name])
+    assert ours == theirs
+
+
+def test_leaks_and_licenses_by_containment(spark):
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    got = {(r["doc_id"], r["item_id"]) for r in queries.queries()["op6_decontamination"](spark, SF).collect()}
+    assert got >= {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = [docs.count()]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = corpus_pipeline.written(stage(spark, docs, SF), f"test-{k}")
+        counts.append(docs.count())
+        if k < 4:
+            assert docs.columns == corpus_pipeline.COLUMNS
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.5 * counts[0]
+    assert docs.where("not round_trip").count() == 0
+    run = corpus_pipeline.run(spark, SF)
+    assert run.exceptAll(docs.select(run.columns)).isEmpty() and run.count() == counts[-1]
+
+
+def test_stages_on_odd_rows(spark):
+    text = "Plain words make this line, and it ends as it should.\n" * 2 + " ".join(f"word{i}" for i in range(80)) + "."
+    rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, None, None, None, None), (3, "", "en", "s", 0), (None, text + " more", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = docs.selectExpr("*", "1 as kept", "2 as component_id", "3 as n_lines")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = corpus_pipeline.written(stage(spark, docs, SF), f"odd-{k}")
+    assert sorted(r["doc_id"] or 0 for r in docs.collect()) == [0, 1]
