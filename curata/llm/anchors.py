@@ -126,7 +126,14 @@ def shared_anchors(rows: DataFrame, of: Callable, by_doc: bool, name: str) -> Da
 
     rows: doc (not null), text. of(data, offsets): the runs of a batch, and whatever the caller needs besides.
     """
-    keys = rows.select("doc", "text").mapInArrow(_keys(of), "h bigint, doc bigint")
+    shared = repeated_keys(rows.select("doc", "text").mapInArrow(_keys(of), "h bigint, doc bigint"), by_doc, name)
+    hot = shared.groupBy("h").agg(F.count("*").alias("runs")).where(F.col("runs") > HOT_RUNS).select("h", F.lit(True).alias("is_hot"))
+    flagged = shared.distinct().join(hot, "h", "left")
+    return flagged.groupBy("doc").agg(F.collect_list("h").alias("shared"), F.collect_list(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
+
+
+def repeated_keys(keys: DataFrame, by_doc: bool, name: str) -> DataFrame:
+    """The rows (h, doc: bigint) of hashes that occur twice, or in two documents."""
     found = written(keys.repartitionByRange("h", "doc").sortWithinPartitions("h", "doc").mapInArrow(_repeated(by_doc), "h bigint, doc bigint, open boolean"), name)
     sure = found.where("not open").select("h", "doc")
     waiting = found.where("open").select("h", "doc")  # two hashes of a partition at most
@@ -134,10 +141,7 @@ def shared_anchors(rows: DataFrame, of: Callable, by_doc: bool, name: str) -> Da
     there = sure.join(edges, "h", "left_semi").select("h").distinct().withColumn("n", F.lit(2).cast("bigint"))
     n = F.when(F.min("doc") < F.max("doc"), 2).otherwise(1).cast("bigint") if by_doc else F.count("*")
     over = waiting.groupBy("h").agg(n.alias("n")).unionByName(there).groupBy("h").agg(F.max("n").alias("n")).where("n >= 2").select("h")
-    shared = sure.unionByName(waiting.join(F.broadcast(over), "h", "left_semi").select("h", "doc"))
-    hot = shared.groupBy("h").agg(F.count("*").alias("runs")).where(F.col("runs") > HOT_RUNS).select("h", F.lit(True).alias("is_hot"))
-    flagged = shared.distinct().join(hot, "h", "left")
-    return flagged.groupBy("doc").agg(F.collect_list("h").alias("shared"), F.collect_list(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
+    return sure.unionByName(waiting.join(F.broadcast(over), "h", "left_semi").select("h", "doc"))
 
 
 def packed(text: bytes) -> bytes:

@@ -4,8 +4,11 @@ Documents link if 100 * intersection >= percent * union of their sets of distinc
 are one class from the start. The rest is candidate search, a join within candidate groups, and components:
 
 1. A sketch of fixed size counts all shingles; rarest first, it gives one global order. Two sets that link share one of
-   their first n - ceil(percent * n) + 1 shingles in any common order (prefix filter).
-2. Documents that share such a shingle, directly or in a chain, form a candidate group; links never cross groups.
+   their first p = n - ceil(percent * n) + 1 shingles in any common order, and k + 1 of their first p + k. With k an
+   eighth of n (four at least), a document that shares too few of its own first p + k with any others has no link.
+2. What is left of a document's p + k shingles is dealt into k rounded down to a power of two parts by hash, so two of
+   the k + 1 that a linked pair shares are in one part (for all k that a pair can have). Documents that share a pair of
+   shingles of one part, directly or in a chain, form a candidate group; links never cross groups.
 3. Within a group, sets go into a tree, commonest shingle first, one after the other; each first traverses the tree with
    its overlap so far, shared by all sets below a node. A subtree is left if what remains of the query and of the
    longest set below can't reach the overlap that the smallest set below needs, or if all sets below are linked with
@@ -29,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curata.llm.anchors import repeated_keys
 from curata.llm.common import RunHashes, lower_ascii, mixed, pieces, small_batches, text_buffer, words_of, written
 from curata.llm.components import Union, components
 
@@ -101,9 +105,54 @@ def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.minimum(x, (1 << 32) - 1).astype("<u4").tobytes() for x in sums.values()], pa.binary())], names=["slice", "counts"])
 
 
-def prefix_size(n, percent: int):
-    """How many of the first of n ordered shingles hold one that a linked set shares."""
-    return n - -(-percent * n // 100) + 1
+def extra(n: int) -> int:
+    """How many shingles more than the prefix filter needs are taken of n; it never falls as n grows."""
+    return max(4, n // 8)
+
+
+def prefix_size(n: int, percent: int) -> int:
+    """How many of the first of n ordered shingles are taken."""
+    return min(n, n - -(-percent * n // 100) + 1 + extra(n))
+
+
+def pair_keys(docs: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, key) of each pair of a document's tokens that are in one part; docs is sorted.
+
+    The smaller set of a linked pair decides the number of parts; it has percent of the size at least.
+    """
+
+    def power(n: np.ndarray) -> np.ndarray:
+        """A power of two below what two sets share at least, of which the smaller has n shingles."""
+        shared = np.minimum(np.maximum(4, n // 8) + 1, -(-percent * n // 100))  # as in extra() and least_shared()
+        return 1 << np.floor(np.log2(np.maximum(1, shared - 1))).astype(np.int64)
+
+    most, least = power(sizes), power(-(-percent * sizes // 100))
+    out_docs, out_keys = [], []
+    parts = least
+    while True:
+        part = (mixed(tokens) >> np.uint64(40)).astype(np.int64) & (parts - 1)
+        order = np.lexsort((tokens, part, docs))
+        d, p, t, q = docs[order], part[order], tokens[order], parts[order].astype(np.uint64)
+        shift = 1
+        while shift < len(d):
+            same = np.flatnonzero((d[shift:] == d[:-shift]) & (p[shift:] == p[:-shift]))
+            if len(same) == 0:
+                break
+            with np.errstate(over="ignore"):
+                out_keys.append(mixed(mixed(t[same] + q[same]) + t[same + shift]))
+            out_docs.append(d[same])
+            shift += 1
+        more = parts < most
+        if not more.any():
+            break
+        docs, tokens, parts, most = docs[more], tokens[more], 2 * parts[more], most[more]
+    none = np.zeros(0, np.uint64)
+    return np.concatenate(out_docs or [docs[:0]]), np.concatenate(out_keys or [none])
+
+
+def least_shared(n: int, percent: int) -> int:
+    """How many of them a linked set shares at least: a linked set has percent of n shingles or more."""
+    return min(extra(-(-percent * n // 100)) + 1, -(-percent * n // 100))
 
 
 # ---------------------------------------------------------------- the tree
@@ -257,18 +306,38 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
         counts, mask = sketch.value, np.uint64((1 << SKETCH_BITS) - 1)
         for batch in batches:
             for b in pieces(batch, "text"):
-                lists = []
+                lists, needs, sizes = [], [], []
                 for x in shingle_sets(*text_buffer(b.column(1)), shingle):
                     order = np.lexsort((x, counts[(x & mask).astype(np.int64)]))
                     lists.append(x[order[: prefix_size(len(x), percent)]].view(np.int64) if len(x) else np.zeros(0, np.int64))
+                    needs.append(least_shared(len(x), percent))
+                    sizes.append(len(x))
                 offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))
-                yield pa.RecordBatch.from_arrays([b.column(0), tokens], names=["doc", "tokens"])
-
-    firsts = rows.where("doc is not null").mapInArrow(prefixes, "doc bigint, tokens array<bigint>").join(equal.select("doc"), "doc", "left_semi")
-    tokens = written(firsts.select("doc", F.explode("tokens").alias("token")), "jaccard-prefixes")
-    shared = tokens.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least <> most").select("token", "least")
-    meets = written(tokens.join(shared, "token").select("token", "doc", "least"), "jaccard-candidates")
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(needs, pa.int32()), pa.array(sizes, pa.int32()), tokens], names=["doc", "need", "size", "tokens"])
+
+    firsts = rows.where("doc is not null").mapInArrow(prefixes, "doc bigint, need int, size int, tokens array<bigint>")
+    firsts = written(firsts.join(equal.select("doc"), "doc", "left_semi").dropDuplicates(["doc"]), "jaccard-prefixes")
+    meets = repeated_keys(firsts.select(F.explode("tokens").alias("h"), "doc"), True, "jaccard-shared")
+    needs = firsts.select("doc", "need")
+    for k in range(2):  # who shares too little goes, and with it what it alone shared with others
+        enough = meets.groupBy("doc").agg(F.count("*").alias("n")).join(needs, "doc").where("n >= need").select("doc")
+        left = meets.select("h", "doc").join(enough, "doc", "left_semi")
+        shared = left.groupBy("h").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("h")
+        meets = written(left.join(shared, "h", "left_semi").select("h", "doc"), f"jaccard-candidates-{k}")
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(1)
+            counts = np.diff(lists.offsets.to_numpy())
+            docs, keys = pair_keys(np.repeat(np.arange(b.num_rows), counts), lists.flatten().to_numpy().view(np.uint64), np.repeat(b.column(2).to_numpy().astype(np.int64), counts), percent)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(docs)), pa.array(keys.view(np.int64))], names=["doc", "token"])
+
+    left = meets.groupBy("doc").agg(F.collect_list("h").alias("hs")).join(firsts.select("doc", "size"), "doc")
+    keys = left.select("doc", "hs", "size").mapInArrow(paired, "doc bigint, token bigint").distinct()
+    both = written(keys, "jaccard-pairs")
+    shared = both.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("token", "least")
+    meets = written(both.join(shared, "token").select("token", "doc", "least"), "jaccard-meets")
     groups = components(meets.select(F.col("doc").alias("a"), F.col("least").alias("b")), "jaccard-groups")
     members = groups.select(F.col("node").alias("doc"), F.col("component").alias("grp"))
     members = members.unionByName(members.select(F.col("grp").alias("doc"), "grp").distinct())
