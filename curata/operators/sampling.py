@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from curata.operators.storage import fixed
 
 #: A sample is a few rows for people to look at; a larger one is a mistake.
 LARGEST_SAMPLE = 100_000
@@ -21,10 +22,13 @@ def sample_places(n: int, size: int, seed: int) -> list[int]:
 
 def with_ordinal(df: DataFrame, order: list[str], name: str = "ord") -> DataFrame:
     """df with a dense ordinal by `order`, from range partitions and their sizes: no task sees all rows."""
-    spark = df.sparkSession
-    sorted_df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)])
-    return spark.createDataFrame(sorted_df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), schema)
+    place = F.monotonically_increasing_id()  # a partition's number, then 33 bits of the place in it
+    placed = fixed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place))
+    part, row = F.call_function("shiftright", F.col("_place"), F.lit(33)), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))  # a row a partition
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    joined = placed.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return joined.select(*df.columns, (F.col("_before") + row).alias(name))
 
 
 def seeded_sample(df: DataFrame, ordinal: str, n: int, size: int, seed: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import fields, identity, nested, redact, text
 from curata.operators import audit, media, report, sampling, transform, validate
+from curata.operators.storage import shared_dir
 from curata.streaming import resumable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -585,14 +586,6 @@ def media_resolve(spark, sf_dir):
 # ---------------------------------------------------------------- the resumable map
 
 
-def _shared(spark) -> str:
-    """The folder that all executors share; Spark's own setting, or a temporary one where it is unset."""
-    import tempfile
-
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (found or "file://" + tempfile.mkdtemp(prefix="curata-shared-")).rstrip("/")
-
-
 def refuse_errors(source: dict, result: dict | None) -> list[str]:
     """The default check, and as a service would, no error events."""
     return transform.problems(source, result) + ["refused"] * (source.get("question") == "error")
@@ -604,7 +597,7 @@ def resumable_map(spark, sf_dir):
     """The map as a stream that takes what is new: accepted rows and dead letters of one run over all events."""
     schema = table(spark, sf_dir, "events").schema
     prepare = lambda df: df.select(F.col("event_id").alias("ord"), F.col("event_id").cast("string").alias("source_id"), F.create_map(F.lit("question"), F.col("event_type")).alias("text_fields"))
-    out = f"{_shared(spark)}/curata/resumable-{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/curata/resumable-{uuid.uuid4().hex}"
     resumable.run_available(spark, f"{sf_dir}/events.parque[t]", schema, prepare, out, f"{out}/checkpoint", check=refuse_errors, batch_size=64)
     rows = spark.read.schema(transform.OUTPUT).parquet(f"{out}/all")
     return rows.select("ord", "ok", "text_fields", F.array_join("errors", "|").alias("errors"))
