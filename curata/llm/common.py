@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step of a Python operator works on; it bounds the memory of a worker.
 CHUNK_BYTES = 2 << 20
@@ -37,10 +36,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet into the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/curata/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Deletes the intermediate tables of this process, once no result that reads them is needed."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows of an Arrow batch, so that texts of many KB stay within a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -170,15 +180,6 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def as_partitions(df: DataFrame, name: str) -> int:
-    """The number of shuffle partitions of this session, for explicit repartitioning."""
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-def empty_text(column: str = "text"):
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
-
-
 _SUBSTITUTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
 
 
