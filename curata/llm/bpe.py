@@ -29,8 +29,9 @@ from curata.llm.common import pieces, small_batches
 #: Fixed: how byte-level BPE splits a text into words before merging; white space is Unicode's White_Space.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
-#: Entries that a worker keeps of words it has encoded; beyond it starts anew. About 250 bytes each.
-CACHE_WORDS = 1_000_000
+#: Entries that a worker keeps, of words it has encoded and of seams it has judged; beyond them it starts anew. About
+#: 250 bytes each.
+CACHE_WORDS, CACHE_SEAMS = 400_000, 300_000
 
 
 def _latin_words() -> re.Pattern:
@@ -114,7 +115,7 @@ class Bpe:
                 limit, left = left, halves[left][1]
             else:
                 break
-        if len(self.seams) > 1_000_000:
+        if len(self.seams) > CACHE_SEAMS:
             self.seams.clear()
         self.seams[key] = ok
         return ok
@@ -208,9 +209,16 @@ class Bpe:
         return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """All columns of docs, plus token_ids (array of int): the whole text's ids."""
-    return _apply(docs, vocabulary, text, [("token_ids", "array<int>")], lambda bpe, ids, texts: [pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32()))])
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", check: bool = False) -> DataFrame:
+    """All columns of docs, plus token_ids (array of int): the whole text's ids; with check also round_trip (boolean):
+    whether decoding them gives the text back."""
+
+    def columns(bpe: Bpe, ids: list[bytes], texts: list[str]) -> list[pa.Array]:
+        offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
+        return [lists, *([pa.array([bpe.decode(x) == t for x, t in zip(ids, texts, strict=True)])] if check else [])]
+
+    return _apply(docs, vocabulary, text, [("token_ids", "array<int>"), *([("round_trip", "boolean")] if check else [])], columns)
 
 
 def decode(tokens: DataFrame, vocabulary: str, ids: str = "token_ids") -> DataFrame:
