@@ -24,7 +24,9 @@ def _with_text(docs: DataFrame, text: str) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail the rules go, and documents that are rejected."""
     judged = quality.judged(docs.select(*COLUMNS))
-    return _with_text(judged.where("kept"), "clean_text")
+    # a list of one text or none: a filter on `kept` would be pushed down and work all rules out again
+    left = judged.select("doc_id", "lang", "source", "n_chars", F.explode(F.when(F.col("kept"), F.array("clean_text"))).alias("text"))
+    return _with_text(left, "text")
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +52,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether decoding them gives the text back."""
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), default_vocabulary())
-    decoded = bpe.decode(encoded, default_vocabulary())
-    return decoded.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"), "token_ids")
+    done = bpe.encode(docs.select("doc_id", "lang", "source", "text"), default_vocabulary(), check=True)
+    return done.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "round_trip", "token_ids")
 
 
 STAGES = [
