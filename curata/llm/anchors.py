@@ -20,12 +20,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import pieces, text_buffer, written
+from curata.llm.common import RunHashes, pieces, text_buffer, written
 
 #: Bytes of text of one step; each byte takes about a hundred bytes of arrays.
 STEP_BYTES = 1 << 20
-#: Runs of one anchor that a single task searches; the windows of a more frequent one are dealt by their own hashes.
-HOT_RUNS = 4096
+#: Runs of one anchor that a single task searches, about 5 MB of text; those of a more frequent one are dealt by hashes.
+HOT_RUNS = 1 << 14
 
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -144,8 +144,35 @@ def repeated_keys(keys: DataFrame, by_doc: bool, name: str) -> DataFrame:
     return sure.unionByName(waiting.join(F.broadcast(over), "h", "left_semi").select("h", "doc"))
 
 
-def packed(text: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(text)
+#: Equal runs of a hot anchor in one text: hashes of a whole run, their places, what they cover, hashes of one's windows.
+HOT_SCHEMA = "p1 bigint, p2 bigint, doc bigint, n int, places array<bigint>, spans array<struct<first:bigint,end:bigint>>, windows array<struct<a:bigint,b:bigint>>"
+
+
+def hashed_runs(k: np.ndarray, found: Runs, row: np.ndarray, docs: pa.Array, keys: np.ndarray, base: np.ndarray, window: int, one: RunHashes, two: RunHashes) -> pa.RecordBatch:
+    """Rows of HOT_SCHEMA for the runs k; base: where their texts start."""
+    first, n = found.first[k], found.end[k] - found.first[k]
+    p1, p2 = (h.of(first, first + n - 1 + window) for h in (one, two))
+    order = np.lexsort((first, p2, p1, row[k]))
+    r, a, b, size = row[k][order], p1[order], p2[order], n[order]
+    place = (first - base)[order]
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    start = np.flatnonzero(new)
+    apart = new.copy()  # runs of one row that touch are one span
+    apart[1:] |= place[1:] > place[:-1] + size[:-1] - 1 + window
+    begin = np.flatnonzero(apart)
+    last = np.append(begin[1:], len(r)) - 1
+    upper = keys[r] << 32
+    lists = lambda at, values: pa.ListArray.from_arrays(pa.array(np.append(at, len(values)).astype(np.int32)), values)
+    spans = pa.StructArray.from_arrays([pa.array((upper | place)[begin]), pa.array((upper | (place + size - 1 + window))[last])], names=["first", "end"])
+    head, many = first[order][start], size[start]
+    each = np.repeat(head - np.cumsum(many) + many, many) + np.arange(many.sum())
+    pairs = pa.StructArray.from_arrays([pa.array(h.of(each, each + window).view(np.int64)) for h in (one, two)], names=["a", "b"])
+    columns = [
+        pa.array(a[start].view(np.int64)), pa.array(b[start].view(np.int64)), docs.take(pa.array(r[start])), pa.array(many.astype(np.int32)),
+        lists(start, pa.array(upper | place)), lists(np.searchsorted(begin, start), spans), lists(np.cumsum(many) - many, pairs),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["p1", "p2", "doc", "n", "places", "spans", "windows"])
 
 
 def unpacked(data: bytes) -> bytes:

@@ -12,7 +12,8 @@ hash, so equal strings meet in one task. There, blocks of a few MB are sorted wi
 - Neighbours in a sorted bucket repeat each other if `window` bytes are equal, which ranks of two overlapping cover texts
   and the bytes at both ends tell exactly.
 
-An anchor with very many runs has no block: its windows are compared by 128-bit hashes, aggregated before the shuffle.
+An anchor with very many runs has no block: equal runs are found by 128-bit hashes, aggregated before the shuffle, and
+the windows of different runs likewise.
 
 A null text is empty. Rows are places of their own: a repeated row of `window` bytes or more is removed whole, in each.
 Results are by (doc_id, text). Texts are taken whole; an empty table gives an empty result.
@@ -64,16 +65,16 @@ class Cover:
         new = np.zeros(len(at), bool)
         for w in words:
             new[1:] |= w[order][1:] != w[order][:-1]
-        ranks = np.zeros(len(self.text), np.int64)
+        ranks = np.zeros(len(self.text), np.int32)
         ranks[at[order]] = np.cumsum(new) + 1
         self.reach, self.rank = [PERIOD], [ranks]
         while self.reach[-1] < window:
             step, before = self.reach[-1], self.rank[-1]
-            _, inverse = np.unique(before[at] * (len(at) + 2) + before[np.minimum(at + step, len(before) - 1)], return_inverse=True)
-            ranks = np.zeros(len(self.text), np.int64)
-            ranks[at] = inverse + 1
-            self.reach.append(2 * step)
-            self.rank.append(ranks)
+            pairs = before[at].astype(np.int64) * (len(at) + 2) + before[np.minimum(at + step, len(before) - 1)]
+            ranks = np.zeros(len(self.text), np.int32)
+            ranks[at] = np.unique(pairs, return_inverse=True)[1] + 1
+            # two lengths are used: the first to cover the window, and the one before
+            self.reach, self.rank = [step, 2 * step], [before, ranks]
 
     def head(self, at: np.ndarray, size: int) -> list[np.ndarray]:
         """The first `size` bytes at places, as numbers that sort like them."""
@@ -95,7 +96,7 @@ class Cover:
         if len(a) == 0:
             return np.zeros(0, bool)
         skip = int(self.offset[a[0] % PERIOD])
-        level = max(i for i, r in enumerate(self.reach) if r + PERIOD <= size)
+        level = max((i for i, r in enumerate(self.reach) if r + PERIOD <= size), default=0)
         reach, rank = self.reach[level], self.rank[level]
         out = np.ones(len(a), bool)
         for x, y in zip(self.head(a, skip), self.head(b, skip), strict=True):
@@ -144,7 +145,7 @@ def repeats(texts: list[bytes], leads: list[int], window: int) -> list[list[tupl
 
 
 def _emit(window: int, hot: bool):
-    """Runs of shared anchors: (h, doc, place, lead, piece), or for hot ones (w1, w2, doc, place) of each window."""
+    """Runs of shared anchors: (h, doc, place, lead, piece), or for hot ones what anchors.HOT_SCHEMA has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = byte_runs(window)
@@ -167,12 +168,7 @@ def _emit(window: int, hot: bool):
                 base = offsets[found.doc[k]]
                 if hot:
                     for part in np.array_split(k, max(1, len(k) // 2000)):
-                        base = offsets[found.doc[part]]
-                        n = found.end[part] - found.first[part]
-                        place = np.repeat(found.first[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                        w1, w2 = RunHashes(data).of(place, place + window), RunHashes(second_values(data)).of(place, place + window)
-                        packed = (keys[np.repeat(row[part], n)] << 32) | (place - np.repeat(base, n))
-                        yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), docs.take(pa.array(np.repeat(row[part], n))), pa.array(packed)], names=["w1", "w2", "doc", "place"])
+                        yield anchors.hashed_runs(part, found, row, docs, keys, offsets[found.doc[part]], window, RunHashes(data), RunHashes(second_values(data)))
                 else:
                     raw = data.tobytes()
                     text = [raw[s:e] for s, e in zip(found.first[k].tolist(), (found.end[k] + window - 1).tolist(), strict=True)]
@@ -235,10 +231,18 @@ def spans(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     found = dealt.mapInArrow(_blocks(window), "doc bigint, first bigint, end bigint")
     busy = joined.where(F.size("hot") > 0)
     if not busy.isEmpty():
-        windows = written(busy.mapInArrow(_emit(window, True), "w1 bigint, w2 bigint, doc bigint, place bigint"), "suffix-hot")
-        twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-        more = windows.join(twice, ["w1", "w2"])
-        found = found.unionByName(more.select("doc", F.col("place").alias("first"), (F.col("place") + window).alias("end")))
+        runs = written(busy.mapInArrow(_emit(window, True), anchors.HOT_SCHEMA), "suffix-hot")
+        # equal runs go whole; of a run that is alone, the windows that another run holds
+        runs = runs.withColumn("place", F.col("places")[0])
+        kinds = runs.groupBy("p1", "p2").agg(F.sum(F.size("places")).alias("runs"), F.min(F.struct("doc", "place")).alias("one"))
+        twice = kinds.where("runs > 1").select("p1", "p2")
+        whole = runs.select("p1", "p2", "doc", "spans").join(twice, ["p1", "p2"], "left_semi")
+        whole = whole.select("doc", F.explode("spans").alias("s")).select("doc", "s.first", "s.end")
+        ones = kinds.select("p1", "p2", F.col("one.doc").alias("doc"), F.col("one.place").alias("place"), (F.col("runs") == 1).alias("alone"))
+        own = runs.join(ones, ["p1", "p2", "doc", "place"]).select("doc", "place", "alone", F.posexplode("windows").alias("i", "w"))
+        again = own.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
+        more = own.where("alone").join(again, "w", "left_semi").select("doc", (F.col("place") + F.col("i")).alias("first"), (F.col("place") + F.col("i") + window).alias("end"))
+        found = found.unionByName(whole).unionByName(more)
     return joined.select("doc", "row_key", "z"), found
 
 
