@@ -7,7 +7,8 @@ none. A factor of `window` words or more is a duplicate span; at its end, the wi
 are looked up too, so windows that two references hold together are found. Then the document's own new windows are
 indexed, once it is complete: repetition inside one document removes nothing.
 
-An anchor with very many runs has no block: its windows are compared by 128-bit hashes, aggregated before the shuffle.
+An anchor with very many runs has no block: equal runs are found by 128-bit hashes, aggregated before the shuffle, and
+the windows of different runs likewise.
 
 Words are runs of bytes other than ASCII white space, compared as 64-bit hashes. A null text has no words. Rows without
 doc_id are neither searched nor a reference. Rows are told apart by (doc_id, text); rows with one doc_id are one
@@ -78,7 +79,7 @@ class Block:
 
 
 def _emit(window: int, hot: bool):
-    """Runs of shared anchors: (h, doc, place, piece), or for hot ones (w1, w2, doc, place) of each window."""
+    """Runs of shared anchors: (h, doc, place, piece), or for hot ones what anchors.HOT_SCHEMA has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = word_runs(window)
@@ -100,12 +101,7 @@ def _emit(window: int, hot: bool):
                     continue
                 base = at[found.doc[k]]
                 if hot:
-                    n = found.end[k] - found.first[k]
-                    place = np.repeat(found.first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    w1 = RunHashes(words).of(place, place + window)
-                    w2 = RunHashes(mixed(words ^ np.uint64(0x5851F42D4C957F2D))).of(place, place + window)
-                    packed = (keys[np.repeat(row[k], n)] << 32) | (place - np.repeat(base, n))
-                    yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), docs.take(pa.array(np.repeat(row[k], n))), pa.array(packed)], names=["w1", "w2", "doc", "place"])
+                    yield anchors.hashed_runs(k, found, row, docs, keys, base, window, RunHashes(words), RunHashes(mixed(words ^ np.uint64(0x5851F42D4C957F2D))))
                 else:
                     raw = data.tobytes()
                     text = [raw[s:e] for s, e in zip(start[found.first[k]].tolist(), end[found.end[k] + window - 2].tolist(), strict=True)]
@@ -147,10 +143,16 @@ def spans(rows: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     found = dealt.mapInArrow(_factored(window), "doc bigint, first bigint, end bigint")
     busy = joined.where(F.size("hot") > 0)
     if not busy.isEmpty():
-        windows = written(busy.mapInArrow(_emit(window, True), "w1 bigint, w2 bigint, doc bigint, place bigint"), "substring-hot")
-        least = windows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("w1", "w2", "least")
-        more = windows.join(least, ["w1", "w2"]).where(F.col("doc") > F.col("least"))
-        found = found.unionByName(more.select("doc", F.col("place").alias("first"), (F.col("place") + window).alias("end")))
+        runs = written(busy.mapInArrow(_emit(window, True), anchors.HOT_SCHEMA), "substring-hot")
+        # a run that a smaller document holds word for word goes whole; of the others, window by window
+        first = runs.groupBy("p1", "p2").agg(F.min("doc").alias("least"))
+        placed = runs.select("p1", "p2", "doc", "spans").join(first, ["p1", "p2"])
+        whole = placed.where("doc > least").select("doc", F.explode("spans").alias("s")).select("doc", "s.first", "s.end")
+        own = runs.join(first.withColumnRenamed("least", "doc"), ["p1", "p2", "doc"], "left_semi").select("doc", "places", F.posexplode("windows").alias("i", "w"))
+        least = own.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("w", "least")
+        more = own.join(least, "w").where(F.col("doc") > F.col("least")).select("doc", "i", F.explode("places").alias("place"))
+        more = more.select("doc", (F.col("place") + F.col("i")).alias("first"), (F.col("place") + F.col("i") + window).alias("end"))
+        found = found.unionByName(whole).unionByName(more)
     return joined.select("doc", "row_key", "z"), found
 
 
