@@ -5,9 +5,14 @@ anchors; the longest increasing subsequence of their places is kept, and the gap
 same way, after equal words at both ends of a gap are paired. Coverage is the share of the template's words that are
 paired.
 
-A region starts where a telling word of the template occurs and ends before such a word repeats or after a long gap,
-so a notice that a text holds twice is found twice. A document is aligned only if it holds enough of the template's
-words at all, which is counted for a whole batch at once; that bound loses nothing, since a pair needs its word.
+Where to align is found first. Cores are the most ranges without overlap that hold enough of the template's words in
+order (a longest common subsequence, by bits of one integer) and are at most twice as long as the template, each the
+shortest that ends where it does; so telling words before, in or after a notice hide nothing, and a notice that a text
+holds twice is found twice. Each core is aligned with the words around it, then alone, and by its common subsequence
+where too few words are unique for patience. A notice with more words of other text in between is sought in regions: a
+region starts where a telling word of the template occurs and ends before such a word repeats or after a long gap.
+A document is aligned only if it holds enough of the template's words at all, which is counted for a whole batch at
+once; that bound loses nothing, since a pair needs its word.
 
 A null or empty text has no licence. Rows are scanned one by one: repeated rows repeat their results. Texts are read
 whole; memory is bounded by a batch's bytes. An empty table gives no rows. Further columns are not read.
@@ -15,6 +20,7 @@ whole; memory is bounded by a batch's bytes. An empty table gives no rows. Furth
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -133,6 +139,89 @@ def regions(ids: Sequence[int], telling: Counter, span: int) -> Iterator[tuple[i
         yield max(floor, first - span), min(len(ids), last + span)
 
 
+def bits_of(template: Sequence[int]) -> dict[int, int]:
+    """The places of each word of the template, as bits."""
+    out: dict[int, int] = {}
+    for j, x in enumerate(template):
+        out[x] = out.get(x, 0) | 1 << j
+    return out
+
+
+def reach(ids: Sequence[int], places: range, bits: dict[int, int], size: int, least: int) -> int:
+    """The first of the places by which ids and the template have a common subsequence of `least`, or -1."""
+    full = (1 << size) - 1
+    v, length = full, 0
+    for i in places:
+        m = bits.get(ids[i])
+        if m is None:
+            continue
+        u = v & m
+        total = v + u
+        length += total >> size
+        v = (total | (v - u)) & full
+        if length >= least:
+            return i
+    return -1
+
+
+def cores(ids: Sequence[int], template: Sequence[int], least: int) -> Iterator[tuple[int, int]]:
+    """The most ranges without overlap, of at most twice the template's words, that have `least` in order in common."""
+    span = len(template)
+    ahead, back = bits_of(template), bits_of(template[::-1])
+    a = 0
+    while a < len(ids):
+        # three template lengths hold every such range that starts in the first of them
+        start, end = a, min(len(ids), a + 3 * span)
+        a += span
+        while (last := reach(ids, range(start, end), ahead, span, least)) >= 0:
+            first = reach(ids, range(last, start - 1, -1), back, span, least)
+            if last - first < 2 * span:
+                yield first, last + 1
+                a = last + 1
+                break
+            start = first + 1
+
+
+def common(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
+    """Pairs (place in text, place in template) of a longest common subsequence."""
+    rows = [[0] * (len(template) + 1)]
+    for x in reversed(text):
+        below, row = rows[-1], [0] * (len(template) + 1)
+        for j in range(len(template) - 1, -1, -1):
+            row[j] = below[j + 1] + 1 if x == template[j] else max(below[j], row[j + 1])
+        rows.append(row)
+    rows.reverse()
+    out, i, j = [], 0, 0
+    while i < len(text) and j < len(template):
+        if text[i] == template[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif rows[i + 1][j] >= rows[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def found_in(ids: Sequence[int], telling: Counter, template: Sequence[int], least: int) -> Iterator[list[tuple[int, int]]]:
+    """The pairs of each place where at least `least` of the template's words are in order."""
+    span = len(template)
+    held = list(cores(ids, template, least))
+    for k, (start, end) in enumerate(held):
+        before = max(held[k - 1][1] if k else 0, start - span)
+        after = min(held[k + 1][0] if k + 1 < len(held) else len(ids), end + span)
+        most: list[tuple[int, int]] = []
+        for x, y in ((before, after), (start, after), (before, end), (start, end)):
+            if len(most) < span:
+                pairs = align(ids[x:y], template)
+                most = [(x + i, j) for i, j in pairs] if len(pairs) > len(most) else most
+        yield most if len(most) >= least else [(start + i, j) for i, j in common(ids[start:end], template)]
+    for a, b in regions(ids, telling, span):
+        pairs = align(ids[a:b], template)
+        if len(pairs) >= least and all(a + pairs[-1][0] < start or end <= a + pairs[0][0] for start, end in held):
+            yield [(a + i, j) for i, j in pairs]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float) -> None:
         self.least, self.names = least, list(templates)
@@ -167,11 +256,9 @@ class Scanner:
             for r in np.flatnonzero(np.minimum(held, self.counts[t]).sum(axis=1) >= need).tolist():
                 text = ids[at[r] : at[r + 1]].tolist()
                 best, found = (0, 0, 0), 0
-                for a, b in regions(text, telling, len(template)):
-                    pairs = align(text[a:b], template)
-                    if len(pairs) >= need:
-                        found += 1
-                        best = max(best, (len(pairs), -(a + pairs[0][0]), a + pairs[-1][0] + 1))
+                for pairs in found_in(text, telling, template, max(1, math.ceil(need - 1e-9))):
+                    found += 1
+                    best = max(best, (len(pairs), -pairs[0][0], pairs[-1][0] + 1))
                 if found:
                     yield r, t, best[0], -best[1], best[2], found
 

@@ -309,6 +309,54 @@ def test_licenses(spark):
     assert got[3, "apache-2.0-notice"][0] == 2 and got[8, "all-rights-reserved"] == (1, 20_003)
 
 
+def license_rows(spark, texts):
+    return {(r["doc_id"], r["license"]): r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+
+
+def test_licenses_after_telling_words(spark):
+    names = list(license_scan.TEMPLATES)
+    notices = [license_scan.TEMPLATES[n] for n in names]
+    leads = ["Copyright (c) 2020 Jane Doe\n", "MIT License. This software, its license and copyright notice: the Software Foundation. ", "Licensed, the License. "]
+    texts = [lead + notice for lead in leads for notice in notices] + [notices[5][:200] + " (the software, a copy, the license) " + notices[5][200:]]
+    got = license_rows(spark, texts)
+    for i, text in enumerate(texts):
+        name = names[i % len(names)] if i < 3 * len(names) else names[5]
+        template = license_scan.words(license_scan.TEMPLATES[name])
+        row = got[i, name]
+        assert row["n_paired"] >= len(license_scan.align(license_scan.words(text), template)) and row["n_found"] >= 1
+        if i < 3 * len(names):
+            assert row["n_paired"] == len(template), (name, text)
+
+
+def brute_common(text, template):
+    best = [0] * (len(template) + 1)
+    for x in text:
+        before = best[:]
+        for j, y in enumerate(template):
+            best[j + 1] = before[j] + 1 if x == y else max(before[j + 1], best[j])
+    return best[-1]
+
+
+def test_license_cores():
+    rng = random.Random(13)
+    for _ in range(300):
+        template = [rng.randrange(6) for _ in range(rng.randint(1, 8))]
+        text = [rng.randrange(8) for _ in range(rng.randint(0, 40))]
+        least = rng.randint(1, len(template))
+        limit, most, a = 2 * len(template), 0, 0  # the range that ends first, again and again
+        for b in range(len(text) + 1):
+            if brute_common(text[max(a, b - limit) : b], template) >= least:
+                most, a = most + 1, b
+        held = list(license_scan.cores(text, template, least))
+        assert len(held) == most and all(x[1] <= y[0] for x, y in zip(held, held[1:], strict=False))
+        assert all(b - a <= limit and brute_common(text[a:b], template) == least > brute_common(text[a + 1 : b], template) for a, b in held)
+        pairs = license_scan.common(text, template)
+        assert len(pairs) == brute_common(text, template) and all(text[i] == template[j] for i, j in pairs)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
+        for pairs in license_scan.found_in(text, Counter(template), template, least):
+            assert len(pairs) >= least and all(text[i] == template[j] for i, j in pairs)
+
+
 def test_block_max_wand():
     rng = random.Random(9)
     items = [(i, " ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.randint(0, 25)))) for i in range(90)]
