@@ -1,17 +1,19 @@
 """Benchmark decontamination: every training passage as a query to a BM25 index of the test items.
 
-Passages are overlapping runs of words, twice as long as the longest item (128 words at least) and starting every half
-length, so that an item's text lies whole in one passage. The index holds, for each word, blocks of (item, impact)
+An item's passages are overlapping runs of words, twice as long as the item (128 words at least) and starting every
+half length, so that its text lies whole in one passage. They are its own: what other items there are changes nothing.
+Items are indexed by classes of length, powers of two. An index is searched with passages that hold every passage of
+its items whole; what is found is judged on the item's own. The index holds, for each word, blocks of (item, impact)
 with the block's largest impact; impacts are BM25's, divided by the item's score against itself, so one threshold
 holds for all items. Block-max WAND finds every item at or over the threshold. Its bound is first taken for a whole
 batch of passages at once: a passage in which the largest impacts of its words add up to the threshold for no block
 of items has no such item, and is not searched.
 What is found counts as a leak if the item's question and its answer (its last sentence, or its last third where
-there is only one) each have least_overlap of their distinct words in the passage.
+there is only one) each have least_overlap of their distinct words in a passage that scores the threshold.
 
 Words are runs of letters and digits with A-Z lower-cased. Items without words match nothing; a null text has no
 words. Repeated items are items of their own. The index goes to executors in blocks of at most BLOCK_BYTES of item
-text, one pass over the documents each, with statistics over all items; so any number of items works.
+text, all its classes in one pass over the documents, with statistics over all items; so any number of items works.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from curata.llm.common import IS_PUNCTUATION, RunHashes, lower_ascii, pieces, sm
 K1, B = 1.2, 0.75
 #: Neighbouring items of a block, and bytes of item text of one index that is sent to the executors.
 BLOCK, BLOCK_BYTES = 4, 1 << 20
+#: Least half length of a passage.
+HALF = 64
 _ENDS = tuple(b".!?\n")
 
 
@@ -50,6 +54,11 @@ def answer_place(text: str, n_words: int, ends: np.ndarray) -> int:
     return n_words - max(1, n_words // 3) if n_words > 1 else 0
 
 
+def length_class(n_words: int) -> int:
+    """The half length of the passages that items of so many words are searched with."""
+    return max(HALF, 1 << max(0, n_words - 1).bit_length())
+
+
 class Index:
     """Blocks of impacts by word, for some of the items; df, count and mean length are of all items."""
 
@@ -57,14 +66,15 @@ class Index:
         self.ids: list[int] = []
         self.question: list[np.ndarray] = []
         self.answer: list[np.ndarray] = []
-        self.longest = 0
+        self.halves: list[int] = []
+        self.own: list[dict[int, float]] = []
         lists: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for item, text in sorted(items):
             raw = np.frombuffer(text.encode(), np.uint8)
             h, _, _, end = hashed_words(raw, np.array([0, len(raw)]))
             if len(h) == 0:
                 continue
-            self.longest = max(self.longest, len(h))
+            self.halves.append(max(HALF, len(h)))
             cut = answer_place(text, len(h), end)
             number = len(self.ids)
             self.ids.append(item)
@@ -74,8 +84,9 @@ class Index:
             norm = K1 * (1 - B + B * len(h) / mean)
             impact = [math.log(1 + (count - df[w] + 0.5) / (df[w] + 0.5)) * f * (K1 + 1) / (f + norm) for w, f in zip(words.tolist(), tf.tolist(), strict=True)]
             total = sum(impact)
-            for w, x in zip(words.tolist(), impact, strict=True):
-                lists[w].append((number, x / total))
+            self.own.append({w: x / total for w, x in zip(words.tolist(), impact, strict=True)})
+            for w, x in self.own[-1].items():
+                lists[w].append((number, x))
         self.words = np.array(sorted(lists), np.uint64)
         self.items = [[i for i, _ in lists[w]] for w in self.words.tolist()]
         self.impacts = [[x for _, x in lists[w]] for w in self.words.tolist()]
@@ -91,6 +102,9 @@ class Index:
         self.blocks = np.array([b for most in self.block_max for b in most], np.int64)
         self.maxima = np.array([x for most in self.block_max for x in most.values()])
         self.n_blocks = len(self.ids) // BLOCK + 1
+        self.half = length_class(max(self.halves, default=0))
+        # a passage holds each own passage that starts in its first half
+        self.n_halves = 2 if all(x == self.half for x in self.halves) else 3
 
     def number(self, h: np.ndarray) -> np.ndarray:
         """The place in `words` of each hash, -1 where there is none."""
@@ -143,19 +157,33 @@ class Index:
             now = sorted(moved + now[pivot + 1 :])
         return out
 
-    def leaks(self, h: np.ndarray, at: np.ndarray, threshold: float, least_overlap: float, half: int) -> Iterator[tuple[int, int, float, float, float]]:
-        """(row, item, score, question overlap, answer overlap) for the best passage of each text and item."""
+    def judge(self, i: int, h: np.ndarray, start: int, end: int, threshold: float, least_overlap: float) -> tuple[float, float, float] | None:
+        """Score, question and answer overlap of item i's best own passage that starts in [start, end) of a text's words."""
+        half, best = self.halves[i], None
+        for a in range(-(-start // half) * half, min(end, len(h)), half):
+            here = np.unique(h[a : a + 2 * half])
+            score = sum(x for w, x in self.own[i].items() if here[min(np.searchsorted(here, np.uint64(w)), len(here) - 1)] == w)
+            if score < threshold - 1e-9:
+                continue
+            question, answer = (float(np.isin(x, here).mean()) if len(x) else 1.0 for x in (self.question[i], self.answer[i]))
+            if question >= least_overlap and answer >= least_overlap:
+                best = max(best or (0.0, 0.0, 0.0), (score, question, answer))
+        return best
+
+    def leaks(self, h: np.ndarray, at: np.ndarray, threshold: float, least_overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
+        """(row, item, score, question overlap, answer overlap) for the best own passage of each text and item."""
+        half = self.half
         numbers = self.number(h)
         known = np.flatnonzero(numbers >= 0)
         if len(known) == 0:
             return
         row = np.searchsorted(at, known, side="right") - 1
         local = (known - at[row]) // half
-        # word i lies in the passages that start at half-lengths i // half and one before
+        # word i lies in the passages that start at half-lengths i // half and one or two before
         stride = int(local.max()) + 2
         first = row * stride + local
-        both = np.concatenate([first, first[local > 0] - 1])
-        key = np.unique(both * len(self.words) + np.concatenate([numbers[known], numbers[known][local > 0]]))
+        both = np.concatenate([first[local >= k] - k for k in range(self.n_halves)])
+        key = np.unique(both * len(self.words) + np.concatenate([numbers[known][local >= k] for k in range(self.n_halves)]))
         passage, word = key // len(self.words), key % len(self.words)
         starts = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
         # the block bound of every passage: each word adds its largest impact to each block that it has items in
@@ -171,12 +199,11 @@ class Index:
             if not found:
                 continue
             r, p = divmod(int(passage[starts[k]]), stride)
-            a = at[r] + p * half
-            here = np.unique(h[a : min(a + 2 * half, at[r + 1])])
-            for i, score in found.items():
-                question, answer = (np.isin(x, here).mean() if len(x) else 1.0 for x in (self.question[i], self.answer[i]))
-                if question >= least_overlap and answer >= least_overlap:
-                    best[r, i] = max(best.get((r, i), (0.0, 0.0, 0.0)), (score, question, answer))
+            text = h[at[r] : at[r + 1]]
+            for i in found:
+                values = self.judge(i, text, p * half, (p + 1) * half, threshold, least_overlap)
+                if values:
+                    best[r, i] = max(best.get((r, i), values), values)
         for (r, i), values in sorted(best.items()):
             yield r, self.ids[i], *values
 
@@ -192,8 +219,8 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sizes)], names=["h", "n"])
 
 
-def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Index]:
-    """Indexes that together hold all items, each over at most block_bytes of text (or one item)."""
+def index_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[Index]]:
+    """Indexes that together hold all items, in blocks of at most block_bytes of text (or one item), one for each class of length."""
     rows = items.select(F.col(item_id).cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     words = rows.select("text").mapInArrow(_item_words, "h bigint, n bigint")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("n") > 0, 1)), F.lit(0)).alias("items")).first()
@@ -207,7 +234,17 @@ def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text", bloc
         held = own.collect()  # block_bytes or so
         own_words = own.select("text").mapInArrow(_item_words, "h bigint, n bigint").select("h").distinct()
         counts = {r["h"] & ((1 << 64) - 1): r["count"] for r in df.join(own_words, "h").collect()}
-        yield Index([(r["id"], r["text"]) for r in held], counts, total["items"], total["n"] / total["items"])
+        by_class: dict[int, list[tuple[int, str]]] = defaultdict(list)
+        for r in held:
+            raw = np.frombuffer(r["text"].encode(), np.uint8)
+            by_class[length_class(len(hashed_words(raw, np.array([0, len(raw)]))[0]))].append((r["id"], r["text"]))
+        yield [Index(by_class[c], counts, total["items"], total["n"] / total["items"]) for c in sorted(by_class)]
+
+
+def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Index]:
+    """The indexes of all blocks."""
+    for block in index_blocks(items, item_id, text, block_bytes):
+        yield from block
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, least_overlap: float = 0.8, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -218,15 +255,14 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, least_overl
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
     out = None
-    for index in indexes(items, item_id, item_text):
-        held = spark.sparkContext.broadcast(index)
-        half = max(64, index.longest)
+    for block in index_blocks(items, item_id, item_text):
+        held = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held, half=half) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for b in pieces(batch, "text"):
                     h, at, _, _ = hashed_words(*text_buffer(b.column(1)))
-                    found = list(held.value.leaks(h, at, threshold, least_overlap, half))
+                    found = [x for index in held.value for x in index.leaks(h, at, threshold, least_overlap)]
                     if found:
                         r, *values = zip(*found, strict=True)
                         kinds = (pa.int64(), pa.float64(), pa.float64(), pa.float64())

@@ -404,6 +404,52 @@ def test_leaks(spark):
     assert len(blocks) > 1 and sorted(i for b in blocks for i in b.ids) == sorted([*range(30), 0])
 
 
+def test_leaks_beside_long_items(spark):
+    rng = random.Random(14)
+    vocabulary = [f"w{k}" for k in range(2000)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    short = [draw(20) for _ in range(12)]
+    long = {100: draw(90), 101: draw(900)}
+    texts = {k: " ".join(x[:14]) + ". " + " ".join(x[14:]) + "." for k, x in enumerate(short)} | {k: " ".join(x[: len(x) // 2]) + ". " + " ".join(x[len(x) // 2 :]) + "." for k, x in long.items()}
+    docs = {}
+    for k, x in enumerate(short):  # the item's words far apart, and the item at some place
+        spread = draw(1600)
+        for j, w in enumerate(x):
+            spread[j * 80] = w
+        docs[k] = " ".join(spread)
+        at = rng.randrange(700)
+        docs[50 + k] = " ".join(draw(at)) + " " + texts[k] + " " + " ".join(draw(700 - at))
+    docs |= {200 + at: " ".join([*draw(at), texts[101], *draw(300)]) for at in (0, 37, 511, 899, 1500)}
+    docs |= {5000 + at: " ".join([*draw(at), texts[100], *draw(40)]) for at in (0, 89, 127, 128, 200)}
+    expected = {(50 + k, k) for k in range(12)} | {(200 + at, 101) for at in (0, 37, 511, 899, 1500)} | {(5000 + at, 100) for at in (0, 89, 127, 128, 200)}
+    table = lambda rows, c: spark.createDataFrame(list(rows.items()), f"{c} bigint, text string")
+    found = decontaminate.leaks(table(docs, "doc_id"), table(texts, "item_id")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected
+    # brute force: each item's own passages
+    index = decontaminate.Index([(k, x) for k, x in texts.items()], *brute_statistics(texts.values()))
+    brute = {}
+    for d, text in docs.items():
+        h = decontaminate.hashed_words(*text_buffer(pa.array([text])))[0]
+        for i, item in enumerate(index.ids):
+            half = max(64, len(words(texts[item])))
+            for a in range(0, len(h), half):
+                here = set(h[a : a + 2 * half].tolist())
+                score = sum(x for w, x in index.own[i].items() if w in here)
+                question, answer = (sum(w in here for w in part.tolist()) / len(part) for part in (index.question[i], index.answer[i]))
+                if score >= 0.6 - 1e-9 and min(question, answer) >= 0.8:
+                    brute[d, item] = max(brute.get((d, item), (0, 0, 0)), (score, question, answer))
+    assert {(r["doc_id"], r["item_id"]): pytest.approx((r["score"], r["question_overlap"], r["answer_overlap"])) for r in found} == brute
+
+
+def brute_statistics(texts):
+    df, total = Counter(), 0
+    for text in texts:
+        h = decontaminate.hashed_words(*text_buffer(pa.array([text])))[0]
+        df.update(set(h.tolist()))
+        total += len(h)
+    return df, len(texts), total / len(texts)
+
+
 def test_bpe(spark):
     from tokenizers import Tokenizer
 
