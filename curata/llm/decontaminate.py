@@ -12,7 +12,7 @@ What is found counts as a leak if the item's question and its answer (its last s
 there is only one) each have least_overlap of their distinct words in a passage that scores the threshold.
 
 Words are runs of letters and digits with A-Z lower-cased. Items without words match nothing; a null text has no
-words. Repeated items are items of their own. The index goes to executors in blocks of at most BLOCK_BYTES of item
+words. Repeated items are items of their own, and so are items with a null item_id. The index goes to executors in blocks of at most BLOCK_BYTES of item
 text, all its classes in one pass over the documents, with statistics over all items; so any number of items works.
 """
 
@@ -69,7 +69,7 @@ class Index:
         self.halves: list[int] = []
         self.own: list[dict[int, float]] = []
         lists: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        for item, text in sorted(items):
+        for item, text in sorted(items, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
             raw = np.frombuffer(text.encode(), np.uint8)
             h, _, _, end = hashed_words(raw, np.array([0, len(raw)]))
             if len(h) == 0:

@@ -404,6 +404,13 @@ def test_leaks(spark):
     assert len(blocks) > 1 and sorted(i for b in blocks for i in b.ids) == sorted([*range(30), 0])
 
 
+def test_leaks_of_items_without_id(spark):
+    texts = ["the first question has some words of its own. and an answer", "what is asked here. nothing at all, it seems"]
+    items = spark.createDataFrame([(None, texts[0]), (7, texts[1]), (None, None), (None, "")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"before {texts[0]} after"), (2, f"before {texts[1]} after"), (3, "neither")], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()} == {(1, None), (2, 7)}
+
+
 def test_leaks_beside_long_items(spark):
     rng = random.Random(14)
     vocabulary = [f"w{k}" for k in range(2000)]
