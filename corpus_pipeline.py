@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from curata.llm import bpe, decontaminate, jaccard, line_dedup, quality
 from curata.llm.common import table, written
 from curata.llm.op9_bpe import default_vocabulary
+from curata.operators import sampling
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -36,18 +37,34 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 of their five-word shingles, the one with the smallest doc_id stays."""
-    classes = jaccard.classes(docs.select("doc_id", "text"), percent=80, shingle=5)
-    others = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(others, "doc_id", "left_anti")
-    named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where(F.col("doc_id").isNull())).select(*COLUMNS)
+    """Of documents linked by 0.8 of their five-word shingles, the one with the smallest doc_id stays.
+
+    Of rows equal in doc_id and text one stays. Rows of one doc_id with different texts are documents of their own; of
+    those that are linked, the first by text stays. Rows without a doc_id stay.
+    """
+    docs = docs.select(*COLUMNS)
+    named = docs.where(F.col("doc_id").isNotNull())
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = named.groupBy("doc_id").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least < most")
+    if several.isEmpty():
+        classes = jaccard.classes(docs.select("doc_id", "text"), percent=80, shingle=5)
+        others = classes.where("doc_id <> component_id").select("doc_id").distinct()
+        kept = named.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    else:
+        # numbers in order of doc_id and text stand in for doc_id
+        texts = named.withColumn("text", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "text"])
+        numbered = written(sampling.with_ordinal(texts, ["doc_id", "text"], "_row"), "pipeline-rows")
+        classes = jaccard.classes(numbered.select("_row", "text"), percent=80, shingle=5, doc_id="_row")
+        others = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_row"))
+        kept = numbered.join(others, "_row", "left_anti")
+    return kept.select(*COLUMNS).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item's question and answer go."""
-    leaks = decontaminate.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"), threshold=0.6, least_overlap=0.8)
-    return docs.select(*COLUMNS).join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold a benchmark item's question and answer go, by their text: doc_id may be null or repeat."""
+    keyed = docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"))
+    leaks = decontaminate.leaks(keyed.select("_text", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"), threshold=0.6, least_overlap=0.8, doc_id="_text")
+    return keyed.join(leaks.select(F.col("doc_id").alias("_text")).distinct(), "_text", "left_anti").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

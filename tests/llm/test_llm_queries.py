@@ -44,3 +44,18 @@ def test_stages_on_odd_rows(spark):
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         docs = corpus_pipeline.written(stage(spark, docs, SF), f"odd-{k}")
     assert sorted(r["doc_id"] or 0 for r in docs.collect()) == [0, 1]
+
+
+def test_repeated_and_missing_ids(spark):
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    text = lambda k: " ".join(f"{k}word{i}" for i in range(60))
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (2, text("b") + " more"), (3, text("a") + " more"), (3, text("c")), (4, text("d")), (None, text("a"))]
+    gone = [(1, text("b")), (2, text("b") + " more"), (3, text("a") + " more")]
+    expected = sorted([r for k, r in enumerate(rows) if r not in gone or k == 1], key=str)
+    assert found(corpus_pipeline.near_duplicates(spark, make(rows), SF)) == expected
+    unique = [(1, text("a")), (1, text("a")), (2, text("a") + " more"), (None, text("a"))]
+    assert found(corpus_pipeline.near_duplicates(spark, make(unique), SF)) == sorted([unique[0], unique[3]], key=str)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null").orderBy("item_id").first()["text"]
+    rows = [(None, "Before. " + item), (None, text("a")), (5, text("b")), (5, item), (6, text("c"))]
+    assert found(corpus_pipeline.decontamination(spark, make(rows), SF)) == sorted([rows[1], rows[2], rows[4]], key=str)
