@@ -7,7 +7,8 @@ along the last tokens.
 
 Results equal those of the `tokenizers` library for byte-level BPE files without normaliser: added special tokens
 are cut out of the text first, as the library does. A null text is empty and has no tokens. Ties, repeated rows and
-extra columns have no effect on a row's result; texts of any length are encoded whole.
+extra columns have no effect on a row's result; texts of any length are encoded whole. A column with the name of a
+result, in any case of letters, is replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from curata.llm.common import pieces, small_batches
+from curata.llm.common import mapped, others, pieces, quoted, small_batches
 
 #: Fixed: how byte-level BPE splits a text into words before merging; white space is Unicode's White_Space.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -224,17 +225,18 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", check: bool = F
 def decode(tokens: DataFrame, vocabulary: str, ids: str = "token_ids") -> DataFrame:
     """All columns of tokens, plus decoded (string): special tokens kept; a null list is null."""
     small_batches(tokens.sparkSession)
-    keep = [c for c in tokens.columns if c != "decoded"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema if f.name in keep), "decoded string"])
+    keep = others(tokens.columns, ["decoded"])
+    schema = ", ".join([*(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in tokens.schema if f.name in keep), "decoded string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.load(vocabulary)
         for b in batches:
-            lists = b.column(b.schema.get_field_index(ids)).to_pylist()
+            lists = b.column(own).to_pylist()
             texts = [None if x is None else bpe.decode(np.array(x, "<u4").tobytes()) for x in lists]
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(texts, pa.string())], names=[*keep, "decoded"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
-    return tokens.mapInArrow(run, schema)
+    own = keep.index(ids)
+    return mapped(tokens.select(*map(quoted, keep)), run, schema)
 
 
 def digests(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
@@ -252,18 +254,17 @@ def digests(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
 def _apply(docs: DataFrame, vocabulary: str, text: str, more: list[tuple[str, str]], columns) -> DataFrame:
     small_batches(docs.sparkSession)
-    names = {n for n, _ in more}
-    keep = [f.name for f in docs.schema if f.name not in names]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep), *(f"{n} {t}" for n, t in more)])
-    source, reads = docs.select(*keep), text
+    keep = others(docs.columns, [n for n, _ in more])
+    schema = ", ".join([*(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name in keep), *(f"{n} {t}" for n, t in more)])
+    source, reads = docs.select(*map(quoted, keep)), keep.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.load(vocabulary)
         gc.disable()  # nothing here makes cycles, and scans of the cache would take a third of the time
         for batch in batches:
             for b in pieces(batch, reads):
-                texts = [x or "" for x in b.column(b.schema.get_field_index(reads)).to_pylist()]
+                texts = [x or "" for x in b.column(reads).to_pylist()]
                 ids = bpe.encode_batch(texts)
-                yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), *columns(bpe, ids, texts)], names=[*keep, *(n for n, _ in more)])
+                yield pa.RecordBatch.from_arrays([*b.columns, *columns(bpe, ids, texts)], names=[*keep, *(n for n, _ in more)])
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)

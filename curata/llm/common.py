@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step of a Python operator works on; it bounds the memory of a worker.
 CHUNK_BYTES = 2 << 20
+#: Rows and bytes of an Arrow batch at most (a single row may be larger).
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 #: Words are runs of characters other than these, as code points and bytes alike (all are ASCII).
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -22,9 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; set here only where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local master gets a folder
+    of its own; on a cluster that is an error, as each executor would write to its own disk."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="curata-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext.getCheckpointDir():
@@ -36,32 +43,80 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet into the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/curata/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN.append(path)
+    out.written_path = path
+    return out
 
 
 _WRITTEN: list[str] = []
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that `written` returned, once everything made from them is written itself."""
+    for t in tables:
+        _WRITTEN.remove(t.written_path)
+        _delete(t.sparkSession, t.written_path)
+
+
 def remove_written(spark: SparkSession) -> None:
     """Deletes the intermediate tables of this process, once no result that reads them is needed."""
     while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _WRITTEN.pop())
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound rows and bytes of an Arrow batch, so that texts of any length stay within a worker's memory.
+
+    These are settings of the session, read when a query runs; lower ones that it has already are left alone."""
+    now = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    if not 0 < int(now) <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+# ---------------------------------------------------------------- column names
+
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bound the rows of an Arrow batch, so that texts of many KB stay within a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """Names like these that no column has; Spark compares names without case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+
+def others(columns: Iterable[str], results: Iterable[str]) -> list[str]:
+    """The columns that don't have the name of a result, whatever the case."""
+    taken = {r.lower() for r in results}
+    return [c for c in columns if c.lower() not in taken]
+
+
+def mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow, by place: it can't take columns with a dot in their name."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)
+
+
+def pieces(batch: pa.RecordBatch, column: str | int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch whose `column` holds about `limit` bytes each (one row at least)."""
     n = batch.num_rows
     if n == 0:
         return
-    _, offsets = text_buffer(batch.column(batch.schema.get_field_index(column)))
+    _, offsets = text_buffer(batch.column(column if isinstance(column, int) else batch.schema.get_field_index(column)))
     start = 0
     while start < n:
         end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
@@ -122,8 +177,57 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer spans are hashed one by one.
+_LONG = 128
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans: eight bytes at a step, each mixed in by a bijection."""
+    if len(start) == 0:
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    size = end - start
+    with np.errstate(over="ignore"):
+        out = mixed(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+        out = mixed(out ^ (eights[start] & _MASKS[np.minimum(size, 8)]))
+        more, step = np.flatnonzero((size > 8) & (size <= _LONG)), 8
+        while len(more):
+            left = size[more] - step
+            out[more] = mixed((out[more] + np.uint64(0xD6E8FEB86659FD93)) ^ (eights[start[more] + step] & _MASKS[np.minimum(left, 8)]))
+            more, step = more[left > 8], step + 8
+    long = np.flatnonzero(size > _LONG)
+    if len(long):
+        view = data.tobytes() if len(long) > 16 else memoryview(data)
+        out[long] = [xxhash.xxh3_64_intdigest(view[a:z], seed) for a, z in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+    return out
+
+
+def span_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cryptographic 128-bit digests of byte spans, as two columns of bigint."""
+    raw = data.tobytes()
+    found = b"".join([hashlib.blake2b(raw[a:z], digest_size=16).digest() for a, z in zip(start.tolist(), end.tolist(), strict=True)])
+    both = np.frombuffer(found, "<i8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
+def sequence_hashes(values: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of runs of a sequence of hashes, a few dozen values each at most."""
+    with np.errstate(over="ignore"):
+        out = mixed(size.astype(np.uint64) + np.uint64(seed))
+        live, step = np.flatnonzero(size > 0), 0
+        while len(live):
+            out[live] = mixed((out[live] + np.uint64(0xD6E8FEB86659FD93)) ^ values[start[live] + step])
+            step += 1
+            live = live[size[live] > step]
+    return out
+
+
 class RunHashes:
-    """Polynomial hashes (mod 2**64) of any run of a sequence, from prefix sums."""
+    """Polynomial hashes (mod 2**64) of any run of a sequence, from prefix sums.
+
+    For candidates only: some different runs (of the Thue-Morse sequence) have equal hashes whatever the base."""
 
     def __init__(self, values: np.ndarray) -> None:
         n = len(values)
@@ -184,5 +288,5 @@ _SUBSTITUTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=n
 
 
 def second_values(data: np.ndarray) -> np.ndarray:
-    """Other values for bytes, so that RunHashes over them is a second hash, independent of the first."""
+    """Other values for bytes, so that RunHashes over them is a second hash."""
     return _SUBSTITUTES[data]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import IS_PUNCTUATION, RunHashes, lower_ascii, pieces, small_batches, text_buffer, words_of
+from curata.llm.common import IS_PUNCTUATION, lower_ascii, pieces, small_batches, span_hashes, text_buffer, words_of
 
 K1, B = 1.2, 0.75
 #: Neighbouring items of a block, and bytes of item text of one index that is sent to the executors.
@@ -41,7 +41,7 @@ _ENDS = tuple(b".!?\n")
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     data = lower_ascii(data)
     start, end, at = words_of(data, offsets, IS_PUNCTUATION)
-    return RunHashes(data).of(start, end), at, start, end
+    return span_hashes(data, start, end), at, start, end
 
 
 def answer_place(text: str, n_words: int, ends: np.ndarray) -> int:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm.anchors import repeated_keys
-from curata.llm.common import RunHashes, lower_ascii, mixed, pieces, small_batches, text_buffer, words_of, written
+from curata.llm.common import lower_ascii, mixed, pieces, small_batches, span_hashes, text_buffer, words_of, written
 from curata.llm.components import Union, components
 
 SKETCH_BITS = 18
@@ -46,7 +46,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarr
     """The sorted distinct shingle hashes of each text."""
     data = lower_ascii(data)
     start, end, at = words_of(data, offsets)
-    words = RunHashes(data).of(start, end)
+    words = span_hashes(data, start, end)
     counts = np.diff(at)
     padded = np.concatenate([words, np.zeros(n, np.uint64)])
     h = np.zeros(len(words), np.uint64)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import IS_PUNCTUATION, RunHashes, lower_ascii, pieces, small_batches, text_buffer, words_of
+from curata.llm.common import IS_PUNCTUATION, lower_ascii, pieces, small_batches, span_hashes, text_buffer, words_of
 
 #: Notices of public licences.
 TEMPLATES = {
@@ -233,7 +233,7 @@ class Scanner:
         self.counts = np.array([np.bincount(t, minlength=len(vocabulary)) for t in self.templates])
         joined = "".join(vocabulary).encode()
         ends = np.cumsum([len(w.encode()) for w in vocabulary])
-        hashes = RunHashes(np.frombuffer(joined, np.uint8)).of(ends - [len(w.encode()) for w in vocabulary], ends)
+        hashes = span_hashes(np.frombuffer(joined, np.uint8), ends - [len(w.encode()) for w in vocabulary], ends)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
 
@@ -241,7 +241,7 @@ class Scanner:
         """The vocabulary's number of each word of all texts, -1 for others; offsets of the texts."""
         data = lower_ascii(data)
         start, end, at = words_of(data, offsets, IS_PUNCTUATION)
-        h = RunHashes(data).of(start, end)
+        h = span_hashes(data, start, end)
         i = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         return np.where(self.hashes[i] == h, self.order[i], -1), at
 

@@ -1,6 +1,6 @@
 """Line dedup: range-partitioned line keys, secondary sort by document and position, keep bitmaps.
 
-A line's key is the line without white space at its ends and with A-Z lower-cased, as a 128-bit hash. Keys go
+A line's key is the line without white space at its ends and with A-Z lower-cased, as a cryptographic 128-bit digest. Keys go
 through a range partitioning on (key, document, position), so a key of any frequency is spread over partitions by
 document, and each partition is streamed in order: a key's lines are held back only until its documents reach the
 threshold. A key that crosses a partition's edge below the threshold is settled by a small aggregate. What comes
@@ -8,7 +8,8 @@ back is one compressed bitmap per document that loses lines, never text.
 
 Rows are told apart by (doc_id, text): rows that repeat both get the same result; a key's documents are counted by
 distinct doc_id (null counts as one document). A null text is one empty line. Blank lines have no key and stay.
-Lines keep their order; documents of any length are one row; an empty table gives an empty result.
+Lines keep their order; documents of any length are one row; an empty table gives an empty result. Further columns
+are handed on, whatever their names; one that has the name of a result, in any case of letters, is replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import RunHashes, lower_ascii, pieces, second_values, signed, small_batches, text_buffer, written
+from curata.llm.common import forget, fresh, lower_ascii, mapped, others, pieces, quoted, small_batches, span_digests, text_buffer, written
 
 _KEYS = "h1 bigint, h2 bigint, doc bigint, row_key bigint, pos int"
 _FOUND = "doc bigint, row_key bigint, pos int, open boolean, h1 bigint, h2 bigint"
@@ -34,10 +35,8 @@ def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = lower_ascii(raw)
             breaks = np.flatnonzero(data == 10)
             start = np.sort(np.concatenate([offsets[:-1], breaks + 1]))
-            doc_of = np.searchsorted(offsets[1:], start, side="right")
             # a break that ends a text starts an empty line of that text, not one of the next
             own = np.repeat(np.arange(b.num_rows), np.bincount(np.searchsorted(offsets, breaks, side="right") - 1, minlength=b.num_rows) + 1)
-            doc_of = own
             first_line = np.searchsorted(own, np.arange(b.num_rows))
             end = np.empty_like(start)
             end[:-1] = start[1:] - 1
@@ -50,11 +49,8 @@ def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             a, z = solid[lo[full]], solid[hi[full] - 1] + 1
             pos = (np.arange(len(start)) - first_line[own])[full]
-            rows = pa.array(doc_of[full])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(RunHashes(data).of(a, z))), pa.array(signed(RunHashes(second_values(data)).of(a, z))), b.column(0).take(rows), b.column(1).take(rows), pa.array(pos.astype(np.int32))],
-                names=["h1", "h2", "doc", "row_key", "pos"],
-            )
+            rows = pa.array(own[full])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, span_digests(data, a, z)), b.column(0).take(rows), b.column(1).take(rows), pa.array(pos.astype(np.int32))], names=["h1", "h2", "doc", "row_key", "pos"])
 
 
 def _stream(least: int):
@@ -109,7 +105,8 @@ def _stream(least: int):
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, row_key (a hash of the text), text."""
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row_key"), F.coalesce(text, F.lit("")).alias("text"))
+    source = F.coalesce(F.col(quoted(text)), F.lit(""))
+    return docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc"), F.xxhash64(source).alias("row_key"), source.alias("text"))
 
 
 def keep_bitmaps(docs: DataFrame, least_docs: int = 10, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,9 +117,11 @@ def keep_bitmaps(docs: DataFrame, least_docs: int = 10, keep_first: bool = False
     Only documents that lose a line have a row; lines beyond the bitmap's end stay.
     """
     small_batches(docs.sparkSession)
-    lines = keyed(docs, doc_id, text).mapInArrow(_line_keys, _KEYS)
+    # written, since the range partitioning reads its input twice
+    lines = written(keyed(docs, doc_id, text).mapInArrow(_line_keys, _KEYS), "line-keys")
     order = ["h1", "h2", "doc", "row_key", "pos"]
     found = written(lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_stream(least_docs), _FOUND), "line-dedup")
+    forget(lines)
     # what partitions left open: fewer than least_docs documents of at most two keys each
     waiting = found.where("open")
     settled = waiting.groupBy("h1", "h2").agg(F.count_distinct(F.coalesce("doc", F.lit(0)), F.col("doc").isNull()).alias("docs"))
@@ -162,19 +161,21 @@ def kept_lines(text: str, keep: bytes | None) -> tuple[str, int]:
 
 def drop_lines(docs: DataFrame, least_docs: int = 10, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of docs with the text cleaned, plus n_lines and n_dropped (bigint; in place of any of that name)."""
-    maps = keep_bitmaps(docs, least_docs, keep_first, doc_id, text).withColumnsRenamed({"doc": "_doc", "row_key": "_row_key", "keep": "_keep", "n_dropped": "_dropped"})
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*names).withColumn("_key", F.xxhash64(F.coalesce(text, F.lit(""))))
-    joined = rows.join(maps, F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_row_key")), "left").drop("_doc", "_row_key", "_key")
+    maps = keep_bitmaps(docs, least_docs, keep_first, doc_id, text)
+    names = others(docs.columns, ["n_lines", "n_dropped"])
+    key, doc, row_key, keep, dropped = fresh(names, "key", "doc", "row_key", "keep", "dropped")
+    maps = maps.select(F.col("doc").alias(doc), F.col("row_key").alias(row_key), F.col("keep").alias(keep), F.col("n_dropped").alias(dropped))
+    rows = docs.select(*map(quoted, names), F.xxhash64(F.coalesce(F.col(quoted(text)), F.lit(""))).alias(key))
+    joined = rows.join(maps, F.col(quoted(doc_id)).cast("bigint").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(row_key)), "left").select(*map(quoted, names), keep, dropped)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join([*(f"`{c}` {'string' if c == text else kinds[c]}" for c in names), "n_lines bigint", "n_dropped bigint"])
+    schema = ", ".join([*(f"{quoted(c)} {'string' if c == text else kinds[c]}" for c in names), "n_lines bigint", "n_dropped bigint"])
+    place, own = len(names), names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in pieces(batch, text):
-                at = {c: b.column(i) for i, c in enumerate(b.schema.names)}
-                done = [kept_lines(x or "", keep) for x, keep in zip(at[text].to_pylist(), at["_keep"].to_pylist(), strict=True)]
-                at[text] = pa.array([x for x, _ in done], pa.string())
-                yield pa.RecordBatch.from_arrays([*(at[c] for c in names), pa.array([n for _, n in done], pa.int64()), at["_dropped"].fill_null(0)], names=[*names, "n_lines", "n_dropped"])
+            for b in pieces(batch, own):
+                done = [kept_lines(x or "", keep) for x, keep in zip(b.column(own).to_pylist(), b.column(place).to_pylist(), strict=True)]
+                cleaned = pa.array([x for x, _ in done], pa.string())
+                yield pa.RecordBatch.from_arrays([*(cleaned if i == own else b.column(i) for i in range(place)), pa.array([n for _, n in done], pa.int64()), b.column(place + 1).fill_null(0)], names=[*names, "n_lines", "n_dropped"])
 
-    return joined.mapInArrow(run, schema)
+    return mapped(joined, run, schema)

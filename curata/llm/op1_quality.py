@@ -29,8 +29,8 @@ f AS (
     length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) * 10 > length(line)
     OR length(line) - length(replace(line, '|', '')) >= 3
     OR length(line) - length(replace(line, '!!', '!')) >= 3
-    OR (NOT regexp_matches(line, '[.!?:;…]["''”’»)\]]*{_WS}*$') AND length(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) < 10)
-    OR regexp_matches(line, '(?i){quality.BOILERPLATE}') AS fails
+    OR (NOT regexp_matches(line, '[.!?:;…。！？]["''”“’‘»«›‹)\]]*{_WS}*$') AND length(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) < 10)
+    OR (length(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) < {quality.NOTICE_WORDS} AND regexp_matches(line, '(?i){quality.BOILERPLATE}')) AS fails
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 s AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dups, count(*) FILTER (WHERE fails) AS failed, coalesce(sum(chars) FILTER (WHERE fails), 0) AS lost FROM f GROUP BY doc_id),
 a AS (

@@ -8,7 +8,8 @@ one batch of bits deeper, from those buckets' rows alone. Only hashes and sizes
 What no bit can split (one key's rows beyond the limit, a row larger than the limit) goes to overflow pages, packed
 greedily within the partitions of a range partitioning by (hash, size), each page within the limit; a row larger than
 the limit has a page of its own. A null key hashes as the empty text, a null payload has 0 bytes. Repeated rows share
-a bucket. An empty table has no shards. Columns of the input with the name of a result are replaced.
+a bucket. An empty table has no shards. A text of any length is one row. Columns of the input with the name of a
+result, in any case of letters, are replaced; others are handed on, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import small_batches, written
+from curata.llm.common import fresh, mapped, others, quoted, small_batches, written
 
 HASH_BITS = 60
 
@@ -69,42 +70,49 @@ def assign(docs: DataFrame, limit: int, key: str = "doc_id", payload: str = "tex
     """
     spark = docs.sparkSession
     results = ["shard", "depth", "shard_bytes", "shard_docs"]
-    names = [c for c in docs.columns if c not in results]
-    rows = docs.select(*names, key_hash(F.col(key)).alias("_h"), F.coalesce(F.octet_length(F.col(payload)), F.lit(0)).cast("bigint").alias("_bytes"))
-    sized = rows.where(F.col("_bytes") <= limit).select(F.col("_h").alias("h"), F.col("_bytes").alias("bytes"))
-    shards, rest = directory(sized, limit, first_bits)
+    kept = others(docs.columns, results)
+    names = [quoted(c) for c in kept]
+    h, size, at, part, page = fresh([*kept, *results, "prefix"], "h", "bytes", "at", "part", "page")
+    rows = docs.select(*names, key_hash(F.col(quoted(key))).alias(h), F.coalesce(F.octet_length(F.col(quoted(payload))), F.lit(0)).cast("bigint").alias(size))
+    fits = rows.where(F.col(size) <= limit)
+    shards, rest = directory(fits.select(F.col(h).alias("h"), F.col(size).alias("bytes")), limit, first_bits)
     shards, rest = written(shards, "shards"), written(rest, "shards-rest")
     depths = [r["depth"] for r in shards.select("depth").distinct().orderBy("depth").collect()]  # 60 at most
     # a row lies in the one shard whose prefix its hash has: one candidate for each depth that occurs
-    places = F.array(*(F.struct(F.lit(d).alias("depth"), prefix(F.col("_h"), d).alias("prefix")) for d in depths)) if depths else F.array().cast("array<struct<depth:int,prefix:bigint>>")
-    small = rows.select("_h", "_bytes").where(F.col("_bytes") <= limit).select("_h").distinct()
-    found = small.withColumn("_at", F.explode(places)).join(shards, (F.col("_at.depth") == F.col("depth")) & (F.col("_at.prefix") == F.col("prefix")))
-    named = found.select("_h", F.when(F.col("depth") == 0, F.lit("")).otherwise(F.lpad(F.bin("prefix"), F.col("depth").cast("int"), F.lit("0"))).alias("shard"), F.col("depth").cast("bigint").alias("depth"), "shard_bytes", "shard_docs")
-    dealt = rows.where(F.col("_bytes") <= limit).join(named, "_h").select(*names, *results)
-    if rest.isEmpty() and rows.where(F.col("_bytes") > limit).isEmpty():
+    places = F.array(*(F.struct(F.lit(d).alias("depth"), prefix(F.col(h), d).alias("prefix")) for d in depths)) if depths else F.array().cast("array<struct<depth:int,prefix:bigint>>")
+    hashes = fits.select(h).distinct()
+    found = hashes.withColumn(at, F.explode(places)).join(shards, (F.col(f"{at}.depth") == F.col("depth")) & (F.col(f"{at}.prefix") == F.col("prefix")))
+    named = found.select(h, F.when(F.col("depth") == 0, F.lit("")).otherwise(F.lpad(F.bin("prefix"), F.col("depth").cast("int"), F.lit("0"))).alias("shard"), F.col("depth").cast("bigint").alias("depth"), "shard_bytes", "shard_docs")
+    dealt = fits.join(named, h).select(*names, *results)
+    if rest.isEmpty() and rows.where(F.col(size) > limit).isEmpty():
         return dealt
     small_batches(spark)
-    over = rows.where(F.col("_bytes") > limit).unionByName(rows.where(F.col("_bytes") <= limit).join(rest.withColumnRenamed("h", "_h"), "_h", "left_semi").select(*rows.columns))
+    over = rows.where(F.col(size) > limit).unionByName(fits.join(rest.withColumnRenamed("h", h), h, "left_semi").select(*names, h, size))
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        page, held = 0, 0
+        number, held = 0, 0
         for b in batches:
             out = []
-            for size in b.column(b.schema.get_field_index("_bytes")).to_pylist():
-                if held and held + size > limit:
-                    page, held = page + 1, 0
-                held += size
-                out.append(page)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], names=[*b.schema.names, "_page"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in over.schema), "_part int", "_page bigint"])
-    ordered = over.repartitionByRange(F.col("_h"), F.col("_bytes"), F.rand(7)).sortWithinPartitions("_h", "_bytes").withColumn("_part", F.spark_partition_id())
-    packed = written(ordered.mapInArrow(pages, schema), "shard-pages")
-    full = packed.groupBy("_part", "_page").agg(F.sum("_bytes").alias("shard_bytes"), F.count("*").alias("shard_docs"))
-    paged = packed.join(full, ["_part", "_page"]).select(*names, F.format_string("over-%d-%d", "_part", "_page").alias("shard"), F.lit(HASH_BITS).cast("bigint").alias("depth"), "shard_bytes", "shard_docs")
+            for n in b.column(len(kept) + 1).to_pylist():
+                if held and held + n > limit:
+                    number, held = number + 1, 0
+                held += n
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], names=[*kept, h, size, part, page])
+
+    schema = ", ".join([*(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in over.schema), f"{part} int", f"{page} bigint"])
+    ordered = over.repartitionByRange(F.col(h), F.col(size), F.rand(7)).sortWithinPartitions(h, size).withColumn(part, F.spark_partition_id())
+    packed = written(mapped(ordered, pages, schema), "shard-pages")
+    full = packed.groupBy(part, page).agg(F.sum(size).alias("shard_bytes"), F.count("*").alias("shard_docs"))
+    paged = packed.join(full, [part, page]).select(*names, F.format_string("over-%d-%d", part, page).alias("shard"), F.lit(HASH_BITS).cast("bigint").alias("depth"), "shard_bytes", "shard_docs")
     return dealt.unionByName(paged)
 
 
-def write(dealt: DataFrame, path: str) -> None:
-    """One folder for each shard; the rows of a shard are written by one task, which its limit bounds."""
-    dealt.repartition("shard").write.partitionBy("shard").parquet(path)
+def write(dealt: DataFrame, path: str, folder_bits: int = 8) -> None:
+    """Parquet files with whole shards in order, in a folder for each of 2 ** folder_bits hashes of a shard's name.
+
+    Shards are many and small, so a file holds several; a range of names is one task's, which shards of bounded size
+    keep even, and a reader finds a shard by its folder and the files' statistics."""
+    (folder,) = fresh(dealt.columns, "folder")
+    placed = dealt.withColumn(folder, F.pmod(F.xxhash64("shard"), F.lit(1 << folder_bits)).cast("int"))
+    placed.repartitionByRange(folder, "shard").sortWithinPartitions(folder, "shard").write.partitionBy(folder).parquet(path)
