@@ -5,8 +5,11 @@ window's content alone: equal windows have equal anchors at equal places. Neighb
 anchor's occurrence; a run is all windows of one occurrence. A window can only repeat if its anchor's hash occurs
 again, so only such runs go on to an exact search, dealt by the anchor's hash.
 
-The hashes of all runs go through a range partitioning on (hash, document), which spreads a frequent hash over
-partitions; each partition is streamed in order, and a hash that crosses an edge is settled by a small aggregate.
+Hashes that may be frequent are seen in a sample of the texts, one for each shuffle partition at most; they are dealt by
+document, the others by themselves. Each partition is streamed in order; what a frequent hash leaves open in a partition
+is settled by a small aggregate.
+
+A text of more than a few steps' bytes is taken in segments that overlap by a window, so memory doesn't grow with it.
 """
 
 from __future__ import annotations
@@ -20,14 +23,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import RunHashes, pieces, text_buffer, written
+from curata.llm.common import pieces, text_buffer, written
 
 #: Bytes of text of one step; each byte takes about a hundred bytes of arrays.
 STEP_BYTES = 1 << 20
-#: Runs of one anchor that a single task searches, about 5 MB of text; those of a more frequent one are dealt by hashes.
+#: Runs of one anchor that a single task searches, about 5 MB of text; those of a more frequent one are split further.
 HOT_RUNS = 1 << 14
+#: Share of the texts in which frequent hashes are looked for, and how often one is seen there at least.
+SAMPLE, SEEN = 0.02, 8
 
-_LOW = np.uint64((1 << 24) - 1)
+_PLACE_BITS = 24
+_LOW = np.uint64((1 << _PLACE_BITS) - 1)
 
 
 class Runs(NamedTuple):
@@ -47,6 +53,18 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
+def least_places(grams: np.ndarray, width: int) -> np.ndarray:
+    """The place of the smallest of each `width` neighbours (by its upper bits), the leftmost of equals."""
+    n = len(grams) - width + 1
+    out = np.zeros(max(0, n), np.int64)
+    step = (1 << _PLACE_BITS) - width  # places count from the part's start, so they always fit
+    for a in range(0, n, step):
+        part = grams[a : a + step + width - 1]
+        least = sliding_min((part & ~_LOW) | np.arange(len(part), dtype=np.uint64), width)
+        out[a : a + len(least)] = a + (least & _LOW).astype(np.int64)
+    return out
+
+
 def runs(grams: np.ndarray, offsets: np.ndarray, k: int, window: int) -> Runs:
     """Runs of the windows of each text. grams: hash of the k-gram at each place; offsets: of the texts."""
     n, width = int(offsets[-1]), window - k + 1
@@ -54,9 +72,7 @@ def runs(grams: np.ndarray, offsets: np.ndarray, k: int, window: int) -> Runs:
         none = np.zeros(0, np.int64)
         return Runs(none, none, none, none, none.astype(np.uint64))
     grams = grams[: n - k + 1]
-    places = np.arange(len(grams), dtype=np.uint64)
-    least = sliding_min((grams & ~_LOW) | (places & _LOW), width)
-    at = (places[: len(least)] + ((least - places[: len(least)]) & _LOW)).astype(np.int64)
+    at = least_places(grams, width)
     change = np.ones(len(at), bool)
     change[1:] = at[1:] != at[:-1]
     sizes = np.diff(offsets)
@@ -73,32 +89,35 @@ def runs(grams: np.ndarray, offsets: np.ndarray, k: int, window: int) -> Runs:
 
 
 def _keys(of: Callable) -> Callable:
+    """(h, doc, key) of every run. of(data, offsets): row and hash of the runs, in steps."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in pieces(batch, "text", STEP_BYTES):
-                found = of(*text_buffer(b.column(1)))[0]
-                yield pa.RecordBatch.from_arrays([pa.array(found.h.view(np.int64)), b.column(0).take(pa.array(found.doc))], names=["h", "doc"])
+                for found in of(*text_buffer(b.column(2))):
+                    row = pa.array(found.doc)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.h.view(np.int64)), b.column(0).take(row), b.column(1).take(row)], names=["h", "doc", "key"])
 
     return run
 
 
 def _repeated(by_doc: bool) -> Callable:
-    """Over sorted (h, doc): rows of hashes found twice (by_doc: in two documents); open: of a hash that wasn't, at an edge."""
+    """Over sorted (h, doc, key, spread): rows of hashes found twice (by_doc: in two documents); open: of a spread hash that wasn't."""
+    names = ["h", "doc", "key", "open"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_h = held_doc = np.zeros(0, np.int64)
-        again = edge = None
-        last_doc = None
+        held: pa.Table | None = None  # rows of the last hash, as long as it isn't found twice
+        again = None
 
-        def out(h: np.ndarray, doc: np.ndarray, is_open: bool) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array(np.full(len(h), is_open))], names=["h", "doc", "open"])
+        def out(t: pa.Table, is_open: bool) -> Iterator[pa.RecordBatch]:
+            yield from pa.table([*(t[c] for c in names[:3]), pa.array(np.full(t.num_rows, is_open))], names=names).to_batches()
 
         for b in batches:
             if b.num_rows == 0:
                 continue
-            h = np.concatenate([held_h, b.column(0).to_numpy()])
-            doc = np.concatenate([held_doc, b.column(1).to_numpy()])
-            edge = int(h[0]) if edge is None else edge
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            h, doc = t["h"].to_numpy(), t["doc"].to_numpy()
             new = np.ones(len(h), bool)
             new[1:] = h[1:] != h[:-1]
             begins, of = np.flatnonzero(new), np.cumsum(new) - 1
@@ -107,72 +126,72 @@ def _repeated(by_doc: bool) -> Callable:
             twice = np.bincount(of, differs) >= 2
             if again is not None and int(h[0]) == again:
                 twice[0] = True
-            if (rows := twice[of]).any():
-                yield out(h[rows], doc[rows], False)
+            rows = twice[of]
+            if rows.any():
+                yield from out(t.filter(pa.array(rows)), False)
             last = len(begins) - 1
             again = int(h[-1]) if twice[last] else None
-            if last and not twice[0] and int(h[0]) == edge:
-                yield out(h[: begins[1]], doc[: begins[1]], True)
-            keep = slice(begins[last], None) if not twice[last] else slice(0, 0)
-            held_h, held_doc = h[keep].copy(), doc[keep].copy()
-        if len(held_h):
-            yield out(held_h, held_doc, True)
+            waiting = ~rows & t["spread"].to_numpy(zero_copy_only=False)
+            waiting[begins[last] :] = False
+            if waiting.any():
+                yield from out(t.filter(pa.array(waiting)), True)
+            held = None if twice[last] else t.slice(int(begins[last])).combine_chunks()
+        if held is not None and held["spread"][0].as_py():
+            yield from out(held, True)
 
     return run
 
 
+def frequent(sample: DataFrame) -> list[int]:
+    """The hashes seen most often in a sample of keys (h): one for each shuffle partition at most."""
+    n = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = sample.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= SEEN).orderBy(F.desc("n"), "h").limit(n)
+    return [r["h"] for r in seen.collect()]
+
+
+def repeated_keys(keys: DataFrame, sample: DataFrame, by_doc: bool, name: str) -> DataFrame:
+    """The rows (h, doc, key: bigint) of hashes that occur twice, or in two documents. sample: some of the keys."""
+    spark = keys.sparkSession
+    hot = frequent(sample)
+    flagged = keys.withColumn("spread", F.lit(False))
+    if hot:
+        flagged = keys.join(F.broadcast(spark.createDataFrame([(x, True) for x in hot], "h bigint, _hot boolean")), "h", "left").select("h", "doc", "key", F.coalesce("_hot", F.lit(False)).alias("spread"))
+    bucket = F.when(F.col("spread"), F.xxhash64("h", "doc")).otherwise(F.col("h"))
+    dealt = flagged.repartition(bucket).sortWithinPartitions("h", "doc", "key")
+    found = written(dealt.mapInArrow(_repeated(by_doc), "h bigint, doc bigint, key bigint, open boolean"), name)
+    sure = found.where("not open").select("h", "doc", "key")
+    if not hot:
+        return sure
+    waiting = found.where("open").select("h", "doc", "key")  # of one document for each partition and frequent hash
+    known = sure.join(F.broadcast(waiting.select("h").distinct()), "h", "left_semi").select("h").distinct().withColumn("n", F.lit(2).cast("bigint"))
+    n = F.when(F.min("doc") < F.max("doc"), 2).otherwise(1).cast("bigint") if by_doc else F.count("*")
+    over = waiting.groupBy("h").agg(n.alias("n")).unionByName(known).groupBy("h").agg(F.max("n").alias("n")).where("n >= 2").select("h")
+    return sure.unionByName(waiting.join(F.broadcast(over), "h", "left_semi").select("h", "doc", "key"))
+
+
 def shared_anchors(rows: DataFrame, of: Callable, by_doc: bool, name: str) -> DataFrame:
-    """doc, shared (array of hashes of its anchors that occur again), hot (those with over HOT_RUNS runs).
+    """doc, key, shared (array of hashes of its anchors that occur again), hot (those with over HOT_RUNS runs).
 
-    rows: doc (not null), text. of(data, offsets): the runs of a batch, and whatever the caller needs besides.
+    rows: doc, key (not null), text. of(data, offsets): the runs of a batch, in steps.
     """
-    shared = repeated_keys(rows.select("doc", "text").mapInArrow(_keys(of), "h bigint, doc bigint"), by_doc, name)
+    schema = "h bigint, doc bigint, key bigint"
+    every = rows.select("doc", "key", "text").mapInArrow(_keys(of), schema)
+    some = rows.select("doc", "key", "text").sample(SAMPLE, 1).mapInArrow(_keys(of), schema)
+    shared = repeated_keys(every, some, by_doc, name)
     hot = shared.groupBy("h").agg(F.count("*").alias("runs")).where(F.col("runs") > HOT_RUNS).select("h", F.lit(True).alias("is_hot"))
     flagged = shared.distinct().join(hot, "h", "left")
-    return flagged.groupBy("doc").agg(F.collect_list("h").alias("shared"), F.collect_list(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
+    return flagged.groupBy("doc", "key").agg(F.collect_list("h").alias("shared"), F.collect_list(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
 
 
-def repeated_keys(keys: DataFrame, by_doc: bool, name: str) -> DataFrame:
-    """The rows (h, doc: bigint) of hashes that occur twice, or in two documents."""
-    found = written(keys.repartitionByRange("h", "doc").sortWithinPartitions("h", "doc").mapInArrow(_repeated(by_doc), "h bigint, doc bigint, open boolean"), name)
-    sure = found.where("not open").select("h", "doc")
-    waiting = found.where("open").select("h", "doc")  # two hashes of a partition at most
-    edges = F.broadcast(waiting.select("h").distinct())
-    there = sure.join(edges, "h", "left_semi").select("h").distinct().withColumn("n", F.lit(2).cast("bigint"))
-    n = F.when(F.min("doc") < F.max("doc"), 2).otherwise(1).cast("bigint") if by_doc else F.count("*")
-    over = waiting.groupBy("h").agg(n.alias("n")).unionByName(there).groupBy("h").agg(F.max("n").alias("n")).where("n >= 2").select("h")
-    return sure.unionByName(waiting.join(F.broadcast(over), "h", "left_semi").select("h", "doc"))
-
-
-#: Equal runs of a hot anchor in one text: hashes of a whole run, their places, what they cover, hashes of one's windows.
-HOT_SCHEMA = "p1 bigint, p2 bigint, doc bigint, n int, places array<bigint>, spans array<struct<first:bigint,end:bigint>>, windows array<struct<a:bigint,b:bigint>>"
-
-
-def hashed_runs(k: np.ndarray, found: Runs, row: np.ndarray, docs: pa.Array, keys: np.ndarray, base: np.ndarray, window: int, one: RunHashes, two: RunHashes) -> pa.RecordBatch:
-    """Rows of HOT_SCHEMA for the runs k; base: where their texts start."""
-    first, n = found.first[k], found.end[k] - found.first[k]
-    p1, p2 = (h.of(first, first + n - 1 + window) for h in (one, two))
-    order = np.lexsort((first, p2, p1, row[k]))
-    r, a, b, size = row[k][order], p1[order], p2[order], n[order]
-    place = (first - base)[order]
-    new = np.ones(len(r), bool)
-    new[1:] = (r[1:] != r[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    start = np.flatnonzero(new)
-    apart = new.copy()  # runs of one row that touch are one span
-    apart[1:] |= place[1:] > place[:-1] + size[:-1] - 1 + window
-    begin = np.flatnonzero(apart)
-    last = np.append(begin[1:], len(r)) - 1
-    upper = keys[r] << 32
-    lists = lambda at, values: pa.ListArray.from_arrays(pa.array(np.append(at, len(values)).astype(np.int32)), values)
-    spans = pa.StructArray.from_arrays([pa.array((upper | place)[begin]), pa.array((upper | (place + size - 1 + window))[last])], names=["first", "end"])
-    head, many = first[order][start], size[start]
-    each = np.repeat(head - np.cumsum(many) + many, many) + np.arange(many.sum())
-    pairs = pa.StructArray.from_arrays([pa.array(h.of(each, each + window).view(np.int64)) for h in (one, two)], names=["a", "b"])
-    columns = [
-        pa.array(a[start].view(np.int64)), pa.array(b[start].view(np.int64)), docs.take(pa.array(r[start])), pa.array(many.astype(np.int32)),
-        lists(start, pa.array(upper | place)), lists(np.searchsorted(begin, start), spans), lists(np.cumsum(many) - many, pairs),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["p1", "p2", "doc", "n", "places", "spans", "windows"])
+def chosen(found_h: np.ndarray, row: np.ndarray, shared: pa.Array, hots: pa.Array, hot: bool) -> np.ndarray:
+    """Which runs have an anchor of their row's list: of `hots`, or of `shared` without `hots`. row is sorted."""
+    keep = np.zeros(len(row), bool)
+    edges = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]])) if len(row) else np.zeros(1, np.int64)
+    for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        very = hots[int(row[a])].values.to_numpy(zero_copy_only=False)
+        wanted = very if hot else np.setdiff1d(shared[int(row[a])].values.to_numpy(zero_copy_only=False), very)
+        keep[a:z] = np.isin(found_h[a:z].view(np.int64), wanted)
+    return np.flatnonzero(keep)
 
 
 def unpacked(data: bytes) -> bytes:
@@ -180,25 +199,25 @@ def unpacked(data: bytes) -> bytes:
 
 
 def pack_texts(rows: DataFrame) -> DataFrame:
-    """doc, row_key (a hash of the text), z: the text compressed, for what a shuffle moves."""
+    """doc, key, z: the text compressed, for what a shuffle moves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            z = [press.compress(x.encode()) for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary())], names=["doc", "row_key", "z"])
+        for batch in batches:
+            for b in pieces(batch, "text"):
+                z = [press.compress(x.encode()) for x in b.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary())], names=["doc", "key", "z"])
 
-    return rows.select("doc", "row_key", "text").mapInArrow(run, "doc bigint, row_key int, z binary")
+    return rows.select("doc", "key", "text").mapInArrow(run, "doc bigint, key bigint, z binary")
 
 
 def unpack_batch(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of steps over a column of compressed texts."""
     open_up, start, parts, size = zstandard.ZstdDecompressor(), 0, [], 0
-    values = column.to_pylist()
-    for i, z in enumerate(values):
-        parts.append(open_up.decompress(z))
+    for i, z in enumerate(column):
+        parts.append(open_up.decompress(z.as_py()))
         size += len(parts[-1])
-        if size >= limit or i + 1 == len(values):
+        if size >= limit or i + 1 == len(column):
             yield start, i + 1, np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
             start, parts, size = i + 1, [], 0
 
@@ -208,4 +227,4 @@ def cut(spans_of: np.ndarray, ends_of: np.ndarray, n: int) -> np.ndarray:
     steps = np.zeros(n + 1, np.int32)
     np.add.at(steps, spans_of, 1)
     np.add.at(steps, ends_of, -1)
-    return np.cumsum(steps[:-1]) > 0
+    return np.cumsum(steps[:-1], dtype=np.int32) > 0

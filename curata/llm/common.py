@@ -40,10 +40,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet into the shared folder and read again: cuts lineage and survives lost executors."""
+    """df, written as Parquet into the shared folder and read again: cuts lineage and survives lost executors.
+
+    The shuffle files of the write are deleted once it is done, where this version of Spark can do that."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/curata/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     _WRITTEN.append(path)
     out.written_path = path
@@ -51,6 +58,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 _WRITTEN: list[str] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -61,8 +69,9 @@ def _delete(spark: SparkSession, path: str) -> None:
 def forget(*tables: DataFrame) -> None:
     """Deletes tables that `written` returned, once everything made from them is written itself."""
     for t in tables:
-        _WRITTEN.remove(t.written_path)
-        _delete(t.sparkSession, t.written_path)
+        if t.written_path in _WRITTEN:
+            _WRITTEN.remove(t.written_path)
+            _delete(t.sparkSession, t.written_path)
 
 
 def remove_written(spark: SparkSession) -> None:
@@ -282,11 +291,3 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
-
-
-_SUBSTITUTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
-
-
-def second_values(data: np.ndarray) -> np.ndarray:
-    """Other values for bytes, so that RunHashes over them is a second hash."""
-    return _SUBSTITUTES[data]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.anchors import repeated_keys
+from curata.llm.anchors import SAMPLE, repeated_keys
 from curata.llm.common import lower_ascii, mixed, pieces, small_batches, span_hashes, text_buffer, words_of, written
 from curata.llm.components import Union, components
 
@@ -318,7 +318,8 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
 
     firsts = rows.where("doc is not null").mapInArrow(prefixes, "doc bigint, need int, size int, tokens array<bigint>")
     firsts = written(firsts.join(equal.select("doc"), "doc", "left_semi").dropDuplicates(["doc"]), "jaccard-prefixes")
-    meets = repeated_keys(firsts.select(F.explode("tokens").alias("h"), "doc"), True, "jaccard-shared")
+    keys = lambda df: df.select(F.explode("tokens").alias("h"), "doc", F.lit(0).cast("bigint").alias("key"))
+    meets = repeated_keys(keys(firsts), keys(firsts.sample(SAMPLE, 1)), True, "jaccard-shared").select("h", "doc")
     needs = firsts.select("doc", "need")
     for k in range(2):  # who shares too little goes, and with it what it alone shared with others
         enough = meets.groupBy("doc").agg(F.count("*").alias("n")).join(needs, "doc").where("n >= need").select("doc")

@@ -1,24 +1,29 @@
 """Substring dedup by relative Lempel-Ziv parsing: word windows that an earlier document holds are removed.
 
-Candidates come from window anchors (see `anchors`): the runs of windows whose anchor occurs in another document go to
-the reference block of that anchor's hash. In a block, documents come in order of doc_id. Each run is factored greedily
-against the index of all runs of smaller documents: the longest copy from the reference, or one word where there is
-none. A factor of `window` words or more is a duplicate span; at its end, the windows that cross into the next factor
-are looked up too, so windows that two references hold together are found. Then the document's own new windows are
-indexed, once it is complete: repetition inside one document removes nothing.
-
-An anchor with very many runs has no block: equal runs are found by 128-bit hashes, aggregated before the shuffle, and
-the windows of different runs likewise.
-
-Words are runs of bytes other than ASCII white space, compared as 64-bit hashes. A null text has no words. Rows without
-doc_id are neither searched nor a reference. Rows are told apart by (doc_id, text); rows with one doc_id are one
-document, so they remove nothing from each other. Texts are taken whole; an empty table gives an empty result.
+1. Window anchors (see `anchors`) drop documents, and runs of windows, that no other document can share.
+2. What is left is dealt by anchor; for each window's hash the first holder, the smallest doc_id, is a reference of every
+   later document with that hash. Anchors with very many runs are aggregated first: equal runs have one first holder.
+3. A reference block is the whole text of such a first holder, CHUNK_WORDS words at a time. Every stretch of a later
+   document that links to it is factored greedily against it: at each place the longest copy from the reference, or one
+   word where there is none. The longest copies come from a suffix array over references and stretches together, by
+   prefix doubling: a place's longest copy is the longer of what it shares with the references next to it in order.
+4. A factor of `window` words or more is a duplicate span. At a factor's end, the copies that start within it and cross
+   the end are checked too, so a window that lies in two factors is found. Only these spans are removed: hashes choose
+   what is compared, the words themselves decide.
+
+References with many stretches are split by document, each part with a copy of the reference.
+
+Words are runs of bytes other than ASCII white space. A null text has no words. Rows without doc_id are neither searched
+nor a reference. Rows are told apart by (doc_id, 64-bit hash of the text); rows with one doc_id are one document, so they
+remove nothing from each other. Texts are taken whole, long ones in segments that overlap by a window; an empty table
+gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,189 +31,419 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm import anchors
-from curata.llm.common import RunHashes, mixed, pieces, small_batches, text_buffer, words_of, written
+from curata.llm.common import SPACE_BYTES, mixed, pieces, quoted, sequence_hashes, small_batches, span_hashes, words_of, written
 
 GRAM = 4
+#: Words of one reference block; stretches of one block and of one part of them; words that are factored together.
+CHUNK_WORDS, PART_LINKS, BLOCK_WORDS = 200_000, 4000, 400_000
+#: Windows that are compared together.
+LINK_WINDOWS = 1 << 19
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(SPACE_BYTES)] = True
+
+
+class WordRuns(anchors.Runs):
+    """Runs of a step, with the hashes of its words, and for each run its first word's place in the text."""
+
+    words: np.ndarray
+    place: np.ndarray
+
+
+def word_segments(data: np.ndarray, window: int, step: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of one text: (first word's number, start and end bytes of words) of segments that share window - 1 words."""
+    at, number, end, n = 0, 0, 0, len(data)
+    while True:
+        end = min(n, end + step)
+        while end < n and not _IS_SPACE[data[end]]:
+            gap = np.flatnonzero(_IS_SPACE[data[end : end + step]])
+            end = end + int(gap[0]) if len(gap) else min(n, end + step)
+        start, stop, _ = words_of(data[at:end], np.array([0, end - at]))
+        yield number, start + at, stop + at
+        if end >= n:
+            return
+        shared = min(window - 1, len(start))
+        number += len(start) - shared
+        at = at + int(start[-shared]) if shared else end
 
 
 def word_runs(window: int):
-    def of(data: np.ndarray, offsets: np.ndarray):
-        start, end, at = words_of(data, offsets)
-        words = RunHashes(data).of(start, end)
+    """A function of (data, offsets) that yields the runs of windows of words of the texts in a buffer."""
+
+    def one(data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray, row: int, number: int) -> WordRuns:
+        words = span_hashes(data, start, end)
         h = np.zeros(max(0, len(words) - GRAM + 1), np.uint64)
         with np.errstate(over="ignore"):
             for k in range(GRAM):
                 h = mixed(h + words[k : k + len(h)])
-        return anchors.runs(h, at, GRAM, window), words, start, end, at
+        found = anchors.runs(h, at, GRAM, window)
+        out = WordRuns(found.doc + row, *found[1:])
+        out.words, out.place = words, found.first - at[found.doc] + number
+        return out
+
+    def of(data: np.ndarray, offsets: np.ndarray) -> Iterator[WordRuns]:
+        if offsets[-1] <= 4 * anchors.STEP_BYTES:
+            yield one(data, *words_of(data, offsets), 0, 0)
+            return
+        for row, (a, z) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            for number, start, end in word_segments(data[a:z], window, anchors.STEP_BYTES):
+                yield one(data[a:z], start, end, np.array([0, len(start)]), row, number)
 
     return of
 
 
-class Block:
-    """The reference of one anchor: places of all windows of the documents so far."""
-
-    def __init__(self, window: int) -> None:
-        self.size, self.index, self.waiting, self.doc = 8 * window, {}, [], None
-
-    def factor(self, doc: int, run: bytes) -> list[tuple[int, int]]:
-        """Windows [first, end) of the run (8 bytes a word) that lie in factors copied from smaller documents."""
-        if doc != self.doc:
-            for text, places in self.waiting:
-                for i in places:
-                    self.index.setdefault(text[i : i + self.size], (text, i))
-            self.doc, self.waiting = doc, []
-        index, size, out, new = self.index, self.size, [], []
-        i, last = 0, len(run) - size
-        while i <= last:
-            hit = index.get(run[i : i + size])
-            if hit is None:
-                new.append(i)
-                i += 8
-                continue
-            text, j = hit
-            end, other = i + size, j + size
-            while end < len(run) and run[end : end + 8] == text[other : other + 8]:
-                end, other = end + 8, other + 8
-            # the next window starts within the factor and crosses its end
-            after = end - size + 8
-            out.append((i >> 3, after >> 3))
-            i = after
-        if new:
-            self.waiting.append((run, new))
-        return out
+# ---------------------------------------------------------------- which document to compare with which
+
+_RUN = "h bigint, doc bigint, key bigint, place bigint, windows binary"
+_LINK = "rdoc bigint, rkey bigint, rplace bigint, doc bigint, key bigint, first bigint, n int"
+_LINK_NAMES = [c.split(" ")[0] for c in _LINK.split(", ")]
 
 
 def _emit(window: int, hot: bool):
-    """Runs of shared anchors: (h, doc, place, piece), or for hot ones what anchors.HOT_SCHEMA has."""
+    """Runs of shared anchors, or of hot ones: rows of _RUN, with the hashes of a run's windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = word_runs(window)
         for b in batches:
-            docs, keys = b.column(0), b.column(1).to_numpy().astype(np.int64)
-            shared, hots = b.column(3), b.column(4)
-            for a, z, data, offsets in anchors.unpack_batch(b.column(2)):
-                found, words, start, end, at = of(data, offsets)
-                row = found.doc + a
-                keep = np.zeros(len(row), bool)
-                first = np.searchsorted(row, np.arange(a, z + 1))
-                for r in range(a, z):
-                    own = slice(first[r - a], first[r - a + 1])
-                    very = hots[r].values.to_numpy(zero_copy_only=False)
-                    wanted = very if hot else np.setdiff1d(shared[r].values.to_numpy(zero_copy_only=False), very)
-                    keep[own] = np.isin(found.h[own].view(np.int64), wanted)
-                k = np.flatnonzero(keep)
-                if len(k) == 0:
-                    continue
-                base = at[found.doc[k]]
-                if hot:
-                    yield anchors.hashed_runs(k, found, row, docs, keys, base, window, RunHashes(words), RunHashes(mixed(words ^ np.uint64(0x5851F42D4C957F2D))))
+            for a, _, data, offsets in anchors.unpack_batch(b.column(2)):
+                for found in of(data, offsets):
+                    row = found.doc + a
+                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), hot)
+                    if len(i) == 0:
+                        continue
+                    many = (found.end - found.first)[i]
+                    each = np.repeat(found.first[i] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                    hashes = sequence_hashes(found.words, each, np.full(len(each), window))
+                    ends = np.concatenate([[0], 8 * np.cumsum(many)]).astype(np.int32)
+                    lists = pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(hashes.tobytes())])
+                    rows = pa.array(row[i])
+                    yield pa.RecordBatch.from_arrays([pa.array(found.h[i].view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(found.place[i]), lists], names=["h", "doc", "key", "place", "windows"])
+
+    return run
+
+
+def first_holders(h: np.ndarray, doc: np.ndarray, key: np.ndarray, place: np.ndarray, windows: list[bytes]) -> list[np.ndarray]:
+    """Columns of _LINK of runs sorted by (h, doc, key, place): windows that a smaller document holds, and the first that does."""
+    many = np.array([len(w) // 8 for w in windows])
+    of = np.repeat(np.arange(len(many)), many)
+    offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    values = np.frombuffer(b"".join(windows), np.uint64)
+    order = np.lexsort((values, h[of]))  # stable, so windows with one hash stay in order of (doc, key, place)
+    new = np.ones(len(order), bool)
+    new[1:] = (values[order][1:] != values[order][:-1]) | (h[of[order]][1:] != h[of[order]][:-1])
+    first = np.empty(len(order), np.int64)
+    first[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    linked = doc[of] > doc[of[first]]
+    starts = linked.copy()  # neighbours that link to neighbours are one link
+    starts[1:] &= ~(linked[:-1] & (of[1:] == of[:-1]) & (first[1:] == first[:-1] + 1) & (of[first[1:]] == of[first[:-1]]))
+    at = np.flatnonzero(starts)
+    number = np.cumsum(starts) - 1
+    n = np.bincount(number[linked], minlength=len(at))
+    ref = first[at]
+    return [doc[of[ref]], key[of[ref]], place[of[ref]] + offset[ref], doc[of[at]], key[of[at]], place[of[at]] + offset[at], n.astype(np.int32)]
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows of _RUN sorted by (h, doc, key, place): rows of _LINK. An anchor's runs are compared together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = first_holders(*(rows.column(c).to_numpy() for c in range(4)), rows.column(4).to_pylist())
+        if len(found[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=_LINK_NAMES)
+
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        held.append(b)
+        size += b.column(4).nbytes >> 3
+        if size < LINK_WINDOWS:
+            continue
+        rows = pa.Table.from_batches(held)
+        h = rows.column(0).to_numpy()
+        done = int(np.count_nonzero(h != h[-1]))  # the last anchor may go on
+        if done:
+            yield from out(rows.slice(0, done))
+            rows = rows.slice(done).combine_chunks()
+        held = rows.to_batches()
+        size = sum(x.column(4).nbytes >> 3 for x in held)
+    if held:
+        yield from out(pa.Table.from_batches(held))
+
+
+def _dealt(runs: DataFrame) -> DataFrame:
+    return runs.select("h", "doc", "key", "place", "windows").repartition("h").sortWithinPartitions("h", "doc", "key", "place").mapInArrow(_links, _LINK)
+
+
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window of a run as a run of its own, dealt by anchor and window."""
+    for b in batches:
+        many = np.array([len(w.as_py()) // 8 for w in b.column(4)])
+        of = np.repeat(np.arange(len(many)), many)
+        offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        raw = b"".join(w.as_py() for w in b.column(4))
+        values = np.frombuffer(raw, np.uint64)
+        h = mixed(values ^ mixed(b.column(0).to_numpy().view(np.uint64)[of]))
+        rows = pa.array(of)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(1).take(rows), b.column(2).take(rows), pa.array(b.column(3).to_numpy()[of] + offset), pa.array([raw[i : i + 8] for i in range(0, len(raw), 8)], pa.binary())], names=["h", "doc", "key", "place", "windows"])
+
+
+def _frequent_links(runs: DataFrame) -> list[DataFrame]:
+    """Links of the runs of anchors that are too many for one task: equal runs have one first holder; it goes on alone,
+    and where those are still too many, window by window."""
+    out: list[DataFrame] = []
+    for single in (False, True):
+        runs = written(runs, "substring-hot")
+        if runs.isEmpty():
+            break
+        kinds = written(runs.groupBy("h", "windows").agg(F.min(F.struct("doc", "key", "place")).alias("one")), "substring-kinds")
+        later = runs.join(kinds, ["h", "windows"]).where("doc > one.doc")
+        out.append(later.select(F.col("one.doc").alias("rdoc"), F.col("one.key").alias("rkey"), F.col("one.place").alias("rplace"), "doc", "key", F.col("place").alias("first"), (F.octet_length("windows") / 8).cast("int").alias("n")))
+        if single:
+            break
+        sizes = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        left = kinds.join(sizes, "h").select("h", "one.doc", "one.key", "one.place", "windows", "kinds")
+        out.append(_dealt(left.where(F.col("kinds") <= anchors.HOT_RUNS)))
+        runs = left.where(F.col("kinds") > anchors.HOT_RUNS).drop("kinds").mapInArrow(_apart, _RUN)
+    return out
+
+
+def links(candidates: DataFrame, window: int) -> DataFrame:
+    """Rows of _LINK for the candidates (doc, key, z, shared, hot): n windows from `first` on, which the document rdoc
+    (a smaller one) holds from `rplace` on."""
+    found = _dealt(candidates.mapInArrow(_emit(window, False), _RUN))
+    busy = candidates.where(F.size("hot") > 0)
+    if not busy.isEmpty():
+        for more in _frequent_links(busy.mapInArrow(_emit(window, True), _RUN)):
+            found = found.unionByName(more)
+    return written(found, "substring-links")
+
+
+# ---------------------------------------------------------------- parsing
+
+
+class Parser:
+    """Longest copies of stretches from their references, for several references at once."""
+
+    def __init__(self, groups: list[tuple[list[bytes], list[list[bytes]]]]) -> None:
+        numbers, self.begin, mine, next_word = [], [], [], 1
+        for reference, stretches in groups:
+            words: dict[bytes, int] = {}  # each reference has an alphabet of its own; 0 is a word that it lacks
+            for w in reference:
+                if w not in words:
+                    words[w] = next_word
+                    next_word += 1
+            numbers.append([words[w] for w in reference])
+            mine.append(True)
+            for s in stretches:
+                numbers.append([words.get(w, 0) for w in s])
+                mine.append(False)
+        sizes = np.array([len(x) + 1 for x in numbers])
+        self.begin = np.cumsum(sizes) - sizes
+        text = np.concatenate([np.array([*x, next_word + j], np.int64) for j, x in enumerate(numbers)])  # each ends with a mark of its own
+        longest = max((len(x) for x, m in zip(numbers, mine, strict=True) if not m), default=0)
+        rank = np.unique(text, return_inverse=True)[1].astype(np.int32)
+        self.ranks, n = [rank], len(text)
+        while (1 << len(self.ranks) - 1) <= longest and int(rank.max()) + 1 < n:
+            step = 1 << len(self.ranks) - 1
+            pairs = rank.astype(np.int64) * (n + 1)
+            pairs[: n - step] += rank[step:] + 1
+            rank = np.unique(pairs, return_inverse=True)[1].astype(np.int32)
+            self.ranks.append(rank)
+        order = np.argsort(rank, kind="stable")
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        is_ref = np.repeat(mine, sizes)
+        here = np.where(is_ref[order], np.arange(n), -1)
+        before = np.maximum.accumulate(here)
+        after = n - 1 - np.maximum.accumulate(np.where(is_ref[order][::-1], np.arange(n), -1))[::-1]
+        own = np.flatnonzero(~is_ref)
+        left, right = before[place[own]], after[place[own]]
+        # a place with no reference on one side is compared with the end of one, which nothing equals
+        end = self.begin[0] + sizes[0] - 1
+        left, right = np.where(left >= 0, order[left], end), np.where(right < n, order[np.minimum(right, n - 1)], end)
+        a, b = self.shared(own, left), self.shared(own, right)
+        self.length, self.source = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.length[own], self.source[own] = np.maximum(a, b), np.where(a >= b, left, right)
+
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many words are equal from places a and b on."""
+        out = np.zeros(len(a), np.int64)
+        for level in range(len(self.ranks) - 1, -1, -1):
+            rank = self.ranks[level]
+            out += (rank[a + out] == rank[b + out]).astype(np.int64) << level
+        return out
+
+
+def factors(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """The greedy parse as (start, end), given the longest copy at each place: that copy, or one word."""
+    i = 0
+    while i < len(lengths):
+        end = i + max(1, lengths[i])
+        yield i, end
+        i = end
+
+
+def duplicate_spans(lengths: list[int], window: int) -> list[tuple[int, int]]:
+    """Spans [first, end) of words in factors of `window` words or more, and in such copies that cross a factor's end."""
+    out: list[tuple[int, int]] = []
+    for start, end in factors(lengths):
+        crossing = (i for i in range(max(start + 1, end - window + 1), end) if lengths[i] >= window and i + lengths[i] > end)
+        for i in (start, *crossing):
+            if lengths[i] >= window:
+                if out and out[-1][1] >= i:
+                    out[-1] = (out[-1][0], max(out[-1][1], i + lengths[i]))
                 else:
-                    raw = data.tobytes()
-                    text = [raw[s:e] for s, e in zip(start[found.first[k]].tolist(), end[found.end[k] + window - 2].tolist(), strict=True)]
-                    packed = (keys[row[k]] << 32) | (found.first[k] - base)
-                    yield pa.RecordBatch.from_arrays([pa.array(found.h[k].view(np.int64)), docs.take(pa.array(row[k])), pa.array(packed), pa.array(text, pa.binary())], names=["h", "doc", "place", "piece"])
+                    out.append((i, i + lengths[i]))
+    return out
+
+
+_PIECE = "rdoc bigint, rkey bigint, chunk bigint, part bigint, kind int, doc bigint, key bigint, place bigint, piece binary"
+_PIECE_NAMES = [c.split(" ")[0] for c in _PIECE.split(", ")]
+
+
+def _reference(window: int):
+    """The reference blocks of texts: (doc, key, chunk, parts, z) as rows of _PIECE, one for each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, key, chunk, parts, z in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                words = anchors.unpacked(z).split()
+                piece = b" ".join(words[chunk * CHUNK_WORDS : (chunk + 1) * CHUNK_WORDS + 2 * window])
+                yield pa.RecordBatch.from_pylist([dict(zip(_PIECE_NAMES, (doc, key, chunk, part, 0, doc, key, 0, piece), strict=True)) for part in range(parts)], schema=_PIECES)
 
     return run
 
 
-def _factored(window: int):
-    """Over runs sorted by (h, doc): spans of words [first, end) to remove."""
+_PIECES = pa.schema([(n, {"kind": pa.int32(), "piece": pa.binary()}.get(n, pa.int64())) for n in _PIECE_NAMES])
+
+
+def _stretches(window: int):
+    """The stretches of texts that link to a reference block: (doc, key, z, links) as rows of _PIECE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, block = None, None
-        for batch in batches:
-            for b in pieces(batch, "piece", anchors.STEP_BYTES):
-                data, offsets = text_buffer(b.column(3))
-                start, end, at = words_of(data, offsets)
-                words = RunHashes(data).of(start, end).tobytes()
-                docs, firsts, ends = [], [], []
-                for i, (h, doc, place) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
-                    if h != key:
-                        key, block = h, Block(window)
-                    for first, after in block.factor(doc, words[8 * at[i] : 8 * at[i + 1]]):
-                        docs.append(doc)
-                        firsts.append(place + first)
-                        ends.append(place + after - 1 + window)
-                if docs:
-                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(firsts, pa.int64()), pa.array(ends, pa.int64())], names=["doc", "first", "end"])
+        for b in batches:
+            out, size = [], 0
+            for doc, key, z, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                words = anchors.unpacked(z).split()
+                order = sorted((x["rdoc"], x["rkey"], x["chunk"], x["part"], x["first"], x["n"]) for x in found)
+                for ref, own in groupby(order, key=lambda x: x[:4]):
+                    joined: list[list[int]] = []
+                    for *_, first, n in own:
+                        end = first + n - 1 + window
+                        if joined and first <= joined[-1][1]:
+                            joined[-1][1] = max(joined[-1][1], end)
+                        else:
+                            joined.append([first, end])
+                    for first, end in joined:
+                        for a in range(first, max(first + 1, end - window + 1), CHUNK_WORDS // 2):
+                            piece = b" ".join(words[a : min(end, a + CHUNK_WORDS // 2 + window - 1)])
+                            out.append((*ref, 1, doc, key, a, piece))
+                            size += len(piece)
+                if size > anchors.STEP_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECES.types, strict=True)], schema=_PIECES)
+                    out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECES.types, strict=True)], schema=_PIECES)
 
     return run
 
 
-def spans(rows: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """doc, first, end: places of words to remove; the upper 32 bits of first and end are the text's hash."""
-    candidates = anchors.shared_anchors(rows, word_runs(window), True, "substring-anchors")
-    joined = written(texts.join(candidates, "doc").select("doc", "row_key", "z", "shared", "hot"), "substring-candidates")
-    dealt = joined.mapInArrow(_emit(window, False), "h bigint, doc bigint, place bigint, piece binary").repartition("h").sortWithinPartitions("h", "doc")
-    found = dealt.mapInArrow(_factored(window), "doc bigint, first bigint, end bigint")
-    busy = joined.where(F.size("hot") > 0)
-    if not busy.isEmpty():
-        runs = written(busy.mapInArrow(_emit(window, True), anchors.HOT_SCHEMA), "substring-hot")
-        # a run that a smaller document holds word for word goes whole; of the others, window by window
-        first = runs.groupBy("p1", "p2").agg(F.min("doc").alias("least"))
-        placed = runs.select("p1", "p2", "doc", "spans").join(first, ["p1", "p2"])
-        whole = placed.where("doc > least").select("doc", F.explode("spans").alias("s")).select("doc", "s.first", "s.end")
-        own = runs.join(first.withColumnRenamed("least", "doc"), ["p1", "p2", "doc"], "left_semi").select("doc", "places", F.posexplode("windows").alias("i", "w"))
-        least = own.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("w", "least")
-        more = own.join(least, "w").where(F.col("doc") > F.col("least")).select("doc", "i", F.explode("places").alias("place"))
-        more = more.select("doc", (F.col("place") + F.col("i")).alias("first"), (F.col("place") + F.col("i") + window).alias("end"))
-        found = found.unionByName(whole).unionByName(more)
-    return joined.select("doc", "row_key", "z"), found
+def _parsed(window: int):
+    """Over rows of _PIECE sorted by reference, the reference first: spans (doc, key, first, end) of words to remove."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: list[tuple[list[bytes], list[list[bytes]]]] = []
+        whose: list[list[tuple[int, int, int]]] = []
+        size, now = 0, None
+
+        def spans() -> Iterator[pa.RecordBatch]:
+            parser, out, number = Parser(groups), [], 0
+            for (_, stretches), owners in zip(groups, whose, strict=True):
+                number += 1
+                for s, (doc, key, place) in zip(stretches, owners, strict=True):
+                    at = parser.begin[number]
+                    out += [(doc, key, place + a, place + z) for a, z in duplicate_spans(parser.length[at : at + len(s)].tolist(), window)]
+                    number += 1
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc", "key", "first", "end"])
+
+        for b in batches:
+            for rdoc, rkey, chunk, part, kind, doc, key, place, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                words = piece.split()
+                if size + len(words) > BLOCK_WORDS and any(s for _, s in groups):
+                    yield from spans()
+                    groups, whose = ([(groups[-1][0], [])], [[]]) if kind else ([], [])
+                    size = sum(len(r) for r, _ in groups)
+                if kind == 0:
+                    if groups and not groups[-1][1]:  # a reference without stretches
+                        groups.pop(), whose.pop()
+                    now = (rdoc, rkey, chunk, part)
+                    groups.append((words, []))
+                    whose.append([])
+                elif now == (rdoc, rkey, chunk, part):
+                    groups[-1][1].append(words)
+                    whose[-1].append((doc, key, place))
+                size += len(words)
+        if any(s for _, s in groups):
+            yield from spans()
+
+    return run
+
+
+def spans(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """The candidate texts (doc, key, z), and the words [first, end) to remove of (doc, key)."""
+    shared = anchors.shared_anchors(rows, word_runs(window), True, "substring-anchors")
+    joined = anchors.pack_texts(rows).join(shared, ["doc", "key"]).dropDuplicates(["doc", "key"])
+    candidates = written(joined.select("doc", "key", "z", "shared", "hot"), "substring-candidates")
+    texts = candidates.select("doc", "key", "z")
+    found = links(candidates, window).withColumn("chunk", F.floor(F.col("rplace") / CHUNK_WORDS))
+    parts = F.ceil(F.col("links") / PART_LINKS)
+    blocks = written(found.groupBy("rdoc", "rkey", "chunk").agg(F.count("*").alias("links")).select("rdoc", "rkey", "chunk", parts.alias("parts")), "substring-references")
+    split = blocks.where("parts > 1")
+    placed = found.join(split, ["rdoc", "rkey", "chunk"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc"), F.col("parts")), F.lit(0).cast("bigint")))
+    lists = placed.groupBy("doc", "key").agg(F.collect_list(F.struct("rdoc", "rkey", "chunk", "part", "first", "n")).alias("links"))
+    references = texts.join(blocks.select(F.col("rdoc").alias("doc"), F.col("rkey").alias("key"), "chunk", "parts"), ["doc", "key"]).select("doc", "key", "chunk", "parts", "z").mapInArrow(_reference(window), _PIECE)
+    stretches = texts.join(lists, ["doc", "key"]).select("doc", "key", "z", "links").mapInArrow(_stretches(window), _PIECE)
+    block = ["rdoc", "rkey", "chunk", "part"]
+    dealt = references.unionByName(stretches).repartition(*block).sortWithinPartitions(*block, "kind")
+    return texts, written(dealt.mapInArrow(_parsed(window), "doc bigint, key bigint, first bigint, end bigint"), "substring-spans")
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text: its words' number, and the digest of its words joined by one space."""
     for batch in batches:
         for b in pieces(batch, "text"):
-            data, offsets = text_buffer(b.column(2))
-            start, end, at = words_of(data, offsets)
-            digests = [hashlib.sha256(joined_words(data, start[x:y], end[x:y])).hexdigest() for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(at)), pa.array(digests, pa.string())], names=["doc", "row_key", "n_words", "sha"])
-
-
-def joined_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
-    """The words joined by one space."""
-    if len(start) == 0:
-        return b""
-    a, z = int(start[0]), int(end[-1])
-    keep = np.zeros(z - a + 2, np.int8)
-    keep[start - a] += 1
-    keep[end - a + 1] -= 1  # one byte more than the word: its space
-    inside = np.cumsum(keep[:-1]) > 0
-    out = np.append(data[a:z], np.uint8(32))
-    out[end - a] = 32
-    return out[inside][:-1].tobytes()
+            words = [x.encode().split() for x in b.column(2).to_pylist()]
+            digests = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(w) for w in words], pa.int64()), pa.array(digests, pa.string())], names=["doc", "key", "n_words", "sha"])
 
 
 def removed(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed (bigint), kept_sha256, kept (binary, the remaining words joined by one space; null
     where nothing was removed): a row for each row of docs."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.hash(F.coalesce(text, F.lit(""))).alias("row_key"), F.coalesce(text, F.lit("")).alias("text"))
-    known = rows.where("doc is not null")
-    candidates, found = spans(known, anchors.pack_texts(known), window)
-    low = F.lit((1 << 32) - 1).cast("bigint")
-    lists = found.groupBy("doc", F.call_function("shiftright", F.col("first"), F.lit(32)).cast("int").alias("row_key")).agg(
-        F.collect_list(F.struct(F.col("first").bitwiseAND(low).cast("int").alias("a"), F.col("end").bitwiseAND(low).cast("int").alias("b"))).alias("spans")
-    )
-    joined = candidates.join(lists, ["doc", "row_key"]).select("doc", "row_key", "z", "spans")
+    source = F.coalesce(F.col(quoted(text)), F.lit(""))
+    rows = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc"), F.xxhash64(source).alias("key"), source.alias("text"))
+    candidates, found = spans(rows.where("doc is not null"), window)
+    lists = found.groupBy("doc", "key").agg(F.collect_list(F.struct(F.col("first").cast("int").alias("a"), F.col("end").cast("int").alias("b"))).alias("spans"))
+    joined = candidates.join(lists, ["doc", "key"]).select("doc", "key", "z", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n_removed, sha, kept = [], [], []
-            for a, z, data, offsets in anchors.unpack_batch(b.column(2)):
-                start, end, at = words_of(data, offsets)
-                for r in range(a, z):
-                    own = b.column(3)[r].values
-                    x, y = at[r - a], at[r - a + 1]
-                    gone = anchors.cut(own.field(0).to_numpy(), own.field(1).to_numpy(), y - x)
-                    left = joined_words(data, start[x:y][~gone], end[x:y][~gone])
+        for batch in batches:
+            for b in pieces(batch, "z", 1 << 19):
+                n_removed, sha, kept = [], [], []
+                for r, z in enumerate(b.column(2)):
+                    words, own = anchors.unpacked(z.as_py()).split(), b.column(3)[r].values
+                    gone = anchors.cut(own.field(0).to_numpy(), own.field(1).to_numpy(), len(words))
+                    left = b" ".join(compress(words, (~gone).tolist()))
                     n_removed.append(int(gone.sum()))
                     sha.append(hashlib.sha256(left).hexdigest())
                     kept.append(left)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], names=["c_doc", "c_key", "n_removed", "c_sha", "kept"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], names=["c_doc", "c_key", "n_removed", "c_sha", "kept"])
 
-    changed = joined.mapInArrow(cut, "c_doc bigint, c_key int, n_removed bigint, c_sha string, kept binary").dropDuplicates(["c_doc", "c_key"])
-    whole = rows.mapInArrow(_whole, "doc bigint, row_key int, n_words bigint, sha string")
-    out = whole.join(changed, (F.col("doc") == F.col("c_doc")) & (F.col("row_key") == F.col("c_key")), "left")
+    changed = joined.mapInArrow(cut, "c_doc bigint, c_key bigint, n_removed bigint, c_sha string, kept binary")
+    whole = rows.select("doc", "key", "text").mapInArrow(_whole, "doc bigint, key bigint, n_words bigint, sha string")
+    out = whole.join(changed, (F.col("doc") == F.col("c_doc")) & (F.col("key") == F.col("c_key")), "left")
     return out.select(F.col("doc").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"), F.coalesce("c_sha", "sha").alias("kept_sha256"), "kept")

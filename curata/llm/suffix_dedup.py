@@ -12,11 +12,15 @@ hash, so equal strings meet in one task. There, blocks of a few MB are sorted wi
 - Neighbours in a sorted bucket repeat each other if `window` bytes are equal, which ranks of two overlapping cover texts
   and the bytes at both ends tell exactly.
 
-An anchor with very many runs has no block: equal runs are found by 128-bit hashes, aggregated before the shuffle, and
-the windows of different runs likewise.
+An anchor with very many runs is narrowed first, on what lies around it. Equal runs repeat each other whole, so one of
+each kind goes on. Two runs of one anchor can share a window only if the bytes before the anchor, or those after it, are
+equal for half of what the window has besides the anchor: the windows with the longer part before go on by the anchor
+and those bytes, the others by the anchor and the bytes after it. So every round halves what is still to be compared,
+each window goes one way only, and what meets few others is sorted in a block like any run.
 
 A null text is empty. Rows are places of their own: a repeated row of `window` bytes or more is removed whole, in each.
-Results are by (doc_id, text). Texts are taken whole; an empty table gives an empty result.
+Rows are told apart by (doc_id, 64-bit hash of the text); rows without doc_id by their text. Texts are taken whole, long
+ones in segments that overlap by a window. An empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -26,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm import anchors
-from curata.llm.common import RunHashes, pieces, second_values, small_batches, written
+from curata.llm.common import RunHashes, pieces, quoted, small_batches, written
 
 #: Fixed: a perfect difference set; every number modulo PERIOD is the difference of two of its members.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
@@ -40,11 +45,24 @@ _NULL_DOC = -(1 << 63)
 
 
 def byte_runs(window: int):
+    """A function of (data, offsets) that yields the runs of windows of the texts in a buffer."""
     k = window // 2
 
-    def of(data: np.ndarray, offsets: np.ndarray):
-        grams = RunHashes(data).windows(k) if len(data) >= k else np.zeros(0, np.uint64)
-        return (anchors.runs(grams, offsets, k, window),)
+    def whole(data: np.ndarray, offsets: np.ndarray) -> anchors.Runs:
+        return anchors.runs(RunHashes(data).windows(k) if len(data) >= k else np.zeros(0, np.uint64), offsets, k, window)
+
+    def of(data: np.ndarray, offsets: np.ndarray) -> Iterator[anchors.Runs]:
+        step = anchors.STEP_BYTES
+        if offsets[-1] <= 4 * step:
+            yield whole(data, offsets)
+            return
+        for row, (a, z) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            for s in range(a, z, step):
+                e = min(z, s + step + window - 1)
+                found = whole(data[s:e], np.array([0, e - s]))
+                yield anchors.Runs(found.doc + row, found.first + s, found.end + s, found.at + s, found.h)
+                if e == z:
+                    break
 
     return of
 
@@ -144,69 +162,94 @@ def repeats(texts: list[bytes], leads: list[int], window: int) -> list[list[tupl
     return out
 
 
+_RUN = "h bigint, doc bigint, key bigint, place bigint, lead int, piece binary, alone boolean"
+#: Of runs that are narrowed: the way they went so far, and what all runs of (h, path) have in common.
+_ITEM = f"{_RUN}, path int, fa int, fb int"
+
+
 def _emit(window: int, hot: bool):
-    """Runs of shared anchors: (h, doc, place, lead, piece), or for hot ones what anchors.HOT_SCHEMA has."""
+    """Runs of shared anchors as rows of _RUN, or of hot ones as rows of _ITEM; place: of the first window in the text."""
+    names = [c.split(" ")[0] for c in (_ITEM if hot else _RUN).split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = byte_runs(window)
+        of, k = byte_runs(window), window // 2
         for b in batches:
-            docs, keys = b.column(0), b.column(1).to_numpy().astype(np.int64)
-            shared, hots = b.column(3), b.column(4)
-            for a, z, data, offsets in anchors.unpack_batch(b.column(2)):
-                (found,) = of(data, offsets)
-                row = found.doc + a
-                keep = np.zeros(len(row), bool)
-                first = np.searchsorted(row, np.arange(a, z + 1))
-                for r in range(a, z):
-                    own = slice(first[r - a], first[r - a + 1])
-                    very = hots[r].values.to_numpy(zero_copy_only=False)
-                    wanted = very if hot else np.setdiff1d(shared[r].values.to_numpy(zero_copy_only=False), very)
-                    keep[own] = np.isin(found.h[own].view(np.int64), wanted)
-                k = np.flatnonzero(keep)
-                if len(k) == 0:
-                    continue
-                base = offsets[found.doc[k]]
-                if hot:
-                    for part in np.array_split(k, max(1, len(k) // 2000)):
-                        yield anchors.hashed_runs(part, found, row, docs, keys, offsets[found.doc[part]], window, RunHashes(data), RunHashes(second_values(data)))
-                else:
-                    raw = data.tobytes()
-                    text = [raw[s:e] for s, e in zip(found.first[k].tolist(), (found.end[k] + window - 1).tolist(), strict=True)]
-                    packed = (keys[row[k]] << 32) | (found.first[k] - base)
-                    lead = (found.at[k] - found.first[k]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(found.h[k].view(np.int64)), docs.take(pa.array(row[k])), pa.array(packed), pa.array(lead), pa.array(text, pa.binary())], names=["h", "doc", "place", "lead", "piece"])
+            for a, _, data, offsets in anchors.unpack_batch(b.column(2)):
+                raw = memoryview(data)
+                for found in of(data, offsets):
+                    row = found.doc + a
+                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), hot)
+                    if len(i) == 0:
+                        continue
+                    pieces = [bytes(raw[s:e]) for s, e in zip(found.first[i].tolist(), (found.end[i] + window - 1).tolist(), strict=True)]
+                    lead = (found.at[i] - found.first[i]).astype(np.int32)
+                    rows = pa.array(row[i])
+                    columns = [pa.array(found.h[i].view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(found.first[i] - offsets[found.doc[i]]), pa.array(lead), pa.array(pieces, pa.binary()), pa.array(np.ones(len(i), bool))]
+                    if hot:
+                        columns += [pa.array(np.ones(len(i), np.int32)), pa.array(lead), pa.array(lead + np.int32(k))]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def narrower(piece: bytes, fa: int, fb: int, window: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """The windows of a piece, all of which hold its bytes [fa, fb), in two parts: (side, first and end byte of the part,
+    and what its windows hold, as places in the piece)."""
+    need = window - (fb - fa)
+    if need == 0:
+        return
+    before, last = (need + 1) // 2, len(piece) - window
+    top = min(last, fa - before)
+    if top >= 0:
+        yield 0, 0, top + window, fa - before, fb
+    low = max(0, fa - before + 1)
+    if low <= last:
+        yield 1, low, len(piece), fa, fb + need - before + 1
+
+
+def _narrow(window: int):
+    """Rows of _ITEM, each as one or two rows with a longer common part."""
+    names = [c.split(" ")[0] for c in _ITEM.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for _, doc, key, place, lead, piece, alone, path, fa, fb in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for side, low, high, a, z in narrower(piece, fa, fb, window):
+                    way = 2 * path + side
+                    h = xxhash.xxh3_64_intdigest(piece[a:z], way)
+                    out.append((h - (1 << 64) if h >> 63 else h, doc, key, place + low, lead - low, piece[low:high], alone, way, a - low, z - low))
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.int32(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     return run
 
 
 def _blocks(window: int):
-    """Over runs sorted by h: spans of bytes [first, end) to remove. A block ends where a new anchor starts."""
+    """Over rows of _RUN sorted by h: spans of bytes [first, end) to remove, of runs that are `alone`. A block ends where
+    a new anchor starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number: dict[tuple[int, bytes], int] = {}
-        texts, leads, many, rows, size, key = [], [], [], [], 0, None
+        texts, leads, many, rows, size, last = [], [], [], [], 0, None
 
         def spans() -> Iterator[pa.RecordBatch]:
             found = repeats(texts, leads, window) if texts else []
             for j, n in enumerate(many):
                 if n > 1:
                     found[j] = [(0, len(texts[j]) - window + 1)]
-            docs, firsts, ends = [], [], []
-            for doc, place, j in rows:
-                for a, b in found[j]:
-                    docs.append(doc)
-                    firsts.append(place + a)
-                    ends.append(place + b - 1 + window)
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(firsts, pa.int64()), pa.array(ends, pa.int64())], names=["doc", "first", "end"])
+            out = [(doc, key, place + a, place + b - 1 + window) for doc, key, place, j in rows for a, b in found[j]]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc", "key", "first", "end"])
 
         for batch in batches:
-            for h, doc, place, lead, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if h != key and size >= BLOCK_BYTES:
+            for h, doc, key, place, lead, piece, alone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if h != last and size >= BLOCK_BYTES:
                     yield from spans()
                     number.clear()
                     texts, leads, many, rows, size = [], [], [], [], 0
-                key = h
+                last = h
                 j = number.setdefault((h, piece), len(texts))
                 if j == len(texts):
                     texts.append(piece)
@@ -214,54 +257,66 @@ def _blocks(window: int):
                     many.append(0)
                     size += len(piece)
                 many[j] += 1
-                rows.append((doc, place, j))
-                size += 24
+                if alone:
+                    rows.append((doc, key, place, j))
+                size += 32
         if rows:
             yield from spans()
 
     return run
 
 
+_SPANS = "doc bigint, key bigint, first bigint, end bigint"
+
+
+def _sorted(runs: DataFrame, window: int) -> DataFrame:
+    return runs.select("h", "doc", "key", "place", "lead", "piece", "alone").repartition("h").sortWithinPartitions("h").mapInArrow(_blocks(window), _SPANS)
+
+
+def _narrowed(items: DataFrame, window: int) -> list[DataFrame]:
+    """Spans of the runs of anchors that are too many for a block, in rounds; `window` halves to the last byte bound them."""
+    out: list[DataFrame] = []
+    same = ["h", "path", "piece"]
+    while True:
+        items = written(items, "suffix-hot")
+        if items.isEmpty():
+            return out
+        one = F.min(F.struct("doc", "key", "place", "lead", "fa", "fb", "alone")).alias("one")
+        kinds = written(items.groupBy(*same).agg(F.count("*").alias("n"), one), "suffix-kinds")
+        again = items.where("alone").join(kinds.where("n > 1").select(*same), same, "left_semi")
+        out.append(again.select("doc", "key", F.col("place").alias("first"), (F.col("place") + F.octet_length("piece")).alias("end")))
+        sizes = kinds.groupBy("h", "path").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        left = kinds.join(sizes, ["h", "path"])
+        rows = left.select("h", "one.doc", "one.key", "one.place", "one.lead", "piece", (F.col("one.alone") & (F.col("n") == 1)).alias("alone"), "path", "one.fa", "one.fb", "kinds")
+        out.append(_sorted(rows.where(F.col("kinds") <= anchors.HOT_RUNS), window))
+        items = rows.where(F.col("kinds") > anchors.HOT_RUNS).drop("kinds").mapInArrow(_narrow(window), _ITEM)
+
+
 def spans(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """The candidate texts (doc, row_key, z), and doc, first, end: places of bytes to remove, with the text's hash in
-    the upper 32 bits of first and end."""
+    """The candidate texts (doc, key, z), and the bytes [first, end) to remove of (doc, key)."""
     candidates = anchors.shared_anchors(rows, byte_runs(window), False, "suffix-anchors")
-    joined = written(anchors.pack_texts(rows).join(candidates, "doc").select("doc", "row_key", "z", "shared", "hot"), "suffix-candidates")
-    dealt = joined.mapInArrow(_emit(window, False), "h bigint, doc bigint, place bigint, lead int, piece binary").repartition("h").sortWithinPartitions("h")
-    found = dealt.mapInArrow(_blocks(window), "doc bigint, first bigint, end bigint")
+    joined = written(anchors.pack_texts(rows).join(candidates, ["doc", "key"]).select("doc", "key", "z", "shared", "hot"), "suffix-candidates")
+    found = _sorted(joined.mapInArrow(_emit(window, False), _RUN), window)
     busy = joined.where(F.size("hot") > 0)
     if not busy.isEmpty():
-        runs = written(busy.mapInArrow(_emit(window, True), anchors.HOT_SCHEMA), "suffix-hot")
-        # equal runs go whole; of a run that is alone, the windows that another run holds
-        runs = runs.withColumn("place", F.col("places")[0])
-        kinds = runs.groupBy("p1", "p2").agg(F.sum(F.size("places")).alias("runs"), F.min(F.struct("doc", "place")).alias("one"))
-        twice = kinds.where("runs > 1").select("p1", "p2")
-        whole = runs.select("p1", "p2", "doc", "spans").join(twice, ["p1", "p2"], "left_semi")
-        whole = whole.select("doc", F.explode("spans").alias("s")).select("doc", "s.first", "s.end")
-        ones = kinds.select("p1", "p2", F.col("one.doc").alias("doc"), F.col("one.place").alias("place"), (F.col("runs") == 1).alias("alone"))
-        own = runs.join(ones, ["p1", "p2", "doc", "place"]).select("doc", "place", "alone", F.posexplode("windows").alias("i", "w"))
-        again = own.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
-        more = own.where("alone").join(again, "w", "left_semi").select("doc", (F.col("place") + F.col("i")).alias("first"), (F.col("place") + F.col("i") + window).alias("end"))
-        found = found.unionByName(whole).unionByName(more)
-    return joined.select("doc", "row_key", "z"), found
+        for more in _narrowed(busy.mapInArrow(_emit(window, True), _ITEM), window):
+            found = found.unionByName(more)
+    return joined.select("doc", "key", "z"), written(found, "suffix-spans")
 
 
 def removed(docs: DataFrame, window: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (bigint), kept_sha256, kept (binary, the remaining bytes; null where nothing
     was removed): a row for each row of docs."""
     small_batches(docs.sparkSession)
-    source = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL_DOC)).alias("doc"), F.hash(source).alias("row_key"), source.alias("text"))
+    source = F.coalesce(F.col(quoted(text)), F.lit(""))
+    rows = docs.select(F.coalesce(F.col(quoted(doc_id)).cast("bigint"), F.lit(_NULL_DOC)).alias("doc"), F.xxhash64(source).alias("key"), source.alias("text"))
     candidates, found = spans(rows, window)
-    low = F.lit((1 << 32) - 1).cast("bigint")
-    lists = found.groupBy("doc", F.call_function("shiftright", F.col("first"), F.lit(32)).cast("int").alias("row_key")).agg(
-        F.collect_list(F.struct(F.col("first").bitwiseAND(low).cast("int").alias("a"), F.col("end").bitwiseAND(low).cast("int").alias("b"))).alias("spans")
-    )
-    joined = candidates.dropDuplicates(["doc", "row_key"]).join(lists, ["doc", "row_key"]).select("doc", "row_key", "z", "spans")
+    lists = found.groupBy("doc", "key").agg(F.collect_list(F.struct(F.col("first").cast("int").alias("a"), F.col("end").cast("int").alias("b"))).alias("spans"))
+    joined = candidates.dropDuplicates(["doc", "key"]).join(lists, ["doc", "key"]).select("doc", "key", "z", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in pieces(batch, "z"):
+            for b in pieces(batch, "z", 1 << 19):
                 n_removed, n_spans, sha, kept = [], [], [], []
                 for r, z in enumerate(b.column(2).to_pylist()):
                     data = np.frombuffer(anchors.unpacked(z), np.uint8)
@@ -274,8 +329,8 @@ def removed(docs: DataFrame, window: int = 200, doc_id: str = "doc_id", text: st
                     kept.append(left)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], names=["c_doc", "c_key", "n_removed", "n_spans", "c_sha", "kept"])
 
-    changed = joined.mapInArrow(cut, "c_doc bigint, c_key int, n_removed bigint, n_spans bigint, c_sha string, kept binary")
-    whole = rows.select("doc", "row_key", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
-    out = whole.join(changed, (F.col("doc") == F.col("c_doc")) & (F.col("row_key") == F.col("c_key")), "left")
+    changed = joined.mapInArrow(cut, "c_doc bigint, c_key bigint, n_removed bigint, n_spans bigint, c_sha string, kept binary")
+    whole = rows.select("doc", "key", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    out = whole.join(changed, (F.col("doc") == F.col("c_doc")) & (F.col("key") == F.col("c_key")), "left")
     none = F.lit(0).cast("bigint")
     return out.select(F.nullif(F.col("doc"), F.lit(_NULL_DOC)).alias("doc_id"), "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("c_sha", "sha").alias("kept_sha256"), "kept")

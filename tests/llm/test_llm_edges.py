@@ -1,11 +1,12 @@
 """Clashing column names, texts that fool weak hashes, very long texts, and what else the operators promise for odd rows."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
 
-from curata.llm import bpe, common, line_dedup, quality, sharding
+from curata.llm import anchors, bpe, common, jaccard, line_dedup, quality, sharding, substring_dedup, suffix_dedup
 from curata.llm.op9_bpe import default_vocabulary
 
 
@@ -71,7 +72,8 @@ def test_long_texts(spark):
     df = spark.createDataFrame([(1, lines), (2, lines[:1_000_000]), (3, "z" * 3_000_000)], "doc_id bigint, text string")
     got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in line_dedup.drop_lines(df, 2).collect()}
     shared = lines[:1_000_000].split("\n")
-    left = [x for x in lines.split("\n") if x not in set(shared[:-1])]
+    found = set(shared[:-1])
+    left = [x for x in lines.split("\n") if x not in found]
     assert got[1] == (60_000, 60_000 - len(left), hashlib.sha256("\n".join(left).encode()).hexdigest())
     assert got[2][0] == len(shared) and got[2][1] >= len(shared) - 1 and got[3][:2] == (1, 0)
     judged = {r["doc_id"]: r["n_words"] for r in quality.judged(df).select("doc_id", "n_words").collect()}
@@ -102,3 +104,69 @@ def test_shared_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(ValueError, match="checkpoint"):
         common.shared_dir(Session())
+
+
+def removed_of(found):
+    return {r["doc_id"]: r["n_removed"] for r in found.collect()}
+
+
+def test_dedup_of_texts_that_fool_weak_hashes(spark, monkeypatch):
+    monkeypatch.setattr(anchors, "HOT_RUNS", 2)
+    rows, n = [], 0
+    for size in (1024, 8192):
+        for a, b in ("ab", "ba"):
+            rows.append((n, thue_morse(size, a, b)))
+            rows.append((n + 1, thue_morse(size // 2, a + " ", b + " ")))
+            n += 2
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    starts, count = {}, {}
+    for i, t in rows:
+        for k in range(len(t) - 199):
+            count[t[k : k + 200]] = count.get(t[k : k + 200], 0) + 1
+        w = t.split()
+        for k in range(len(w) - 12):
+            starts.setdefault(tuple(w[k : k + 13]), i)
+    expected, words = {}, {}
+    for i, t in rows:
+        w = t.split()
+        expected[i] = len({k + j for k in range(len(t) - 199) if count[t[k : k + 200]] > 1 for j in range(200)})
+        words[i] = len({k + j for k in range(len(w) - 12) if starts[tuple(w[k : k + 13])] < i for j in range(13)})
+    assert removed_of(suffix_dedup.removed(df)) == expected
+    assert removed_of(substring_dedup.removed(df)) == words
+    pair = spark.createDataFrame([(1, " ".join(thue_morse(1024, "a", "b"))), (2, " ".join(thue_morse(1024, "b", "a"))), (3, thue_morse(1024, "a", "b")), (4, thue_morse(1024, "b", "a"))], "doc_id bigint, text string")
+    classes = {r["doc_id"]: r["component_id"] for r in jaccard.classes(pair, 85, 1).collect()}
+    assert classes == {1: 1, 2: 1, 3: 3, 4: 4}  # the first two have the same two words
+
+
+@pytest.mark.parametrize("bits", [5, 24])
+def test_anchors_don_t_depend_on_the_place(monkeypatch, bits):
+    monkeypatch.setattr(anchors, "_PLACE_BITS", bits)
+    monkeypatch.setattr(anchors, "_LOW", np.uint64((1 << bits) - 1))
+    rng = random.Random(bits)
+    grams = np.array([rng.choice([7, 9, 11]) << 30 for _ in range(400)], np.uint64)
+    for width in (1, 4, 13):
+        found = anchors.least_places(grams, width)
+        assert found.tolist() == [min(range(k, k + width), key=lambda j: (int(grams[j]), j)) for k in range(400 - width + 1)]
+
+
+def test_dedup_of_very_long_texts(spark):
+    rng = np.random.default_rng(17)
+    words = np.array([f"w{k}" for k in range(5000)])
+    long = " ".join(words[rng.integers(0, 5000, 3_100_000)].tolist())  # 18 MB
+    place = (1 << 24) - 5000  # a passage across byte 2 ** 24, and one near the end
+    passage, tail = long[place : place + 10_000], long[-6000:]
+    rows = [(1, long), (2, "#" + passage + "#"), (3, "#" + tail), (4, "nothing shared here at all")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert removed_of(suffix_dedup.removed(df)) == {1: 16_000, 2: 10_000, 3: 6000, 4: 0}
+    got = removed_of(substring_dedup.removed(df))
+    assert got[1] == got[4] == 0
+    for k, part in ((2, passage), (3, tail)):
+        assert len(part.split()) - 2 <= got[k] <= len(part.split())  # but for words that the cut halved
+
+
+def test_many_rows_without_id(spark):
+    rng = random.Random(18)
+    line = " ".join(rng.choice("abcdefgh") * rng.randint(1, 5) for _ in range(120))
+    rows = [(None, line + f" own {k} " + " ".join(str(rng.random()) for _ in range(30))) for k in range(300)]
+    got = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == 300 and all(r["doc_id"] is None and len(line) <= r["n_removed"] <= len(line) + 10 for r in got)

@@ -150,14 +150,75 @@ def test_empty_tables(spark):
     assert bpe.digests(none, default_vocabulary()).count() == 0
 
 
-def test_difference_cover_and_factors():
+def test_difference_cover():
     assert {(a - b) % suffix_dedup.PERIOD for a in suffix_dedup.COVER for b in suffix_dedup.COVER} == set(range(suffix_dedup.PERIOD))
-    pack = lambda *w: np.array(w, np.uint64).tobytes()
-    block = substring_dedup.Block(3)
-    assert block.factor(1, pack(1, 2, 3, 4)) == [] and block.factor(1, pack(1, 2, 3, 4)) == []
-    assert block.factor(2, pack(2, 3, 4, 5, 6)) == [(0, 1)]
-    # windows (2,3,4), (3,4,5) and (4,5,6) come from two references; the second is found at the factor's end
-    assert block.factor(3, pack(1, 2, 3, 4, 5, 6)) == [(0, 2), (2, 4)]
+
+
+def test_narrowing_parts_the_windows():
+    rng = random.Random(15)
+    for _ in range(300):
+        window = rng.randint(4, 30)
+        fa = rng.randint(0, 20)
+        fb = fa + rng.randint(1, window)
+        size = max(fb, rng.randint(window, 60))
+        first, last = max(0, fb - window), min(fa, size - window)
+        if first > last or size < window:
+            continue
+        piece, fa, fb = bytes(last + window - first), fa - first, fb - first  # every window of the piece holds [fa, fb)
+        seen = []
+        for _, low, high, a, z in suffix_dedup.narrower(piece, fa, fb, window):
+            assert z - a > fb - fa and (z - a) - (fb - fa) >= (window - (fb - fa)) // 2
+            seen += range(low, high - window + 1)
+            assert all(s <= a and z <= s + window for s in range(low, high - window + 1))
+        assert sorted(seen) == (list(range(len(piece) - window + 1)) if fb - fa < window else [])
+
+
+def brute_parse(text, reference):
+    """Greedy factors (start, end) by looking at every place of the reference."""
+    out, i = [], 0
+    while i < len(text):
+        best = 0
+        for j in range(len(reference)):
+            n = 0
+            while i + n < len(text) and j + n < len(reference) and text[i + n] == reference[j + n]:
+                n += 1
+            best = max(best, n)
+        out.append((i, i + max(1, best)))
+        i = out[-1][1]
+    return out
+
+
+def test_parsing():
+    rng = random.Random(16)
+    for _ in range(150):
+        letters = [bytes([97 + k]) for k in range(rng.randint(1, 4))]
+        draw = lambda n: [rng.choice(letters) for _ in range(rng.randint(0, n))]  # noqa: E731, B023
+        groups = [(draw(40), [draw(30) for _ in range(rng.randint(0, 4))]) for _ in range(rng.randint(1, 4))]
+        parser, number = substring_dedup.Parser(groups), 0
+        for reference, stretches in groups:
+            number += 1
+            for s in stretches:
+                at = int(parser.begin[number])
+                lengths = parser.length[at : at + len(s)].tolist()
+                assert list(substring_dedup.factors(lengths)) == brute_parse(s, reference)
+                for i, n in enumerate(lengths):
+                    assert n == 0 or s[i : i + n] in [reference[j : j + n] for j in range(len(reference))]
+                for window in (2, 3, 7):
+                    held = {tuple(reference[j : j + window]) for j in range(len(reference) - window + 1)}
+                    expected = {i + k for i in range(len(s) - window + 1) if tuple(s[i : i + window]) in held for k in range(window)}
+                    assert {i for a, z in substring_dedup.duplicate_spans(lengths, window) for i in range(a, z)} == expected
+                number += 1
+
+
+def test_factors_decide():
+    """Without the copies of the parse nothing is removed; windows that two references hold are found at a factor's end."""
+    text = [b"1", b"2", b"3", b"4", b"5", b"6"]
+    parser = substring_dedup.Parser([([b"1", b"2", b"3", b"4", b"9", b"3", b"4", b"5", b"6"], [text])])
+    at = int(parser.begin[1])
+    lengths = parser.length[at : at + 6].tolist()
+    assert lengths == [4, 3, 4, 3, 2, 1]
+    assert list(substring_dedup.factors(lengths)) == [(0, 4), (4, 6)] and substring_dedup.duplicate_spans(lengths, 3) == [(0, 6)]
+    assert substring_dedup.duplicate_spans([0] * 6, 3) == []
 
 
 def sets_of(rows, n):
@@ -491,7 +552,7 @@ def test_runs_cover_every_window_once():
         sizes = [rng.randint(0, 60) for _ in range(8)]
         data = np.array([rng.choice([97, 97, 98]) for _ in range(sum(sizes))], np.uint8)
         offsets = np.cumsum([0, *sizes])
-        (runs,) = suffix_dedup.byte_runs(20)(data, offsets)
+        (runs,) = list(suffix_dedup.byte_runs(20)(data, offsets))
         covered = [(d, k) for d, a, z in zip(runs.doc, runs.first, runs.end, strict=True) for k in range(a, z)]
         assert covered == [(d, k) for d in range(8) for k in range(offsets[d], offsets[d + 1] - 19)]
         # equal windows have equal anchors at equal places
