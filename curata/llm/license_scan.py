@@ -1,21 +1,21 @@
 """License scans by patience alignment.
 
-Words (runs of letters and digits, A-Z lower-cased) that are unique to both a region of the text and the template are
+Words (runs of letters and digits, A-Z lower-cased) that are unique to both a range of the text and the template are
 anchors; the longest increasing subsequence of their places is kept, and the gaps between neighbours are aligned the
-same way, after equal words at both ends of a gap are paired. Coverage is the share of the template's words that are
-paired.
+same way, after equal words at both ends of a gap are paired. A gap without a word that is unique to both is aligned by
+a longest common subsequence. Coverage is the share of the template's words that are paired.
 
 Where to align is found first. Cores are the most ranges without overlap that hold enough of the template's words in
-order (a longest common subsequence, by bits of one integer) and are at most twice as long as the template, each the
-shortest that ends where it does; so telling words before, in or after a notice hide nothing, and a notice that a text
-holds twice is found twice. Each core is aligned with the words around it, then alone, and by its common subsequence
-where too few words are unique for patience. A notice with more words of other text in between is sought in regions: a
-region starts where a telling word of the template occurs and ends before such a word repeats or after a long gap.
+order (a longest common subsequence, by bits of one integer) and are at most SPAN times as long as the template, each
+the shortest that ends where it does; so headings, version numbers and doubled words before, in or after a notice hide
+nothing, and a notice that a text holds twice is found twice. Each core is aligned with the words around it, up to the
+template's length on both sides and the next core, and alone; the alignment that pairs most counts.
 A document is aligned only if it holds enough of the template's words at all, which is counted for a whole batch at
 once; that bound loses nothing, since a pair needs its word.
 
-A null or empty text has no licence. Rows are scanned one by one: repeated rows repeat their results. Texts are read
-whole; memory is bounded by a batch's bytes. An empty table gives no rows. Further columns are not read.
+A null or empty text has no licence. Rows are scanned one by one: repeated rows repeat their results, and of equally
+good places the first counts. Texts are read whole; memory is bounded by a batch's bytes or one text. An empty table
+gives no rows. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import IS_PUNCTUATION, lower_ascii, pieces, small_batches, span_hashes, text_buffer, words_of
+from curata.llm.common import IS_PUNCTUATION, lower_ascii, pieces, quoted, small_batches, span_hashes, text_buffer, words_of
 
-#: Notices of public licences.
+#: Whole texts of short public licences, and the notices by which files are put under the longer ones.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "mit-notice": "Released under the MIT License.",
@@ -46,29 +46,100 @@ TEMPLATES = {
         "See the License for the specific language governing permissions and limitations under the License."
     ),
     "mit": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "mit-grant": (
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
         "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
         "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
     ),
     "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. '
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "isc-grant": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
         "provided that the above copyright notice and this permission notice appear in all copies."
     ),
     "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES '
+        "OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; "
+        "OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+        "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "bsd-3-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES '
+        "OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; "
+        "OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+        "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "bsd-conditions": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
         "in the documentation and/or other materials provided with the distribution."
     ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the "
+        "product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
+        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software "
+        "dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and "
+        "successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."
+    ),
+    "gpl-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ),
     "gpl-3.0": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
         "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "lgpl-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "agpl-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+        "You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 
-#: Words too common to start a region.
-COMMON = frozenset("a all and any are at be by can for from in is it its may not of on or that the this to under use with you your".split())
+#: A notice lies within so many times its template's words.
+SPAN = 2
 
 
 def words(text: str) -> list[str]:
@@ -96,7 +167,7 @@ def longest_increasing(values: Sequence[int]) -> list[int]:
 
 
 def align(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
-    """Pairs (place in text, place in template) of a patience alignment, in order."""
+    """Pairs (place in text, place in template) of a patience alignment, in order. The text is a few templates long."""
     out: list[tuple[int, int]] = []
     gaps = [(0, len(text), 0, len(template))]
     while gaps:
@@ -114,6 +185,7 @@ def align(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
         anchors = [(place[template[j]], j) for j in range(c, d) if there[template[j]] == 1 and template[j] in place]
         kept = [anchors[i] for i in longest_increasing([i for i, _ in anchors])]
         if not kept:
+            out += [(a + i, c + j) for i, j in common(text[a:b], template[c:d])]
             continue
         out += kept
         edges = [(a - 1, c - 1), *kept, (b, d)]
@@ -121,24 +193,6 @@ def align(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def regions(ids: Sequence[int], telling: Counter, span: int) -> Iterator[tuple[int, int]]:
-    """Ranges of the text to align. telling: how often each telling word is in the template of `span` words."""
-    at = [i for i, x in enumerate(ids) if x in telling]
-    seen: Counter = Counter()
-    first = last = -1
-    floor = 0
-    for i in at:
-        if first >= 0 and (i - last > span or seen[ids[i]] >= telling[ids[i]]):
-            yield max(floor, first - span), min(i, last + span)
-            floor, first, seen = last + 1, -1, Counter()
-        if first < 0:
-            first = i
-        last = i
-        seen[ids[i]] += 1
-    if first >= 0:
-        yield max(floor, first - span), min(len(ids), last + span)
-
-
 def bits_of(template: Sequence[int]) -> dict[int, int]:
     """The places of each word of the template, as bits."""
     out: dict[int, int] = {}
@@ -165,17 +219,17 @@ def reach(ids: Sequence[int], places: range, bits: dict[int, int], size: int, le
 
 
 def cores(ids: Sequence[int], template: Sequence[int], least: int) -> Iterator[tuple[int, int]]:
-    """The most ranges without overlap, of at most twice the template's words, that have `least` in order in common."""
+    """The most ranges without overlap, of at most SPAN times the template's words, that have `least` in order in common."""
     span = len(template)
     ahead, back = bits_of(template), bits_of(template[::-1])
     a = 0
     while a < len(ids):
-        # three template lengths hold every such range that starts in the first of them
-        start, end = a, min(len(ids), a + 3 * span)
+        # one template length more holds every such range that starts in the first of them
+        start, end = a, min(len(ids), a + (SPAN + 1) * span)
         a += span
         while (last := reach(ids, range(start, end), ahead, span, least)) >= 0:
             first = reach(ids, range(last, start - 1, -1), back, span, least)
-            if last - first < 2 * span:
+            if last - first < SPAN * span:
                 yield first, last + 1
                 a = last + 1
                 break
@@ -203,7 +257,7 @@ def common(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
     return out
 
 
-def found_in(ids: Sequence[int], telling: Counter, template: Sequence[int], least: int) -> Iterator[list[tuple[int, int]]]:
+def found_in(ids: Sequence[int], template: Sequence[int], least: int) -> Iterator[list[tuple[int, int]]]:
     """The pairs of each place where at least `least` of the template's words are in order."""
     span = len(template)
     held = list(cores(ids, template, least))
@@ -215,11 +269,8 @@ def found_in(ids: Sequence[int], telling: Counter, template: Sequence[int], leas
             if len(most) < span:
                 pairs = align(ids[x:y], template)
                 most = [(x + i, j) for i, j in pairs] if len(pairs) > len(most) else most
+        # anchors can cross a better common subsequence; the core's own is there
         yield most if len(most) >= least else [(start + i, j) for i, j in common(ids[start:end], template)]
-    for a, b in regions(ids, telling, span):
-        pairs = align(ids[a:b], template)
-        if len(pairs) >= least and all(a + pairs[-1][0] < start or end <= a + pairs[0][0] for start, end in held):
-            yield [(a + i, j) for i, j in pairs]
 
 
 class Scanner:
@@ -229,7 +280,6 @@ class Scanner:
         vocabulary = sorted({w for t in split for w in t})
         number = {w: i for i, w in enumerate(vocabulary)}
         self.templates = [[number[w] for w in t] for t in split]
-        self.telling = [Counter(x for x in t if vocabulary[x] not in COMMON) for t in self.templates]
         self.counts = np.array([np.bincount(t, minlength=len(vocabulary)) for t in self.templates])
         joined = "".join(vocabulary).encode()
         ends = np.cumsum([len(w.encode()) for w in vocabulary])
@@ -246,17 +296,17 @@ class Scanner:
         return np.where(self.hashes[i] == h, self.order[i], -1), at
 
     def scan(self, ids: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(row, template, paired words, first word, end word, regions found) of each template that a text covers."""
+        """(row, template, paired words, first word, end word, places found) of each template that a text covers."""
         n, size = len(at) - 1, self.counts.shape[1]
         known = np.flatnonzero(ids >= 0)
         row = np.searchsorted(at, known, side="right") - 1
         held = np.bincount(row * size + ids[known], minlength=n * size).reshape(n, size)
-        for t, (template, telling) in enumerate(zip(self.templates, self.telling, strict=True)):
+        for t, template in enumerate(self.templates):
             need = self.least * len(template)
             for r in np.flatnonzero(np.minimum(held, self.counts[t]).sum(axis=1) >= need).tolist():
                 text = ids[at[r] : at[r + 1]].tolist()
                 best, found = (0, 0, 0), 0
-                for pairs in found_in(text, telling, template, max(1, math.ceil(need - 1e-9))):
+                for pairs in found_in(text, template, max(1, math.ceil(need - 1e-9))):
                     found += 1
                     best = max(best, (len(pairs), -pairs[0][0], pairs[-1][0] + 1))
                 if found:
@@ -264,7 +314,7 @@ class Scanner:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, license, n_paired, n_template (words), first_word, end_word of the best region, n_found (bigint): a row
+    """doc_id, license, n_paired, n_template (words), first_word, end_word of the best place, n_found (bigint): a row
     for each licence that at least `least` of is in a document."""
     small_batches(docs.sparkSession)
     templates = templates or TEMPLATES
@@ -280,5 +330,5 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
                 columns = [b.column(0).take(pa.array(rows)), pa.array([scanner.names[t] for t in which]), *(pa.array(x, pa.int64()) for x in (paired, [len(scanner.templates[t]) for t in which], first, end, found))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "license", "n_paired", "n_template", "first_word", "end_word", "n_found"])
 
-    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    source = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc_id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
     return source.mapInArrow(run, "doc_id bigint, license string, n_paired bigint, n_template bigint, first_word bigint, end_word bigint, n_found bigint")

@@ -363,10 +363,10 @@ def test_licenses(spark):
     mit = t["mit"].split(" ")
     rows = [
         (1, "Some words.\n" + t["mit-notice"]), (2, "the license of this work"), (3, "\n".join([t["apache-2.0-notice"]] * 2)), (4, " ".join(w for k, w in enumerate(mit) if k % 12)), (5, " ".join(mit[: len(mit) // 2])),
-        (6, None), (7, ""), (8, "word " * 20_000 + t["all-rights-reserved"].upper()),
+        (6, None), (7, ""), (8, "word " * 20_000 + t["all-rights-reserved"].upper()), (9, " ".join(t["mit-grant"].split(" ")[:44])),
     ]
     got = {(r["doc_id"], r["license"]): (r["n_found"], r["end_word"]) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert set(got) == {(1, "mit-notice"), (3, "apache-2.0-notice"), (4, "mit"), (8, "all-rights-reserved")}
+    assert set(got) == {(1, "mit-notice"), (3, "apache-2.0-notice"), (4, "mit"), (4, "mit-grant"), (5, "mit-grant"), (8, "all-rights-reserved")}
     assert got[3, "apache-2.0-notice"][0] == 2 and got[8, "all-rights-reserved"] == (1, 20_003)
 
 
@@ -384,11 +384,81 @@ def test_licenses_after_telling_words(spark):
         name = names[i % len(names)] if i < 3 * len(names) else names[5]
         template = license_scan.words(license_scan.TEMPLATES[name])
         row = got[i, name]
-        assert row["n_paired"] >= len(license_scan.align(license_scan.words(text), template)) and row["n_found"] >= 1
+        assert row["n_paired"] >= len(license_scan.align(license_scan.words(text), template)) and row["n_found"] >= 1, name
         if i < 3 * len(names):
             assert row["n_paired"] == len(template), (name, text)
 
 
+def test_licenses_under_headings(spark):
+    notice, mit = license_scan.TEMPLATES["apache-2.0-notice"], license_scan.TEMPLATES["mit"]
+    texts = [f"License\n\n{notice}", f"License: {notice}", f"This is version 2 of the library. {notice}", notice.replace("the Apache", "the the Apache"), f"# MIT License\n\nCopyright (c) 2020 Jane Doe\n\n{mit}", "\n".join(" * " + mit[k : k + 70] for k in range(0, len(mit), 70))]
+    got = license_rows(spark, texts)
+    for k in range(4):
+        assert got[k, "apache-2.0-notice"]["n_paired"] == 8, texts[k]
+    assert got[4, "mit"]["n_paired"] == len(license_scan.words(mit)) and got[5, "mit"]["n_found"] == 1
+
+
+def brute_align(text, template):
+    """The patience alignment's pairs, by recursion on lists."""
+    if not text or not template:
+        return []
+    if text[0] == template[0]:
+        return [(0, 0)] + [(i + 1, j + 1) for i, j in brute_align(text[1:], template[1:])]
+    if text[-1] == template[-1]:
+        return [*brute_align(text[:-1], template[:-1]), (len(text) - 1, len(template) - 1)]
+    unique = [(text.index(w), j) for j, w in enumerate(template) if template.count(w) == 1 and text.count(w) == 1]
+    kept = [unique[k] for k in license_scan.longest_increasing([i for i, _ in unique])]
+    if not kept:
+        return license_scan.common(text, template)
+    out, a, c = [], 0, 0
+    for i, j in [*kept, (len(text), len(template))]:
+        out += [(a + x, c + y) for x, y in brute_align(text[a:i], template[c:j])]
+        if i < len(text):
+            out.append((i, j))
+        a, c = i + 1, j + 1
+    return out
+
+
+def test_alignment_by_recursion():
+    rng = random.Random(19)
+    for _ in range(400):
+        template = [rng.randrange(9) for _ in range(rng.randint(0, 10))]
+        text = [rng.randrange(11) for _ in range(rng.randint(0, 25))]
+        assert license_scan.align(text, template) == brute_align(text, template)
+
+
+def test_licenses_of_a_whole_table(spark):
+    """The query's rows against a scan that looks for the ranges word by word and aligns by recursion."""
+    from curata.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    expected = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        text = license_scan.words(r["text"] or "")
+        for name, source in license_scan.TEMPLATES.items():
+            template = license_scan.words(source)
+            least = -(-4 * len(template) // 5)
+            if sum((Counter(text) & Counter(template)).values()) < least:
+                continue  # a pair needs its word
+            limit, a, held = license_scan.SPAN * len(template), 0, []
+            for b in range(1, len(text) + 1):
+                start = max(a, b - limit)
+                if text[b - 1] in template and brute_common(text[start:b], template) >= least:
+                    while brute_common(text[start + 1 : b], template) >= least:
+                        start += 1
+                    held.append((start, b))
+                    a = b
+            best = None
+            for k, (start, b) in enumerate(held):
+                before, after = max(held[k - 1][1] if k else 0, start - len(template)), min(held[k + 1][0] if k + 1 < len(held) else len(text), b + len(template))
+                found = max((brute_align(text[x:y], template) for x, y in ((before, after), (start, after), (before, b), (start, b))), key=len)
+                best = max(best or 0, len(found) if len(found) >= least else brute_common(text[start:b], template))
+            if held:
+                expected[r["doc_id"], name] = (best, len(held))
+    got = {(r["doc_id"], r["license"]): (r["n_paired"], r["n_found"]) for r in queries.queries()["op10_licenses"](spark, sf).collect()}
+    assert got == expected and len(expected) > 3
+
+
 def brute_common(text, template):
     best = [0] * (len(template) + 1)
     for x in text:
@@ -414,7 +484,7 @@ def test_license_cores():
         pairs = license_scan.common(text, template)
         assert len(pairs) == brute_common(text, template) and all(text[i] == template[j] for i, j in pairs)
         assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
-        for pairs in license_scan.found_in(text, Counter(template), template, least):
+        for pairs in license_scan.found_in(text, template, least):
             assert len(pairs) >= least and all(text[i] == template[j] for i, j in pairs)
 
 
