@@ -11,9 +11,14 @@ of items has no such item, and is not searched.
 What is found counts as a leak if the item's question and its answer (its last sentence, or its last third where
 there is only one) each have least_overlap of their distinct words in a passage that scores the threshold.
 
-Words are runs of letters and digits with A-Z lower-cased. Items without words match nothing; a null text has no
-words. Repeated items are items of their own, and so are items with a null item_id. The index goes to executors in blocks of at most BLOCK_BYTES of item
-text, all its classes in one pass over the documents, with statistics over all items; so any number of items works.
+Words are runs of letters and digits with A-Z lower-cased. Items without words match nothing; a null or empty text has no
+words. Repeated items are items of their own, and so are items with a null item_id; of passages that score the same, the
+one with the larger overlaps counts. Rows of one doc_id (null is one too) are one document. An empty table, of documents
+or items, gives no rows; further columns are not read. Texts of any length are judged whole, some passages at a time.
+
+The index goes to executors in blocks of at most BLOCK_BYTES of item text, all its classes in one pass over the documents,
+with statistics over all items; so any number of items works. Where there are several blocks, each block's finds are
+written and its broadcast is released before the next.
 """
 
 from __future__ import annotations
@@ -22,17 +27,20 @@ import math
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.llm.common import IS_PUNCTUATION, lower_ascii, pieces, small_batches, span_hashes, text_buffer, words_of
+from curata.llm.common import IS_PUNCTUATION, lower_ascii, pieces, quoted, small_batches, span_hashes, text_buffer, words_of, written
 
 K1, B = 1.2, 0.75
 #: Neighbouring items of a block, and bytes of item text of one index that is sent to the executors.
-BLOCK, BLOCK_BYTES = 4, 1 << 20
+BLOCK, BLOCK_BYTES = 4, 4 << 20
+#: Passages times blocks of items whose bounds are worked out at once.
+BOUNDS = 1 << 21
 #: Least half length of a passage.
 HALF = 64
 _ENDS = tuple(b".!?\n")
@@ -170,6 +178,14 @@ class Index:
                 best = max(best or (0.0, 0.0, 0.0), (score, question, answer))
         return best
 
+    def bounds(self, passage: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The largest sum over blocks of items of the words' largest impacts there, for each passage (sorted)."""
+        number = np.cumsum(np.concatenate([[0], passage[1:] != passage[:-1]]))
+        many = self.first_block[word + 1] - self.first_block[word]
+        place = np.repeat(self.first_block[word] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        n = int(number[-1]) + 1
+        return np.bincount(np.repeat(number, many) * self.n_blocks + self.blocks[place], self.maxima[place], n * self.n_blocks).reshape(n, self.n_blocks).max(axis=1)
+
     def leaks(self, h: np.ndarray, at: np.ndarray, threshold: float, least_overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
         """(row, item, score, question overlap, answer overlap) for the best own passage of each text and item."""
         half = self.half
@@ -186,13 +202,9 @@ class Index:
         key = np.unique(both * len(self.words) + np.concatenate([numbers[known][local >= k] for k in range(self.n_halves)]))
         passage, word = key // len(self.words), key % len(self.words)
         starts = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
-        # the block bound of every passage: each word adds its largest impact to each block that it has items in
-        number = np.cumsum(np.concatenate([[0], passage[1:] != passage[:-1]]))
-        many = self.first_block[word + 1] - self.first_block[word]
-        place = np.repeat(self.first_block[word] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        bound = np.bincount(np.repeat(number, many) * self.n_blocks + self.blocks[place], self.maxima[place], len(starts) * self.n_blocks)
-        bound = bound.reshape(len(starts), self.n_blocks).max(axis=1)
         ends = np.append(starts[1:], len(passage))
+        step = max(1, BOUNDS // self.n_blocks)
+        bound = np.concatenate([self.bounds(passage[starts[k] : ends[min(k + step, len(ends)) - 1]], word[starts[k] : ends[min(k + step, len(ends)) - 1]]) for k in range(0, len(starts), step)])
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         for k in np.flatnonzero(bound >= threshold - 1e-9).tolist():
             found = self.search(word[starts[k] : ends[k]].tolist(), threshold)
@@ -221,7 +233,7 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def index_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[Index]]:
     """Indexes that together hold all items, in blocks of at most block_bytes of text (or one item), one for each class of length."""
-    rows = items.select(F.col(item_id).cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = items.select(F.col(quoted(item_id)).cast("bigint").alias("id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
     words = rows.select("text").mapInArrow(_item_words, "h bigint, n bigint")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("n") > 0, 1)), F.lit(0)).alias("items")).first()
     if not total["items"]:
@@ -252,10 +264,15 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, least_overl
     which it holds question and answer, for the passage that scores best. A doc_id that repeats counts once."""
     spark = docs.sparkSession
     small_batches(spark)
-    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    source = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc_id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
+    names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
+    kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
     schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
-    out = None
-    for block in index_blocks(items, item_id, item_text):
+    parts: list[DataFrame] = []
+    blocks = index_blocks(items, item_id, item_text)
+    block = next(blocks, None)
+    while block is not None:
+        after = next(blocks, None)
         held = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
@@ -265,12 +282,14 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, least_overl
                     found = [x for index in held.value for x in index.leaks(h, at, threshold, least_overlap)]
                     if found:
                         r, *values = zip(*found, strict=True)
-                        kinds = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
-                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), *(pa.array(x, k) for x, k in zip(values, kinds, strict=True))], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), *(pa.array(x, k) for x, k in zip(values, kinds, strict=True))], names=names)
 
-        found = source.mapInArrow(run, schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
+        parts.append(source.mapInArrow(run, schema))
+        if after is not None or len(parts) > 1:
+            parts[-1] = written(parts[-1], "leaks")
+            held.unpersist()
+        block = after
+    if not parts:
         return spark.createDataFrame([], schema)
     best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best")
-    return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
