@@ -14,12 +14,15 @@ are one class from the start. The rest is candidate search, a join within candid
    longest set below can't reach the overlap that the smallest set below needs, or if all sets below are linked with
    the query already.
 4. A group over GROUP_DOCS is dealt over blocks that share a few documents. What the blocks' links leave in different
-   components while sharing a candidate shingle meets again, in pairs of blocks; so no link is lost, and a group of
-   near copies, which the shared documents hold together, is not compared pair by pair.
+   components while sharing a pair of shingles meets again: by that pair and by size, as linked sets are in the same or
+   in neighbouring classes of size (powers of 100 / percent). Only where such a cell is over GROUP_DOCS too, its documents
+   meet in pairs of blocks. So no link is lost, and a group of near copies, which the shared documents hold together, is
+   not compared pair by pair.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased. A document of fewer words than n has its
-whole word sequence as its one shingle; without words, or null, it has none and links with nothing. Repeated doc_id:
-the rows must have the same text (else each row counts under that id). Nulls in doc_id are not linked.
+whole word sequence as its one shingle; without words, or null, it has none and links with nothing. Rows of one doc_id
+are one document with the links of each row. Rows without doc_id are not linked. An empty table gives no rows; further
+columns are not read. A text of any length is one set, in the memory of one task. Sets are of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm.anchors import SAMPLE, repeated_keys
-from curata.llm.common import lower_ascii, mixed, pieces, small_batches, span_hashes, text_buffer, words_of, written
+from curata.llm.common import lower_ascii, mixed, pieces, quoted, small_batches, span_hashes, text_buffer, words_of, written
 from curata.llm.components import Union, components
 
 SKETCH_BITS = 18
@@ -291,7 +294,7 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
     """doc_id, n_shingles, component_id (bigint): a row for each row of docs."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
     made = written(rows.mapInArrow(_signatures(shingle), "doc bigint, n bigint, s1 bigint, s2 bigint, slice int, counts binary"), "jaccard-signatures")
     signed = made.where("slice is null").select("doc", "n", "s1", "s2")
     # a table of fixed size: 4 bytes for each of 2 ** SKETCH_BITS counts
@@ -317,10 +320,10 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(needs, pa.int32()), pa.array(sizes, pa.int32()), tokens], names=["doc", "need", "size", "tokens"])
 
     firsts = rows.where("doc is not null").mapInArrow(prefixes, "doc bigint, need int, size int, tokens array<bigint>")
-    firsts = written(firsts.join(equal.select("doc"), "doc", "left_semi").dropDuplicates(["doc"]), "jaccard-prefixes")
+    firsts = written(firsts.join(equal.select("doc"), "doc", "left_semi").distinct(), "jaccard-prefixes")
     keys = lambda df: df.select(F.explode("tokens").alias("h"), "doc", F.lit(0).cast("bigint").alias("key"))
     meets = repeated_keys(keys(firsts), keys(firsts.sample(SAMPLE, 1)), True, "jaccard-shared").select("h", "doc")
-    needs = firsts.select("doc", "need")
+    needs = firsts.groupBy("doc").agg(F.min("need").alias("need"))
     for k in range(2):  # who shares too little goes, and with it what it alone shared with others
         enough = meets.groupBy("doc").agg(F.count("*").alias("n")).join(needs, "doc").where("n >= need").select("doc")
         left = meets.select("h", "doc").join(enough, "doc", "left_semi")
@@ -334,7 +337,7 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
             docs, keys = pair_keys(np.repeat(np.arange(b.num_rows), counts), lists.flatten().to_numpy().view(np.uint64), np.repeat(b.column(2).to_numpy().astype(np.int64), counts), percent)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(docs)), pa.array(keys.view(np.int64))], names=["doc", "token"])
 
-    left = meets.groupBy("doc").agg(F.collect_list("h").alias("hs")).join(firsts.select("doc", "size"), "doc")
+    left = meets.groupBy("doc").agg(F.collect_list("h").alias("hs")).join(firsts.select("doc", "size").distinct(), "doc")
     keys = left.select("doc", "hs", "size").mapInArrow(paired, "doc bigint, token bigint").distinct()
     both = written(keys, "jaccard-pairs")
     shared = both.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("token", "least")
@@ -353,16 +356,24 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
     big = placed.where(F.col("size") > GROUP_DOCS)
     if not big.isEmpty():
         now = components(links, "jaccard-links")
-        labelled = big.select("doc", "grp").join(now, F.col("doc") == F.col("node"), "left").select("doc", "grp", F.coalesce("component", "doc").alias("label"))
-        # shingles that still lead from one component to another
-        open_tokens = meets.join(labelled, "doc").groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
-        unsettled = written(meets.join(open_tokens, "token", "left_semi").select("doc").distinct().join(labelled, "doc"), "jaccard-unsettled")
-        counts = unsettled.groupBy("grp").agg(F.count("*").alias("size"))
+        labelled = big.select("doc").join(now, F.col("doc") == F.col("node"), "left").select("doc", F.coalesce("component", "doc").alias("label"))
+        # pairs of shingles that still lead from one component to another
+        held = meets.select("token", "doc").join(labelled, "doc")
+        open_tokens = held.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
+        unsettled = written(held.join(open_tokens, "token", "left_semi"), "jaccard-unsettled")
+        size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9) if percent < 100 else F.col("size")
+        sized = firsts.select("doc", size_class.cast("bigint").alias("c")).distinct()
+        cells = unsettled.join(sized, "doc").select("token", "doc", "label", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("cell"))
+        apart = cells.groupBy("token", "cell").agg(F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token", "cell", "size")
         last = F.ceil(F.col("size") / GROUP_DOCS) - 1
         own = F.pmod(F.xxhash64("doc", F.lit(2)), last + 1)
-        pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda k: F.xxhash64("grp", F.lit("pair"), F.least(k, F.col("own")), F.greatest(k, F.col("own"))))
-        again = unsettled.join(counts, "grp").withColumn("own", own).select("doc", "label", F.explode(pairs).alias("block"))
-        links = links.unionByName(_linked(rows, again, shingle, percent))
+        pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda k: F.xxhash64("token", "cell", F.least(k, F.col("own")), F.greatest(k, F.col("own"))))
+        again = cells.join(apart, ["token", "cell"]).withColumn("own", own).select("doc", "label", F.explode(pairs).alias("block"))
+        links = links.unionByName(_linked(rows, again.distinct(), shingle, percent))
+    # a document of several texts holds the classes of each together
+    several = signed.where("n > 0 and doc is not null").groupBy("doc").agg(F.min(F.struct("s1", "s2", "n")).alias("a"), F.max(F.struct("s1", "s2", "n")).alias("b")).where("a <> b").select("doc")
+    both = signed.where("n > 0").join(several, "doc", "left_semi").join(equal.withColumnRenamed("doc", "b"), ["s1", "s2", "n"]).select(F.col("doc").alias("a"), "b")
+    links = links.unionByName(both.where("a <> b").distinct())
     found = components(links, "jaccard-components")
     named = equal.join(found, F.col("doc") == F.col("node"), "left").select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("n").alias("tn"), F.coalesce("component", "doc").alias("component"))
     joined = result.join(named, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")) & (F.col("n") == F.col("tn")) & F.col("doc").isNotNull(), "left")

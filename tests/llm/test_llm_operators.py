@@ -262,6 +262,14 @@ def test_jaccard(spark, monkeypatch, percent, n, group):
     assert got == components(sets_of(rows, n), percent)
 
 
+def test_jaccard_of_repeated_ids(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(1, text("a")), (2, text("b") + " more"), (3, text("a") + " more"), (3, text("c")), (4, text("c")), (5, text("d")), (6, text("b")), (6, text("b")), (None, text("a")), (7, text("e")), (7, None)]
+    got = jaccard.classes(spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as component_id"), 85, 4).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (3, 1), (4, 1), (2, 2), (6, 2), (5, 5), (7, 7), (None, None)}
+
+
 def test_prefix_tree():
     rng = random.Random(5)
     for _ in range(60):
