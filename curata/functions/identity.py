@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions.fields import first_present, present
@@ -66,9 +66,14 @@ def parse_ids(text: Column, aliases: dict[str, str]) -> Column:
 
 
 def first_seen(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """df with n (place among rows of the key, from 0) and key_rows (how many there are)."""
-    w = Window.partitionBy(key)
-    return df.withColumn("n", (F.row_number().over(w.orderBy(*order)) - 1).cast("bigint")).withColumn("key_rows", F.count("*").over(w))
+    """df with n (place among rows of the key, from 0) and key_rows (how many there are): ordinals over (key, order) less
+    the key's first one, so rows of a frequent key are many tasks'."""
+    from curata.operators.sampling import with_ordinal
+
+    placed = with_ordinal(df, [key, *order], "_ordinal")
+    keys = placed.groupBy(F.col(key).alias("_key")).agg(F.min("_ordinal").alias("_first"), F.count("*").alias("key_rows"))
+    joined = placed.join(keys, F.col(key).eqNullSafe(F.col("_key")))
+    return joined.select(*df.columns, (F.col("_ordinal") - F.col("_first")).alias("n"), "key_rows")
 
 
 def disambiguated(df: DataFrame, key: str, order: list[str], content: Column) -> DataFrame:

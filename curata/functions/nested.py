@@ -53,17 +53,15 @@ def text_leaves(*values: Column) -> Column:
     return F.filter(F.array(*values), lambda x: trimmed(x) != "")
 
 
-def json_leaves(text: Column, depth: int = 4) -> Column:
-    """Depth-first string leaves of JSON text, to a bounded depth; numbers and booleans are no text."""
-    none = F.array().cast("array<string>")
-    if depth == 0:
-        return none
-    is_string = F.rlike(text, F.lit(r'^\s*"'))
-    own = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v string")["v"]
-    items = F.from_json(F.when(F.rlike(text, F.lit(r"^\s*\[")), F.concat(F.lit('{"v":'), text, F.lit("}"))), "v array<variant>")["v"]
-    values = F.map_values(F.from_json(F.when(F.rlike(text, F.lit(r"^\s*\{")), text), "map<string,variant>"))
-    below = F.flatten(F.transform(F.coalesce(items, values), lambda v: json_leaves(F.to_json(v), depth - 1)))
-    return F.when(is_string, F.filter(F.array(own), lambda x: trimmed(x) != "")).otherwise(F.coalesce(below, none))
+def json_leaves(text: Column) -> Column:
+    """String leaves of JSON text in the order in which they stand, at any depth; keys, numbers and booleans are no text."""
+    # escapes of one character each, which JSON text can't hold as they are, so a string ends at the next quote
+    bare = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    strings = F.filter(F.regexp_extract_all(bare, F.lit(r'"[^"]*"\s*:?'), F.lit(0)), lambda t: ~t.endswith(":"))
+    back = lambda t: F.replace(F.replace(t, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+    values = F.transform(strings, lambda t: F.from_json(F.concat(F.lit('{"v":'), back(F.trim(t)), F.lit("}")), "v string")["v"])
+    leaves = F.filter(values, lambda x: trimmed(x) != "")
+    return F.when(F.try_parse_json(text).isNotNull(), leaves).otherwise(F.array().cast("array<string>"))
 
 
 def joined_text(leaves: Column) -> Column:

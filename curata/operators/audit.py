@@ -49,17 +49,16 @@ def marker_errors(row: Column, markers: list[str]) -> Column:
     return F.filter(F.array(*map(F.lit, markers)), lambda m: F.contains(row, m))
 
 
-def forbidden_keys(document: Column, names: list[str], depth: int = 3) -> Column:
-    """Distinct names of a deny list used as keys in JSON text, to a bounded depth."""
-    found, level = F.array().cast("array<string>"), F.array(document)
-    for _ in range(depth):
-        keys = F.flatten(F.transform(level, lambda x: F.coalesce(F.json_object_keys(x), F.array().cast("array<string>"))))
-        found = F.concat(found, F.filter(keys, lambda k: F.lower(k).isin(*names)))
-        objects = F.transform(level, lambda x: F.map_values(F.from_json(x, "map<string,string>")))
-        level = F.flatten(F.filter(objects, lambda x: x.isNotNull()))
+def forbidden_keys(document: Column, names: list[str]) -> Column:
+    """Distinct names of a deny list used as keys in JSON text, at any depth; null for what is no JSON."""
+    whole = F.to_json(F.try_parse_json(document))  # one spelling of every key
+    bare = F.regexp_replace(whole, r"\\.", "")  # no escapes, so a string ends at the next quote
+    keys = F.filter(F.regexp_extract_all(bare, F.lit('"[^"]*":?'), F.lit(0)), lambda t: t.endswith('":'))
+    found = F.filter(F.transform(keys, lambda t: F.substring(t, F.lit(2), F.length(t) - 3)), lambda k: F.lower(k).isin(*names))
     return F.array_sort(F.array_distinct(found))
 
 
-def duplicate_ids(df: DataFrame, key: str, label: str) -> DataFrame:
-    """key, rows, first_label of ids that occur more than once."""
-    return df.groupBy(key).agg(F.count("*").alias("n_rows"), F.min(label).alias("first_label")).where("n_rows > 1")
+def duplicate_ids(df: DataFrame, key: str, label: str, order: str | None = None) -> DataFrame:
+    """key, rows, first_label of ids that occur more than once: the label of the first row by `order` (by label without)."""
+    first = F.min(label) if order is None else F.min_by(label, order)
+    return df.groupBy(key).agg(F.count("*").alias("n_rows"), first.alias("first_label")).where("n_rows > 1")

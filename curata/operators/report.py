@@ -28,9 +28,11 @@ def missing_histogram(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def top_examples(df: DataFrame, group: str, order: list[str], k: int) -> DataFrame:
-    """The first k rows of each group."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).drop("_n")
+    """The first k rows of each group, k a few: the first of each part of a group, then of what is left, so a group of any
+    size is spread over tasks."""
+    spread, names = F.pmod(F.xxhash64(*df.columns), F.lit(256)), df.columns
+    first = lambda rows, *keys: rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= k).drop("_n")
+    return first(first(df.withColumn("_part", spread), group, "_part"), group).select(*names)
 
 
 def field_histogram(df: DataFrame, fields: str) -> DataFrame:
@@ -50,8 +52,8 @@ def union_sorted(parts: list[DataFrame], order: list[str]) -> DataFrame:
 
 
 def by_split(df: DataFrame, split: str, order: str) -> DataFrame:
-    """Rows dealt by split and kept in input order within it, for a partitioned sink."""
-    return df.repartition(split).sortWithinPartitions(split, order)
+    """Rows in ranges of (split, input order), for a partitioned sink: a split of any size is several tasks'."""
+    return df.repartitionByRange(split, order).sortWithinPartitions(split, order)
 
 
 def markdown(rows: list[dict], columns: list[str]) -> str:

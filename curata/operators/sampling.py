@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curata.operators.storage import fixed
 
-#: A sample is a few rows for people to look at; a larger one is a mistake.
+#: Places of a sample that the driver draws and broadcasts; a larger sample is drawn by Spark.
 LARGEST_SAMPLE = 100_000
 
 
@@ -32,11 +32,13 @@ def with_ordinal(df: DataFrame, order: list[str], name: str = "ord") -> DataFram
 
 
 def seeded_sample(df: DataFrame, ordinal: str, n: int, size: int, seed: int) -> DataFrame:
-    """Rows whose ordinal is drawn. The ordinals are `size` numbers, at most LARGEST_SAMPLE, so they are broadcast."""
+    """`size` rows by drawn ordinals: broadcast up to LARGEST_SAMPLE of them, else those whose seeded hash is smallest."""
     if n <= size:
         return df
     if size > LARGEST_SAMPLE:
-        raise ValueError(f"a sample of {size} rows; {LARGEST_SAMPLE} at most")
+        drawn = df.select(F.col(ordinal).alias("_drawn"), F.xxhash64(F.lit(seed), ordinal).alias("_hash"))
+        placed = with_ordinal(drawn, ["_hash", "_drawn"], "_place").where(F.col("_place") < size).select("_drawn")
+        return df.join(placed, F.col(ordinal) == F.col("_drawn"), "left_semi")
     spark: SparkSession = df.sparkSession
     drawn = spark.createDataFrame([(i,) for i in sample_places(n, size, seed)], "_drawn bigint")
     return df.join(F.broadcast(drawn), F.col(ordinal) == F.col("_drawn"), "left_semi")

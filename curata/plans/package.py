@@ -114,9 +114,12 @@ def root_labels(roots: list[str]) -> list[str]:
 
 
 def label_lookup(files: DataFrame, roots: DataFrame) -> DataFrame:
-    """files (path) with the label of the longest root (root, label) that holds them. Roots are a handful of rows."""
-    inside = F.col("path").startswith(F.concat(F.col("root"), F.lit("/"))) | (F.col("path") == F.col("root"))
-    return files.join(F.broadcast(roots.limit(1000)), inside, "left").groupBy("path").agg(F.max_by("label", F.length("root")).alias("label"))
+    """files (path) with the label of the longest root (root, label) that holds them: a join on each path's folders."""
+    parts = F.split("path", "/")
+    folders = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    held = files.select("path").distinct().select("path", F.explode(folders).alias("root")).join(roots.select("root", "label"), "root")
+    best = held.groupBy("path").agg(F.max_by("label", F.length("root")).alias("label"))
+    return files.join(best, "path", "left")
 
 
 __all__ = ["card", "column_errors", "identity", "manifest", "manifest_errors", "row_audit", "run_record", "run_record_errors", "split_counts"]

@@ -599,5 +599,5 @@ def resumable_map(spark, sf_dir):
     prepare = lambda df: df.select(F.col("event_id").alias("ord"), F.col("event_id").cast("string").alias("source_id"), F.create_map(F.lit("question"), F.col("event_type")).alias("text_fields"))
     out = f"{shared_dir(spark)}/curata/resumable-{uuid.uuid4().hex}"
     resumable.run_available(spark, f"{sf_dir}/events.parque[t]", schema, prepare, out, f"{out}/checkpoint", check=refuse_errors, batch_size=64)
-    rows = spark.read.schema(transform.OUTPUT).parquet(f"{out}/all")
-    return rows.select("ord", "ok", "text_fields", F.array_join("errors", "|").alias("errors"))
+    rows = spark.read.schema(transform.OUTPUT.replace("ok boolean", "part string")).parquet(f"{out}/rows")
+    return rows.select("ord", (F.col("part") == "ok").alias("ok"), "text_fields", F.array_join("errors", "|").alias("errors"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import posixpath
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -21,9 +22,9 @@ def write_jsonl(df: DataFrame, path: str, split: str = "split", mode: str = "err
 
 
 def write_dataset(df: DataFrame, path: str, schema, split: str = "split", mode: str = "errorifexists") -> None:
-    """Parquet of a fixed schema, one folder a split."""
+    """Parquet of a fixed schema, one folder a split; tasks take ranges of (split, hash), so no split is one task's."""
     typed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
-    typed.repartition(split).write.mode(mode).partitionBy(split).parquet(path)
+    typed.repartitionByRange(F.col(split), F.xxhash64(*typed.columns)).write.mode(mode).partitionBy(split).parquet(path)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
@@ -60,8 +61,14 @@ def is_empty_dir(spark, path: str) -> bool:
 
 def disjoint(a: str, b: str) -> bool:
     """Whether neither output tree lies in the other."""
-    a, b = a.rstrip("/") + "/", b.rstrip("/") + "/"
-    return not a.startswith(b) and not b.startswith(a)
+    return not within(a, b) and not within(b, a)
+
+
+def within(path: str, root: str) -> bool:
+    """Whether a path is root or lies below it, with `.`, `..` and doubled slashes worked out."""
+    scheme, plain = lambda p: p.partition("://")[0] if "://" in p else "", lambda p: posixpath.normpath(p.partition("://")[2] if "://" in p else p.removeprefix("file:"))
+    a, b = plain(path), plain(root)
+    return scheme(path) == scheme(root) and (a == b or a.startswith(b.rstrip("/") + "/") or b == ".")
 
 
 def viewer_rows(packages: list[DataFrame], columns: list[str]) -> DataFrame:
