@@ -52,7 +52,7 @@ def copy_present(row: Column, keys: Iterable[str]) -> Column:
 
 def text_fields(row: Column, spec) -> Column:
     """map of question, options and instruction, each by its own priority list, without those that are missing."""
-    named = [("question", spec.question_keys), ("options", spec.option_keys), ("instruction", spec.instruction_keys)]
+    named = [(n, spec.keys(n)) for n in ("question", "options", "instruction")]
     found = F.array(*(F.struct(F.lit(n).alias("key"), get_first(row, keys)["value"].alias("value")) for n, keys in named if keys))
     return F.map_from_entries(F.filter(found, lambda x: x["value"].isNotNull()))
 

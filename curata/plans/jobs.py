@@ -15,24 +15,27 @@ from pyspark.sql import functions as F
 
 from curata.functions import text
 from curata.operators import audit, media, report, sampling, transform, validate
+from curata.operators.storage import fixed
 from curata.plans import package, record, specs
 from curata.sinks import writers
-from curata.sources import readers
+from curata.sources import bundles, readers
 
 #: Documents of a bundle beside its rows.
 BUNDLE_REPORTS = ("untranslated_fields.json", "inspection_examples.json", "translation_validation.json", "translation_summary.json")
 _DONE = "ord bigint, source_id string, text_fields map<string,string>"
+#: Errors that a validation report shows; the table `errors` of the bundle holds all.
+SHOWN_ERRORS = 200
 
 
 def load(spark: SparkSession, root: str, benchmark_id: str, limit: int | None = None) -> tuple[str, DataFrame]:
     """The first registered file of a benchmark with rows, and its adapted rows; an error if there is none."""
-    spec = specs.SPECS[specs.normal_id(benchmark_id)]
-    folder = f"{root.rstrip('/')}/{spec.benchmark_id}"
-    path, raw = (None, None) if writers.is_empty_dir(spark, folder) else readers.load_first(spark, folder, spec.files)
+    benchmark_id = specs.normal_id(benchmark_id)
+    folder = f"{root.rstrip('/')}/{benchmark_id}"
+    path, raw = (None, None) if writers.is_empty_dir(spark, folder) else readers.load_first(spark, folder, specs.SPECS[benchmark_id].keys("files"))
     if path is None:
         raise FileNotFoundError(f"no rows of {benchmark_id} below {root}")
     dense = sampling.with_ordinal(raw.withColumnRenamed("ord", "place"), ["place"]).drop("place")
-    return path, record.adapt(dense if limit is None else dense.where(F.col("ord") < limit), spec)
+    return path, record.adapt(dense if limit is None else dense.where(F.col("ord") < limit), benchmark_id)
 
 
 def _texts(df: DataFrame) -> DataFrame:
@@ -61,32 +64,37 @@ def row_problems(translated: DataFrame) -> DataFrame:
 
 def _finish(spark: SparkSession, adapted: DataFrame, out: str, source_count: int) -> dict[str, Any]:
     """Reports of a bundle from what is in it."""
-    ok = spark.read.schema(_DONE.replace("map<string,string>", "string")).json(f"{out}/done")
+    results = _results(spark, out)
+    ok, failed = results.where("part = 'ok'").drop("part", "errors"), results.where("part = 'failed'").drop("part")
     translated = _join_results(adapted, ok)
     translated.write.mode("overwrite").json(f"{out}/rows")
-    failed = spark.read.schema("ord bigint, source_id string, text_fields string, errors array<string>").json(f"{out}/failed")
-    errors = [r["error"] for r in row_problems(translated).orderBy("ord").limit(200).collect()]
+    failed.write.mode("overwrite").json(f"{out}/failed")
+    problems = fixed(row_problems(spark.read.schema(translated.schema).json(f"{out}/rows")))
+    problems.orderBy("ord").write.mode("overwrite").json(f"{out}/errors")  # all of them; the report shows the first
+    n_errors, errors = problems.count(), [r["error"] for r in problems.orderBy("ord").limit(SHOWN_ERRORS).collect()]
     n, n_failed = translated.count(), failed.count()
     fields = {r["field"]: r["n"] for r in report.field_histogram(translated, "translation_scope").collect()}
     skipped = {r["field"]: r["n"] for r in report.field_histogram(translated.select(record.untranslated(translated).alias("f")), "f").collect()}
-    valid = not errors and n > 0
+    valid = not n_errors and n > 0
     summary = {
         "source_count": source_count, "translated_count": n, "failure_count": n_failed, "valid_count": n if valid else 0, "invalid_count": source_count - n + (0 if valid else n),
         "translated_fields": fields, "status": "passed" if valid and n + n_failed == source_count else "failed",
     }
     examples = [json.loads(x) for x in translated.orderBy("ord").limit(3).toJSON().collect()]
-    for name, value in zip(BUNDLE_REPORTS, (skipped, examples, {"status": "passed" if valid else "failed", "errors": errors}, summary), strict=True):
+    for name, value in zip(BUNDLE_REPORTS, (skipped, examples, {"status": "passed" if valid else "failed", "n_errors": n_errors, "errors": errors if n else ["no rows"]}, summary), strict=True):
         writers.write_report(spark, value, f"{out}/{name}")
     return summary
 
 
 def _run(adapted: DataFrame, out: str, mode: str, translate: Callable, **options) -> None:
-    """Maps rows once, then deals the results to both outputs."""
-    spark = adapted.sparkSession
-    transform.map_texts(_texts(adapted), translate, **options).write.mode("overwrite").parquet(f"{out}/results")
-    ok, failed = transform.split_results(spark.read.parquet(f"{out}/results"))
-    ok.write.mode(mode).json(f"{out}/done")
-    failed.write.mode(mode).json(f"{out}/failed")
+    """Maps rows into one table, its parts (ok, failed) in folders: they are committed together, so a resume finds each row
+    in both or in none."""
+    done = transform.map_texts(_texts(adapted), translate, **options).withColumn("part", F.when(F.col("ok"), "ok").otherwise("failed")).drop("ok")
+    done.write.mode(mode).partitionBy("part").json(f"{out}/results")
+
+
+def _results(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(f"{_DONE.replace('map<string,string>', 'string')}, errors array<string>, part string").json(f"{out}/results")
 
 
 def translate_sample(spark: SparkSession, root: str, benchmark_ids: str, out: str, size: int = 3, seed: int = 1, translate: Callable = transform.mock, **options) -> dict[str, Any]:
@@ -107,9 +115,8 @@ def translate_full(spark: SparkSession, root: str, benchmark_id: str, out: str,
     path = f"{out}/{benchmark_id}"
     _, adapted = load(spark, root, benchmark_id, limit)
     todo = adapted
-    if resume and not writers.is_empty_dir(spark, f"{path}/done"):
-        parts = [spark.read.schema("ord bigint").json(f"{path}/{p}") for p in ("done", "failed")]
-        todo = audit.pending(adapted, audit.done_keys(*parts, "ord"), "ord")
+    if resume and not writers.is_empty_dir(spark, f"{path}/results"):
+        todo = audit.pending(adapted, _results(spark, path), "ord")
     _run(todo, path, "append" if resume else "overwrite", translate, **options)
     return _finish(spark, adapted, path, adapted.count())
 
@@ -163,16 +170,31 @@ def package_rows(spark: SparkSession, bundle: str, benchmark_ids: str, files: Da
     return record.public(joined), joined.select("record_id", F.explode("missing").alias("ref"))
 
 
-def report_over(packages: dict[str, tuple[dict[str, Any], DataFrame]]) -> tuple[dict[str, Any], str]:
-    """One report over translation summaries and public rows by benchmark: totals, candidates, status, Markdown."""
+def public_rows(spark: SparkSession, package_dir: str) -> DataFrame:
+    """The rows of a package on disk with its public columns."""
+    kinds = {"media_files": "array<string>", "translation_scope": "array<string>"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in record.PACKAGE_COLUMNS)
+    return bundles.package_rows(spark, package_dir).select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def _absent_media(df: DataFrame, files: DataFrame) -> DataFrame:
+    """df with absent: whether one of a row's media files isn't in files (path below the package)."""
+    refs = df.select("record_id", F.explode("media_files").alias("path")).join(files.select("path").distinct(), "path", "left_anti")
+    return df.join(refs.select("record_id", F.lit(True).alias("absent")).distinct(), "record_id", "left").withColumn("absent", F.coalesce("absent", F.lit(False)))
+
+
+def report_over(packages: dict[str, tuple]) -> tuple[dict[str, Any], str]:
+    """One report over (translation summary, public rows, files of the package) by benchmark: totals, candidates, status,
+    Markdown. Without files, media are taken to be there."""
     rows = []
-    for name, (summary, df) in sorted(packages.items()):
+    for name, (summary, df, *more) in sorted(packages.items()):
+        df = _absent_media(df, more[0]) if more else df.withColumn("absent", F.lit(False))
         texts = F.array("question_ko", "caption_ko", "instruction_ko", "options_ko_json")
-        reasons = validate.review_reasons(F.col("question_ko"), F.col("file_name"), F.col("media_files"), F.lit(False), texts, F.col("options_original_json"), F.col("options_ko_json"))
+        reasons = validate.review_reasons(F.col("question_ko"), F.col("file_name"), F.col("media_files"), F.col("absent"), texts, F.col("options_original_json"), F.col("options_ko_json"))
         flagged = df.select("record_id", reasons.alias("reasons")).where(F.size("reasons") > 0)
         keys = ("source_count", "translated_count", "valid_count", "invalid_count", "failure_count")
         rows.append({"benchmark": name, **{k: summary.get(k, 0) for k in keys}, "packaged": df.count(), "review": flagged.count(), "examples": [r.asDict() for r in flagged.orderBy("record_id").limit(50).collect()]})
     numbers = [k for k in rows[0] if k not in ("benchmark", "examples")] if rows else []
     totals = {"benchmark": "total", **{k: sum(r[k] for r in rows) for k in numbers}}
-    passed = bool(rows) and all(r["review"] == 0 and r["failure_count"] == 0 and r["valid_count"] == r["source_count"] for r in rows)
+    passed = bool(rows) and all(r["source_count"] > 0 and r["review"] == 0 and r["failure_count"] == 0 and r["valid_count"] == r["source_count"] for r in rows)
     return {"benchmarks": rows, "totals": totals, "status": "passed" if passed else "needs_review"}, report.markdown([*rows, totals], ["benchmark", *numbers])

@@ -38,18 +38,18 @@ PROCESS_COLUMNS = (
 QC_STATUS = ("unchecked", "passed", "failed", "needs_review")
 
 
-def adapt(df: DataFrame, spec: specs.Spec, row: str = "row", ordinal: str = "ord") -> DataFrame:
+def adapt(df: DataFrame, benchmark_id: str, row: str = "row", ordinal: str = "ord") -> DataFrame:
     """benchmark_id, benchmark_name, source_id, split, task, media, text_fields, preserve_fields, skip_fields,
     translation_scope, source_record of raw rows (map<string,string>) with an ordinal."""
-    r = F.col(row)
+    r, spec = F.col(row), specs.SPECS[benchmark_id]
     value = lambda keys: fields.get_first(r, keys)["value"]
     texts = fields.text_fields(r, spec)
-    media = F.concat(*(F.when(fields.present(r[k]).isNotNull(), F.coalesce(nested.media_objects(r[k]), F.array(r[k]))).otherwise(F.array().cast("array<string>")) for k in spec.media_keys))
+    media = F.concat(*(F.when(fields.present(r[k]).isNotNull(), F.coalesce(nested.media_objects(r[k]), F.array(r[k]))).otherwise(F.array().cast("array<string>")) for k in spec.keys("media")))
     return df.select(
-        F.col(ordinal), F.lit(spec.benchmark_id).alias("benchmark_id"), F.lit(spec.name).alias("benchmark_name"),
-        F.coalesce(value(spec.id_keys), F.format_string(f"{spec.benchmark_id}-%06d", ordinal)).alias("source_id"),
-        value(spec.split_keys).alias("split"), value(spec.task_keys).alias("task"), media.alias("media"), texts.alias("text_fields"),
-        fields.copy_present(r, spec.preserve_keys).alias("preserve_fields"), fields.copy_present(r, spec.skip_keys).alias("skip_fields"),
+        F.col(ordinal), F.lit(benchmark_id).alias("benchmark_id"), F.lit(spec.name).alias("benchmark_name"),
+        F.coalesce(value(spec.keys("id")), F.format_string(f"{benchmark_id}-%06d", ordinal)).alias("source_id"),
+        value(spec.keys("split")).alias("split"), value(spec.keys("task")).alias("task"), media.alias("media"), texts.alias("text_fields"),
+        fields.copy_present(r, spec.keys("preserve")).alias("preserve_fields"), fields.copy_present(r, spec.keys("skip")).alias("skip_fields"),
         F.map_keys(texts).alias("translation_scope"), r.alias("source_record"),
     )
 

@@ -38,13 +38,54 @@ def report_json(value: Any) -> str:
 
 def write_report(spark, value: Any, path: str) -> None:
     """A small document through Spark's own file systems: written aside, then renamed."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    aside = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    write_text(spark, report_json(value), path)
+
+
+def _place(spark, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark, path: str) -> bool:
+    fs, target = _place(spark, path)
+    return fs.exists(target)
+
+
+def is_folder(spark, path: str) -> bool:
+    fs, target = _place(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
+
+
+def names(spark, path: str) -> list[str]:
+    """Names in a folder, sorted; none where there is no folder."""
+    fs, target = _place(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def clear(spark, path: str, overwrite: bool) -> None:
+    """An output folder ready to be written: absent or emptied, if overwriting is allowed."""
+    if not is_empty_dir(spark, path):
+        if not overwrite:
+            raise FileExistsError(path)
+        fs, target = _place(spark, path)
+        fs.delete(target, True)
+
+
+def safe_output(spark, path: str, sources: list[str], overwrite: bool = False) -> None:
+    """Refuses an output that lies in a source or holds one, or that isn't empty without overwrite."""
+    if inside := [s for s in sources if not disjoint(path, s)]:
+        raise ValueError(f"{path} and {', '.join(inside)} lie in one another")
+    if not overwrite and not is_empty_dir(spark, path):
+        raise FileExistsError(path)
+
+
+def write_text(spark, text: str, path: str) -> None:
+    """A small text file, written aside and renamed."""
+    fs, target = _place(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(aside, True)
     try:
-        out.write(bytearray(report_json(value).encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
     fs.delete(target, False)
@@ -52,6 +93,23 @@ def write_report(spark, value: Any, path: str) -> None:
         raise OSError(f"can't write {path}")
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """One file of lines (value), in the order of the partitions: written by tasks, joined by the file system's streams."""
+    spark = lines.sparkSession
+    fs, aside = _place(spark, path + ".parts")
+    lines.select("value").write.mode("overwrite").text(path + ".parts")
+    _, target = _place(spark, path)
+    out = fs.create(target, True)
+    try:
+        for name in (n for n in names(spark, path + ".parts") if n.startswith("part-")):
+            part = fs.open(_place(spark, f"{path}.parts/{name}")[1])
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+            part.close()
+    finally:
+        out.close()
+    fs.delete(aside, True)
+
+
 def is_empty_dir(spark, path: str) -> bool:
     """Whether a folder is absent or has nothing in it, for sinks that refuse to mix outputs."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -66,9 +124,16 @@ def disjoint(a: str, b: str) -> bool:
 
 def within(path: str, root: str) -> bool:
     """Whether a path is root or lies below it, with `.`, `..` and doubled slashes worked out."""
-    scheme, plain = lambda p: p.partition("://")[0] if "://" in p else "", lambda p: posixpath.normpath(p.partition("://")[2] if "://" in p else p.removeprefix("file:"))
-    a, b = plain(path), plain(root)
-    return scheme(path) == scheme(root) and (a == b or a.startswith(b.rstrip("/") + "/") or b == ".")
+    (one, a), (two, b) = _parts(path), _parts(root)
+    return one == two and (a == b or a.startswith(b.rstrip("/") + "/") or b == ".")
+
+
+def _parts(path: str) -> tuple[str, str]:
+    """The scheme of a path, "" for local files, and the rest in its shortest form."""
+    scheme, mark, rest = path.partition("://")
+    if not mark:
+        scheme, rest = "", path.removeprefix("file:")
+    return "" if scheme == "file" else scheme, posixpath.normpath(rest)
 
 
 def viewer_rows(packages: list[DataFrame], columns: list[str]) -> DataFrame:

@@ -6,19 +6,15 @@ file. Everything is read by Spark, so any store that Spark reads will do; a file
 
 from __future__ import annotations
 
-import io
-import tarfile
 import tomllib
-import zipfile
-from collections.abc import Iterator
 from typing import Any
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions.nested import flatten_conversations
 from curata.functions.text import is_image_file
+from curata.sources import archives
 
 #: Keys under which an object holds its list of rows, and file names that come first.
 LIST_KEYS = ("data", "records", "rows", "questions", "annotations")
@@ -127,12 +123,12 @@ def load_first(spark: SparkSession, root: str, registered: tuple[str, ...] | Non
 
 def read_blob_parquet(spark: SparkSession, root: str) -> DataFrame:
     """Rows of parquet files in folders named by task, with a split before the first dash of the file name: task, split,
-    and images (array of struct bytes, path) of the columns image_1, image_2, ..."""
+    images (array of struct bytes, path) of the columns image_1, image_2, ..., and row_index, the place in the file."""
     df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root)
     blobs = sorted((c for c in df.columns if c.startswith("image_")), key=lambda c: int(c.removeprefix("image_")))
     path = F.col("_metadata.file_path")
     kept = [c for c in df.columns if c not in blobs]
-    return df.select(*kept, F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("task"), F.regexp_extract(path, r"/([^/-]+)[^/]*$", 1).alias("split"), F.array_compact(F.array(*blobs)).alias("images"))
+    return df.select(*kept, F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("task"), F.regexp_extract(path, r"/([^/-]+)[^/]*$", 1).alias("split"), F.array_compact(F.array(*blobs)).alias("images"), F.col("_metadata.row_index").alias("row_index"))
 
 
 def rename_rows(df: DataFrame, names: dict[str, str], benchmark_id: str) -> DataFrame:
@@ -152,26 +148,7 @@ def archive_groups(files: DataFrame) -> DataFrame:
 
 def archive_members(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
     """archive, valid, member of each zip or tar file below root; an archive that can't be read has no members."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "content")
-
-    def names(data: bytes) -> tuple[bool, list[str]]:
-        try:
-            if zipfile.is_zipfile(io.BytesIO(data)):
-                with zipfile.ZipFile(io.BytesIO(data)) as z:
-                    return True, [x for x in z.namelist() if not x.endswith("/")]
-            with tarfile.open(fileobj=io.BytesIO(data)) as t:
-                return True, [x.name for x in t if x.isfile()]
-        except (zipfile.BadZipFile, tarfile.TarError, EOFError):
-            return False, []
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for path, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ok, found = names(data)
-                found = found or [None]
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(found)), pa.array([ok] * len(found)), pa.array(found, pa.string())], names=["archive", "valid", "member"])
-
-    return files.mapInArrow(run, "archive string, valid boolean, member string")
+    return archives.members(archives.listing(spark, root, pattern)).select("archive", "valid", "member")
 
 
 def load_config(text: str) -> dict[str, Any]:

@@ -97,13 +97,13 @@ RAW = [
 
 def exported(spark):
     raw = spark.createDataFrame([(r, i) for i, r in enumerate(RAW)], "row map<string,string>, ord bigint")
-    adapted = record.translate_columns(record.adapt(raw, specs.SPECS["blink"]))
+    adapted = record.translate_columns(record.adapt(raw, "blink"))
     return record.export(adapted, "name", "out/a.jsonl", "run", "20260101T000000Z", "passed")
 
 
 def test_adapt(spark):
     raw = spark.createDataFrame([(r, i) for i, r in enumerate(RAW)], "row map<string,string>, ord bigint")
-    got = record.adapt(raw, specs.SPECS["blink"]).orderBy("ord").collect()
+    got = record.adapt(raw, "blink").orderBy("ord").collect()
     assert [r["source_id"] for r in got] == ["u1", "u1", "blink-000002"]
     assert got[0]["translation_scope"] == ["question", "options"] and got[0]["media"] == ["b.png", "a.png"]
     assert got[0]["skip_fields"] == {"rationale": "why"} and got[0]["preserve_fields"] == {"answer": "A", "task": "t"}
