@@ -5,10 +5,12 @@ import re
 from collections import Counter
 
 import pytest
+import regex
 from oracle import both
 
 import corpus_pipeline
-from curata.llm import decontaminate, queries
+from curata.llm import decontaminate, quality, queries
+from curata.llm.op9_bpe import default_vocabulary
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -67,18 +69,97 @@ def test_leaks_by_block_size(spark, monkeypatch, block_bytes):
     assert {tuple(r[:2]) for r in decontaminate.leaks(odd, items).collect()} == expected
 
 
-def test_pipeline(spark):
+SPACE = " \t\n\x0b\x0c\r"
+NOTICE = regex.compile(quality.BOILERPLATE, regex.I)
+SENTENCE = regex.compile(quality.SENTENCE_END)
+
+
+def plain_quality(text):
+    """The text without failing lines, None where the document is rejected."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+    repeated = len({k + j for k in range(len(words) - 2) if grams[tuple(words[k : k + 3])] > 1 for j in range(3)})
+    kept, lost = [], 0
+    for line in text.split("\n"):
+        own = re.findall(r"[^\x20\x09-\x0D]+", line)
+        n = len(own)
+        fails = n and (
+            10 * sum(c in quality.SYMBOLS for c in line) > len(line) or line.count("|") >= 3 or len(line) - len(line.replace("!!", "!")) >= 3
+            or (n < quality.NOTICE_WORDS and bool((n < 10 and not SENTENCE.search(line)) or NOTICE.search(line)))
+        )
+        if fails:
+            lost += sum(map(len, own))
+        else:
+            kept.append(line)
+    rejected = len(words) < 50 or 100 * repeated > 50 * len(words) or lost > 0.5 * sum(map(len, words))
+    return None if rejected else "\n".join(kept)
+
+
+def plain_line_dedup(rows):
+    """rows (doc_id, text): of a line in ten documents or more the first stays; documents without a word go."""
+    key = lambda x: "".join(c.lower() if c.isascii() else c for c in x.strip(SPACE))
+    docs, first = {}, {}
+    for i, t in sorted(rows):
+        for k, x in enumerate(t.split("\n")):
+            if key(x):
+                docs.setdefault(key(x), set()).add(i)
+                first.setdefault(key(x), (i, k))
+    out = []
+    for i, t in rows:
+        left = [x for k, x in enumerate(t.split("\n")) if not key(x) or len(docs[key(x)]) < 10 or first[key(x)] == (i, k)]
+        if any(x.strip(SPACE) for x in left):
+            out.append((i, "\n".join(left)))
+    return out
+
+
+def plain_near_duplicates(rows):
+    """rows (doc_id, text): of those linked by 0.8 of their five-word shingles the smallest doc_id stays."""
+    sets = {}
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+    gone, ids = {i: i for i in sets}, sorted(sets)
+
+    def find(x):
+        while gone[x] != x:
+            x = gone[x]
+        return x
+
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            n = len(sets[a] & sets[b])
+            if n and 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n):
+                x, y = sorted((find(a), find(b)))
+                gone[y] = x
+    return [(i, t) for i, t in rows if find(i) == i]
+
+
+def test_pipeline_by_brute_force(spark):
+    """Each stage's rows, and the rows of run(), against plain Python over the whole table."""
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(default_vocabulary())
+    table = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    more = {r["doc_id"]: (r["lang"], r["source"]) for r in table}
+    assert len(more) == len(table)
+    rows = [(r["doc_id"], t) for r in table if (t := plain_quality(r["text"] or "")) is not None]
+    expected = [rows]
+    expected.append(rows := plain_line_dedup(rows))
+    expected.append(rows := plain_near_duplicates(rows))
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    leaks = {d for d, _ in brute_leaks([(i, plain_words(t)) for i, t in rows], items)}
+    expected.append(rows := [(i, t) for i, t in rows if i not in leaks])
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    counts = [docs.count()]
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
         docs = corpus_pipeline.written(stage(spark, docs, SF), f"test-{k}")
-        counts.append(docs.count())
-        if k < 4:
-            assert docs.columns == corpus_pipeline.COLUMNS
-    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.5 * counts[0]
-    assert docs.where("not round_trip").count() == 0
-    run = corpus_pipeline.run(spark, SF)
-    assert run.exceptAll(docs.select(run.columns)).isEmpty() and run.count() == counts[-1]
+        assert docs.columns == corpus_pipeline.COLUMNS
+        got = docs.collect()
+        assert sorted((r["doc_id"], r["text"]) for r in got) == sorted(expected[k]), k
+        assert all((r["lang"], r["source"], r["n_chars"]) == (*more[r["doc_id"]], len(r["text"])) for r in got)
+    assert [len(table), *map(len, expected)] == sorted([len(table), *map(len, expected)], reverse=True) and len(expected[-1]) > 0.5 * len(table)
+    ids = {i: reference.encode(t, add_special_tokens=False).ids for i, t in rows}
+    run = {r["doc_id"]: tuple(r[c] for c in ("lang", "source", "n_tokens", "round_trip", "token_ids")) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert run == {i: (*more[i], len(x), True, x) for i, x in ids.items()}
 
 
 def test_stages_on_odd_rows(spark):
