@@ -380,12 +380,16 @@ def union_order(spark, sf_dir):
 # ---------------------------------------------------------------- literals, labels, row rules
 
 
+_UNITS, _MONEY = ("MHz", "kPa", "Jan", "sept", "sqft", "days", "Inc", "mL", "pieces", "hours", "mhz"), ("usd", "Euro", "llc", "pounds", "n/a", "krw each")
+
+
 def _values(spark, sf_dir) -> DataFrame:
     one = lambda t, kind, v: table(spark, sf_dir, t).select(F.lit(kind).alias("kind"), v.alias("value")).distinct()
     size = F.col("p_size").cast("string")
     parts = [
         one("part", "brand", F.col("p_brand")), one("part", "kilo", F.concat(F.lit("(A) "), size, F.lit(" kg"))), one("part", "words", F.concat(size, F.lit(" small rings"))), one("part", "name", F.col("p_name")),
         one("part", "lines", F.concat(F.lit("A. "), size, F.lit("\nB. "), F.col("p_type"))), one("orders", "priority", F.col("o_orderpriority")), one("customer", "segment", F.col("c_mktsegment")),
+        *(one("part", "units", F.concat(size, F.lit(f" {u}"))) for u in _UNITS), *(one("region", "money", F.lit(m)) for m in _MONEY),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -396,12 +400,17 @@ def _values(spark, sf_dir) -> DataFrame:
 _VALUES_SQL = """
 v AS (SELECT DISTINCT 'brand' AS kind, p_brand AS value FROM part UNION ALL SELECT DISTINCT 'kilo', '(A) ' || p_size || ' kg' FROM part UNION ALL SELECT DISTINCT 'words', p_size || ' small rings' FROM part
   UNION ALL SELECT DISTINCT 'name', p_name FROM part UNION ALL SELECT DISTINCT 'lines', 'A. ' || p_size || chr(10) || 'B. ' || p_type FROM part
-  UNION ALL SELECT DISTINCT 'priority', o_orderpriority FROM orders UNION ALL SELECT DISTINCT 'segment', c_mktsegment FROM customer),
+  UNION ALL SELECT DISTINCT 'priority', o_orderpriority FROM orders UNION ALL SELECT DISTINCT 'segment', c_mktsegment FROM customer
+  UNION ALL SELECT DISTINCT 'units', p_size || ' ' || u FROM part, (SELECT unnest(['MHz', 'kPa', 'Jan', 'sept', 'sqft', 'days', 'Inc', 'mL', 'pieces', 'hours', 'mhz']) AS u) UNION ALL SELECT 'money', unnest(['usd', 'Euro', 'llc', 'pounds', 'n/a', 'krw each'])),
 l AS (SELECT kind, value, trim(x) AS line, trim(regexp_replace(trim(x), '^\\s*\\([A-Z0-9]+\\)\\s*', '')) AS p FROM (SELECT kind, value, unnest(string_split(value, chr(10))) AS x FROM v)),
 t AS (SELECT kind, value, CASE WHEN p <> line THEN p ELSE trim(regexp_replace(line, '^\\s*([A-Z]|[0-9]+)[.):]\\s*', '')) END AS t FROM l),
 f AS (SELECT kind, value, t, t = '' OR regexp_matches(t, '(?i)^(?:box|image|figure|panel|photo|picture)\\s+[A-Z0-9]+$')
     OR regexp_matches(t, '^(?:[A-Z][A-Z0-9&/+.$%-]*|[A-Za-z]{1,5}[0-9]+[A-Za-z0-9]*|[0-9]+[A-Za-z]{1,5}[A-Za-z0-9]*)$') OR regexp_matches(t, '^[A-Z][A-Za-z0-9&.''-]*(?:\\s+[A-Z][A-Za-z0-9&.''/-]*){0,4}$')
-    OR (regexp_matches(t, '[0-9]') AND len(list_filter(regexp_extract_all(t, '[A-Za-z]+'), lambda x: length(x) > 1 AND upper(x) <> x AND x NOT IN ('kg', 'cm', 'mm'))) = 0) AS literal FROM t)"""
+    OR (regexp_matches(t, '[0-9]') AND len(list_filter(regexp_extract_all(t, '[A-Za-z]+'), lambda x: length(x) > 1 AND upper(x) <> x AND x NOT IN (
+      'cm', 'mm', 'km', 'kg', 'mg', 'ms', 'Pa', 'kPa', 'MPa', 'kJ', 'kW', 'Hz', 'kHz', 'MHz', 'mol', 'mL', 'ml', 'vol', 'Co', 'Inc', 'to', 'day', 'days', 'yr', 'yrs', 'year', 'years',
+      'Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep', 'Sept', 'Oct', 'Nov', 'Dec', 'jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'sept', 'oct', 'nov', 'dec',
+      'bn', 'mn', 'Mi', 'ft', 'sq', 'sqft', 'Sqft'))) = 0)
+    OR upper(t) IN ('NA', 'N/A', 'AUD', 'CAD', 'CHF', 'CNY', 'EUR', 'EURO', 'GBP', 'HKD', 'JPY', 'KRW', 'RMB', 'USD', 'LLC') AS literal FROM t)"""
 
 
 @query(f"WITH {_VALUES_SQL} SELECT kind, value, bool_and(literal) AS nonlinguistic FROM f GROUP BY kind, value".replace("\\\\", "\\"))
@@ -421,6 +430,35 @@ def short_literal(spark, sf_dir):
     return rows.select("kind", "value", text.is_short_literal(F.col("value")).alias("short_literal"))
 
 
+_PLACES_SQL = """
+p AS (SELECT kind, value, CASE WHEN length(value) % 2 = 0 THEN 'mme_realworld' ELSE 'blink' END AS benchmark, CASE length(value) % 3 WHEN 0 THEN 'options' WHEN 1 THEN 'text_fields.options' ELSE 'text_fields.options.a' END AS path,
+  CASE length(value) % 4 WHEN 0 THEN 'x/ocr_cc/1' WHEN 1 THEN 'z' WHEN 2 THEN 'diagram_and_table/2' ELSE 'other' END AS source FROM (SELECT DISTINCT kind, value FROM v))"""
+
+
+def _places(rows: DataFrame) -> DataFrame:
+    n = F.length("value")
+    return rows.select(
+        "kind", "value", F.when(n % 2 == 0, "mme_realworld").otherwise("blink").alias("benchmark"), F.when(n % 3 == 0, "options").when(n % 3 == 1, "text_fields.options").otherwise("text_fields.options.a").alias("path"),
+        F.when(n % 4 == 0, "x/ocr_cc/1").when(n % 4 == 1, "z").when(n % 4 == 2, "diagram_and_table/2").otherwise("other").alias("source"),
+    )
+
+
+@query(f"""WITH {_VALUES_SQL}, {_PLACES_SQL},
+s AS (SELECT kind, value, literal, regexp_matches(t, '^[a-z]{{1,4}}\\.?(?:\\s+[a-z]{{1,4}}\\.?){{0,2}}$') AND len(list_intersect(string_split(t, ' '), ['blue', 'day', 'gray', 'grey', 'no', 'pink', 'red', 'year', 'yes'])) = 0 AS short FROM f),
+g AS (SELECT kind, value, bool_and(literal) AS literal, bool_and(short OR (kind = 'lines' AND literal)) AS short FROM s GROUP BY kind, value)
+SELECT p.kind, p.value, path IN ('options', 'text_fields.options') AND (literal OR (benchmark = 'mme_realworld' AND (contains(source, 'ocr_cc/') OR (contains(source, 'diagram_and_table/') AND short)))) AS exempt
+FROM p JOIN g ON g.kind = p.kind AND g.value = p.value""".replace("\\\\", "\\"))
+def exempt_literals(spark, sf_dir):
+    """Values that need no Korean where they stand: literals among options, and more in scans and tables of one benchmark."""
+    return _places(_values(spark, sf_dir)).select("kind", "value", text.allows_nonlinguistic(F.col("benchmark"), F.col("path"), F.col("value"), F.col("source")).alias("exempt"))
+
+
+@query(f"WITH {_VALUES_SQL}, {_PLACES_SQL} SELECT kind, value, benchmark = 'mme_realworld' AND contains(source, 'ocr_cc/') AS exempt FROM p".replace("\\\\", "\\"))
+def exempt_ideographs(spark, sf_dir):
+    """Rows in which ideographs of the source may stay."""
+    return _places(_values(spark, sf_dir)).select("kind", "value", text.allows_ideographs(F.col("benchmark"), F.col("source")).alias("exempt"))
+
+
 @query("""
 SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'A. ' || lower(p_type) WHEN 1 THEN 'A) ' || lower(p_type) WHEN 2 THEN lower(p_type) ELSE '12: ' || lower(p_type) END AS repaired FROM part""")
 def option_label_repair(spark, sf_dir):
