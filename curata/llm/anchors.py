@@ -194,6 +194,19 @@ def chosen(found_h: np.ndarray, row: np.ndarray, shared: pa.Array, hots: pa.Arra
     return np.flatnonzero(keep)
 
 
+#: One in so many anchors starts a new chunk.
+CHUNK_RUNS = 8
+
+
+def chunks(found: Runs, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the runs i of each chunk, and the last: neighbouring runs up to an anchor whose hash starts a new one,
+    so that equal stretches are cut at equal places."""
+    new = np.ones(len(i), bool)
+    new[1:] = (found.doc[i[1:]] != found.doc[i[:-1]]) | (found.first[i[1:]] != found.end[i[:-1]]) | (found.h[i[1:]] % np.uint64(CHUNK_RUNS) == 0)
+    at = np.flatnonzero(new)
+    return i[at], i[np.append(at[1:], len(i)) - 1]
+
+
 def unpacked(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 

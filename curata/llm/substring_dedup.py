@@ -2,7 +2,8 @@
 
 1. Window anchors (see `anchors`) drop documents, and runs of windows, that no other document can share.
 2. What is left is dealt by anchor; for each window's hash the first holder, the smallest doc_id, is a reference of every
-   later document with that hash. Anchors with very many runs are aggregated first: equal runs have one first holder.
+   later document with that hash. Anchors with very many runs are aggregated first: their neighbouring runs are cut into
+   chunks by content, and equal chunks, or equal runs, have one first holder.
 3. A reference block is the whole text of such a first holder, CHUNK_WORDS words at a time. Every stretch of a later
    document that links to it is factored greedily against it: at each place the longest copy from the reference, or one
    word where there is none. The longest copies come from a suffix array over references and stretches together, by
@@ -27,11 +28,11 @@ from itertools import compress, groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm import anchors
-from curata.llm.common import SPACE_BYTES, mixed, pieces, quoted, sequence_hashes, small_batches, span_hashes, words_of, written
+from curata.llm.common import SPACE_BYTES, mixed, pieces, quoted, sequence_hashes, small_batches, span_hashes, text_buffer, words_of, written
 
 GRAM = 4
 #: Words of one reference block; stretches of one block and of one part of them; words that are factored together.
@@ -44,9 +45,11 @@ _IS_SPACE[list(SPACE_BYTES)] = True
 
 
 class WordRuns(anchors.Runs):
-    """Runs of a step, with the hashes of its words, and for each run its first word's place in the text."""
+    """Runs of a step, with the hashes of its words and their bytes, and for each run its first word's place in the text."""
 
     words: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
     place: np.ndarray
 
 
@@ -70,7 +73,7 @@ def word_segments(data: np.ndarray, window: int, step: int) -> Iterator[tuple[in
 def word_runs(window: int):
     """A function of (data, offsets) that yields the runs of windows of words of the texts in a buffer."""
 
-    def one(data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray, row: int, number: int) -> WordRuns:
+    def one(data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray, row: int, number: int, base: int) -> WordRuns:
         words = span_hashes(data, start, end)
         h = np.zeros(max(0, len(words) - GRAM + 1), np.uint64)
         with np.errstate(over="ignore"):
@@ -78,16 +81,16 @@ def word_runs(window: int):
                 h = mixed(h + words[k : k + len(h)])
         found = anchors.runs(h, at, GRAM, window)
         out = WordRuns(found.doc + row, *found[1:])
-        out.words, out.place = words, found.first - at[found.doc] + number
+        out.words, out.start, out.stop, out.place = words, start + base, end + base, found.first - at[found.doc] + number
         return out
 
     def of(data: np.ndarray, offsets: np.ndarray) -> Iterator[WordRuns]:
         if offsets[-1] <= 4 * anchors.STEP_BYTES:
-            yield one(data, *words_of(data, offsets), 0, 0)
+            yield one(data, *words_of(data, offsets), 0, 0, 0)
             return
         for row, (a, z) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
             for number, start, end in word_segments(data[a:z], window, anchors.STEP_BYTES):
-                yield one(data[a:z], start, end, np.array([0, len(start)]), row, number)
+                yield one(data[a:z], start, end, np.array([0, len(start)]), row, number, a)
 
     return of
 
@@ -99,25 +102,70 @@ _LINK = "rdoc bigint, rkey bigint, rplace bigint, doc bigint, key bigint, first
 _LINK_NAMES = [c.split(" ")[0] for c in _LINK.split(", ")]
 
 
-def _emit(window: int, hot: bool):
-    """Runs of shared anchors, or of hot ones: rows of _RUN, with the hashes of a run's windows."""
+def _run_columns(found: WordRuns, i: np.ndarray, window: int) -> tuple[pa.Array, pa.Array]:
+    """The anchors of the runs i, and the hashes of their windows."""
+    many = (found.end - found.first)[i]
+    each = np.repeat(found.first[i] - np.cumsum(many) + many, many) + np.arange(many.sum())
+    hashes = sequence_hashes(found.words, each, np.full(len(each), window))
+    ends = np.concatenate([[0], 8 * np.cumsum(many)]).astype(np.int32)
+    return pa.array(found.h[i].view(np.int64)), pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(hashes.tobytes())])
+
+
+_RUN_NAMES = [c.split(" ")[0] for c in _RUN.split(", ")]
+
+
+def _emit(window: int):
+    """Runs of shared anchors that aren't hot: rows of _RUN."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = word_runs(window)
+        for b in batches:
+            for a, _, data, offsets in anchors.unpack_batch(b.column(2)):
+                for found in of(data, offsets):
+                    row = found.doc + a
+                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), False)
+                    if len(i):
+                        h, lists = _run_columns(found, i, window)
+                        rows = pa.array(row[i])
+                        yield pa.RecordBatch.from_arrays([h, b.column(0).take(rows), b.column(1).take(rows), pa.array(found.place[i]), lists], names=_RUN_NAMES)
+
+    return run
+
+
+def _emit_chunks(window: int):
+    """(doc, key, place, piece) of chunks of neighbouring runs of hot anchors; piece: the words joined by one space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = word_runs(window)
         for b in batches:
             for a, _, data, offsets in anchors.unpack_batch(b.column(2)):
+                raw = data.tobytes()
                 for found in of(data, offsets):
                     row = found.doc + a
-                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), hot)
+                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), True)
                     if len(i) == 0:
                         continue
-                    many = (found.end - found.first)[i]
-                    each = np.repeat(found.first[i] - np.cumsum(many) + many, many) + np.arange(many.sum())
-                    hashes = sequence_hashes(found.words, each, np.full(len(each), window))
-                    ends = np.concatenate([[0], 8 * np.cumsum(many)]).astype(np.int32)
-                    lists = pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(hashes.tobytes())])
-                    rows = pa.array(row[i])
-                    yield pa.RecordBatch.from_arrays([pa.array(found.h[i].view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(found.place[i]), lists], names=["h", "doc", "key", "place", "windows"])
+                    first, last = anchors.chunks(found, i)
+                    begin, stop = found.start[found.first[first]], found.stop[found.end[last] + window - 2]
+                    pieces = [b" ".join(raw[s:e].split()) for s, e in zip(begin.tolist(), stop.tolist(), strict=True)]
+                    rows = pa.array(row[first])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(found.place[first]), pa.array(pieces, pa.binary())], names=["doc", "key", "place", "piece"])
+
+    return run
+
+
+def _runs_of_chunks(window: int):
+    """The runs of chunks (doc, key, place, piece) as rows of _RUN; a window's anchor depends on nothing else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = word_runs(window)
+        for batch in batches:
+            for b in pieces(batch, "piece", anchors.STEP_BYTES):
+                data, offsets = text_buffer(b.column(3))
+                for found in of(data, offsets):
+                    h, lists = _run_columns(found, np.arange(len(found.h)), window)
+                    rows = pa.array(found.doc)
+                    yield pa.RecordBatch.from_arrays([h, b.column(0).take(rows), b.column(1).take(rows), pa.array(b.column(2).to_numpy()[found.doc] + found.place), lists], names=_RUN_NAMES)
 
     return run
 
@@ -189,17 +237,34 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(1).take(rows), b.column(2).take(rows), pa.array(b.column(3).to_numpy()[of] + offset), pa.array([raw[i : i + 8] for i in range(0, len(raw), 8)], pa.binary())], names=["h", "doc", "key", "place", "windows"])
 
 
-def _frequent_links(runs: DataFrame) -> list[DataFrame]:
-    """Links of the runs of anchors that are too many for one task: equal runs have one first holder; it goes on alone,
-    and where those are still too many, window by window."""
-    out: list[DataFrame] = []
+def _to_first(rows: DataFrame, kinds: DataFrame, same: list[str], windows: Column) -> DataFrame:
+    """Rows of _LINK: all windows of the rows whose kind a smaller document holds first."""
+    later = rows.join(kinds, same).where("doc > one.doc")
+    return later.select(F.col("one.doc").alias("rdoc"), F.col("one.key").alias("rkey"), F.col("one.place").alias("rplace"), "doc", "key", F.col("place").alias("first"), windows.cast("int").alias("n"))
+
+
+def _within_blocks(found: DataFrame) -> DataFrame:
+    """Links cut where their place in the reference passes from one of its blocks to the next."""
+    chunk = F.explode(F.sequence(F.floor(F.col("rplace") / CHUNK_WORDS), F.floor((F.col("rplace") + F.col("n") - 1) / CHUNK_WORDS))).alias("c")
+    start, end = F.greatest(F.col("rplace"), F.col("c") * CHUNK_WORDS), F.least(F.col("rplace") + F.col("n"), (F.col("c") + 1) * CHUNK_WORDS)
+    return found.select("*", chunk).select("rdoc", "rkey", start.alias("rplace"), "doc", "key", (F.col("first") + start - F.col("rplace")).alias("first"), (end - start).cast("int").alias("n"))
+
+
+def _frequent_links(chunks: DataFrame, window: int) -> list[DataFrame]:
+    """Links of the runs of anchors that are too many for one task: equal chunks, then equal runs, have one first holder;
+    it goes on alone, and where those are still too many, window by window."""
+    one = F.min(F.struct("doc", "key", "place")).alias("one")
+    chunks = written(chunks, "substring-chunks")
+    kinds = written(chunks.groupBy("piece").agg(one), "substring-kinds")
+    n_words = F.size(F.split(F.col("piece").cast("string"), " "))
+    out = [_within_blocks(_to_first(chunks, kinds, ["piece"], n_words - window + 1))]
+    runs = kinds.select("one.doc", "one.key", "one.place", "piece").mapInArrow(_runs_of_chunks(window), _RUN)
     for single in (False, True):
         runs = written(runs, "substring-hot")
         if runs.isEmpty():
             break
-        kinds = written(runs.groupBy("h", "windows").agg(F.min(F.struct("doc", "key", "place")).alias("one")), "substring-kinds")
-        later = runs.join(kinds, ["h", "windows"]).where("doc > one.doc")
-        out.append(later.select(F.col("one.doc").alias("rdoc"), F.col("one.key").alias("rkey"), F.col("one.place").alias("rplace"), "doc", "key", F.col("place").alias("first"), (F.octet_length("windows") / 8).cast("int").alias("n")))
+        kinds = written(runs.groupBy("h", "windows").agg(one), "substring-kinds")
+        out.append(_to_first(runs, kinds, ["h", "windows"], F.octet_length("windows") / 8))
         if single:
             break
         sizes = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
@@ -212,10 +277,10 @@ def _frequent_links(runs: DataFrame) -> list[DataFrame]:
 def links(candidates: DataFrame, window: int) -> DataFrame:
     """Rows of _LINK for the candidates (doc, key, z, shared, hot): n windows from `first` on, which the document rdoc
     (a smaller one) holds from `rplace` on."""
-    found = _dealt(candidates.mapInArrow(_emit(window, False), _RUN))
+    found = _dealt(candidates.mapInArrow(_emit(window), _RUN))
     busy = candidates.where(F.size("hot") > 0)
     if not busy.isEmpty():
-        for more in _frequent_links(busy.mapInArrow(_emit(window, True), _RUN)):
+        for more in _frequent_links(busy.mapInArrow(_emit_chunks(window), "doc bigint, key bigint, place bigint, piece binary"), window):
             found = found.unionByName(more)
     return written(found, "substring-links")
 

@@ -12,8 +12,8 @@ hash, so equal strings meet in one task. There, blocks of a few MB are sorted wi
 - Neighbours in a sorted bucket repeat each other if `window` bytes are equal, which ranks of two overlapping cover texts
   and the bytes at both ends tell exactly.
 
-An anchor with very many runs is narrowed first, on what lies around it. Equal runs repeat each other whole, so one of
-each kind goes on. Two runs of one anchor can share a window only if the bytes before the anchor, or those after it, are
+An anchor with very many runs is narrowed first, on what lies around it. Neighbouring runs of such anchors are cut into
+chunks by their content; equal chunks, and equal runs, repeat each other whole, so one of each kind goes on. Two runs of one anchor can share a window only if the bytes before the anchor, or those after it, are
 equal for half of what the window has besides the anchor: the windows with the longer part before go on by the anchor
 and those bytes, the others by the anchor and the bytes after it. So every round halves what is still to be compared,
 each window goes one way only, and what meets few others is sorted in a block like any run.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm import anchors
-from curata.llm.common import RunHashes, pieces, quoted, small_batches, written
+from curata.llm.common import RunHashes, pieces, quoted, small_batches, text_buffer, written
 
 #: Fixed: a perfect difference set; every number modulo PERIOD is the difference of two of its members.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
@@ -167,26 +167,64 @@ _RUN = "h bigint, doc bigint, key bigint, place bigint, lead int, piece binary,
 _ITEM = f"{_RUN}, path int, fa int, fb int"
 
 
-def _emit(window: int, hot: bool):
-    """Runs of shared anchors as rows of _RUN, or of hot ones as rows of _ITEM; place: of the first window in the text."""
-    names = [c.split(" ")[0] for c in (_ITEM if hot else _RUN).split(", ")]
+def _emit(window: int):
+    """Runs of shared anchors that aren't hot: rows of _RUN; place: of the first window in the text."""
+    names = [c.split(" ")[0] for c in _RUN.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, k = byte_runs(window), window // 2
+        of = byte_runs(window)
         for b in batches:
             for a, _, data, offsets in anchors.unpack_batch(b.column(2)):
                 raw = memoryview(data)
                 for found in of(data, offsets):
                     row = found.doc + a
-                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), hot)
+                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), False)
                     if len(i) == 0:
                         continue
                     pieces = [bytes(raw[s:e]) for s, e in zip(found.first[i].tolist(), (found.end[i] + window - 1).tolist(), strict=True)]
-                    lead = (found.at[i] - found.first[i]).astype(np.int32)
-                    rows = pa.array(row[i])
+                    lead, rows = (found.at[i] - found.first[i]).astype(np.int32), pa.array(row[i])
                     columns = [pa.array(found.h[i].view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(found.first[i] - offsets[found.doc[i]]), pa.array(lead), pa.array(pieces, pa.binary()), pa.array(np.ones(len(i), bool))]
-                    if hot:
-                        columns += [pa.array(np.ones(len(i), np.int32)), pa.array(lead), pa.array(lead + np.int32(k))]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def _emit_chunks(window: int):
+    """(doc, key, place, piece) of chunks of neighbouring runs of hot anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = byte_runs(window)
+        for b in batches:
+            for a, _, data, offsets in anchors.unpack_batch(b.column(2)):
+                raw = memoryview(data)
+                for found in of(data, offsets):
+                    row = found.doc + a
+                    i = anchors.chosen(found.h, row, b.column(3), b.column(4), True)
+                    if len(i) == 0:
+                        continue
+                    first, last = anchors.chunks(found, i)
+                    pieces = [bytes(raw[s:e]) for s, e in zip(found.first[first].tolist(), (found.end[last] + window - 1).tolist(), strict=True)]
+                    rows = pa.array(row[first])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(found.first[first] - offsets[found.doc[first]]), pa.array(pieces, pa.binary())], names=["doc", "key", "place", "piece"])
+
+    return run
+
+
+def _runs_of_chunks(window: int):
+    """The runs of chunks (doc, key, place, piece, alone), as rows of _ITEM; a window's anchor depends on nothing else."""
+    names = [c.split(" ")[0] for c in _ITEM.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, k = byte_runs(window), window // 2
+        for batch in batches:
+            for b in pieces(batch, "piece"):
+                data, offsets = text_buffer(b.column(3))
+                raw = memoryview(data)
+                for found in of(data, offsets):
+                    rows, lead = pa.array(found.doc), (found.at - found.first).astype(np.int32)
+                    text = [bytes(raw[s:e]) for s, e in zip(found.first.tolist(), (found.end + window - 1).tolist(), strict=True)]
+                    place = b.column(2).to_numpy()[found.doc] + found.first - offsets[found.doc]
+                    columns = [pa.array(found.h.view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(place), pa.array(lead), pa.array(text, pa.binary()), b.column(4).take(rows), pa.array(np.ones(len(lead), np.int32)), pa.array(lead), pa.array(lead + np.int32(k))]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -273,9 +311,13 @@ def _sorted(runs: DataFrame, window: int) -> DataFrame:
     return runs.select("h", "doc", "key", "place", "lead", "piece", "alone").repartition("h").sortWithinPartitions("h").mapInArrow(_blocks(window), _SPANS)
 
 
-def _narrowed(items: DataFrame, window: int) -> list[DataFrame]:
+def _narrowed(chunks: DataFrame, window: int) -> list[DataFrame]:
     """Spans of the runs of anchors that are too many for a block, in rounds; `window` halves to the last byte bound them."""
-    out: list[DataFrame] = []
+    chunks = written(chunks, "suffix-chunks")
+    kinds = written(chunks.groupBy("piece").agg(F.count("*").alias("n"), F.min(F.struct("doc", "key", "place")).alias("one")), "suffix-kinds")
+    whole = lambda df: df.select("doc", "key", F.col("place").alias("first"), (F.col("place") + F.octet_length("piece")).alias("end"))
+    out = [whole(chunks.join(kinds.where("n > 1").select("piece"), "piece", "left_semi"))]
+    items = kinds.select("one.doc", "one.key", "one.place", "piece", (F.col("n") == 1).alias("alone")).mapInArrow(_runs_of_chunks(window), _ITEM)
     same = ["h", "path", "piece"]
     while True:
         items = written(items, "suffix-hot")
@@ -283,8 +325,7 @@ def _narrowed(items: DataFrame, window: int) -> list[DataFrame]:
             return out
         one = F.min(F.struct("doc", "key", "place", "lead", "fa", "fb", "alone")).alias("one")
         kinds = written(items.groupBy(*same).agg(F.count("*").alias("n"), one), "suffix-kinds")
-        again = items.where("alone").join(kinds.where("n > 1").select(*same), same, "left_semi")
-        out.append(again.select("doc", "key", F.col("place").alias("first"), (F.col("place") + F.octet_length("piece")).alias("end")))
+        out.append(whole(items.where("alone").join(kinds.where("n > 1").select(*same), same, "left_semi")))
         sizes = kinds.groupBy("h", "path").agg(F.count("*").alias("kinds")).where("kinds > 1")
         left = kinds.join(sizes, ["h", "path"])
         rows = left.select("h", "one.doc", "one.key", "one.place", "one.lead", "piece", (F.col("one.alone") & (F.col("n") == 1)).alias("alone"), "path", "one.fa", "one.fb", "kinds")
@@ -296,10 +337,10 @@ def spans(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """The candidate texts (doc, key, z), and the bytes [first, end) to remove of (doc, key)."""
     candidates = anchors.shared_anchors(rows, byte_runs(window), False, "suffix-anchors")
     joined = written(anchors.pack_texts(rows).join(candidates, ["doc", "key"]).select("doc", "key", "z", "shared", "hot"), "suffix-candidates")
-    found = _sorted(joined.mapInArrow(_emit(window, False), _RUN), window)
+    found = _sorted(joined.mapInArrow(_emit(window), _RUN), window)
     busy = joined.where(F.size("hot") > 0)
     if not busy.isEmpty():
-        for more in _narrowed(busy.mapInArrow(_emit(window, True), _ITEM), window):
+        for more in _narrowed(busy.mapInArrow(_emit_chunks(window), "doc bigint, key bigint, place bigint, piece binary"), window):
             found = found.unionByName(more)
     return joined.select("doc", "key", "z"), written(found, "suffix-spans")
 
