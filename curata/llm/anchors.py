@@ -101,16 +101,20 @@ def _keys(of: Callable) -> Callable:
     return run
 
 
+FOUND, OPEN, KNOWN = 0, 1, 2
+
+
 def _repeated(by_doc: bool) -> Callable:
-    """Over sorted (h, doc, key, spread): rows of hashes found twice (by_doc: in two documents); open: of a spread hash that wasn't."""
-    names = ["h", "doc", "key", "open"]
+    """Over sorted (h, doc, key, spread), rows by kind: FOUND of hashes found twice (by_doc: in two documents), OPEN of a
+    spread hash that wasn't, and one KNOWN for each spread hash that was."""
+    names = ["h", "doc", "key", "kind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # rows of the last hash, as long as it isn't found twice
         again = None
 
-        def out(t: pa.Table, is_open: bool) -> Iterator[pa.RecordBatch]:
-            yield from pa.table([*(t[c] for c in names[:3]), pa.array(np.full(t.num_rows, is_open))], names=names).to_batches()
+        def out(t: pa.Table, kind: int) -> Iterator[pa.RecordBatch]:
+            yield from pa.table([*(t[c] for c in names[:3]), pa.array(np.full(t.num_rows, kind, np.int32))], names=names).to_batches()
 
         for b in batches:
             if b.num_rows == 0:
@@ -124,20 +128,23 @@ def _repeated(by_doc: bool) -> Callable:
             differs = new.copy()
             differs[1:] |= (doc[1:] != doc[:-1]) if by_doc else True
             twice = np.bincount(of, differs) >= 2
+            fresh = twice.copy()
             if again is not None and int(h[0]) == again:
-                twice[0] = True
-            rows = twice[of]
+                twice[0], fresh[0] = True, False
+            rows, spread = twice[of], t["spread"].to_numpy(zero_copy_only=False)
             if rows.any():
-                yield from out(t.filter(pa.array(rows)), False)
+                yield from out(t.filter(pa.array(rows)), FOUND)
+            if (known := begins[fresh & spread[begins]]).size:
+                yield from out(t.take(pa.array(known)), KNOWN)
             last = len(begins) - 1
             again = int(h[-1]) if twice[last] else None
-            waiting = ~rows & t["spread"].to_numpy(zero_copy_only=False)
+            waiting = ~rows & spread
             waiting[begins[last] :] = False
             if waiting.any():
-                yield from out(t.filter(pa.array(waiting)), True)
+                yield from out(t.filter(pa.array(waiting)), OPEN)
             held = None if twice[last] else t.slice(int(begins[last])).combine_chunks()
         if held is not None and held["spread"][0].as_py():
-            yield from out(held, True)
+            yield from out(held, OPEN)
 
     return run
 
@@ -158,12 +165,13 @@ def repeated_keys(keys: DataFrame, sample: DataFrame, by_doc: bool, name: str) -
         flagged = keys.join(F.broadcast(spark.createDataFrame([(x, True) for x in hot], "h bigint, _hot boolean")), "h", "left").select("h", "doc", "key", F.coalesce("_hot", F.lit(False)).alias("spread"))
     bucket = F.when(F.col("spread"), F.xxhash64("h", "doc")).otherwise(F.col("h"))
     dealt = flagged.repartition(bucket).sortWithinPartitions("h", "doc", "key")
-    found = written(dealt.mapInArrow(_repeated(by_doc), "h bigint, doc bigint, key bigint, open boolean"), name)
-    sure = found.where("not open").select("h", "doc", "key")
+    found = written(dealt.mapInArrow(_repeated(by_doc), "h bigint, doc bigint, key bigint, kind int"), name)
+    of = lambda kind: found.where(F.col("kind") == kind).select("h", "doc", "key")
+    sure, waiting = of(FOUND), of(OPEN)
     if not hot:
         return sure
-    waiting = found.where("open").select("h", "doc", "key")  # of one document for each partition and frequent hash
-    known = sure.join(F.broadcast(waiting.select("h").distinct()), "h", "left_semi").select("h").distinct().withColumn("n", F.lit(2).cast("bigint"))
+    # what is open is of one document for each partition and frequent hash
+    known = of(KNOWN).select("h").distinct().withColumn("n", F.lit(2).cast("bigint"))
     n = F.when(F.min("doc") < F.max("doc"), 2).otherwise(1).cast("bigint") if by_doc else F.count("*")
     over = waiting.groupBy("h").agg(n.alias("n")).unionByName(known).groupBy("h").agg(F.max("n").alias("n")).where("n >= 2").select("h")
     return sure.unionByName(waiting.join(F.broadcast(over), "h", "left_semi").select("h", "doc", "key"))

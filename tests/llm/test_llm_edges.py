@@ -170,3 +170,17 @@ def test_many_rows_without_id(spark):
     rows = [(None, line + f" own {k} " + " ".join(str(rng.random()) for _ in range(30))) for k in range(300)]
     got = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert len(got) == 300 and all(r["doc_id"] is None and len(line) <= r["n_removed"] <= len(line) + 10 for r in got)
+
+
+@pytest.mark.parametrize("by_doc", [False, True])
+def test_repeated_keys(spark, monkeypatch, by_doc):
+    """Hashes that are spread over partitions and those that aren't give the same rows."""
+    rng = random.Random(20)
+    rows = [(h, d, d * 10 + k) for h in range(40) for d in range(rng.choice([1, 1, 2, 30])) for k in range(rng.choice([1, 2, 3]))]
+    keys = spark.createDataFrame(rows, "h bigint, doc bigint, key bigint").repartition(5)
+    docs = {h: {d for g, d, _ in rows if g == h} for h, _, _ in rows}
+    count = {h: sum(g == h for g, _, _ in rows) for h, _, _ in rows}
+    expected = sorted(r for r in rows if (len(docs[r[0]]) if by_doc else count[r[0]]) > 1)
+    for hot in ([], list(range(0, 40, 2)), list(range(40))):
+        monkeypatch.setattr(anchors, "frequent", lambda sample, hot=hot: hot)
+        assert sorted(map(tuple, anchors.repeated_keys(keys, keys, by_doc, "test").collect())) == expected
