@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.llm import bpe, decontaminate, jaccard, line_dedup, quality
-from curata.llm.common import table, written
+from curata.llm.common import remove_written, table, tables_written, written
 from curata.llm.op9_bpe import default_vocabulary
 from curata.operators import sampling
 
@@ -107,7 +107,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. The tables of a stage, its operator's included, go once the next one is written; tables that
+    the process wrote before stay."""
+    before = tables_written()
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{i}")
+        remove_written(spark, docs, *before)
     return docs

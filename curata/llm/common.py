@@ -61,6 +61,11 @@ _WRITTEN: list[str] = []
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def tables_written() -> list[str]:
+    """Paths of this process's intermediate tables."""
+    return list(_WRITTEN)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
@@ -74,10 +79,12 @@ def forget(*tables: DataFrame) -> None:
             _delete(t.sparkSession, t.written_path)
 
 
-def remove_written(spark: SparkSession) -> None:
-    """Deletes the intermediate tables of this process, once no result that reads them is needed."""
-    while _WRITTEN:
-        _delete(spark, _WRITTEN.pop())
+def remove_written(spark: SparkSession, *keep: DataFrame | str) -> None:
+    """Deletes the intermediate tables of this process but those to keep, once no result that reads them is needed."""
+    kept = {t if isinstance(t, str) else t.written_path for t in keep}
+    for path in [p for p in _WRITTEN if p not in kept]:
+        _WRITTEN.remove(path)
+        _delete(spark, path)
 
 
 def small_batches(spark: SparkSession) -> None:
