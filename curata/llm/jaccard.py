@@ -14,10 +14,10 @@ are one class from the start. The rest is candidate search, a join within candid
    longest set below can't reach the overlap that the smallest set below needs, or if all sets below are linked with
    the query already.
 4. A group over GROUP_DOCS is dealt over blocks that share a few documents. What the blocks' links leave in different
-   components while sharing a pair of shingles meets again: by that pair and by size, as linked sets are in the same or
-   in neighbouring classes of size (powers of 100 / percent). Only where such a cell is over GROUP_DOCS too, its documents
-   meet in pairs of blocks. So no link is lost, and a group of near copies, which the shared documents hold together, is
-   not compared pair by pair.
+   components while sharing a pair of shingles meets again, in pairs of blocks. Where that is over PAIR_BLOCKS blocks,
+   it meets by cells instead: by each such pair of shingles and by size, as linked sets are in the same or in neighbouring
+   classes of size (powers of 100 / percent). So no link is lost, a group of near copies, which the shared documents hold
+   together, is not compared pair by pair, and the number of times that a text is sent doesn't grow with its group.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased. A document of fewer words than n has its
 whole word sequence as its one shingle; without words, or null, it has none and links with nothing. Rows of one doc_id
@@ -29,10 +29,11 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm.anchors import SAMPLE, repeated_keys
@@ -43,6 +44,8 @@ SKETCH_BITS = 18
 SLICES = 16
 #: Documents of a candidate group that one task joins, and how many of a larger group all of its blocks share.
 GROUP_DOCS, SHARED_DOCS = 1000, 8
+#: Blocks of a group that are compared in all pairs; in a larger group only documents of one cell meet.
+PAIR_BLOCKS = 64
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
@@ -356,20 +359,22 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
     big = placed.where(F.col("size") > GROUP_DOCS)
     if not big.isEmpty():
         now = components(links, "jaccard-links")
-        labelled = big.select("doc").join(now, F.col("doc") == F.col("node"), "left").select("doc", F.coalesce("component", "doc").alias("label"))
+        labelled = big.select("doc", "grp").join(now, F.col("doc") == F.col("node"), "left").select("doc", "grp", F.coalesce("component", "doc").alias("label"))
         # pairs of shingles that still lead from one component to another
         held = meets.select("token", "doc").join(labelled, "doc")
         open_tokens = held.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
         unsettled = written(held.join(open_tokens, "token", "left_semi"), "jaccard-unsettled")
-        size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9) if percent < 100 else F.col("size")
-        sized = firsts.select("doc", size_class.cast("bigint").alias("c")).distinct()
-        cells = unsettled.join(sized, "doc").select("token", "doc", "label", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("cell"))
-        apart = cells.groupBy("token", "cell").agg(F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token", "cell", "size")
-        last = F.ceil(F.col("size") / GROUP_DOCS) - 1
-        own = F.pmod(F.xxhash64("doc", F.lit(2)), last + 1)
-        pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda k: F.xxhash64("token", "cell", F.least(k, F.col("own")), F.greatest(k, F.col("own"))))
-        again = cells.join(apart, ["token", "cell"]).withColumn("own", own).select("doc", "label", F.explode(pairs).alias("block"))
-        links = links.unionByName(_linked(rows, again.distinct(), shingle, percent))
+        docs_left = unsettled.select("doc", "grp", "label").distinct()
+        counts = written(docs_left.groupBy("grp").agg(F.count("*").alias("size")), "jaccard-unsettled-sizes")
+        few = F.col("size") <= GROUP_DOCS * PAIR_BLOCKS
+        again = [_pairs(docs_left.join(counts.where(few), "grp"), F.col("grp"))]
+        if not (many := counts.where(~few)).isEmpty():
+            size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9) if percent < 100 else F.col("size")
+            sized = firsts.select("doc", size_class.cast("bigint").alias("c")).distinct()
+            cells = unsettled.join(many.select("grp"), "grp", "left_semi").join(sized, "doc").select("token", "doc", "label", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("cell"))
+            apart = cells.groupBy("token", "cell").agg(F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token", "cell", "size")
+            again.append(_pairs(cells.join(apart, ["token", "cell"]), F.xxhash64("token", "cell")))
+        links = reduce(DataFrame.unionByName, [links, *(_linked(rows, x, shingle, percent) for x in again)])
     # a document of several texts holds the classes of each together
     several = signed.where("n > 0 and doc is not null").groupBy("doc").agg(F.min(F.struct("s1", "s2", "n")).alias("a"), F.max(F.struct("s1", "s2", "n")).alias("b")).where("a <> b").select("doc")
     both = signed.where("n > 0").join(several, "doc", "left_semi").join(equal.withColumnRenamed("doc", "b"), ["s1", "s2", "n"]).select(F.col("doc").alias("a"), "b")
@@ -380,6 +385,14 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
     return joined.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
 
 
+def _pairs(docs: DataFrame, group: Column) -> DataFrame:
+    """doc, label, block of docs (doc, label, size of the group): a group is cut into blocks, each pair of which is a block."""
+    last = F.ceil(F.col("size") / GROUP_DOCS) - 1
+    pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda k: F.xxhash64("group", F.lit("pair"), F.least(k, F.col("own")), F.greatest(k, F.col("own"))))
+    placed = docs.select("doc", "label", group.alias("group"), "size").withColumn("own", F.pmod(F.xxhash64("doc", F.lit(2)), last + 1))
+    return placed.select("doc", "label", F.explode(pairs).alias("block")).distinct()
+
+
 def _linked(rows: DataFrame, dealt: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) within each block of dealt (doc, label, block)."""
     texts = rows.join(dealt, "doc").select("block", "doc", "label", "text")

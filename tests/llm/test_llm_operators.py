@@ -251,6 +251,7 @@ def components(sets, percent):
 def test_jaccard(spark, monkeypatch, percent, n, group):
     monkeypatch.setattr(jaccard, "GROUP_DOCS", group)
     monkeypatch.setattr(jaccard, "SHARED_DOCS", 2)
+    monkeypatch.setattr(jaccard, "PAIR_BLOCKS", 64 if group == 3 else 2)
     rng = random.Random(percent)
     rows = [(i, t) for i, t, *_ in corpus(4, 80)]
     base = [rng.choice("abcdefghij") * 2 + str(k) for k in range(60)]
