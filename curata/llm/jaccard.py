@@ -361,17 +361,16 @@ def classes(docs: DataFrame, percent: int = 85, shingle: int = 4, doc_id: str =
         now = components(links, "jaccard-links")
         labelled = big.select("doc", "grp").join(now, F.col("doc") == F.col("node"), "left").select("doc", "grp", F.coalesce("component", "doc").alias("label"))
         # pairs of shingles that still lead from one component to another
-        held = meets.select("token", "doc").join(labelled, "doc")
-        open_tokens = held.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
-        unsettled = written(held.join(open_tokens, "token", "left_semi"), "jaccard-unsettled")
-        docs_left = unsettled.select("doc", "grp", "label").distinct()
+        labels = meets.select("token", "doc").join(labelled, "doc").groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m"))
+        unsettled = written(meets.select("token", "doc").join(labels.where("l <> m").select("token"), "token", "left_semi"), "jaccard-unsettled")
+        docs_left = written(unsettled.select("doc").distinct().join(labelled, "doc"), "jaccard-unsettled-docs")
         counts = written(docs_left.groupBy("grp").agg(F.count("*").alias("size")), "jaccard-unsettled-sizes")
         few = F.col("size") <= GROUP_DOCS * PAIR_BLOCKS
         again = [_pairs(docs_left.join(counts.where(few), "grp"), F.col("grp"))]
         if not (many := counts.where(~few)).isEmpty():
             size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9) if percent < 100 else F.col("size")
             sized = firsts.select("doc", size_class.cast("bigint").alias("c")).distinct()
-            cells = unsettled.join(many.select("grp"), "grp", "left_semi").join(sized, "doc").select("token", "doc", "label", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("cell"))
+            cells = unsettled.join(docs_left.join(many.select("grp"), "grp", "left_semi"), "doc").join(sized, "doc").select("token", "doc", "label", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("cell"))
             apart = cells.groupBy("token", "cell").agg(F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token", "cell", "size")
             again.append(_pairs(cells.join(apart, ["token", "cell"]), F.xxhash64("token", "cell")))
         links = reduce(DataFrame.unionByName, [links, *(_linked(rows, x, shingle, percent) for x in again)])
