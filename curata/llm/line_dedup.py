@@ -3,8 +3,9 @@
 A line's key is the line without white space at its ends and with A-Z lower-cased, as a cryptographic 128-bit digest. Keys go
 through a range partitioning on (key, document, position), so a key of any frequency is spread over partitions by
 document, and each partition is streamed in order: a key's lines are held back only until its documents reach the
-threshold. A key that crosses a partition's edge below the threshold is settled by a small aggregate. What comes
-back is one compressed bitmap per document that loses lines, never text.
+threshold, and only so many of them. A key that crosses a partition's edge below the threshold, or has more lines in
+few documents, is settled by a small aggregate. What comes back is one compressed bitmap per document that loses
+lines, never text.
 
 Rows are told apart by (doc_id, text): rows that repeat both get the same result; a key's documents are counted by
 distinct doc_id (null counts as one document). A null text is one empty line. Blank lines have no key and stay.
@@ -53,52 +54,61 @@ def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*map(pa.array, span_digests(data, a, z)), b.column(0).take(rows), b.column(1).take(rows), pa.array(pos.astype(np.int32))], names=["h1", "h2", "doc", "row_key", "pos"])
 
 
-def _stream(least: int):
-    """Over sorted keys: the lines of keys in `least` documents or more; open: of a key at the partition's edge."""
+#: Lines of a key in too few documents that a task holds back; beyond them they are settled as the edges are.
+HELD_LINES = 1 << 18
+#: Keys that are broadcast at most; more of them are joined by shuffle.
+BROADCAST_KEYS = 1 << 20
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None  # lines of the last key, as long as it is in too few documents
-        hot: tuple[int, int] | None = None
-        edge: tuple[int, int] | None = None  # the partition's first key
-        names = ["doc", "row_key", "pos", "open", "h1", "h2"]
 
-        def out(t: pa.Table, is_open: bool) -> Iterator[pa.RecordBatch]:
-            flags = pa.array(np.full(t.num_rows, is_open))
-            yield from pa.table([t["doc"], t["row_key"], t["pos"], flags, t["h1"], t["h2"]], names=names).to_batches()
+def _stream(least: int, most_held: int):
+    """Over sorted keys: the lines of keys in `least` documents or more; open: of a key at the partition's edge, or of
+    over most_held lines in too few documents so far."""
+    names = ["doc", "row_key", "pos", "open", "h1", "h2"]
+
+    def out(t: pa.RecordBatch, is_open: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([t.column("doc"), t.column("row_key"), t.column("pos"), pa.array(np.full(t.num_rows, is_open)), t.column("h1"), t.column("h2")], names=names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key: tuple[int, int] | None = None  # the last key, its documents so far, the last of them
+        docs_so_far, last_doc = 0, (0, False)
+        held: list[pa.RecordBatch] = []  # lines of the last key, as long as it is in too few documents
+        at_edge = True  # the last key is the partition's first
         for b in batches:
             if b.num_rows == 0:
                 continue
-            t = pa.Table.from_batches([b])
-            if held is not None:
-                t = pa.concat_tables([held, t])
-            held = None
-            h1, h2 = t["h1"].to_numpy(), t["h2"].to_numpy()
-            if edge is None:
-                edge = (int(h1[0]), int(h2[0]))
-            doc = t["doc"].to_pandas().to_numpy() if t["doc"].null_count else t["doc"].to_numpy()
-            new_key = np.ones(len(h1), bool)
+            h1, h2 = b.column("h1").to_numpy(), b.column("h2").to_numpy()
+            # integers beside a null mask: with nulls in it, a column would turn into floats, and large ids fall together
+            doc, null = b.column("doc").fill_null(0).to_numpy(), np.asarray(b.column("doc").is_null())
+            new_key, changed = np.ones(len(h1), bool), np.ones(len(h1), bool)
             new_key[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            with np.errstate(invalid="ignore"):
-                changed = np.ones(len(h1), bool)
-                changed[1:] = (doc[1:] != doc[:-1]) & ~((doc[1:] != doc[1:]) & (doc[:-1] != doc[:-1]))
+            changed[1:] = (doc[1:] != doc[:-1]) | (null[1:] != null[:-1])
             begins = np.flatnonzero(new_key)
             run_of = np.cumsum(new_key) - 1
-            docs = np.bincount(run_of, (new_key | changed))
-            drop = docs >= least
-            if hot is not None and hot == (int(h1[0]), int(h2[0])):
-                drop[0] = True
-            last = len(begins) - 1
-            rows = drop[run_of]
-            if rows.any():
-                yield from out(t.filter(pa.array(rows)), False)
-            hot = (int(h1[-1]), int(h2[-1])) if drop[last] else None
-            if last and not drop[0] and edge == (int(h1[0]), int(h2[0])):
-                yield from out(t.slice(0, int(begins[1])), True)
+            if key != (int(h1[0]), int(h2[0])):  # the last key has ended
+                if at_edge and docs_so_far < least:
+                    yield from (out(t, True) for t in held)
+                at_edge, held, docs_so_far = key is None, [], 0
+            else:
+                changed[0] = new_key[0] = (int(doc[0]), bool(null[0])) != last_doc
+            docs = np.bincount(run_of, new_key | changed).astype(np.int64)
+            docs[0] += docs_so_far
+            drop, last = docs >= least, len(begins) - 1
+            if drop[0]:
+                yield from (out(t, False) for t in held)
+                held = []
+            if drop.any():
+                yield out(b.filter(pa.array(drop[run_of])), False)
+            if last:
+                if at_edge and not drop[0]:
+                    yield from (out(t, True) for t in [*held, b.slice(0, int(begins[1]))])
+                at_edge, held = False, []
             if not drop[last]:
-                held = t.slice(int(begins[last])).combine_chunks()
-        if held is not None:
-            yield from out(held, True)
+                held.append(b.slice(int(begins[last])))
+                if sum(t.num_rows for t in held) > most_held:
+                    yield from (out(t, True) for t in held)
+                    held = []
+            key, docs_so_far, last_doc = (int(h1[-1]), int(h2[-1])), int(docs[last]), (int(doc[-1]), bool(null[-1]))
+        yield from (out(t, True) for t in held)
 
     return run
 
@@ -120,16 +130,18 @@ def keep_bitmaps(docs: DataFrame, least_docs: int = 10, keep_first: bool = False
     # written, since the range partitioning reads its input twice
     lines = written(keyed(docs, doc_id, text).mapInArrow(_line_keys, _KEYS), "line-keys")
     order = ["h1", "h2", "doc", "row_key", "pos"]
-    found = written(lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_stream(least_docs), _FOUND), "line-dedup")
+    found = written(lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_stream(least_docs, HELD_LINES), _FOUND), "line-dedup")
     forget(lines)
-    # what partitions left open: fewer than least_docs documents of at most two keys each
+    # what partitions left open: fewer than least_docs documents of two keys each, and of keys with very many lines
     waiting = found.where("open")
+    open_keys = waiting.select("h1", "h2").distinct()
+    small = F.broadcast if open_keys.count() <= BROADCAST_KEYS else (lambda keys: keys)
     settled = waiting.groupBy("h1", "h2").agg(F.count_distinct(F.coalesce("doc", F.lit(0)), F.col("doc").isNull()).alias("docs"))
     # a key that is hot in one partition can go on, cold, in the next
-    decided = found.where("not open").join(F.broadcast(waiting.select("h1", "h2").distinct()), ["h1", "h2"], "left_semi").select("h1", "h2").distinct().withColumn("docs", F.lit(least_docs).cast("bigint"))
+    decided = found.where("not open").join(small(open_keys), ["h1", "h2"], "left_semi").select("h1", "h2").distinct().withColumn("docs", F.lit(least_docs).cast("bigint"))
     over = settled.unionByName(decided).groupBy("h1", "h2").agg(F.max("docs").alias("docs")).where(F.col("docs") >= least_docs).select("h1", "h2")
     place = ["doc", "row_key", "pos"]
-    dropped = found.where("not open").select("h1", "h2", *place).unionByName(waiting.join(F.broadcast(over), ["h1", "h2"], "left_semi").select("h1", "h2", *place))
+    dropped = found.where("not open").select("h1", "h2", *place).unionByName(waiting.join(small(over), ["h1", "h2"], "left_semi").select("h1", "h2", *place))
     if keep_first:
         first = dropped.groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("f")).select(*(F.col(f"f.{c}").alias(f"f_{c}") for c in place))
         same = [dropped[c].eqNullSafe(first[f"f_{c}"]) for c in place]

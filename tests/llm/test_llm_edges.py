@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -184,3 +185,50 @@ def test_repeated_keys(spark, monkeypatch, by_doc):
     for hot in ([], list(range(0, 40, 2)), list(range(40))):
         monkeypatch.setattr(anchors, "frequent", lambda sample, hot=hot: hot)
         assert sorted(map(tuple, anchors.repeated_keys(keys, keys, by_doc, "test").collect())) == expected
+
+
+def test_large_ids_beside_missing_ones(spark):
+    """A row without an id must not turn its neighbours' ids into floats; above 2**53 those fall together."""
+    import corpus_pipeline
+
+    base = 2**60
+    rows = [(base + k, f"shared line\nown {k}") for k in range(10)] + [(None, "another line"), (base + 10, "another line")]
+    plain = {(i, t): sum(x == "shared line" for x in t.split("\n")) for i, t in rows}
+    for partitions in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(partitions)
+        assert {(r["doc_id"], r["text"] if not r["n_dropped"] else "shared line\n" + r["text"]): r["n_dropped"] for r in line_dedup.drop_lines(df, 10).collect()} == plain
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_deduplication(spark, docs, "").collect()}
+    assert got == {i: (t if i in (None, base, base + 10) else t.split("\n")[1]) for i, t in rows}
+
+
+@pytest.mark.parametrize("held", [1, 7, 1 << 18])
+def test_lines_held_back(spark, monkeypatch, held):
+    """Very many equal lines of few documents leave the task early and are settled like the edges."""
+    monkeypatch.setattr(line_dedup, "HELD_LINES", held)
+    rows = [(k % 3 or None, "\n".join(["many"] * 400 + [f"own {k}"])) for k in range(6)] + [(k, "many\nfew") for k in range(10, 14)] + [(2**59 + k, "few\nmany") for k in range(3)]
+    for least in (6, 7, 8, 10, 11):
+        got = Counter((r["doc_id"], r["n_dropped"]) for r in line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), least).collect())
+        docs = {w: len({i for i, t in rows if w in t.split("\n")}) for w in ("many", "few")}
+        assert got == Counter((i, sum(docs.get(x, 0) >= least for x in t.split("\n"))) for i, t in rows)
+
+
+def test_long_words(spark):
+    """Words beyond the trie's length, against the library; memory stays near the word's own size."""
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(default_vocabulary())
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeé한") for _ in range(n)) for n in (1023, 1024, 1025, 5000, 60_000)]
+    texts = [" ".join(words), words[4] + " " + words[4] + "\n" + words[2], "x" * 50_000, " " * 3000 + "=" * 3000]
+    coder = bpe.Bpe.load(default_vocabulary())
+    for t, ids in zip(texts, coder.encode_batch(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+        assert coder.decode(ids) == t
+    assert not any(isinstance(w, str) and len(w) > bpe.TRIE_LENGTH for w in coder.known)
+    tracemalloc.start()
+    coder.encode_long("abcde" * 100_000)
+    assert tracemalloc.get_traced_memory()[1] < 12 * 500_000 + (1 << 22)
+    tracemalloc.stop()
