@@ -18,6 +18,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
 #: Entries that a worker keeps, of words it has encoded and of seams it has judged; beyond them it starts anew. About
 #: 250 bytes each.
 CACHE_WORDS, CACHE_SEAMS = 400_000, 300_000
+#: Characters of the longest word that goes into the trie; a longer one shares nothing worth a node for each of its bytes.
+TRIE_LENGTH = 1024
 
 
 def _latin_words() -> re.Pattern:
@@ -168,6 +171,26 @@ class Bpe:
                     stack.append((depth + 1, b, child))
         return out
 
+    def encode_long(self, word: str) -> bytes:
+        """Ids of one word, along an array of the last tokens: some ten bytes of memory for each of the word's."""
+        path, last = word.encode(), array("i")
+        text, backwards, clean = self.text, self.backwards, self.clean_seam
+        for i, byte in enumerate(path):
+            at, tail = i, backwards[byte]
+            while True:
+                token = tail.get(-1)
+                if token is not None and ((len(text[token]) == 1 or self.own(token)) if at == 0 else clean(last[at - 1], token)):
+                    last.append(token)
+                    break
+                at -= 1
+                tail = tail[path[at]]
+        ids, i = array("I"), len(path) - 1
+        while i >= 0:
+            ids.append(self.ids[last[i]])
+            i -= len(text[last[i]])
+        ids.reverse()
+        return np.frombuffer(ids, np.uint32).astype("<u4", copy=False).tobytes()
+
     def own(self, token: int) -> bool:
         """Whether a merged token's own bytes are encoded as this one token."""
         return self.merged.get(self.halves[token]) == token
@@ -197,12 +220,16 @@ class Bpe:
         new: set = set()
         for words in split:
             new.update(words)
+        long = {w: self.encode_long(w) for w in new if not isinstance(w, int) and len(w) > TRIE_LENGTH}  # not remembered
+        new.difference_update(long)
         fresh = new.difference(self.known)
         if len(self.known) + len(fresh) > CACHE_WORDS:
             self.known.clear()
             fresh = new
         self.known.update({i: int(i).to_bytes(4, "little") for i in fresh if isinstance(i, int)})
         self.known.update(self.encode_words(w for w in fresh if not isinstance(w, int)))
+        if long:
+            return [b"".join([long[w] if w in long else self.known[w] for w in words]) for words in split]
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
     def decode(self, ids: bytes) -> str:
