@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curata.llm import op1_quality, op2_suffixes, op3_chat, op4_substrings, op5_shards, op6_benchmark, op7_jaccard, op8_lines, op9_bpe, op10_licenses
+from curata.llm import op1_quality, op2_suffixes, op3_chat, op4_substrings, op5_shards, op6_benchmark, op7_jaccard, op8_lines, op9_bpe, op10_licenses, op11_media, op12_clusters, op13_runs
 
-_MODULES = [op1_quality, op2_suffixes, op3_chat, op4_substrings, op5_shards, op6_benchmark, op7_jaccard, op8_lines, op9_bpe, op10_licenses]
+_MODULES = [op1_quality, op2_suffixes, op3_chat, op4_substrings, op5_shards, op6_benchmark, op7_jaccard, op8_lines, op9_bpe, op10_licenses, op11_media, op12_clusters, op13_runs]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
