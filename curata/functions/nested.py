@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions.fields import present
+from curata.functions.json_text import ROW, canonical, starts
 from curata.functions.text import looks_textual, trimmed
 
 #: Keys of a row that are not text, whatever they hold.
@@ -19,20 +20,21 @@ MEDIA_OBJECT_KEYS = ("path", "image", "image_path", "url", "video", "video_path"
 
 
 def flatten_conversations(df: DataFrame, key: str, document: str) -> DataFrame:
-    """One row a turn of {key: {conversation: [turn...], ...}} documents (JSON text in `document`).
+    """One row a turn of {key: {conversation: [turn...], ...}} documents (canonical JSON text in `document`).
 
-    Columns: key, conversation_index, row (map<string,string>). A turn's keys override those beside the conversation. An
-    object without a list is one row, an empty list none; a value that is no object is a row of its own text.
+    Columns: key, conversation_index, row (map<string,string>). A turn's keys override those beside the conversation; a
+    turn that is no object is the value of `conversation`. An object without a list is one row of its other values, an
+    empty list none; a value that is no object is a row of its own text.
     """
-    base = F.from_json(document, "map<string,string>")
-    typed = df.withColumn("_base", base).withColumn("_turns", F.from_json(F.col("_base")["conversation"], "array<map<string,string>>"))
-    listed = F.col("_base")["conversation"].rlike(r"^\s*\[")
-    turns = typed.where(listed).select(key, "_base", F.posexplode("_turns").alias("conversation_index", "_turn"))
+    typed = df.withColumn("_base", F.when(starts(F.col(document), "{"), F.from_json(document, ROW))).withColumn("_list", F.col("_base")["conversation"])
+    listed = starts(F.col("_list"), "[")
+    turn = F.when(starts(F.col("_text"), "{"), F.from_json("_text", ROW)).otherwise(F.create_map(F.lit("conversation"), "_text"))
+    turns = typed.where(listed).select(key, "_base", F.posexplode(F.from_json("_list", "array<string>")).alias("conversation_index", "_text")).withColumn("_turn", turn)
     rest = F.map_filter("_base", lambda k, v: k != "conversation")
     merged = F.map_concat(F.map_filter(rest, lambda k, v: ~F.map_contains_key(F.col("_turn"), k)), F.col("_turn"))
     out = turns.select(key, F.col("conversation_index").cast("bigint").alias("conversation_index"), merged.alias("row"))
-    single = typed.where(F.coalesce(~listed, F.lit(True)))
-    value = F.coalesce(F.col("_base"), F.create_map(F.lit("value"), F.col(document)))
+    single = typed.where(~listed)
+    value = F.coalesce(rest, F.create_map(F.lit("value"), F.col(document)))
     return out.unionByName(single.select(key, F.lit(None).cast("bigint").alias("conversation_index"), value.alias("row")))
 
 
@@ -44,8 +46,7 @@ def json_option_count(text: Column) -> Column:
 def json_payload(text: Column) -> Column:
     """The JSON in an answer: without a code fence, else the outermost braces or brackets; null if none parses."""
     bare = trimmed(F.regexp_replace(trimmed(text), r"^```[A-Za-z]*\s*|\s*```$", ""))
-    valid = lambda c: F.when(F.try_parse_json(c).isNotNull(), c)
-    return F.coalesce(valid(bare), valid(F.regexp_extract(text, r"(?s)\{.*\}", 0)), valid(F.regexp_extract(text, r"(?s)\[.*\]", 0)))
+    return F.coalesce(canonical(bare), canonical(F.regexp_extract(text, r"(?s)\{.*\}", 0)), canonical(F.regexp_extract(text, r"(?s)\[.*\]", 0)))
 
 
 def text_leaves(*values: Column) -> Column:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curata.functions import json_text
+
 # Names of fields that hold secrets; so do names that end with _token.
 SECRET_NAMES = (
     "access_token", "api_key", "client_secret", "id_token", "jupyter_token", "oauth_token", "password", "passwd", "pwd",
@@ -43,6 +48,58 @@ def _secret(name: str) -> bool:
     return name.lower() in SECRET_NAMES or name.lower().endswith("_token")
 
 
+# ---------------------------------------------------------------- JSON text
+
+#: Every secret name, and whatever the patterns find, holds one of these; escaped letters may hide them.
+_HINT = r"(?iU)token|secret|passw|pwd|api_key|bearer|sk-|\\u00"
+_PYTHON = [(re.compile(p.replace("(?iU)", "(?i)").replace("(?U)", "")), r) for p, r in ((BEARER, rf"\g<1>{REDACTED}"), (API_KEY, f"sk-{REDACTED}"), (NAMED, rf"\g<1>{REDACTED}"))]
+
+
+def plain_text(text: str, extra: Iterable[str] = ()) -> str:
+    """redact_text of one text."""
+    for secret in extra:
+        if secret:
+            text = text.replace(secret, REDACTED)
+    for pattern, to in _PYTHON:
+        text = pattern.sub(to, text)
+    return text
+
+
+def plain_value(value: Any, extra: Iterable[str] = (), name: str = "") -> Any:
+    """A JSON value without secrets: what stands under a secret name goes whole, lists and objects too, but for "";
+    strings go by their text; those that are JSON lists or objects themselves are written anew, without the secrets in them,
+    at any depth."""
+    if name and _secret(name):
+        return value if value == "" else REDACTED
+    if isinstance(value, dict):
+        return {plain_text(k, extra): plain_value(v, extra, k) for k, v in value.items()}
+    if isinstance(value, list):
+        return [plain_value(v, extra) for v in value]
+    if not isinstance(value, str):
+        return value
+    if value.lstrip()[:1] in ("{", "["):
+        try:
+            inside = json.loads(value)
+        except (ValueError, RecursionError):
+            return plain_text(value, extra)
+        return json_text.written(plain_value(inside, extra))
+    return plain_text(value, extra)
+
+
+def redact_json(text: Column, extra: Iterable[str] = ()) -> Column:
+    """redact_text of a text; of one that is a JSON list or object, plain_value of it. Only such texts that may hold a
+    secret leave the JVM."""
+    extra = [x for x in extra if x]
+    nested = json_text.starts(text, "{") | json_text.starts(text, "[")
+    hinted = F.lit(True) if extra else F.rlike(text, F.lit(_HINT))
+    return F.coalesce(json_text.changed(text, nested & hinted, lambda value: plain_value(value, extra)), F.when(nested & ~hinted, text), redact_text(text, extra))
+
+
+def _holds_json(kind: T.DataType) -> bool:
+    inner = kind.valueType if isinstance(kind, T.MapType) else kind.elementType if isinstance(kind, T.ArrayType) else None
+    return isinstance(inner, T.StringType)
+
+
 def redact_value(value: Column, kind: T.DataType, name: str = "", extra: Iterable[str] = ()) -> Column:
     """A value of any type with redacted strings; a string under a secret name is redacted whole."""
     extra = list(extra)
@@ -60,7 +117,21 @@ def redact_value(value: Column, kind: T.DataType, name: str = "", extra: Iterabl
 
 
 def redact_rows(df: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
-    return df.select(*(redact_value(F.col(f"`{f.name}`"), f.dataType, f.name, extra).alias(f.name) for f in df.schema))
+    """df with redacted values. JSON text in columns of strings, and in their lists and maps, goes by its structure."""
+    extra = list(extra)
+
+    def clean(f: T.StructField) -> Column:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType) and not _secret(f.name):
+            return redact_json(value, extra)
+        rule = redact_value(value, f.dataType, f.name, extra)
+        if not _holds_json(f.dataType):
+            return rule
+        whole = F.to_json(value)
+        inside = F.rlike(whole, F.lit(r'"[ \\trn]*[\[{]')) & (F.lit(True) if extra else F.rlike(whole, F.lit(_HINT)))  # a string that may be JSON
+        return F.coalesce(F.from_json(json_text.changed(whole, inside, lambda v: plain_value(v, extra, "")), f.dataType), rule)
+
+    return df.select(*(clean(f).alias(f.name) for f in df.schema))
 
 
 def findings(value: Column, kind: T.DataType, path: Column | str = "$", name: str = "", extra: Iterable[str] = ()) -> Column:

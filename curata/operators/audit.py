@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curata.functions.json_text import canonical
+
 
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Items whose key isn't done; failed keys count as done where they are part of `done`."""
@@ -50,14 +52,21 @@ def marker_errors(row: Column, markers: list[str]) -> Column:
 
 
 def forbidden_keys(document: Column, names: list[str]) -> Column:
-    """Distinct names of a deny list used as keys in JSON text, at any depth; null for what is no JSON."""
-    whole = F.to_json(F.try_parse_json(document))  # one spelling of every key
+    """Distinct names of a deny list used as keys in JSON text, at any depth, doubled keys included; null for what is no
+    JSON, which nobody can vouch for."""
+    text = canonical(document)
+    whole = F.coalesce(F.to_json(F.try_parse_json(text)), text)  # one spelling of every key
     bare = F.regexp_replace(whole, r"\\.", "")  # no escapes, so a string ends at the next quote
     keys = F.filter(F.regexp_extract_all(bare, F.lit('"[^"]*":?'), F.lit(0)), lambda t: t.endswith('":'))
     found = F.filter(F.transform(keys, lambda t: F.substring(t, F.lit(2), F.length(t) - 3)), lambda k: F.lower(k).isin(*names))
     return F.array_sort(F.array_distinct(found))
 
 
+def has_forbidden_key(document: Column, names: list[str]) -> Column:
+    """Whether a document must not pass: a forbidden key, or no JSON at all. A null document has none."""
+    return F.when(document.isNull(), F.lit(False)).otherwise(F.coalesce(F.size(forbidden_keys(document, names)) > 0, F.lit(True)))
+
+
 def duplicate_ids(df: DataFrame, key: str, label: str, order: str | None = None) -> DataFrame:
     """key, rows, first_label of ids that occur more than once: the label of the first row by `order` (by label without)."""
     first = F.min(label) if order is None else F.min_by(label, order)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.functions import fields, identity, nested, redact, text
+from curata.functions import fields, identity, json_text, nested, redact, text
 from curata.operators import audit, media, report, sampling, transform, validate
 from curata.operators.storage import shared_dir
 from curata.streaming import resumable
@@ -317,9 +317,36 @@ def required_bundle(spark, sf_dir):
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'k' WHEN event_id % 3 = 1 THEN 'token,z' ELSE '' END AS unexpected, event_id % 3 = 1 AS forbidden FROM events")
 def key_allow_list(spark, sf_dir):
     """Keys of JSON text that aren't allowed, and names that are forbidden at any depth."""
-    doc = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(F.col("event_id") % 3 == 1, F.lit('{"a": {"Token": 1}, "z": 2, "token": 3}')).otherwise('{"a": 1}')
+    doc = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(F.col("event_id") % 3 == 1, F.lit('{"a": {"Token": 1, "Token": 4}, "z": 2, "token": 3}')).otherwise('{"a": 1}')
     keys = F.array_join(audit.unexpected_keys(F.json_object_keys(doc), ["a", "b"]), ",")
-    return table(spark, sf_dir, "events").select("event_id", keys.alias("unexpected"), (F.size(audit.forbidden_keys(doc, ["token"])) > 0).alias("forbidden"))
+    return table(spark, sf_dir, "events").select("event_id", keys.alias("unexpected"), audit.has_forbidden_key(doc, ["token"]).alias("forbidden"))
+
+
+@query("""
+SELECT o_orderkey, o_orderkey % 3 <> 2 AS valid, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS a, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_orderstatus END AS x,
+  CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE 'a,s' END AS names FROM orders""")
+def json_last_value(spark, sf_dir):
+    """Of doubled keys the last value counts, at any depth, in the first one's place; two values one after the other are none."""
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    doubled = F.concat(F.lit('{"a": {"a": 1}, "s": {"x": 1, "x": "'), status, F.lit('"}, "a": '), key, F.lit("}"))
+    once = F.concat(F.lit('{"a":'), key, F.lit(',"s":{"x":"'), status, F.lit('"}}'))
+    doc = F.when(F.col("o_orderkey") % 3 == 0, doubled).when(F.col("o_orderkey") % 3 == 1, once).otherwise(F.concat(once, F.lit(" "), once))
+    read = table(spark, sf_dir, "orders").select("o_orderkey", json_text.object_of(json_text.canonical(doc)).alias("row"))
+    inner = json_text.object_of(F.col("row")["s"])["x"]
+    return read.select("o_orderkey", F.col("row").isNotNull().alias("valid"), F.col("row")["a"].alias("a"), inner.alias("x"), F.array_join(F.map_keys("row"), ",").alias("names"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '{"name":"' || c_name || '","auth":{"token":"<redacted>","note":"pwd=<redacted>","list":[{"my_token":"<redacted>"}]},"inner":"{\\"api_key\\":\\"<redacted>\\",\\"n\\":1}"}'
+  ELSE '{"name": "' || c_name || '", "n": [1, 2]}' END AS clean FROM customer""")
+def redact_nested_json(spark, sf_dir):
+    """JSON text without secrets at any depth: lists and objects under a secret name go whole, JSON in strings is read, too."""
+    inner = F.to_json(F.struct(F.struct(F.col("c_custkey").alias("v")).alias("api_key"), F.lit(1).alias("n")))
+    auth = F.struct(F.array("c_name").alias("token"), F.concat(F.lit("pwd="), "c_name").alias("note"), F.array(F.struct(F.lit(5).alias("my_token"))).alias("list"))
+    whole = F.to_json(F.struct(F.col("c_name").alias("name"), auth.alias("auth"), inner.alias("inner")))
+    plain = F.concat(F.lit('{"name": "'), "c_name", F.lit('", "n": [1, 2]}'))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, whole).otherwise(plain).alias("clean"))
+    return redact.redact_rows(rows)
 
 
 SAMPLE_SIZE, SAMPLE_SEED = 40, 6029

@@ -12,14 +12,15 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curata.functions import json_text
+from curata.functions.json_text import ROW
 from curata.functions.nested import flatten_conversations
 from curata.functions.text import is_image_file
-from curata.sources import archives
+from curata.sources import archives, json_document
 
 #: Keys under which an object holds its list of rows, and file names that come first.
 LIST_KEYS = ("data", "records", "rows", "questions", "annotations")
 FIRST_FILES = ("metadata.csv", "mmad.json", "MMAD.json", "annotations.json")
-ROW = "map<string,string>"
 
 
 def _numbered(lines: DataFrame) -> DataFrame:
@@ -27,20 +28,21 @@ def _numbered(lines: DataFrame) -> DataFrame:
     return lines.withColumn("ord", F.monotonically_increasing_id())
 
 
-def _is_object(text: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+def _object(text: Column) -> Column:
+    """A row of JSON text that is an object; null for anything else."""
+    return json_text.object_of(json_text.canonical(text))
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], mode: str = "objects") -> DataFrame:
-    """Rows of a JSONL file. mode: "objects" drops other lines, "any" keeps them as text under "value", "strict" fails."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    bad = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 80)))
+    """Rows of a JSONL file; of doubled keys the last value counts. mode: "objects" drops other lines, "any" keeps them as
+    text under "value", "strict" fails."""
+    lines = spark.read.text(path).where(F.trim("value") != "").withColumn("row", _object(F.col("value")))
     if mode == "strict":
-        lines = lines.withColumn("value", F.when(_is_object(F.col("value")), F.col("value")).otherwise(bad))
-    elif mode == "objects":
-        lines = lines.where(_is_object(F.col("value")))
-    row = F.when(_is_object(F.col("value")), F.from_json("value", ROW)).otherwise(F.create_map(F.lit("value"), F.col("value")))
-    return _numbered(lines.select(row.alias("row")))
+        bad = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 80)))
+        lines = lines.withColumn("row", F.coalesce("row", bad.cast(ROW)))
+    elif mode == "any":
+        lines = lines.withColumn("row", F.coalesce("row", F.create_map(F.lit("value"), F.col("value"))))
+    return _numbered(lines.where("row is not null").select("row"))
 
 
 def count_jsonl(spark: SparkSession, path: str) -> int:
@@ -48,24 +50,39 @@ def count_jsonl(spark: SparkSession, path: str) -> int:
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a JSON document: a list's objects; the first list under one of LIST_KEYS; an object of objects as
-    conversations; any other object as one row; none for a scalar."""
-    doc = spark.read.text(path, wholetext=True)
-    text = F.trim("value")
-    fields = F.from_json("value", ROW)
-    listed = F.coalesce(F.when(text.startswith("["), text), *(F.when(F.trim(fields[k]).startswith("["), fields[k]) for k in LIST_KEYS))
-    rows = doc.select(F.posexplode(F.from_json(listed, "array<string>")).alias("ord", "value")).where(_is_object(F.col("value"))).select(F.from_json("value", ROW).alias("row"), F.col("ord").cast("bigint").alias("ord"))
-    rest = doc.where(listed.isNull() & text.startswith("{")).withColumn("_fields", fields)
-    nested = (F.size("_fields") > 0) & F.forall(F.map_values("_fields"), lambda v: F.coalesce(F.trim(v).startswith("{"), F.lit(False)))
-    single = rest.where(~nested).select(F.col("_fields").alias("row"), F.lit(0).cast("bigint").alias("ord"))
-    pairs = rest.where(nested).select(F.posexplode("_fields").alias("place", "image_key", "document"))
-    turns = flatten_conversations(pairs.select(F.struct("place", "image_key").alias("key"), "document"), "key", "document")
-    extra = F.map_concat(
-        F.map_filter("row", lambda k, v: ~k.isin("mmad_image_key", "conversation_index")), F.create_map(F.lit("mmad_image_key"), F.col("key.image_key")),
-        F.coalesce(F.when(F.col("conversation_index").isNotNull(), F.create_map(F.lit("conversation_index"), F.col("conversation_index").cast("string"))), F.create_map().cast(ROW)),
-    )
-    flat = turns.select(extra.alias("row"), (F.col("key.place").cast("bigint") * (1 << 32) + F.coalesce("conversation_index", F.lit(0))).alias("ord"))
-    return rows.unionByName(single).unionByName(flat)
+    """Rows of JSON documents: a list's objects; those of the first list under one of LIST_KEYS; an object of objects as
+    conversations; any other object as one row; none for a scalar. What is no JSON is an error.
+
+    A document of any size is read by many tasks (sources.json_document); of doubled keys the last value counts, in the
+    first one's place. ord follows the places in the file.
+    """
+    parts = json_document.elements(spark, path)
+    object_rows = lambda df: df.where(json_text.starts(F.col("text"), "{")).select(json_text.object_of(F.col("text")).alias("row"), "ord")
+    items = object_rows(parts.where("role = 'item'"))
+    members = parts.where("role in ('value', 'list')")
+    last = members.groupBy("file", "key").agg(F.max("key_ord").alias("key_ord"), F.min("key_ord").alias("place"), F.max_by("role", "key_ord").alias("role"), F.max_by("text", "key_ord").alias("text"))
+    rank = F.coalesce(*(F.when(F.col("key") == k, i) for i, k in enumerate(LIST_KEYS)))
+    chosen = last.where((F.col("role") == "list") & rank.isNotNull()).groupBy("file").agg(F.min_by("key_ord", rank).alias("key_ord"))
+    in_lists = parts.where("role = 'list_item'")
+    listed = object_rows(in_lists.join(chosen, ["file", "key_ord"], "left_semi"))
+    # objects without such a list
+    rest = last.join(chosen.select("file"), "file", "left_anti")
+    nested = rest.groupBy("file").agg(F.every((F.col("role") == "value") & json_text.starts(F.col("text"), "{")).alias("all")).where("all").select("file")
+    turns = flatten_conversations(rest.join(nested, "file", "left_semi").select(F.struct("file", "place", F.col("key").alias("image_key")).alias("key"), F.col("text").alias("document")), "key", "document")
+    # what a row has itself comes before what it gets from its place
+    placed = {"query_image": F.col("key.image_key"), "mmad_image_key": F.col("key.image_key"), "conversation_index": F.col("conversation_index").cast("string")}
+    extra = F.map_filter(F.create_map(*(x for k, v in placed.items() for x in (F.lit(k), v))), lambda k, v: v.isNotNull() & ~F.map_contains_key(F.col("row"), k))
+    # a turn takes some bytes of its document, so the next one's place is beyond all of them
+    flat = turns.select(F.map_concat(extra, "row").alias("row"), (F.col("key.place") + F.coalesce("conversation_index", F.lit(0))).alias("ord"))
+    # one row: objects with other values, and those whose conversations have no turn at all
+    alone = rest.join(turns.select(F.col("key.file").alias("file")).distinct(), "file", "left_anti")
+    lists = in_lists.groupBy("file", "key_ord").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), ",").alias("items"))
+    whole = alone.join(lists, ["file", "key_ord"], "left").withColumn("text", F.when(F.col("role") == "list", F.concat(F.lit("["), F.coalesce("items", F.lit("")), F.lit("]"))).otherwise(F.col("text")))
+    value = F.from_json(F.concat(F.lit('{"v":'), "text", F.lit("}")), ROW)["v"]
+    pairs = F.array_sort(F.collect_list(F.struct("place", "key", value.alias("value"))))
+    single = whole.groupBy("file").agg(F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["key"], p["value"]))).alias("row"), F.min("place").alias("ord")).select("row", "ord")
+    empty = parts.where("role = 'empty'").select(F.create_map().cast(ROW).alias("row"), "ord")
+    return items.unionByName(listed).unionByName(flat).unionByName(single).unionByName(empty)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
