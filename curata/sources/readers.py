@@ -16,7 +16,7 @@ from curata.functions import json_text
 from curata.functions.json_text import ROW
 from curata.functions.nested import flatten_conversations
 from curata.functions.text import is_image_file
-from curata.sources import archives, json_document
+from curata.sources import archives, csv_lines, json_document
 
 #: Keys under which an object holds its list of rows, and file names that come first.
 LIST_KEYS = ("data", "records", "rows", "questions", "annotations")
@@ -86,9 +86,9 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a CSV file with a header: every value a string, quoted line breaks kept, a byte-order mark skipped."""
-    df = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False, encoding="UTF-8")
-    return _numbered(df.select(F.create_map(*(x for c in df.columns for x in (F.lit(c.lstrip("﻿")), F.col(f"`{c}`")))).alias("row")))
+    """Rows of CSV files with a header: every value a string, quoted line breaks kept, a byte-order mark skipped; a file of
+    any size is read by many tasks (sources.csv_lines)."""
+    return csv_lines.rows(spark, path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
