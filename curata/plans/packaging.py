@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 import shutil
-import zipfile
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
@@ -83,7 +83,7 @@ def put_file(source: str, target: str) -> None:
     if os.path.exists(target):
         return
     os.makedirs(os.path.dirname(target), exist_ok=True)
-    aside = f"{target}.{os.getpid()}.tmp"
+    aside = f"{target}.{uuid.uuid4().hex}.tmp"
     try:
         os.link(source, aside)
     except OSError:
@@ -91,42 +91,52 @@ def put_file(source: str, target: str) -> None:
     os.replace(aside, target)
 
 
-def copy_media(placed: DataFrame, out: str) -> DataFrame:
-    """target, done of every different target; executors link, copy or extract."""
+def copy_media(found: DataFrame, out: str) -> DataFrame:
+    """target, done of every different target of found (source, member, target, and the place of a member in its archive).
+
+    Executors link or copy files. Members go by archive and place, so that a task opens an archive once and reads the bytes
+    of its own members."""
+    out = writers.shared_folder(out)
+    wanted = found.where("target is not null").groupBy("target").agg(F.min(F.struct("source", "member", *archives.PLACE)).alias("f")).select("target", "f.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ends = []
-            for source, member, target in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            rows, ends = list(zip(*(c.to_pylist() for c in b.columns), strict=True)), []
+            todo = []
+            for target, source, member, *place in rows:
                 path = f"{out}/{target}"
-                try:
-                    if member is None:
+                if member is not None and not os.path.exists(path):
+                    todo.append((source, path, *place))
+                elif member is None:
+                    try:
                         put_file(source, path)
-                    elif not os.path.exists(path):
-                        with archives.open_file(source) as f, zipfile.ZipFile(f) as z:
-                            archives.copy_member(z, member, path)
-                    ends.append((target, os.path.exists(path)))
-                except (OSError, zipfile.BadZipFile):
-                    ends.append((target, False))
-            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in ends], pa.string()), pa.array([d for _, d in ends], pa.bool_())], names=["target", "done"])
+                    except OSError:
+                        pass  # shows below
+            for _ in archives.unpack_all(todo):
+                pass
+            ends = [os.path.exists(f"{out}/{r[0]}") for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array(ends, pa.bool_())], names=["target", "done"])
 
-    wanted = placed.where("target is not null").groupBy("target").agg(F.min("source").alias("source"), F.min("member").alias("member"))
-    return wanted.select("source", "member", "target").repartition("target").mapInArrow(run, "target string, done boolean")
+    n = max(1, -(-wanted.count() // archives.TASK_MEMBERS))
+    dealt = wanted.repartitionByRange(n, "source", "offset", "target").sortWithinPartitions("source", "offset")
+    return dealt.select("target", "source", "member", *archives.PLACE).mapInArrow(run, "target string, done boolean")
 
 
 def write_package(spark: SparkSession, exported: DataFrame, roots: list[str], out: str, dataset_name: str, created_at: str, qc_status: str, origin: dict[str, str | None] | None = None, allow_missing: bool = False, force_split: str = "", order: tuple[str, ...] = ("benchmark_id", "source_id", "question_original")) -> dict[str, Any]:
     """Writes a package of export records; returns its manifest with the validation. Missing media is an error unless allowed."""
     out = out.rstrip("/")
     writers.safe_output(spark, out, roots)
+    writers.shared_folder(out)
     rows = fixed(record.repackage(exported, list(order), force_split))
     if rows.isEmpty():
         raise ValueError("no rows to package")
     refs = rows.select(F.col("record_id").alias("id"), F.posexplode("media").alias("pos", "ref"))
     zips = [p for root in roots for p in archives.listing(spark, root).select("path").collect()]  # a handful of files
     held = spark.createDataFrame([(r["path"], i) for i, r in enumerate(zips)], "path string, archive_ord int")
-    members = archives.members(held).where("member is not null").join(F.broadcast(held), F.col("archive") == F.col("path")).select("member", "archive", "archive_ord")
+    listed = fixed(archives.members(held).where("member is not null"))
+    members = listed.join(F.broadcast(held), F.col("archive") == F.col("path")).select("member", "archive", "archive_ord")
     placed = fixed(targets(resolved(refs, media_files(spark, roots), members), rows))
-    copied = fixed(copy_media(placed, out.removeprefix("file://")))
+    copied = fixed(copy_media(archives.placed(placed.withColumnRenamed("source", "archive"), listed).withColumnRenamed("archive", "source"), out))
     if not (failed := copied.where("not done")).isEmpty():
         raise OSError(f"{failed.count()} media files can't be written, {failed.first()['target']} for one")
     ordered = lambda keep, value: F.transform(F.array_sort(F.collect_list(F.when(keep, F.struct("pos", value.alias("v"))))), lambda x: x["v"])

@@ -34,6 +34,7 @@ def _filled(value: Column) -> Column:
 
 def write_blobs(blobs: DataFrame, root: str) -> DataFrame:
     """path, status (written or reused) of payloads (path below root, payload), written aside and renamed by executors."""
+    root = writers.shared_folder(root)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -42,10 +43,7 @@ def write_blobs(blobs: DataFrame, root: str) -> DataFrame:
                 target, data = f"{root}/{path.as_py()}", payload.as_py()
                 same = os.path.exists(target) and os.path.getsize(target) == len(data)
                 if not same:
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    with open(f"{target}.{os.getpid()}.tmp", "wb") as out:
-                        out.write(data)
-                    os.replace(f"{target}.{os.getpid()}.tmp", target)
+                    archives.write_aside(target, [data])
                 ends.append((path.as_py(), "reused" if same else "written"))
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in ends], pa.string()), pa.array([s for _, s in ends], pa.string())], names=["path", "status"])
 
@@ -71,7 +69,7 @@ def blink(spark: SparkSession, source: str, out: str) -> dict[str, Any]:
         F.from_json(choices, "array<string>").alias("choices"), first("answer").alias("answer"), first("prompt").alias("instruction"), first("explanation").alias("explanation"), paths.alias("image_paths"),
     )
     images = rows.select(F.explode(F.transform(F.filter("images", lambda x: F.octet_length(x["bytes"]) > 0), lambda x, i: F.struct(file(x, i).alias("path"), x["bytes"].alias("payload")))).alias("f")).select("f.*")
-    done = fixed(write_blobs(images, out.removeprefix("file://")))
+    done = fixed(write_blobs(images, out))
     lines = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
     writers.write_lines(lines, f"{out}/samples.jsonl")
     status = {r["status"]: r["n"] for r in done.groupBy("status").agg(F.count("*").alias("n")).collect()}
@@ -101,7 +99,7 @@ def mme(spark: SparkSession, source: str, out: str, extract: bool = False) -> di
         F.concat(F.lit("media/"), "member").alias("image_path"), F.col("member").alias("source_image"), row.alias("source_record"),
     )
     wanted = rows.select(F.substring_index("member", "/", 1).alias("stem"), "member").distinct()
-    root = f"{out}/media".removeprefix("file://")
+    root = f"{out}/media"
     extraction: dict[str, Any] = {}
     if extract:
         files = archives.listing(spark, source, "*.tar.gz*")

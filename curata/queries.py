@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from curata.functions import fields, identity, json_text, nested, redact, text
 from curata.operators import audit, media, report, sampling, transform, validate
 from curata.operators.storage import shared_dir
+from curata.sinks import writers
+from curata.sources import readers
 from curata.streaming import resumable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -349,6 +351,41 @@ def redact_nested_json(spark, sf_dir):
     return redact.redact_rows(rows)
 
 
+def _own_file(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/curata-files/{uuid.uuid4().hex}/{name}"
+
+
+@query("""
+SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, CASE WHEN c_custkey % 5 = 0 THEN '{"a, [b]":["}",' || c_nationkey || ']}' END AS nested, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS place FROM customer""")
+def one_json_document(spark, sf_dir):
+    """A table as one JSON document, written by many tasks and read by many tasks, in order."""
+    nested = F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit('{"a, [b]": ["}", '), F.col("c_nationkey"), F.lit("]}"))).otherwise("null")
+    item = F.concat(F.lit('{"key": '), "c_custkey", F.lit(', "name": '), F.to_json(F.struct("c_name")), F.lit(', "nation": 0, "nation": '), "c_nationkey", F.lit(', "nested": '), nested, F.lit("}, 5,"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), item.alias("value"))
+    # at its ends a key, the list's brackets, and an item that is no object
+    edges = spark.createDataFrame([(-1, '{"version": [1, 2], "data": ['), ((1 << 62), '"end"], "n": 1}')], "k bigint, value string")
+    path = _own_file(spark, "customers.json")
+    writers.write_lines(rows.unionByName(edges).orderBy("k").select("value"), path)
+    read = sampling.with_ordinal(readers.read_json(spark, path), ["ord"], "place")  # written to the shared folder
+    writers.clear(spark, path.rsplit("/", 1)[0], True)
+    row = F.col("row")
+    return read.select(row["key"].cast("bigint").alias("c_custkey"), F.get_json_object(row["name"], "$.c_name").alias("name"), row["nation"].alias("nation"), row["nested"].alias("nested"), big("place").alias("place"))
+
+
+@query("""
+SELECT p_partkey, p_name || chr(10) || '"' || p_brand || '",' || CASE WHEN p_partkey % 3 = 0 THEN chr(13) || chr(10) ELSE '' END AS said, CAST(p_size AS VARCHAR) AS size, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS BIGINT) AS place FROM part""")
+def one_csv_file(spark, sf_dir):
+    """A table as one CSV file with line breaks and quotes in its fields, read by many tasks, in order."""
+    said = F.concat("p_name", F.lit("\n"), F.lit('""'), "p_brand", F.lit('"",'), F.when(F.col("p_partkey") % 3 == 0, "\r\n").otherwise(""))
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.concat(F.col("p_partkey"), F.lit(',"'), said, F.lit('",'), "p_size").alias("value"))
+    path = _own_file(spark, "parts.csv")
+    writers.write_lines(rows.unionByName(spark.createDataFrame([(-1, "key,said,size")], "k bigint, value string")).orderBy("k").select("value"), path)
+    read = sampling.with_ordinal(readers.read_csv(spark, path), ["ord"], "place")
+    writers.clear(spark, path.rsplit("/", 1)[0], True)
+    row = F.col("row")
+    return read.select(row["key"].cast("bigint").alias("p_partkey"), row["said"].alias("said"), row["size"].alias("size"), big("place").alias("place"))
+
+
 SAMPLE_SIZE, SAMPLE_SEED = 40, 6029
 #: Orders at the size at which the SQL is run; its literals are drawn for it.
 _ORDERS = 15_000

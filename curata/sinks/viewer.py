@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.functions import plain
+from curata.functions import json_text, plain
 from curata.operators.storage import fixed
 from curata.plans.packaging import copy_media
 from curata.sinks import writers
-from curata.sources import bundles
+from curata.sources import archives, bundles
 
 # Files of a viewer, and the fields of a record that it shows as they are.
 INDEX, DATA = "index.html", "records.jsonl"
@@ -24,15 +24,19 @@ PLAIN = ("record_id", "benchmark_id", "benchmark_name", "split", "source_id", "t
 PAGE = """<!doctype html>
 <meta charset="utf-8"><title>Translated records</title>
 <style>body{font:15px sans-serif;margin:1em auto;max-width:70em}article{border-top:1px solid #999;padding:.5em 0}img{max-width:20em}td{vertical-align:top;padding:.2em 1em .2em 0}</style>
-<input id="find" placeholder="find"><div id="rows"></div>
+<input id="find" placeholder="find"> <span id="count"></span><div id="rows"></div><button id="more">more</button>
 <script>
 const cell = (t, v) => { const e = document.createElement(t); e.textContent = v ?? ""; return e; };
 fetch("records.jsonl").then(r => r.text()).then(text => {
-  const records = text.split("\n").filter(x => x).map(x => JSON.parse(x));
+  const records = text.split("\\n").filter(x => x).map(x => JSON.parse(x));
+  let most = 200;
   const show = () => {
     const word = document.getElementById("find").value.toLowerCase();
     const rows = document.getElementById("rows");
-    rows.replaceChildren(...records.filter(r => JSON.stringify(r).toLowerCase().includes(word)).slice(0, 200).map(r => {
+    const found = records.filter(r => JSON.stringify(r).toLowerCase().includes(word));
+    document.getElementById("count").textContent = `${Math.min(most, found.length)} of ${found.length} shown, ${records.length} in all`;
+    document.getElementById("more").hidden = most >= found.length;
+    rows.replaceChildren(...found.slice(0, most).map(r => {
       const a = document.createElement("article");
       a.append(cell("h3", r.record_id));
       for (const m of r.media) { const i = document.createElement("img"); i.src = m; a.append(i); }
@@ -43,7 +47,9 @@ fetch("records.jsonl").then(r => r.text()).then(text => {
       a.append(t); return a;
     }));
   };
-  document.getElementById("find").oninput = show; show();
+  document.getElementById("find").oninput = () => { most = 200; show(); };
+  document.getElementById("more").onclick = () => { most += 200; show(); };
+  show();
 });
 </script>
 """
@@ -60,7 +66,7 @@ def records(rows: DataFrame, media_prefix: str = "media") -> DataFrame:
     links = F.transform(F.coalesce(media, F.array().cast("array<string>")), lambda m: F.concat(F.lit(f"{media_prefix}/"), m))
     return rows.select(
         *(F.coalesce(get(c), F.lit("")).alias(c) for c in PLAIN), either("source_record_id", "record_id").alias("source_record_id"), either("source_split", "split").alias("source_split"), links.alias("media"),
-        F.try_parse_json(F.coalesce(get("options_original_json"), F.lit("null"))).alias("options_original"), F.try_parse_json(F.coalesce(get("options_ko_json"), F.lit("null"))).alias("options_ko"),
+        F.try_parse_json(json_text.canonical(F.coalesce(get("options_original_json"), F.lit("null")))).alias("options_original"), F.try_parse_json(json_text.canonical(F.coalesce(get("options_ko_json"), F.lit("null")))).alias("options_ko"),
     )
 
 
@@ -87,7 +93,8 @@ def write(spark: SparkSession, packages: list[str], out: str, overwrite: bool =
         if not link_media(package, f"{out}/{link}"):
             files = rows.select(F.explode(F.from_json(F.get_json_object("value", "$.media_files"), "array<string>")).alias("target")).distinct()
             copied = files.select(F.concat(F.lit(f"{package}/"), "target").alias("source"), F.lit(None).cast("string").alias("member"), F.concat(F.lit(f"{link}/"), "target").alias("target"))
-            copy_media(copied, out.removeprefix("file://")).count()
+            copied = copied.withColumns({c: F.lit(None).cast("bigint") for c in archives.PLACE})
+            copy_media(copied, out).count()
     rows = reduce(DataFrame.unionByName, parts)
     lines = rows.orderBy("benchmark_id", "record_id").select(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("value"))
     writers.write_lines(lines, f"{out}/{DATA}")
@@ -112,7 +119,7 @@ def validate(spark: SparkSession, out: str, shown: int = 10) -> dict[str, Any]:
     n = 0
     if not errors:
         refs = spark.read.text(f"{out}/{DATA}").select(F.explode(F.from_json(F.get_json_object("value", "$.media"), "array<string>")).alias("media")).distinct()
-        lost = fixed(refs.mapInArrow(_absent(out.removeprefix("file://")), "media string"))
+        lost = fixed(refs.mapInArrow(_absent(writers.shared_folder(out)), "media string"))
         n = lost.count()
         errors += [f"no media {r['media']}" for r in lost.orderBy("media").limit(shown).collect()]
     return {"status": "failed" if errors else "passed", "missing_media": n, "errors": errors}

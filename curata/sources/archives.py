@@ -6,10 +6,13 @@ is dealt by archive, and extraction by ranges of members, to executors that open
 
 from __future__ import annotations
 
+import bz2
 import os
 import tarfile
+import uuid
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 from typing import IO
 
 import pyarrow as pa
@@ -18,10 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions.text import IMAGE_SUFFIXES
+from curata.sinks.writers import shared_folder
 
 #: Members that one task extracts.
 TASK_MEMBERS = 2000
-_PLACES = "archive string, valid boolean, member string, size bigint"
+_PLACES = "archive string, valid boolean, member string, size bigint, offset bigint, packed bigint, method int, crc bigint"
+PLACE = ("size", "offset", "packed", "method", "crc")
 
 
 def open_file(path: str) -> IO[bytes]:
@@ -34,32 +39,34 @@ def open_file(path: str) -> IO[bytes]:
     return pa.PythonFile(fs.open_input_file(below), mode="r")
 
 
-def members_of(path: str) -> tuple[bool, list[tuple[str, int]]]:
-    """Whether an archive can be read, and (name, bytes) of its files."""
+def members_of(path: str) -> tuple[bool, list[tuple]]:
+    """Whether an archive can be read, and (name, bytes, offset, packed bytes, method, checksum) of its files; the last four
+    are of zip archives: where a member's own header is, and how it is packed."""
     try:
         with open_file(path) as f:
             if path.endswith(".zip"):
                 with zipfile.ZipFile(f) as z:
-                    return True, [(x.filename, x.file_size) for x in z.infolist() if not x.is_dir()]
+                    return True, [(x.filename, x.file_size, x.header_offset, x.compress_size, -1 if x.flag_bits & 1 else x.compress_type, x.CRC) for x in z.infolist() if not x.is_dir()]
             with tarfile.open(fileobj=f, mode="r|*") as t:
-                return True, [(x.name, x.size) for x in t if x.isfile()]
+                return True, [(x.name, x.size, None, None, None, None) for x in t if x.isfile()]
     except (zipfile.BadZipFile, tarfile.TarError, EOFError, OSError):
         return False, []
 
 
 def members(archives: DataFrame) -> DataFrame:
-    """archive, valid, member, size of every file in the archives (path); an archive that can't be read has one row
-    without a member."""
+    """archive, valid, member, size, offset, packed, method, crc of every file in the archives (path); an archive that can't
+    be read has one row without a member."""
+    names, kinds = zip(*(c.split() for c in _PLACES.split(", ")), strict=True)
+    types = {"string": pa.string(), "boolean": pa.bool_(), "bigint": pa.int64(), "int": pa.int32()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("archive", pa.string()), ("valid", pa.bool_()), ("member", pa.string()), ("size", pa.int64())])
         for b in batches:
             for path in b.column(0).to_pylist():
                 valid, found = members_of(path)
-                found = found or [(None, None)]
+                found = found or [(None,) * 6]
                 for k in range(0, len(found), 10_000):
-                    part = found[k : k + 10_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array([valid] * len(part)), pa.array([m for m, _ in part], pa.string()), pa.array([s for _, s in part], pa.int64())], schema=schema)
+                    part = [(path, valid, *m) for m in found[k : k + 10_000]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, t in zip(zip(*part, strict=True), kinds, strict=True)], names=list(names))
 
     n = max(1, min(archives.count(), 10_000))
     return archives.select("path").repartition(n).mapInArrow(run, _PLACES)
@@ -90,43 +97,98 @@ def report(files: DataFrame, held: DataFrame, expected: list[str]) -> dict:
     }
 
 
-def extract(wanted: DataFrame, target: str) -> DataFrame:
+def unpack(f: IO[bytes], size: int, offset: int, packed: int, method: int, crc: int) -> Iterator[bytes]:
+    """The bytes of a member of a zip archive by its place: its own header and its packed bytes are read, nothing else.
+    An OSError if they aren't what the directory says."""
+    f.seek(offset)
+    head = f.read(30)
+    if len(head) < 30 or head[:4] != b"PK\x03\x04" or method not in _METHODS:
+        raise OSError(f"no member that can be read at byte {offset}")
+    f.seek(offset + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little"))
+    unpacker, left, done, check = _METHODS[method](), packed, 0, 0
+    while left > 0 and (piece := f.read(min(left, 1 << 20))):
+        left -= len(piece)
+        data = piece if unpacker is None else unpacker.decompress(piece)
+        if data:
+            done, check = done + len(data), zlib.crc32(data, check)
+            yield data
+    if unpacker is not None and hasattr(unpacker, "flush") and (data := unpacker.flush()):
+        done, check = done + len(data), zlib.crc32(data, check)
+        yield data
+    if (done, check) != (size, crc):
+        raise OSError(f"the member at byte {offset} is damaged")
+
+
+#: Numbers of the ways to pack a member.
+_METHODS = {0: lambda: None, 8: lambda: zlib.decompressobj(-15), 12: bz2.BZ2Decompressor}
+
+
+def unpack_all(rows: Iterable[tuple], opened: Callable[[str], IO[bytes]] = open_file) -> Iterator[tuple[str, int | None]]:
+    """(path, bytes) of members (archive, path, *PLACE) written to their paths; null bytes for one that can't be read.
+    Each archive is opened once for the rows that follow each other."""
+    f: IO[bytes] | None = None
+    now = None
+    try:
+        for archive, path, *place in rows:
+            try:
+                if archive != now:
+                    if f:
+                        f.close()
+                    f, now = None, None
+                    f, now = opened(archive), archive
+                if None in place:
+                    raise OSError(f"{archive} has no such member")
+                yield path, write_aside(path, unpack(f, *place))
+            except (OSError, zlib.error):
+                yield path, None
+    finally:
+        if f:
+            f.close()
+
+
+def write_aside(path: str, pieces: Iterable[bytes]) -> int:
+    """Bytes written to a file of another name and renamed: tasks that run again, or at once, leave one whole file."""
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    aside, size = f"{path}.{uuid.uuid4().hex}.tmp", 0
+    try:
+        with open(aside, "wb") as out:
+            for piece in pieces:
+                size += out.write(piece)
+        os.replace(aside, path)
+    except BaseException:
+        if os.path.exists(aside):
+            os.unlink(aside)
+        raise
+    return size
+
+
+def placed(wanted: DataFrame, held: DataFrame) -> DataFrame:
+    """wanted (archive, member, ...) with the place of each member, null where there is none; of members of one name the last."""
+    last = held.where("member is not null").groupBy("archive", "member").agg(F.max_by(F.struct(*PLACE), "offset").alias("_place"))
+    return wanted.join(last, ["archive", "member"], "left").select(*wanted.columns, *(F.col(f"_place.{c}").alias(c) for c in PLACE))
+
+
+def extract(wanted: DataFrame, target: str, held: DataFrame | None = None) -> DataFrame:
     """archive, member, path, bytes of members (archive, member) written below target; null bytes where one is missing.
 
-    A target of executors' own disks is of no use on a cluster: it must be a folder that all of them share.
+    held: what `members` says of the archives, to save listing them again. Tasks take ranges of an archive's bytes and read
+    those of their members alone. A target of executors' own disks is of no use on a cluster: it must be a folder that
+    all of them share.
     """
+    root = shared_folder(target).rstrip("/")
+    safe = wanted.select("archive", "member").distinct().where(~F.rlike("member", F.lit(r"(?:^|/)\.\.(?:/|$)|^/")))
+    held = members(safe.select(F.col("archive").alias("path")).distinct()) if held is None else held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own: dict[str, list[str]] = {}
-            for archive, member in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own.setdefault(archive, []).append(member)
-            rows = []
-            for archive, names in own.items():
-                with open_file(archive) as f, zipfile.ZipFile(f) as z:
-                    for name in names:
-                        path = f"{target.rstrip('/')}/{name}"
-                        rows.append((archive, name, path, copy_member(z, name, path)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["archive", "member", "path", "bytes"])
+            columns = [c.to_pylist() for c in b.columns]
+            paths = [f"{root}/{m}" for m in columns[1]]
+            sizes = [n for _, n in unpack_all(zip(columns[0], paths, *columns[2:], strict=True))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["archive", "member", "path", "bytes"])
 
-    safe = wanted.select("archive", "member").distinct().where(~F.rlike("member", F.lit(r"(?:^|/)\.\.(?:/|$)|^/")))
+    rows = placed(safe, held)
     n = max(1, -(-safe.count() // TASK_MEMBERS))
-    return safe.repartitionByRange(n, "archive", "member").mapInArrow(run, "archive string, member string, path string, bytes bigint")
-
-
-def copy_member(z: zipfile.ZipFile, name: str, path: str) -> int | None:
-    """Bytes of a member written aside and renamed, so that a task that runs again leaves one whole file."""
-    try:
-        source = z.open(name)
-    except KeyError:
-        return None
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    aside, size = f"{path}.{os.getpid()}.tmp", 0
-    with source, open(aside, "wb") as out:
-        while piece := source.read(1 << 20):
-            size += out.write(piece)
-    os.replace(aside, path)
-    return size
+    return rows.repartitionByRange(n, "archive", "offset").sortWithinPartitions("archive", "offset").select("archive", "member", *PLACE).mapInArrow(run, "archive string, member string, path string, bytes bigint")
 
 
 class Parts:
@@ -153,7 +215,9 @@ class Parts:
 def extract_tar(groups: DataFrame, wanted: DataFrame, target: str) -> DataFrame:
     """stem, n_wanted, n_there, status of tar archives (stem, parts): their wanted members (stem, member) that aren't below
     target yet are written there. The status is passed, reused (all were there),
-    missing_archive or missing_members. One task reads one archive, once."""
+    missing_archive or missing_members. One task reads one archive, once: what is packed as one stream can't be entered in
+    the middle."""
+    target = shared_folder(target)
     lists = wanted.groupBy("stem").agg(F.array_sort(F.collect_set("member")).alias("members"))
     rows = lists.join(groups, "stem", "left")
 
@@ -168,11 +232,8 @@ def extract_tar(groups: DataFrame, wanted: DataFrame, target: str) -> DataFrame:
                         for x in t:
                             name = x.name.removeprefix("./")
                             if x.isfile() and name in todo:
-                                os.makedirs(os.path.dirname(place(name)), exist_ok=True)
-                                with t.extractfile(x) as source, open(place(name) + ".tmp", "wb") as out:
-                                    while piece := source.read(1 << 20):
-                                        out.write(piece)
-                                os.replace(place(name) + ".tmp", place(name))
+                                with t.extractfile(x) as source:
+                                    write_aside(place(name), iter(lambda: source.read(1 << 20), b""))
                 there = sum(os.path.exists(place(n)) for n in names)
                 if status == "passed" and there < len(names):
                     status = "missing_members"

@@ -8,7 +8,7 @@ from curata.queries import ORACLE, QUERIES
 
 def test_each_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 51
+    assert len(QUERIES) == 53
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
