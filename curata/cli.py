@@ -1,4 +1,4 @@
-"""Commands: sample, translate, export, package, validate, report, viewer, sanity, prepare, record, download.
+"""Commands: sample, translate, corpus, export, package, validate, report, viewer, sanity, prepare, record, download.
 
     python -m curata <command> ...      0: passed, 1: an error, 2: done, but not passed
 
@@ -29,6 +29,11 @@ def translator(args: argparse.Namespace, config: dict[str, Any]):
     return endpoint.HttpTranslator.of_config(config, **more)
 
 
+def limits(args: argparse.Namespace) -> dict[str, Any]:
+    """Sizes of a translation: of a batch, of what is asked at once over all tasks, of a commit; 0 is no limit."""
+    return {"batch_size": args.batch_size, "retries": args.retries, "requests": args.requests or None, "commit_rows": args.commit_rows or None}
+
+
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="curata", description=__doc__.splitlines()[0])
     out.add_argument("--config", default="")
@@ -48,7 +53,8 @@ def parser() -> argparse.ArgumentParser:
 
     add("list")
     add("sample", "root", "benchmarks", "out", size=3, seed=6029, mock=False, concurrency=0, validate_only=False)
-    add("translate", "root", "benchmark", "out", limit=-1, resume=False, mock=False, concurrency=0, batch_size=8, retries=2, whole_batches=False)
+    add("translate", "root", "benchmark", "out", limit=-1, resume=False, mock=False, concurrency=0, batch_size=8, retries=2, requests=0, commit_rows=0, whole_batches=False)
+    add("corpus", "root", "out", size=-1, seed=6029, resume=False, mock=False, concurrency=0, batch_size=8, retries=2, requests=0, commit_rows=0, whole_batches=False)
     add("export", "bundle", "benchmarks", "out", name="dataset", run_id="", status="unchecked")
     add("package", "outputs", out=None, media_roots="", name="dataset", status="unchecked", fallback="benchmark", split="", allow_missing=False)
     add("validate", "path", kind="package")
@@ -75,7 +81,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[Any, bool]:
             return found, all(x["status"] == "passed" for x in found.values())
         case "translate":
             limit = None if args.limit < 0 else args.limit
-            found = jobs.translate_full(spark, args.root, args.benchmark, args.out, limit, args.resume, translator(args, config), batch_size=args.batch_size, retries=args.retries)
+            found = jobs.translate_full(spark, args.root, args.benchmark, args.out, limit, args.resume, translator(args, config), **limits(args))
+            return found, found["status"] == "passed"
+        case "corpus":
+            found = jobs.translate_corpus(spark, args.root, args.out, None if args.size < 0 else args.size, args.seed, args.resume, translator(args, config), **limits(args))
             return found, found["status"] == "passed"
         case "export":
             manifest = jobs.export(spark, args.bundle, args.benchmarks, args.out, args.name, args.run_id, plain.stamp(), args.status)

@@ -53,13 +53,18 @@ def attempt(batch: list[tuple], translate: Callable, check: Callable, retries: i
     yield from attempt(batch[half:], translate, check, retries, pause)
 
 
-def map_texts(items: DataFrame, translate: Callable = mock, check: Callable = problems, batch_size: int = 8, retries: int = 2, pause: float = 0.0) -> DataFrame:
-    """items (ord, source_id, text_fields map<string,string>) through the translator; text_fields of the result is JSON."""
+def map_texts(items: DataFrame, translate: Callable = mock, check: Callable = problems, batch_size: int = 8, retries: int = 2, pause: float = 0.0, counts: dict | None = None) -> DataFrame:
+    """items (ord, source_id, text_fields map<string,string>) through the translator; text_fields of the result is JSON.
+    counts: accumulators `ok` and `failed` for rows that are done."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             rows = [(o, s, dict(f or [])) for o, s, f in zip(*(c.to_pylist() for c in part.columns), strict=True)]
             out = [y for i in range(0, len(rows), batch_size) for y in attempt(rows[i : i + batch_size], translate, check, retries, pause)]
+            if counts:
+                good = sum(r is not None for _, r, _ in out)
+                counts["ok"].add(good)
+                counts["failed"].add(len(out) - good)
             columns = [
                 pa.array([x[0] for x, _, _ in out], pa.int64()), pa.array([x[1] for x, _, _ in out], pa.string()), pa.array([r is not None for _, r, _ in out]),
                 pa.array([json.dumps(x[2] if r is None else r, ensure_ascii=False, sort_keys=True) for x, r, _ in out], pa.string()), pa.array([e for _, _, e in out], pa.list_(pa.string())),
@@ -69,6 +74,7 @@ def map_texts(items: DataFrame, translate: Callable = mock, check: Callable = pr
     return items.select("ord", "source_id", "text_fields").mapInArrow(run, OUTPUT)
 
 
-def split_results(results: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, dead letters)."""
-    return results.where("ok").drop("errors", "ok"), results.where(~F.col("ok")).drop("ok")
+def dealt(items: DataFrame, lanes: int | None) -> DataFrame:
+    """items in at most `lanes` tasks by ranges of ord, in order: a translator that asks one thing at a time is then never
+    asked for more than `lanes` at once, however many cores there are. Rows that follow each other stay together."""
+    return items if lanes is None else items.repartitionByRange(lanes, "ord").sortWithinPartitions("ord")

@@ -44,14 +44,39 @@ def adapt(df: DataFrame, benchmark_id: str, row: str = "row", ordinal: str = "or
     r, spec = F.col(row), specs.SPECS[benchmark_id]
     value = lambda keys: fields.get_first(r, keys)["value"]
     texts = fields.text_fields(r, spec)
+    none = F.when(F.size(texts) == 0, F.array(F.lit("text_fields"))).otherwise(F.array().cast("array<string>"))
     media = F.concat(*(F.when(fields.present(r[k]).isNotNull(), F.coalesce(nested.media_objects(r[k]), F.array(r[k]))).otherwise(F.array().cast("array<string>")) for k in spec.keys("media")))
-    return df.select(
+    out = df.select(
         F.col(ordinal), F.lit(benchmark_id).alias("benchmark_id"), F.lit(spec.name).alias("benchmark_name"),
         F.coalesce(value(spec.keys("id")), F.format_string(f"{benchmark_id}-%06d", ordinal)).alias("source_id"),
         value(spec.keys("split")).alias("split"), value(spec.keys("task")).alias("task"), media.alias("media"), texts.alias("text_fields"),
         fields.copy_present(r, spec.keys("preserve")).alias("preserve_fields"), fields.copy_present(r, spec.keys("skip")).alias("skip_fields"),
-        F.map_keys(texts).alias("translation_scope"), r.alias("source_record"),
+        F.map_keys(texts).alias("translation_scope"), r.alias("source_record"), none.alias("missing_scope"),
     )
+    return out.withColumn("untranslated", untranslated(out))
+
+
+#: The text fields that rows of no known benchmark offer for translation.
+ANY_SCOPE = {"question": specs.QUESTION_KEYS, "options": specs.OPTION_KEYS, "caption": specs.CAPTION_KEYS}
+
+
+def adapt_any(df: DataFrame, row: str = "row", ordinal: str = "ord") -> DataFrame:
+    """The same of raw rows of no known benchmark, those of the nested corpus for one: question, options and caption by
+    their usual keys; missing_scope names those that a row lacks, untranslated its other keys that hold text. They have
+    no benchmark, and no id but what an export makes of them."""
+    r = F.col(row)
+    found = {n: fields.get_first(r, keys) for n, keys in ANY_SCOPE.items()}
+    pairs = F.filter(F.array(*(F.struct(F.lit(n).alias("key"), f["value"].alias("value")) for n, f in found.items())), lambda x: x["value"].isNotNull())
+    taken = F.array_compact(F.array(*(f["key"] for f in found.values())))
+    places = F.array_compact(F.array(*(fields.present(r[k]) for k in (*specs.PATH_KEYS, *specs.MORE_MEDIA_KEYS))))
+    none = F.lit(None).cast("string")
+    out = df.select(
+        F.col(ordinal), none.alias("benchmark_id"), none.alias("benchmark_name"), none.alias("source_id"), fields.get_first(r, specs.COMMON_KEYS["split"])["value"].alias("split"),
+        F.coalesce(fields.present(r["task"]), fields.present(r["category"])).alias("task"), nested.media_list(places).alias("media"), F.map_from_entries(pairs).alias("text_fields"),
+        fields.copy_present(r, (*specs.ANSWER_KEYS, "target", "correct_answer", "category", "dataset", "split")).alias("preserve_fields"), F.create_map().cast("map<string,string>").alias("skip_fields"),
+        F.array(*map(F.lit, ANY_SCOPE)).alias("translation_scope"), r.alias("source_record"), F.array_except(F.array_sort(nested.discover_text_fields(r)), taken).alias("untranslated"),
+    )
+    return out.withColumn("missing_scope", fields.missing_groups(F.col("text_fields"), ANY_SCOPE))
 
 
 def translate_columns(df: DataFrame, translate=text.mock_translate, column: str = "text_fields") -> DataFrame:

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.functions import fields, nested
+from curata.functions import fields, json_text, nested
 from curata.functions.fields import present
 from curata.plans import specs
 from curata.sinks import writers
@@ -109,6 +109,11 @@ def parts(value: Column) -> dict[str, Column]:
     }
 
 
+def _checked(line: Column) -> Column:
+    """A line of JSON as every function reads it; an error for what is none."""
+    return F.coalesce(json_text.canonical(line), F.raise_error(F.concat(F.lit("not JSON: "), F.substring(line, 1, 80))).cast("string"))
+
+
 def failure_id(own: Column, source: Column, ordinal: Column) -> Column:
     """What a failed row is called: its source id, else its source's id, else its place."""
     return F.coalesce(present(own["source_id"]), present(source["id"]), ordinal.cast("string"))
@@ -121,7 +126,7 @@ def options_of(p: dict[str, Column]) -> Column:
 
 def adapted(spark: SparkSession, files: list[str], fallback_benchmark: str = "benchmark") -> DataFrame:
     """The rows of the files, in order, as plans.record.export takes them."""
-    tables = [spark.read.text(f).where(F.trim("value") != "").select(F.lit(i).alias("file_idx"), F.lit(f).alias("path"), F.monotonically_increasing_id().alias("place"), "value") for i, f in enumerate(files)]
+    tables = [spark.read.text(f).where(F.trim("value") != "").select(F.lit(i).alias("file_idx"), F.lit(f).alias("path"), F.monotonically_increasing_id().alias("place"), _checked(F.col("value")).alias("value")) for i, f in enumerate(files)]
     rows = tables[0]
     for t in tables[1:]:
         rows = rows.unionByName(t)
