@@ -74,10 +74,10 @@ def discover_text_fields(row: Column) -> Column:
     return F.array_sort(F.map_keys(F.map_filter(row, lambda k, v: ~F.lower(k).isin(*STRUCTURAL_KEYS) & looks_textual(text_leaves(v)))))
 
 
-def last_user_text(messages: Column) -> Column:
-    """Text of the last user message of an array of struct(turn, role, text)."""
-    own = F.filter(F.array_sort(messages), lambda m: (m["role"] == "user") & present(m["text"]).isNotNull())
-    return F.get(own, F.size(own) - 1)["text"]
+def last_user_text(turn: Column, role: Column, text: Column) -> Column:
+    """An aggregate: the text of a conversation's last user message that has one; null without any."""
+    said = present(text)
+    return F.max_by(said, F.when((role == "user") & said.isNotNull(), turn))
 
 
 def media_list(values: Column) -> Column:

@@ -39,6 +39,12 @@ def field_histogram(df: DataFrame, fields: str) -> DataFrame:
     return df.select(F.explode(fields).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
 
 
+def group_sizes(df: DataFrame, group: Column | str) -> DataFrame:
+    """One row: groups, rows, and the least and most rows of a group."""
+    sizes = df.groupBy(group).agg(F.count("*").alias("n"))
+    return sizes.agg(F.count("*").alias("groups"), F.sum("n").alias("rows"), F.min("n").alias("least"), F.max("n").alias("most"))
+
+
 def status(flagged: Column) -> Column:
     """needs_review if any row is flagged, else passed."""
     return F.when(F.coalesce(F.bool_or(flagged), F.lit(False)), "needs_review").otherwise("passed")

@@ -194,15 +194,16 @@ WITH c AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id)
 SELECT CAST(count(*) AS BIGINT) AS n_conversations, CAST(sum(n) AS BIGINT) AS n_turns, CAST(min(n) AS BIGINT) AS least, CAST(max(n) AS BIGINT) AS most FROM c""")
 def conversation_stats(spark, sf_dir):
     """Turns a conversation: count, total, least, most."""
-    sizes = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
-    return sizes.agg(F.count("*").alias("n_conversations"), F.sum("n").alias("n_turns"), F.min("n").alias("least"), F.max("n").alias("most"))
+    n = report.group_sizes(table(spark, sf_dir, "conversations"), "conv_id")
+    return n.select(F.col("groups").alias("n_conversations"), F.col("rows").alias("n_turns"), "least", "most")
 
 
 @query("SELECT conv_id, sha256(arg_max(text, turn)) AS text_sha256 FROM conversations WHERE role = 'user' AND text <> '' GROUP BY conv_id")
 def final_user_text(spark, sf_dir):
     """The last text of the user in each conversation."""
-    own = table(spark, sf_dir, "conversations").where("role = 'user' and text <> ''")
-    return own.groupBy("conv_id").agg(F.sha2(F.max_by("text", "turn"), 256).alias("text_sha256"))
+    last = nested.last_user_text(F.col("turn"), F.col("role"), F.col("text"))
+    own = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(last.alias("last"))
+    return own.where("last is not null").select("conv_id", F.sha2("last", 256).alias("text_sha256"))
 
 
 @query("""
@@ -325,29 +326,32 @@ def key_allow_list(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, o_orderkey % 3 <> 2 AS valid, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS a, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_orderstatus END AS x,
-  CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE 'a,s' END AS names FROM orders""")
+SELECT conv_id, turn, conv_id % 3 <> 2 AS valid, CASE WHEN conv_id % 3 = 2 THEN NULL ELSE CAST(turn AS VARCHAR) END AS a, CASE WHEN conv_id % 3 = 2 THEN NULL ELSE text END AS x,
+  CASE WHEN conv_id % 3 = 2 THEN NULL ELSE 'a,s' END AS names FROM (SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(text, '') AS text FROM conversations)""")
 def json_last_value(spark, sf_dir):
     """Of doubled keys the last value counts, at any depth, in the first one's place; two values one after the other are none."""
-    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
-    doubled = F.concat(F.lit('{"a": {"a": 1}, "s": {"x": 1, "x": "'), status, F.lit('"}, "a": '), key, F.lit("}"))
-    once = F.concat(F.lit('{"a":'), key, F.lit(',"s":{"x":"'), status, F.lit('"}}'))
-    doc = F.when(F.col("o_orderkey") % 3 == 0, doubled).when(F.col("o_orderkey") % 3 == 1, once).otherwise(F.concat(once, F.lit(" "), once))
-    read = table(spark, sf_dir, "orders").select("o_orderkey", json_text.object_of(json_text.canonical(doc)).alias("row"))
-    inner = json_text.object_of(F.col("row")["s"])["x"]
-    return read.select("o_orderkey", F.col("row").isNotNull().alias("valid"), F.col("row")["a"].alias("a"), inner.alias("x"), F.array_join(F.map_keys("row"), ",").alias("names"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", big("turn").alias("turn"), F.coalesce("text", F.lit("")).alias("x"))
+    turn, inner = F.col("turn").cast("string"), F.to_json(F.struct("x"))
+    doubled = F.concat(F.lit('{"a": {"a": 1}, "s": {"x": 1, '), F.substring(inner, 2, 1 << 30), F.lit(', "a": '), turn, F.lit("}"))
+    once = F.concat(F.lit('{"a":'), turn, F.lit(',"s":'), inner, F.lit("}"))
+    doc = F.when(F.col("conv_id") % 3 == 0, doubled).when(F.col("conv_id") % 3 == 1, once).otherwise(F.concat(once, F.lit(" "), once))
+    read = c.select("conv_id", "turn", json_text.object_of(json_text.canonical(doc)).alias("row"))
+    found = json_text.object_of(F.col("row")["s"])["x"]
+    return read.select("conv_id", "turn", F.col("row").isNotNull().alias("valid"), F.col("row")["a"].alias("a"), found.alias("x"), F.array_join(F.map_keys("row"), ",").alias("names"))
 
 
 @query("""
-SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '{"name":"' || c_name || '","auth":{"token":"<redacted>","note":"pwd=<redacted>","list":[{"my_token":"<redacted>"}]},"inner":"{\\"api_key\\":\\"<redacted>\\",\\"n\\":1}"}'
-  ELSE '{"name": "' || c_name || '", "n": [1, 2]}' END AS clean FROM customer""")
+SELECT conv_id, CAST(turn AS BIGINT) AS turn, CASE WHEN conv_id % 2 = 0
+  THEN '{"role":"' || coalesce(role, '') || '","auth":{"token":"<redacted>","note":"pwd=<redacted>","list":[{"my_token":"<redacted>"}]},"inner":"{\\"api_key\\":\\"<redacted>\\",\\"n\\":1}"}'
+  ELSE '{"role": "' || coalesce(role, '') || '", "n": [1, 2]}' END AS clean FROM conversations""")
 def redact_nested_json(spark, sf_dir):
     """JSON text without secrets at any depth: lists and objects under a secret name go whole, JSON in strings is read, too."""
-    inner = F.to_json(F.struct(F.struct(F.col("c_custkey").alias("v")).alias("api_key"), F.lit(1).alias("n")))
-    auth = F.struct(F.array("c_name").alias("token"), F.concat(F.lit("pwd="), "c_name").alias("note"), F.array(F.struct(F.lit(5).alias("my_token"))).alias("list"))
-    whole = F.to_json(F.struct(F.col("c_name").alias("name"), auth.alias("auth"), inner.alias("inner")))
-    plain = F.concat(F.lit('{"name": "'), "c_name", F.lit('", "n": [1, 2]}'))
-    rows = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, whole).otherwise(plain).alias("clean"))
+    role = F.coalesce("role", F.lit(""))
+    inner = F.to_json(F.struct(F.struct(F.col("text").alias("v")).alias("api_key"), F.lit(1).alias("n")))
+    auth = F.struct(F.array("text", "role").alias("token"), F.concat(F.lit("pwd="), "conv_id").alias("note"), F.array(F.struct(F.lit(5).alias("my_token"))).alias("list"))
+    whole = F.to_json(F.struct(role.alias("role"), auth.alias("auth"), inner.alias("inner")))
+    plain = F.concat(F.lit('{"role": "'), role, F.lit('", "n": [1, 2]}'))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", big("turn").alias("turn"), F.when(F.col("conv_id") % 2 == 0, whole).otherwise(plain).alias("clean"))
     return redact.redact_rows(rows)
 
 
@@ -355,35 +359,43 @@ def _own_file(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/curata-files/{uuid.uuid4().hex}/{name}"
 
 
-@query("""
-SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, CASE WHEN c_custkey % 5 = 0 THEN '{"a, [b]":["}",' || c_nationkey || ']}' END AS nested, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS place FROM customer""")
-def one_json_document(spark, sf_dir):
-    """A table as one JSON document, written by many tasks and read by many tasks, in order."""
-    nested = F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit('{"a, [b]": ["}", '), F.col("c_nationkey"), F.lit("]}"))).otherwise("null")
-    item = F.concat(F.lit('{"key": '), "c_custkey", F.lit(', "name": '), F.to_json(F.struct("c_name")), F.lit(', "nation": 0, "nation": '), "c_nationkey", F.lit(', "nested": '), nested, F.lit("}, 5,"))
-    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), item.alias("value"))
-    # at its ends a key, the list's brackets, and an item that is no object
-    edges = spark.createDataFrame([(-1, '{"version": [1, 2], "data": ['), ((1 << 62), '"end"], "n": 1}')], "k bigint, value string")
-    path = _own_file(spark, "customers.json")
-    writers.write_lines(rows.unionByName(edges).orderBy("k").select("value"), path)
-    read = sampling.with_ordinal(readers.read_json(spark, path), ["ord"], "place")  # written to the shared folder
+_TURNS = """SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, nullif(text, '') AS text, CAST(row_number() OVER (ORDER BY conv_id, turn, role NULLS FIRST, nullif(text, '') NULLS FIRST) - 1 AS BIGINT) AS place FROM conversations"""
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", big("turn").alias("turn"), "role", fields.present(F.col("text")).alias("text"))
+
+
+def _read_back(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    read = sampling.with_ordinal(rows, ["ord"], "place")  # written to the shared folder, so the file can go
     writers.clear(spark, path.rsplit("/", 1)[0], True)
     row = F.col("row")
-    return read.select(row["key"].cast("bigint").alias("c_custkey"), F.get_json_object(row["name"], "$.c_name").alias("name"), row["nation"].alias("nation"), row["nested"].alias("nested"), big("place").alias("place"))
+    return read.select(row["conv_id"].cast("bigint").alias("conv_id"), row["turn"].cast("bigint").alias("turn"), fields.present(row["role"]).alias("role"), fields.present(row["text"]).alias("text"), big("place").alias("place"))
 
 
-@query("""
-SELECT p_partkey, p_name || chr(10) || '"' || p_brand || '",' || CASE WHEN p_partkey % 3 = 0 THEN chr(13) || chr(10) ELSE '' END AS said, CAST(p_size AS VARCHAR) AS size, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS BIGINT) AS place FROM part""")
+@query(_TURNS)
+def one_json_document(spark, sf_dir):
+    """A table as one JSON document, written by many tasks and read by many tasks, in order."""
+    order = ["edge", "conv_id", "turn", "role", "text"]
+    # a doubled key in each item, and an item that is no object after it
+    item = F.concat(F.lit('{"turn": [0], '), F.substring(F.to_json(F.struct("conv_id", "turn", "role", "text")), 2, 1 << 30), F.lit(", 5,"))
+    rows = _turns(spark, sf_dir).withColumn("edge", F.lit(1)).select(*order, item.alias("value"))
+    ends = spark.createDataFrame([(0, '{"version": [1, 2], "data": ['), (2, '"end"], "n": 1}')], "edge int, value string")
+    path = _own_file(spark, "turns.json")
+    writers.write_lines(rows.unionByName(ends, allowMissingColumns=True).orderBy(*order).select("value"), path)
+    return _read_back(spark, path, readers.read_json(spark, path))
+
+
+@query(_TURNS)
 def one_csv_file(spark, sf_dir):
     """A table as one CSV file with line breaks and quotes in its fields, read by many tasks, in order."""
-    said = F.concat("p_name", F.lit("\n"), F.lit('""'), "p_brand", F.lit('"",'), F.when(F.col("p_partkey") % 3 == 0, "\r\n").otherwise(""))
-    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.concat(F.col("p_partkey"), F.lit(',"'), said, F.lit('",'), "p_size").alias("value"))
-    path = _own_file(spark, "parts.csv")
-    writers.write_lines(rows.unionByName(spark.createDataFrame([(-1, "key,said,size")], "k bigint, value string")).orderBy("k").select("value"), path)
-    read = sampling.with_ordinal(readers.read_csv(spark, path), ["ord"], "place")
-    writers.clear(spark, path.rsplit("/", 1)[0], True)
-    row = F.col("row")
-    return read.select(row["key"].cast("bigint").alias("p_partkey"), row["said"].alias("said"), row["size"].alias("size"), big("place").alias("place"))
+    order = ["edge", "conv_id", "turn", "role", "text"]
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    rows = _turns(spark, sf_dir).withColumn("edge", F.lit(1)).select(*order, F.concat_ws(",", "conv_id", quoted("text"), "turn", quoted("role")).alias("value"))
+    names = spark.createDataFrame([(0, "conv_id,text,turn,role")], "edge int, value string")
+    path = _own_file(spark, "turns.csv")
+    writers.write_lines(rows.unionByName(names, allowMissingColumns=True).orderBy(*order).select("value"), path)
+    return _read_back(spark, path, readers.read_csv(spark, path))
 
 
 SAMPLE_SIZE, SAMPLE_SEED = 40, 6029
