@@ -460,17 +460,15 @@ _UNITS, _MONEY = ("MHz", "kPa", "Jan", "sept", "sqft", "days", "Inc", "mL", "pie
 
 
 def _values(spark, sf_dir) -> DataFrame:
-    one = lambda t, kind, v: table(spark, sf_dir, t).select(F.lit(kind).alias("kind"), v.alias("value")).distinct()
     size = F.col("p_size").cast("string")
-    parts = [
-        one("part", "brand", F.col("p_brand")), one("part", "kilo", F.concat(F.lit("(A) "), size, F.lit(" kg"))), one("part", "words", F.concat(size, F.lit(" small rings"))), one("part", "name", F.col("p_name")),
-        one("part", "lines", F.concat(F.lit("A. "), size, F.lit("\nB. "), F.col("p_type"))), one("orders", "priority", F.col("o_orderpriority")), one("customer", "segment", F.col("c_mktsegment")),
-        *(one("part", "units", F.concat(size, F.lit(f" {u}"))) for u in _UNITS), *(one("region", "money", F.lit(m)) for m in _MONEY),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    kinds = {
+        "brand": [F.col("p_brand")], "kilo": [F.concat(F.lit("(A) "), size, F.lit(" kg"))], "words": [F.concat(size, F.lit(" small rings"))], "name": [F.col("p_name")],
+        "lines": [F.concat(F.lit("A. "), size, F.lit("\nB. "), F.col("p_type"))], "units": [F.concat(size, F.lit(f" {u}")) for u in _UNITS],
+    }
+    each = lambda t, kinds: table(spark, sf_dir, t).select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, values in kinds.items() for v in values))).alias("v")).select("v.*")
+    # one scan of each table, and distinct once over all
+    rows = each("part", kinds).unionByName(each("orders", {"priority": [F.col("o_orderpriority")]})).unionByName(each("customer", {"segment": [F.col("c_mktsegment")]}))
+    return rows.unionByName(each("region", {"money": [F.lit(m) for m in _MONEY]})).distinct()
 
 
 _VALUES_SQL = """
