@@ -1,17 +1,19 @@
 """License scans by patience alignment.
 
-Words (runs of letters and digits, A-Z lower-cased) that are unique to both a range of the text and the template are
+Words (runs of letters and digits, A-Z lower-cased) that are unique to both a stretch of the text and the template are
 anchors; the longest increasing subsequence of their places is kept, and the gaps between neighbours are aligned the
 same way, after equal words at both ends of a gap are paired. A gap without a word that is unique to both is aligned by
-a longest common subsequence. Coverage is the share of the template's words that are paired.
+a longest common subsequence. Coverage is the share of the template's words that are paired, and it alone decides.
 
-Where to align is found first. Cores are the most ranges without overlap that hold enough of the template's words in
-order (a longest common subsequence, by bits of one integer) and are at most SPAN times as long as the template, each
-the shortest that ends where it does; so headings, version numbers and doubled words before, in or after a notice hide
-nothing, and a notice that a text holds twice is found twice. Each core is aligned with the words around it, up to the
-template's length on both sides and the next core, and alone; the alignment that pairs most counts.
-A document is aligned only if it holds enough of the template's words at all, which is counted for a whole batch at
-once; that bound loses nothing, since a pair needs its word.
+Stretches are windows of the text of three sizes, so that a notice of up to twice its template's words lies whole in one of
+them, and one that stands alone in a tight one, where the words around it can't spoil its anchors. A window that hasn't
+enough of the template's words is passed over, and so is a text, which is counted for a whole batch at once; that
+loses nothing, since a pair needs its word. Of the alignments that pair enough, those that pair most are places, without
+overlap.
+
+Some words make a licence another one: the name, the version, a clause. A template's obligatory words must be paired, and
+none of QUALIFIERS that the template hasn't may stand within the place. A place that overlaps one of another template
+with more paired words is a part of that licence, not one of its own.
 
 A null or empty text has no licence. Rows are scanned one by one: repeated rows repeat their results, and of equally
 good places the first counts. Texts are read whole; memory is bounded by a batch's bytes or one text. An empty table
@@ -138,8 +140,16 @@ TEMPLATES = {
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 
-#: A notice lies within so many times its template's words.
-SPAN = 2
+#: Words of each template without which a text is under another licence.
+OBLIGATORY = {
+    "apache-2.0-notice": ("apache", "2"), "mit-notice": ("mit",), "gpl-3.0-notice": ("general", "public", "3"), "cc-by-nc-4.0-notice": ("cc", "by", "nc", "4"), "all-rights-reserved": ("all", "rights", "reserved"),
+    "apache-2.0": ("apache",), "bsd-3-clause": ("neither", "endorse"), "gpl-2.0": ("general", "2"), "gpl-3.0": ("general", "3"), "lgpl-2.1": ("lesser", "2", "1"), "agpl-3.0": ("affero", "3"),
+    "mpl-2.0": ("mozilla",), "cc-by-4.0": ("creative", "commons", "attribution", "4"), "cc-by-sa-4.0": ("creative", "commons", "attribution", "sharealike", "4"),
+}
+#: Words that make another licence of the one in whose notice they stand.
+QUALIFIERS = ("lesser", "affero", "nc", "sa", "nd", "sharealike", "noncommercial", "noderivatives", "noderivs")
+#: Windows: their size and step, in quarters of the template's words.
+WINDOWS = ((12, 4), (8, 2), (5, 1))
 
 
 def words(text: str) -> list[str]:
@@ -193,93 +203,74 @@ def align(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def bits_of(template: Sequence[int]) -> dict[int, int]:
-    """The places of each word of the template, as bits."""
-    out: dict[int, int] = {}
+def common(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
+    """Pairs (place in text, place in template) of a longest common subsequence: a row of the table is the bits of one
+    integer, clear where the length grows."""
+    bits: dict = {}
     for j, x in enumerate(template):
-        out[x] = out.get(x, 0) | 1 << j
-    return out
-
-
-def reach(ids: Sequence[int], places: range, bits: dict[int, int], size: int, least: int) -> int:
-    """The first of the places by which ids and the template have a common subsequence of `least`, or -1."""
-    full = (1 << size) - 1
-    v, length = full, 0
-    for i in places:
-        m = bits.get(ids[i])
-        if m is None:
-            continue
-        u = v & m
-        total = v + u
-        length += total >> size
-        v = (total | (v - u)) & full
-        if length >= least:
-            return i
-    return -1
+        bits[x] = bits.get(x, 0) | 1 << j
+    full = (1 << len(template)) - 1
+    rows, v = [], full
+    for x in text:
+        u = v & bits.get(x, 0)
+        v = ((v + u) | (v - u)) & full
+        rows.append(v)
+    out, i, j = [], len(text), len(template)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                out.append((i, j))
+    return out[::-1]
 
 
-def cores(ids: Sequence[int], template: Sequence[int], least: int) -> Iterator[tuple[int, int]]:
-    """The most ranges without overlap, of at most SPAN times the template's words, that have `least` in order in common."""
-    span = len(template)
-    ahead, back = bits_of(template), bits_of(template[::-1])
-    a = 0
-    while a < len(ids):
-        # one template length more holds every such range that starts in the first of them
-        start, end = a, min(len(ids), a + (SPAN + 1) * span)
-        a += span
-        while (last := reach(ids, range(start, end), ahead, span, least)) >= 0:
-            first = reach(ids, range(last, start - 1, -1), back, span, least)
-            if last - first < SPAN * span:
-                yield first, last + 1
-                a = last + 1
+def windows(n_text: int, n_template: int) -> Iterator[tuple[int, int]]:
+    """Start and end of each window of a text."""
+    for size, step in WINDOWS:
+        width, step = -(-size * n_template // 4), max(1, step * n_template // 4)
+        start = 0
+        while True:
+            yield start, min(n_text, start + width)
+            if start + width >= n_text:
                 break
-            start = first + 1
-
-
-def common(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
-    """Pairs (place in text, place in template) of a longest common subsequence."""
-    rows = [[0] * (len(template) + 1)]
-    for x in reversed(text):
-        below, row = rows[-1], [0] * (len(template) + 1)
-        for j in range(len(template) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if x == template[j] else max(below[j], row[j + 1])
-        rows.append(row)
-    rows.reverse()
-    out, i, j = [], 0, 0
-    while i < len(text) and j < len(template):
-        if text[i] == template[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif rows[i + 1][j] >= rows[i][j + 1]:
-            i += 1
-        else:
-            j += 1
+            start += step
+
+
+def places(ids: Sequence[int], template: Sequence[int], least: int, obligatory: Sequence[int] = (), others: Sequence[int] = ()) -> list[tuple[int, int, int]]:
+    """(words paired, first word, end word) of the places where at least `least` of the template's words are aligned, the
+    obligatory ones among them, with none of the others in between; those that pair most, then the shorter, then the
+    first, without overlap."""
+    whole, needed, barred = Counter(template), set(obligatory), set(others) - set(template)
+    held = np.concatenate([[0], np.cumsum(np.isin(ids, template))])
+    found: set[tuple[int, int, int]] = set()
+    for a, z in windows(len(ids), len(template)):
+        if held[z] - held[a] < least or (Counter(ids[a:z]) & whole).total() < least:
+            continue
+        pairs = align(ids[a:z], template)
+        if len(pairs) < least:
+            continue
+        first, end = a + pairs[0][0], a + pairs[-1][0] + 1
+        if needed <= {template[j] for _, j in pairs} and barred.isdisjoint(ids[first:end]):
+            found.add((-len(pairs), end - first, first))
+    out: list[tuple[int, int, int]] = []
+    for n, size, first in sorted(found):
+        if all(first >= e or first + size <= f for _, f, e in out):
+            out.append((-n, first, first + size))
     return out
 
 
-def found_in(ids: Sequence[int], template: Sequence[int], least: int) -> Iterator[list[tuple[int, int]]]:
-    """The pairs of each place where at least `least` of the template's words are in order."""
-    span = len(template)
-    held = list(cores(ids, template, least))
-    for k, (start, end) in enumerate(held):
-        before = max(held[k - 1][1] if k else 0, start - span)
-        after = min(held[k + 1][0] if k + 1 < len(held) else len(ids), end + span)
-        most: list[tuple[int, int]] = []
-        for x, y in ((before, after), (start, after), (before, end), (start, end)):
-            if len(most) < span:
-                pairs = align(ids[x:y], template)
-                most = [(x + i, j) for i, j in pairs] if len(pairs) > len(most) else most
-        # anchors can cross a better common subsequence; the core's own is there
-        yield most if len(most) >= least else [(start + i, j) for i, j in common(ids[start:end], template)]
-
-
 class Scanner:
-    def __init__(self, templates: dict[str, str], least: float) -> None:
+    def __init__(self, templates: dict[str, str], least: float, obligatory: dict[str, Sequence[str]]) -> None:
         self.least, self.names = least, list(templates)
         split = [words(t) for t in templates.values()]
-        vocabulary = sorted({w for t in split for w in t})
+        vocabulary = sorted({w for t in split for w in t} | set(QUALIFIERS))
         number = {w: i for i, w in enumerate(vocabulary)}
         self.templates = [[number[w] for w in t] for t in split]
+        self.obligatory = [[number[w] for w in obligatory.get(name, ())] for name in templates]
+        self.qualifiers = [number[w] for w in QUALIFIERS]
         self.counts = np.array([np.bincount(t, minlength=len(vocabulary)) for t in self.templates])
         joined = "".join(vocabulary).encode()
         ends = np.cumsum([len(w.encode()) for w in vocabulary])
@@ -295,40 +286,51 @@ class Scanner:
         i = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         return np.where(self.hashes[i] == h, self.order[i], -1), at
 
-    def scan(self, ids: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(row, template, paired words, first word, end word, places found) of each template that a text covers."""
+    def scan(self, ids: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
+        """(row, template, paired words, first word, end word, places found, template of which it is a part or None) of
+        each template that a text covers."""
         n, size = len(at) - 1, self.counts.shape[1]
         known = np.flatnonzero(ids >= 0)
         row = np.searchsorted(at, known, side="right") - 1
         held = np.bincount(row * size + ids[known], minlength=n * size).reshape(n, size)
+        found: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
         for t, template in enumerate(self.templates):
             need = self.least * len(template)
             for r in np.flatnonzero(np.minimum(held, self.counts[t]).sum(axis=1) >= need).tolist():
-                text = ids[at[r] : at[r + 1]].tolist()
-                best, found = (0, 0, 0), 0
-                for pairs in found_in(text, template, max(1, math.ceil(need - 1e-9))):
-                    found += 1
-                    best = max(best, (len(pairs), -pairs[0][0], pairs[-1][0] + 1))
-                if found:
-                    yield r, t, best[0], -best[1], best[2], found
-
-
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, license, n_paired, n_template (words), first_word, end_word of the best place, n_found (bigint): a row
-    for each licence that at least `least` of is in a document."""
+                if own := places(ids[at[r] : at[r + 1]].tolist(), template, max(1, math.ceil(need - 1e-9)), self.obligatory[t], self.qualifiers):
+                    found.setdefault(r, {})[t] = own
+        for r in sorted(found):
+            for t, own in found[r].items():
+                wholes = [self._whole(found[r], t, place) for place in own]
+                paired, first, end = own[0]
+                yield r, t, paired, first, end, len(own), wholes[0] if None not in wholes else None
+
+    def _whole(self, found: dict[int, list[tuple[int, int, int]]], t: int, place: tuple[int, int, int]) -> int | None:
+        """The template whose place overlaps this one and pairs more words, or as many and more of its own; the most."""
+        paired, first, end = place
+        rank = lambda n, u: (n, n / len(self.templates[u]), -u)
+        better = [(rank(n, u), u) for u, own in found.items() if u != t for n, f, e in own if f < end and first < e and rank(n, u) > rank(paired, t)]
+        return max(better)[1] if better else None
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, doc_id: str = "doc_id", text: str = "text", obligatory: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """doc_id, license, n_paired, n_template (words), first_word, end_word of the best place, n_found (bigint), part_of (the
+    licence that it is a part of, null for one of its own): a row for each licence that at least `least` of is in a
+    document. obligatory: words of templates of one's own that must be paired."""
     small_batches(docs.sparkSession)
+    obligatory = OBLIGATORY if templates is None else obligatory or {}
     templates = templates or TEMPLATES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, least)
+        scanner = Scanner(templates, least, obligatory)
         for batch in batches:
             for b in pieces(batch, "text"):
                 hits = list(scanner.scan(*scanner.number(*text_buffer(b.column(1)))))
                 if not hits:
                     continue
-                rows, which, paired, first, end, found = zip(*hits, strict=True)
-                columns = [b.column(0).take(pa.array(rows)), pa.array([scanner.names[t] for t in which]), *(pa.array(x, pa.int64()) for x in (paired, [len(scanner.templates[t]) for t in which], first, end, found))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "license", "n_paired", "n_template", "first_word", "end_word", "n_found"])
+                rows, which, paired, first, end, found, whole = zip(*hits, strict=True)
+                columns = [b.column(0).take(pa.array(rows)), pa.array([scanner.names[t] for t in which]), *(pa.array(x, pa.int64()) for x in (paired, [len(scanner.templates[t]) for t in which], first, end, found)), pa.array([None if w is None else scanner.names[w] for w in whole], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "license", "n_paired", "n_template", "first_word", "end_word", "n_found", "part_of"])
 
     source = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc_id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
-    return source.mapInArrow(run, "doc_id bigint, license string, n_paired bigint, n_template bigint, first_word bigint, end_word bigint, n_found bigint")
+    return source.mapInArrow(run, "doc_id bigint, license string, n_paired bigint, n_template bigint, first_word bigint, end_word bigint, n_found bigint, part_of string")

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on small tables with nulls, ties, empty and repeated rows."""
 
 import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -436,38 +437,76 @@ def test_alignment_by_recursion():
         assert license_scan.align(text, template) == brute_align(text, template)
 
 
+def brute_places(text, template, least, needed):
+    """By the words of the rule: every window, aligned by recursion; the best places without overlap."""
+    n, found = len(template), []
+    for size, step in ((12, 4), (8, 2), (5, 1)):
+        width, step = math.ceil(size * n / 4), max(1, step * n // 4)
+        starts = [a for a in range(0, max(1, len(text)), step) if a == 0 or a - step + width < len(text)]
+        for a in starts:
+            window = text[a : a + width]
+            pairs = brute_align(window, template)
+            if len(pairs) >= least and set(needed) <= {template[j] for _, j in pairs}:
+                inside = window[pairs[0][0] : pairs[-1][0] + 1]
+                if not any(w in license_scan.QUALIFIERS and w not in template for w in inside):
+                    found.append((len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1))
+    out = []
+    for p in sorted(set(found), key=lambda p: (-p[0], p[2] - p[1], p[1])):
+        if not any(p[1] < q[2] and q[1] < p[2] for q in out):
+            out.append(p)
+    return out
+
+
 def test_licenses_of_a_whole_table(spark):
-    """The query's rows against a scan that looks for the ranges word by word and aligns by recursion."""
+    """The query's rows against a scan that aligns every window of every text by recursion."""
     from curata.llm import queries
 
     sf = "/root/testdata/sf0.001"
-    expected = {}
+    expected, order = {}, list(license_scan.TEMPLATES)
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
-        text = license_scan.words(r["text"] or "")
+        text, held = license_scan.words(r["text"] or ""), {}
         for name, source in license_scan.TEMPLATES.items():
             template = license_scan.words(source)
             least = -(-4 * len(template) // 5)
-            if sum((Counter(text) & Counter(template)).values()) < least:
-                continue  # a pair needs its word
-            limit, a, held = license_scan.SPAN * len(template), 0, []
-            for b in range(1, len(text) + 1):
-                start = max(a, b - limit)
-                if text[b - 1] in template and brute_common(text[start:b], template) >= least:
-                    while brute_common(text[start + 1 : b], template) >= least:
-                        start += 1
-                    held.append((start, b))
-                    a = b
-            best = None
-            for k, (start, b) in enumerate(held):
-                before, after = max(held[k - 1][1] if k else 0, start - len(template)), min(held[k + 1][0] if k + 1 < len(held) else len(text), b + len(template))
-                found = max((brute_align(text[x:y], template) for x, y in ((before, after), (start, after), (before, b), (start, b))), key=len)
-                best = max(best or 0, len(found) if len(found) >= least else brute_common(text[start:b], template))
-            if held:
-                expected[r["doc_id"], name] = (best, len(held))
-    got = {(r["doc_id"], r["license"]): (r["n_paired"], r["n_found"]) for r in queries.queries()["op10_licenses"](spark, sf).collect()}
+            if sum((Counter(text) & Counter(template)).values()) >= least and (own := brute_places(text, template, least, license_scan.OBLIGATORY.get(name, ()))):
+                held[name] = own
+        rank = lambda name, p: (p[0], p[0] / len(license_scan.words(license_scan.TEMPLATES[name])), -order.index(name))
+        for name, own in held.items():
+            wholes = [max([(rank(m, q), m) for m, more in held.items() for q in more if m != name and q[1] < p[2] and p[1] < q[2] and rank(m, q) > rank(name, p)], default=(0, None))[1] for p in own]
+            expected[r["doc_id"], name] = (*own[0], len(own), wholes[0] if None not in wholes else None)
+    got = {(r["doc_id"], r["license"]): (r["n_paired"], r["first_word"], r["end_word"], r["n_found"], r["part_of"]) for r in queries.queries()["op10_licenses"](spark, sf).collect()}
     assert got == expected and len(expected) > 3
 
 
+def test_each_template_is_itself_alone(spark):
+    """One licence a notice: its own; others only as parts of it."""
+    names = list(license_scan.TEMPLATES)
+    got = license_rows(spark, [license_scan.TEMPLATES[n] for n in names])
+    for i, name in enumerate(names):
+        assert [n for (k, n), r in got.items() if k == i and r["part_of"] is None] == [name]
+    assert got[names.index("mit"), "mit-grant"]["part_of"] == "mit" and got[names.index("bsd-3-clause"), "bsd-2-clause"]["part_of"] == "bsd-3-clause"
+
+
+def test_words_that_make_another_licence(spark):
+    t = license_scan.TEMPLATES
+    texts = [
+        "Licensed under the EPL License, Version 2.0.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC-ND 4.0.", t["gpl-3.0-notice"].replace("General", "Lesser General"), t["gpl-3.0-notice"].replace("3", "2"), "Released under the BSD License.",
+        t["cc-by-4.0"].replace("Attribution", "Attribution-NoDerivatives"), t["gpl-2.0"].replace("version 2", "version 9"), t["lgpl-2.1"].replace("2.1", "3"), t["mit-notice"] + " " + t["apache-2.0-notice"],
+    ]
+    got = license_rows(spark, texts)
+    assert set(got) == {(9, "mit-notice"), (9, "apache-2.0-notice")} and all(r["part_of"] is None for r in got.values())
+
+
+def test_nothing_is_found_without_alignment(monkeypatch):
+    texts = [license_scan.TEMPLATES["mit"], "Some words. " + license_scan.TEMPLATES["mit-notice"]]
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8, license_scan.OBLIGATORY)
+    raw = [t.encode() for t in texts]
+    numbers = scanner.number(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert list(scanner.scan(*numbers))
+    monkeypatch.setattr(license_scan, "align", lambda text, template: [])
+    assert list(scanner.scan(*numbers)) == []
+
+
 def brute_common(text, template):
     best = [0] * (len(template) + 1)
     for x in text:
@@ -477,24 +516,24 @@ def brute_common(text, template):
     return best[-1]
 
 
-def test_license_cores():
+def test_common_subsequence_and_places():
     rng = random.Random(13)
-    for _ in range(300):
+    for _ in range(400):
         template = [rng.randrange(6) for _ in range(rng.randint(1, 8))]
         text = [rng.randrange(8) for _ in range(rng.randint(0, 40))]
-        least = rng.randint(1, len(template))
-        limit, most, a = 2 * len(template), 0, 0  # the range that ends first, again and again
-        for b in range(len(text) + 1):
-            if brute_common(text[max(a, b - limit) : b], template) >= least:
-                most, a = most + 1, b
-        held = list(license_scan.cores(text, template, least))
-        assert len(held) == most and all(x[1] <= y[0] for x, y in zip(held, held[1:], strict=False))
-        assert all(b - a <= limit and brute_common(text[a:b], template) == least > brute_common(text[a + 1 : b], template) for a, b in held)
         pairs = license_scan.common(text, template)
         assert len(pairs) == brute_common(text, template) and all(text[i] == template[j] for i, j in pairs)
         assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
-        for pairs in license_scan.found_in(text, template, least):
-            assert len(pairs) >= least and all(text[i] == template[j] for i, j in pairs)
+        least, needed = rng.randint(1, len(template)), [template[0]] * rng.randrange(2)
+        assert license_scan.places(text, template, least, needed) == brute_places(text, template, least, needed)
+
+
+def test_licenses_in_long_texts_and_odd_columns(spark):
+    """A notice at the end of a text of some megabytes; columns that have the names of results."""
+    long = "the license of this software and its version " * 60_000 + license_scan.TEMPLATES["mit-notice"]
+    df = spark.createDataFrame([(1, long, "x"), (None, license_scan.TEMPLATES["cc-by-4.0"], "y")], "doc_id bigint, text string, License string").selectExpr("*", "1 as part_of", "2 as `a.b`")
+    got = {(r["doc_id"], r["license"]): (r["end_word"], r["n_found"]) for r in license_scan.scan(df).where("part_of is null").collect()}
+    assert got == {(1, "mit-notice"): (8 * 60_000 + 5, 1), (None, "cc-by-4.0"): (13, 1)}
 
 
 def test_block_max_wand():
