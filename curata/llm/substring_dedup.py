@@ -1,13 +1,14 @@
 """Substring dedup by relative Lempel-Ziv parsing: word windows that an earlier document holds are removed.
 
 1. Window anchors (see `anchors`) drop documents, and runs of windows, that no other document can share.
-2. What is left is dealt by anchor; for each window's hash the first holder, the smallest doc_id, is a reference of every
-   later document with that hash. Anchors with very many runs are aggregated first: their neighbouring runs are cut into
-   chunks by content, and equal chunks, or equal runs, have one first holder.
-3. A reference block is the whole text of such a first holder, CHUNK_WORDS words at a time. Every stretch of a later
-   document that links to it is factored greedily against it: at each place the longest copy from the reference, or one
-   word where there is none. The longest copies come from a suffix array over references and stretches together, by
-   prefix doubling: a place's longest copy is the longer of what it shares with the references next to it in order.
+2. What is left is dealt by anchor, to find which blocks have to meet: the document with the smallest doc_id of those with
+   a window's hash is a reference of the others. Anchors with very many runs are aggregated first: their neighbouring
+   runs are cut into chunks by content, and equal chunks, or equal runs, have one first holder. Of all this only pairs of
+   blocks are kept, CHUNK_WORDS words of a reference and CELL_WORDS of a later document; which windows met is forgotten.
+3. Every block of a later document, neighbouring ones joined, is factored greedily against the reference block: at each
+   place the longest copy from the reference, or one word where there is none. The longest copies come from a suffix
+   array over both together, by prefix doubling: a place's longest copy is the longer of what it shares with the
+   references next to it in order.
 4. A factor of `window` words or more is a duplicate span. At a factor's end, the copies that start within it and cross
    the end are checked too, so a window that lies in two factors is found. Only these spans are removed: hashes choose
    what is compared, the words themselves decide.
@@ -35,8 +36,9 @@ from curata.llm import anchors
 from curata.llm.common import SPACE_BYTES, mixed, pieces, quoted, sequence_hashes, small_batches, span_hashes, text_buffer, words_of, written
 
 GRAM = 4
-#: Words of one reference block; stretches of one block and of one part of them; words that are factored together.
-CHUNK_WORDS, PART_LINKS, BLOCK_WORDS = 200_000, 4000, 400_000
+#: Words of one reference block, and of a block of a later document; pairs of blocks of one part of a reference's; words
+#: that are factored together.
+CHUNK_WORDS, CELL_WORDS, PART_LINKS, BLOCK_WORDS = 200_000, 64, 8000, 400_000
 #: Windows that are compared together.
 LINK_WINDOWS = 1 << 19
 
@@ -385,23 +387,22 @@ _PIECES = pa.schema([(n, {"kind": pa.int32(), "piece": pa.binary()}.get(n, pa.in
 
 
 def _stretches(window: int):
-    """The stretches of texts that link to a reference block: (doc, key, z, links) as rows of _PIECE."""
+    """The stretches of texts that meet a reference block, neighbouring cells joined: (doc, key, z, cells) as rows of _PIECE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out, size = [], 0
-            for doc, key, z, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for doc, key, z, met in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = anchors.unpacked(z).split()
-                order = sorted((x["rdoc"], x["rkey"], x["chunk"], x["part"], x["first"], x["n"]) for x in found)
+                order = sorted((x["rdoc"], x["rkey"], x["chunk"], x["part"], x["cell"]) for x in met)
                 for ref, own in groupby(order, key=lambda x: x[:4]):
                     joined: list[list[int]] = []
-                    for *_, first, n in own:
-                        end = first + n - 1 + window
-                        if joined and first <= joined[-1][1]:
-                            joined[-1][1] = max(joined[-1][1], end)
+                    for *_, cell in own:
+                        if joined and cell == joined[-1][1]:
+                            joined[-1][1] = cell + 1
                         else:
-                            joined.append([first, end])
-                    for first, end in joined:
+                            joined.append([cell, cell + 1])
+                    for first, end in ((c * CELL_WORDS, min(len(words), d * CELL_WORDS + window - 1)) for c, d in joined):
                         for a in range(first, max(first + 1, end - window + 1), CHUNK_WORDS // 2):
                             piece = b" ".join(words[a : min(end, a + CHUNK_WORDS // 2 + window - 1)])
                             out.append((*ref, 1, doc, key, a, piece))
@@ -457,20 +458,27 @@ def _parsed(window: int):
     return run
 
 
+def meetings(found: DataFrame) -> DataFrame:
+    """rdoc, rkey, chunk, doc, key, cell: the pairs of blocks that links (rows of _LINK) touch, each once. They say what is
+    to be factored against what, not what is equal."""
+    cells = F.explode(F.sequence(F.floor(F.col("first") / CELL_WORDS), F.floor((F.col("first") + F.col("n") - 1) / CELL_WORDS))).alias("cell")
+    return written(found.select("rdoc", "rkey", F.floor(F.col("rplace") / CHUNK_WORDS).alias("chunk"), "doc", "key", cells).distinct(), "substring-meetings")
+
+
 def spans(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """The candidate texts (doc, key, z), and the words [first, end) to remove of (doc, key)."""
     shared = anchors.shared_anchors(rows, word_runs(window), True, "substring-anchors")
     joined = anchors.pack_texts(rows).join(shared, ["doc", "key"]).dropDuplicates(["doc", "key"])
     candidates = written(joined.select("doc", "key", "z", "shared", "hot"), "substring-candidates")
     texts = candidates.select("doc", "key", "z")
-    found = links(candidates, window).withColumn("chunk", F.floor(F.col("rplace") / CHUNK_WORDS))
-    parts = F.ceil(F.col("links") / PART_LINKS)
-    blocks = written(found.groupBy("rdoc", "rkey", "chunk").agg(F.count("*").alias("links")).select("rdoc", "rkey", "chunk", parts.alias("parts")), "substring-references")
+    found = meetings(links(candidates, window))
+    parts = F.ceil(F.col("cells") / PART_LINKS)
+    blocks = written(found.groupBy("rdoc", "rkey", "chunk").agg(F.count("*").alias("cells")).select("rdoc", "rkey", "chunk", parts.alias("parts")), "substring-references")
     split = blocks.where("parts > 1")
     placed = found.join(split, ["rdoc", "rkey", "chunk"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc"), F.col("parts")), F.lit(0).cast("bigint")))
-    lists = placed.groupBy("doc", "key").agg(F.collect_list(F.struct("rdoc", "rkey", "chunk", "part", "first", "n")).alias("links"))
+    lists = placed.groupBy("doc", "key").agg(F.collect_list(F.struct("rdoc", "rkey", "chunk", "part", "cell")).alias("cells"))
     references = texts.join(blocks.select(F.col("rdoc").alias("doc"), F.col("rkey").alias("key"), "chunk", "parts"), ["doc", "key"]).select("doc", "key", "chunk", "parts", "z").mapInArrow(_reference(window), _PIECE)
-    stretches = texts.join(lists, ["doc", "key"]).select("doc", "key", "z", "links").mapInArrow(_stretches(window), _PIECE)
+    stretches = texts.join(lists, ["doc", "key"]).select("doc", "key", "z", "cells").mapInArrow(_stretches(window), _PIECE)
     block = ["rdoc", "rkey", "chunk", "part"]
     dealt = references.unionByName(stretches).repartition(*block).sortWithinPartitions(*block, "kind")
     return texts, written(dealt.mapInArrow(_parsed(window), "doc bigint, key bigint, first bigint, end bigint"), "substring-spans")

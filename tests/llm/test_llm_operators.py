@@ -222,6 +222,28 @@ def test_factors_decide():
     assert substring_dedup.duplicate_spans([0] * 6, 3) == []
 
 
+def test_blocks_meet_and_the_parse_finds_spans(monkeypatch):
+    """What two blocks have in common is found by factoring them whole; that they meet removes nothing by itself."""
+    rng = random.Random(21)
+    reference = [b"r%d" % rng.randrange(10**6) for _ in range(500)]
+    own = lambda n: [b"o%d" % rng.randrange(10**6) for _ in range(n)]
+    later = own(30) + reference[100:140] + own(50) + reference[7:19] + own(3) + reference[480:500] + own(9)
+    other = own(200)  # met by mistake
+    rows = [(1, 11, 0, 0, 0, 1, 11, 0, b" ".join(reference)), (1, 11, 0, 0, 1, 2, 22, 64, b" ".join(later)), (1, 11, 0, 0, 1, 3, 33, 0, b" ".join(other))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), substring_dedup._PIECES.types, strict=True)], schema=substring_dedup._PIECES)
+    found = lambda: [tuple(r.values()) for b in substring_dedup._parsed(13)(iter([batch])) for r in b.to_pylist()]
+    assert found() == [(2, 22, 64 + 30, 64 + 70), (2, 22, 64 + 135, 64 + 155)]
+    monkeypatch.setattr(substring_dedup, "duplicate_spans", lambda lengths, window: [])
+    assert found() == []
+
+
+def test_meetings_hold_no_windows(spark):
+    links = spark.createDataFrame([(1, 1, 5, 2, 2, 60, 10), (1, 1, 300_000, 2, 2, 0, 1), (1, 1, 7, 2, 2, 62, 1)], "rdoc bigint, rkey bigint, rplace bigint, doc bigint, key bigint, first bigint, n int")
+    got = substring_dedup.meetings(links)
+    assert got.columns == ["rdoc", "rkey", "chunk", "doc", "key", "cell"]
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 0, 2, 2, 0), (1, 1, 0, 2, 2, 1), (1, 1, 1, 2, 2, 0)]
+
+
 def sets_of(rows, n):
     out = {}
     for i, t in rows:
