@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from curata.functions import plain
 from curata.operators import endpoint, transform
-from curata.plans import gates, jobs, packaging, prepare, record, specs
+from curata.plans import checks, gates, jobs, packaging, prepare, record, specs
 from curata.sinks import viewer, writers
 from curata.sources import bundles, readers
 
@@ -96,7 +96,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[Any, bool]:
             manifest = packaging.write_package(spark, exported, [r for r in args.media_roots.split(",") if r], args.out, args.name, plain.stamp(), args.status, allow_missing=args.allow_missing, force_split=args.split)
             return manifest, manifest["validation"]["status"] == "passed"
         case "validate":
-            check = {"package": packaging.validate, "export": packaging.validate_export, "viewer": viewer.validate}[args.kind]
+            check = {"package": packaging.validate, "export": packaging.validate_export, "viewer": viewer.validate, "output": checks.validate_output}[args.kind]
             report = check(spark, args.path)
             return report, report["status"] == "passed"
         case "report":

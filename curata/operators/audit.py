@@ -67,7 +67,7 @@ def has_forbidden_key(document: Column, names: list[str]) -> Column:
     return F.when(document.isNull(), F.lit(False)).otherwise(F.coalesce(F.size(forbidden_keys(document, names)) > 0, F.lit(True)))
 
 
-def duplicate_ids(df: DataFrame, key: str, label: str, order: str | None = None) -> DataFrame:
+def duplicate_ids(df: DataFrame, key: str, label: str, order: Column | str | None = None) -> DataFrame:
     """key, rows, first_label of ids that occur more than once: the label of the first row by `order` (by label without)."""
     first = F.min(label) if order is None else F.min_by(label, order)
     return df.groupBy(key).agg(F.count("*").alias("n_rows"), first.alias("first_label")).where("n_rows > 1")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.functions import plain, redact, text
+from curata.functions import json_text, plain, redact, text
 from curata.functions.identity import safe_label
 from curata.operators import audit, media
 from curata.operators.storage import fixed
@@ -214,7 +214,7 @@ def safe_split(name: str) -> bool:
 def row_problems(rows: DataFrame, files: DataFrame) -> DataFrame:
     """error of package rows (split, place, value JSON): columns, secrets, markers, ids and paths, and files that aren't in
     files (path below the package)."""
-    found = F.from_json("value", "map<string,string>")
+    found = F.coalesce(json_text.object_of(json_text.canonical(F.col("value"))), F.create_map().cast(json_text.ROW))
     keys = F.map_keys("row")
     names = lambda values: F.array(*map(F.lit, sorted(values)))
     listed = F.from_json(F.col("row")["media_files"], "array<string>")
@@ -244,8 +244,8 @@ def row_problems(rows: DataFrame, files: DataFrame) -> DataFrame:
     main = base.where(F.col("file_name") != "").select("label", F.concat("split", F.lit("/"), "file_name").alias("path"))
     wanted = main.unionByName(base.select("label", F.explode("media").alias("path"))).where(~absolute(F.col("path")) & ~climbs(F.col("path"))).distinct()
     gone = wanted.join(files.select("path").distinct(), "path", "left_anti").select(F.concat(F.lit("no file: "), "label", F.lit(" "), "path").alias("error"))
-    ids = base.select(F.col("row")["record_id"].alias("record_id"), "label").where("record_id <> ''")
-    twice = audit.duplicate_ids(ids, "record_id", "label").select(F.concat(F.lit("repeated record id: "), "record_id", F.lit(", first in "), "first_label").alias("error"))
+    ids = base.select(F.col("row")["record_id"].alias("record_id"), "label", "split", "place").where("record_id <> ''")
+    twice = audit.duplicate_ids(ids, "record_id", "label", F.struct("split", "place")).select(F.concat(F.lit("repeated record id: "), "record_id", F.lit(", first in "), "first_label").alias("error"))
     return out.unionByName(gone).unionByName(twice)
 
 

@@ -109,7 +109,7 @@ def parts(value: Column) -> dict[str, Column]:
     }
 
 
-def _checked(line: Column) -> Column:
+def checked(line: Column) -> Column:
     """A line of JSON as every function reads it; an error for what is none."""
     return F.coalesce(json_text.canonical(line), F.raise_error(F.concat(F.lit("not JSON: "), F.substring(line, 1, 80))).cast("string"))
 
@@ -119,14 +119,19 @@ def failure_id(own: Column, source: Column, ordinal: Column) -> Column:
     return F.coalesce(present(own["source_id"]), present(source["id"]), ordinal.cast("string"))
 
 
+def options_in(m: Column) -> Column:
+    """The options of a map, by the keys that they may have."""
+    return _first(m, TEXT_KEYS["options"])
+
+
 def options_of(p: dict[str, Column]) -> Column:
     """The options of a row: of its texts, else of its source record, else its own."""
-    return F.coalesce(_first(p["source_texts"], TEXT_KEYS["options"]), _first(p["source_record"], TEXT_KEYS["options"]), _first(p["own"], TEXT_KEYS["options"]))
+    return F.coalesce(options_in(p["source_texts"]), options_in(p["source_record"]), options_in(p["own"]))
 
 
 def adapted(spark: SparkSession, files: list[str], fallback_benchmark: str = "benchmark") -> DataFrame:
     """The rows of the files, in order, as plans.record.export takes them."""
-    tables = [spark.read.text(f).where(F.trim("value") != "").select(F.lit(i).alias("file_idx"), F.lit(f).alias("path"), F.monotonically_increasing_id().alias("place"), _checked(F.col("value")).alias("value")) for i, f in enumerate(files)]
+    tables = [spark.read.text(f).where(F.trim("value") != "").select(F.lit(i).alias("file_idx"), F.lit(f).alias("path"), F.monotonically_increasing_id().alias("place"), checked(F.col("value")).alias("value")) for i, f in enumerate(files)]
     rows = tables[0]
     for t in tables[1:]:
         rows = rows.unionByName(t)
