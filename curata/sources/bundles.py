@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import fields, json_text, nested
 from curata.functions.fields import present
+from curata.operators.storage import fixed
 from curata.plans import specs
 from curata.sinks import writers
 
@@ -135,6 +136,7 @@ def adapted(spark: SparkSession, files: list[str], fallback_benchmark: str = "be
     rows = tables[0]
     for t in tables[1:]:
         rows = rows.unionByName(t)
+    rows = fixed(rows)  # the check of a line would else be copied into each place that reads it
     p = parts(F.col("value"))
     record, own, source = p["source_record"], p["own"], p["source"]
     benchmark = F.coalesce(present(own["benchmark_id"]), present(source["benchmark_id"]), F.lit(fallback_benchmark))
