@@ -3,8 +3,8 @@
 1. Window anchors (see `anchors`) drop documents, and runs of windows, that no other document can share.
 2. What is left is dealt by anchor, to find which blocks have to meet: the document with the smallest doc_id of those with
    a window's hash is a reference of the others. Anchors with very many runs are aggregated first: their neighbouring
-   runs are cut into chunks by content, and equal chunks, or equal runs, have one first holder. Of all this only pairs of
-   blocks are kept, CHUNK_WORDS words of a reference and CELL_WORDS of a later document; which windows met is forgotten.
+   runs are cut into chunks by content, and equal chunks, or equal runs, have one first holder; what a text repeats
+   within CELL_WORDS words is one row. Of all this only pairs of blocks are kept, CHUNK_WORDS words of a reference and CELL_WORDS of a later document; which windows met is forgotten.
 3. Every block of a later document, neighbouring ones joined, is factored greedily against the reference block: at each
    place the longest copy from the reference, or one word where there is none. The longest copies come from a suffix
    array over both together, by prefix doubling: a place's longest copy is the longer of what it shares with the
@@ -114,6 +114,21 @@ def _run_columns(found: WordRuns, i: np.ndarray, window: int) -> tuple[pa.Array,
 
 
 _RUN_NAMES = [c.split(" ")[0] for c in _RUN.split(", ")]
+#: Chunks and runs of hot anchors. n: windows from `place` on, as far as equal ones follow each other.
+_CHUNK, _HOT_RUN = "doc bigint, key bigint, place bigint, piece binary, n int", _RUN + ", n int"
+
+
+def repeats_joined(row: np.ndarray, what: list, place: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Which stay of equal items of a row that begin within CELL_WORDS words of each other, the first of each, and how many
+    windows they reach over. No cell lies between such items, so the cells that they touch are the same."""
+    number: dict = {}
+    kind = np.array([number.setdefault(x, len(number)) for x in what], np.int64)
+    order = np.lexsort((place, kind, row))
+    new = np.ones(len(order), bool)
+    new[1:] = (row[order][1:] != row[order][:-1]) | (kind[order][1:] != kind[order][:-1]) | (np.diff(place[order]) > CELL_WORDS)
+    at = np.flatnonzero(new)
+    first, last = order[at], order[np.append(at[1:], len(order)) - 1]
+    return first, pa.array((place[last] + many[last] - place[first]).astype(np.int32))
 
 
 def _emit(window: int):
@@ -135,7 +150,7 @@ def _emit(window: int):
 
 
 def _emit_chunks(window: int):
-    """(doc, key, place, piece) of chunks of neighbouring runs of hot anchors; piece: the words joined by one space."""
+    """Rows of _CHUNK of neighbouring runs of hot anchors; piece: the words joined by one space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = word_runs(window)
@@ -150,14 +165,15 @@ def _emit_chunks(window: int):
                     first, last = anchors.chunks(found, i)
                     begin, stop = found.start[found.first[first]], found.stop[found.end[last] + window - 2]
                     pieces = [b" ".join(raw[s:e].split()) for s, e in zip(begin.tolist(), stop.tolist(), strict=True)]
-                    rows = pa.array(row[first])
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(found.place[first]), pa.array(pieces, pa.binary())], names=["doc", "key", "place", "piece"])
+                    kept, n = repeats_joined(row[first], pieces, found.place[first], found.end[last] - found.first[first])
+                    rows = pa.array(row[first[kept]])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(found.place[first[kept]]), pa.array([pieces[j] for j in kept.tolist()], pa.binary()), n], names=["doc", "key", "place", "piece", "n"])
 
     return run
 
 
 def _runs_of_chunks(window: int):
-    """The runs of chunks (doc, key, place, piece) as rows of _RUN; a window's anchor depends on nothing else."""
+    """The runs of chunks (doc, key, place, piece) as rows of _HOT_RUN; a window's anchor depends on nothing else."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = word_runs(window)
@@ -166,8 +182,10 @@ def _runs_of_chunks(window: int):
                 data, offsets = text_buffer(b.column(3))
                 for found in of(data, offsets):
                     h, lists = _run_columns(found, np.arange(len(found.h)), window)
-                    rows = pa.array(found.doc)
-                    yield pa.RecordBatch.from_arrays([h, b.column(0).take(rows), b.column(1).take(rows), pa.array(b.column(2).to_numpy()[found.doc] + found.place), lists], names=_RUN_NAMES)
+                    place = b.column(2).to_numpy()[found.doc] + found.place
+                    kept, n = repeats_joined(found.doc, list(zip(found.h.tolist(), lists.to_pylist(), strict=True)), place, found.end - found.first)
+                    rows, kept = pa.array(found.doc[kept]), pa.array(kept)
+                    yield pa.RecordBatch.from_arrays([h.take(kept), b.column(0).take(rows), b.column(1).take(rows), pa.array(place).take(kept), lists.take(kept), n], names=[*_RUN_NAMES, "n"])
 
     return run
 
@@ -227,7 +245,7 @@ def _dealt(runs: DataFrame) -> DataFrame:
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of a run as a run of its own, dealt by anchor and window."""
+    """Each window of a run as a run of its own (rows of _HOT_RUN), dealt by anchor and window."""
     for b in batches:
         many = np.array([len(w.as_py()) // 8 for w in b.column(4)])
         of = np.repeat(np.arange(len(many)), many)
@@ -236,20 +254,23 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = np.frombuffer(raw, np.uint64)
         h = mixed(values ^ mixed(b.column(0).to_numpy().view(np.uint64)[of]))
         rows = pa.array(of)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(1).take(rows), b.column(2).take(rows), pa.array(b.column(3).to_numpy()[of] + offset), pa.array([raw[i : i + 8] for i in range(0, len(raw), 8)], pa.binary())], names=["h", "doc", "key", "place", "windows"])
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(1).take(rows), b.column(2).take(rows), pa.array(b.column(3).to_numpy()[of] + offset), pa.array([raw[i : i + 8] for i in range(0, len(raw), 8)], pa.binary()), pa.array(np.ones(len(of), np.int32))], names=[*_RUN_NAMES, "n"])
 
 
-def _to_first(rows: DataFrame, kinds: DataFrame, same: list[str], windows: Column) -> DataFrame:
+def _to_first(rows: DataFrame, kinds: DataFrame, same: list[str], *more: Column) -> DataFrame:
     """Rows of _LINK: all windows of the rows whose kind a smaller document holds first."""
     later = rows.join(kinds, same).where("doc > one.doc")
-    return later.select(F.col("one.doc").alias("rdoc"), F.col("one.key").alias("rkey"), F.col("one.place").alias("rplace"), "doc", "key", F.col("place").alias("first"), windows.cast("int").alias("n"))
+    return later.select(F.col("one.doc").alias("rdoc"), F.col("one.key").alias("rkey"), F.col("one.place").alias("rplace"), "doc", "key", F.col("place").alias("first"), "n", *more)
 
 
 def _within_blocks(found: DataFrame) -> DataFrame:
-    """Links cut where their place in the reference passes from one of its blocks to the next."""
-    chunk = F.explode(F.sequence(F.floor(F.col("rplace") / CHUNK_WORDS), F.floor((F.col("rplace") + F.col("n") - 1) / CHUNK_WORDS))).alias("c")
-    start, end = F.greatest(F.col("rplace"), F.col("c") * CHUNK_WORDS), F.least(F.col("rplace") + F.col("n"), (F.col("c") + 1) * CHUNK_WORDS)
-    return found.select("*", chunk).select("rdoc", "rkey", start.alias("rplace"), "doc", "key", (F.col("first") + start - F.col("rplace")).alias("first"), (end - start).cast("int").alias("n"))
+    """Links cut where their place in the reference, `held` windows long, passes from one of its blocks to the next. What is
+    repeated (n over held, and held at most CELL_WORDS) meets both blocks whole."""
+    chunk = F.explode(F.sequence(F.floor(F.col("rplace") / CHUNK_WORDS), F.floor((F.col("rplace") + F.col("held") - 1) / CHUNK_WORDS))).alias("c")
+    start, end = F.greatest(F.col("rplace"), F.col("c") * CHUNK_WORDS), F.least(F.col("rplace") + F.col("held"), (F.col("c") + 1) * CHUNK_WORDS)
+    once = F.col("n") == F.col("held")
+    first, n = F.when(once, F.col("first") + start - F.col("rplace")).otherwise(F.col("first")), F.when(once, end - start).otherwise(F.col("n"))
+    return found.select("*", chunk).select("rdoc", "rkey", start.alias("rplace"), "doc", "key", first.alias("first"), n.cast("int").alias("n"))
 
 
 def _frequent_links(chunks: DataFrame, window: int) -> list[DataFrame]:
@@ -259,20 +280,20 @@ def _frequent_links(chunks: DataFrame, window: int) -> list[DataFrame]:
     chunks = written(chunks, "substring-chunks")
     kinds = written(chunks.groupBy("piece").agg(one), "substring-kinds")
     n_words = F.size(F.split(F.col("piece").cast("string"), " "))
-    out = [_within_blocks(_to_first(chunks, kinds, ["piece"], n_words - window + 1))]
-    runs = kinds.select("one.doc", "one.key", "one.place", "piece").mapInArrow(_runs_of_chunks(window), _RUN)
+    out = [_within_blocks(_to_first(chunks, kinds, ["piece"], (n_words - window + 1).alias("held")))]
+    runs = kinds.select("one.doc", "one.key", "one.place", "piece").mapInArrow(_runs_of_chunks(window), _HOT_RUN)
     for single in (False, True):
         runs = written(runs, "substring-hot")
         if runs.isEmpty():
             break
         kinds = written(runs.groupBy("h", "windows").agg(one), "substring-kinds")
-        out.append(_to_first(runs, kinds, ["h", "windows"], F.octet_length("windows") / 8))
+        out.append(_to_first(runs, kinds, ["h", "windows"]))
         if single:
             break
         sizes = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
         left = kinds.join(sizes, "h").select("h", "one.doc", "one.key", "one.place", "windows", "kinds")
         out.append(_dealt(left.where(F.col("kinds") <= anchors.HOT_RUNS)))
-        runs = left.where(F.col("kinds") > anchors.HOT_RUNS).drop("kinds").mapInArrow(_apart, _RUN)
+        runs = left.where(F.col("kinds") > anchors.HOT_RUNS).drop("kinds").mapInArrow(_apart, _HOT_RUN)
     return out
 
 
@@ -282,7 +303,7 @@ def links(candidates: DataFrame, window: int) -> DataFrame:
     found = _dealt(candidates.mapInArrow(_emit(window), _RUN))
     busy = candidates.where(F.size("hot") > 0)
     if not busy.isEmpty():
-        for more in _frequent_links(busy.mapInArrow(_emit_chunks(window), "doc bigint, key bigint, place bigint, piece binary"), window):
+        for more in _frequent_links(busy.mapInArrow(_emit_chunks(window), _CHUNK), window):
             found = found.unionByName(more)
     return written(found, "substring-links")
 
